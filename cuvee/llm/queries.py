@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import quality_rules
+from . import decontaminate, quality_rules
 from .common import table
 
 
@@ -15,5 +16,13 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op2_quality_rules": op2_quality_rules}
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated"
+    )
+
+
+QUERIES = {"op2_quality_rules": op2_quality_rules, "op9_decontaminate": op9_decontaminate}
 ORACLE: dict[str, str] = {}
