@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, quality_rules
+from . import bpe, decontaminate, quality_rules
 from .common import table
 
 
@@ -24,5 +24,15 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op2_quality_rules": op2_quality_rules, "op9_decontaminate": op9_decontaminate}
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+QUERIES = {"op2_quality_rules": op2_quality_rules, "op5_byte_bpe": op5_byte_bpe, "op9_decontaminate": op9_decontaminate}
 ORACLE: dict[str, str] = {}
