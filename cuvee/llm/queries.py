@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, quality_rules
+from . import bpe, chat, decontaminate, quality_rules, warc
 from .common import table
 
 
@@ -34,6 +34,12 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     told = "'</s>[INST] ok [/INST]'"
@@ -50,7 +56,7 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op2_quality_rules": op2_quality_rules, "op5_byte_bpe": op5_byte_bpe, "op7_chat_format": op7_chat_format, "op9_decontaminate": op9_decontaminate}
+QUERIES = {"op2_quality_rules": op2_quality_rules, "op5_byte_bpe": op5_byte_bpe, "op6_warc": op6_warc, "op7_chat_format": op7_chat_format, "op9_decontaminate": op9_decontaminate}
 #: formatted_chars: escapes, and the template's control strings by merged turn.
 OP7_SQL = """
 WITH c AS (
