@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, quality_rules, warc
+from . import bpe, chat, decontaminate, pii, quality_rules, warc
 from .common import table
 
 
@@ -56,7 +56,12 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op2_quality_rules": op2_quality_rules, "op5_byte_bpe": op5_byte_bpe, "op6_warc": op6_warc, "op7_chat_format": op7_chat_format, "op9_decontaminate": op9_decontaminate}
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"), redact=False)
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
+QUERIES = {"op2_quality_rules": op2_quality_rules, "op5_byte_bpe": op5_byte_bpe, "op6_warc": op6_warc, "op7_chat_format": op7_chat_format, "op9_decontaminate": op9_decontaminate, "op10_pii": op10_pii}
 #: formatted_chars: escapes, and the template's control strings by merged turn.
 OP7_SQL = """
 WITH c AS (
