@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, pii, quality_rules, warc
+from . import bpe, chat, decontaminate, pii, quality_classifier, quality_rules, warc
 from .common import table
 
 
@@ -24,6 +24,13 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_classifier.train(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    held = (quality_classifier.fold(F.col("doc_id")) == 0).alias("held_out")
+    return quality_classifier.score(docs, model).select("doc_id", held, "score", "predicted")
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -61,7 +68,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
 
 
-QUERIES = {"op2_quality_rules": op2_quality_rules, "op5_byte_bpe": op5_byte_bpe, "op6_warc": op6_warc, "op7_chat_format": op7_chat_format, "op9_decontaminate": op9_decontaminate, "op10_pii": op10_pii}
+QUERIES = {"op2_quality_rules": op2_quality_rules, "op3_quality_classifier": op3_quality_classifier, "op5_byte_bpe": op5_byte_bpe, "op6_warc": op6_warc, "op7_chat_format": op7_chat_format, "op9_decontaminate": op9_decontaminate, "op10_pii": op10_pii}
 #: formatted_chars: escapes, and the template's control strings by merged turn.
 OP7_SQL = """
 WITH c AS (
