@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, pii, quality_classifier, quality_rules, warc
+from . import bpe, chat, decontaminate, minhash_dedup, pii, quality_classifier, quality_rules, warc
 from .common import table
 
 
@@ -16,6 +16,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -68,7 +72,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
 
 
-QUERIES = {"op2_quality_rules": op2_quality_rules, "op3_quality_classifier": op3_quality_classifier, "op5_byte_bpe": op5_byte_bpe, "op6_warc": op6_warc, "op7_chat_format": op7_chat_format, "op9_decontaminate": op9_decontaminate, "op10_pii": op10_pii}
+QUERIES = {"op2_quality_rules": op2_quality_rules, "op3_quality_classifier": op3_quality_classifier, "op5_byte_bpe": op5_byte_bpe, "op6_warc": op6_warc, "op7_chat_format": op7_chat_format, "op8_minhash_dedup": op8_minhash_dedup, "op9_decontaminate": op9_decontaminate, "op10_pii": op10_pii}
 #: formatted_chars: escapes, and the template's control strings by merged turn.
 OP7_SQL = """
 WITH c AS (
