@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, minhash_dedup, pii, quality_classifier, quality_rules, warc
+from . import bpe, chat, decontaminate, minhash_dedup, pii, quality_classifier, quality_rules, substring_dedup, warc
 from .common import table
 
 
@@ -35,6 +35,11 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score(docs, model).select("doc_id", held, "score", "predicted")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substring_dedup.removed(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -72,7 +77,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
 
 
-QUERIES = {"op2_quality_rules": op2_quality_rules, "op3_quality_classifier": op3_quality_classifier, "op5_byte_bpe": op5_byte_bpe, "op6_warc": op6_warc, "op7_chat_format": op7_chat_format, "op8_minhash_dedup": op8_minhash_dedup, "op9_decontaminate": op9_decontaminate, "op10_pii": op10_pii}
+QUERIES = {"op2_quality_rules": op2_quality_rules, "op3_quality_classifier": op3_quality_classifier, "op4_substring_dedup": op4_substring_dedup, "op5_byte_bpe": op5_byte_bpe, "op6_warc": op6_warc, "op7_chat_format": op7_chat_format, "op8_minhash_dedup": op8_minhash_dedup, "op9_decontaminate": op9_decontaminate, "op10_pii": op10_pii}
 #: formatted_chars: escapes, and the template's control strings by merged turn.
 OP7_SQL = """
 WITH c AS (

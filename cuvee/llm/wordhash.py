@@ -42,6 +42,12 @@ class WordHasher:
     def slices(self, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """(first, last + 1, hashes, begin): rows of ``texts`` (no nulls), the hashes of their words and where each
         row's words begin among them."""
+        for a, b, data, offsets in self.pieces(texts):
+            hashes, _, _, begin = self.words(data, offsets)
+            yield a, b, hashes, begin
+
+    def pieces(self, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(first, last + 1, bytes, offsets) of slices of ``texts``."""
         if isinstance(texts, pa.ChunkedArray):
             texts = texts.combine_chunks()
         if len(texts) == 0:
@@ -52,13 +58,15 @@ class WordHasher:
         a = 0
         while a < len(texts):
             b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + SLICE_BYTES, "right")) - 1)
-            yield a, b, *self._hashes(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+            yield a, b, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
             a = b
 
-    def _hashes(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def words(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(hashes, first byte, byte after, begin) of the words of texts that lie end to end in ``data``."""
         n = len(data)
         if n == 0:
-            return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+            none = np.zeros(0, np.int64)
+            return none.astype(np.uint64), none, none, np.zeros(len(offsets), np.int64)
         self._grown(n)
         edge = np.zeros(n + 1, bool)
         edge[offsets] = True
@@ -71,7 +79,7 @@ class WordHasher:
         sums = np.zeros(n + 1, np.uint64)
         np.cumsum(self.values[data] * self.powers[:n], out=sums[1:])
         h = (sums[end] - sums[begin]) * self.inverse[begin] + (end - begin).astype(np.uint64)
-        return mixed(h), np.searchsorted(begin, offsets)
+        return mixed(h), begin, end, np.searchsorted(begin, offsets)
 
 
 def window_hashes(words: np.ndarray, k: int) -> np.ndarray:
