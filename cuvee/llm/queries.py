@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, minhash_dedup, pii, quality_classifier, quality_rules, substring_dedup, warc
+from . import bpe, chat, decontaminate, license_scan, minhash_dedup, pii, quality_classifier, quality_rules, substring_dedup, warc
 from .common import table
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    named = F.transform("licenses", lambda x: F.concat_ws(":", x["license"], x["begin"], x["end"], F.format_string("%.4f", x["coverage"])))
+    return found.select("doc_id", "n_words", F.size("licenses").cast("long").alias("n_licenses"), F.array_join(named, ",").alias("licenses"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_rules.judged(docs).select(
@@ -77,7 +83,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
 
 
-QUERIES = {"op2_quality_rules": op2_quality_rules, "op3_quality_classifier": op3_quality_classifier, "op4_substring_dedup": op4_substring_dedup, "op5_byte_bpe": op5_byte_bpe, "op6_warc": op6_warc, "op7_chat_format": op7_chat_format, "op8_minhash_dedup": op8_minhash_dedup, "op9_decontaminate": op9_decontaminate, "op10_pii": op10_pii}
+QUERIES = {"op1_license_scan": op1_license_scan, "op2_quality_rules": op2_quality_rules, "op3_quality_classifier": op3_quality_classifier, "op4_substring_dedup": op4_substring_dedup, "op5_byte_bpe": op5_byte_bpe, "op6_warc": op6_warc, "op7_chat_format": op7_chat_format, "op8_minhash_dedup": op8_minhash_dedup, "op9_decontaminate": op9_decontaminate, "op10_pii": op10_pii}
 #: formatted_chars: escapes, and the template's control strings by merged turn.
 OP7_SQL = """
 WITH c AS (
