@@ -8,8 +8,8 @@ of the threshold or above are confirmed on their full sets. A pair at the thresh
 (1 - 0.85**ROWS)**BANDS = 3e-7 and the estimate with about as little. Links become components by star contraction.
 
 Large groups: a band key of up to ``BUCKET`` sets gives its pairs. A larger one gives a star of its members around its
-smallest; only where its members are then not yet one component are they compared further, signatures against
-signatures in blocks of ``BLOCK`` by ``BLOCK``, which emits nothing but likely links between different components. So
+smallest; only where its members are then not yet one component are they compared further, in blocks of ``BLOCK`` by
+``BLOCK``: sizes and signatures first, then full sets, which emits nothing but links between different components. So
 pairs within a group are never enumerated as rows, and no link between components is lost.
 
 Every iteration is written to the shared folder. Defined results: null and texts without words have an empty set, are
@@ -35,7 +35,7 @@ ROWS, BANDS, BITS = 6, 32, 2
 HASHES = ROWS * BANDS
 WORDS = HASHES * BITS // 64
 BUCKET = 32
-BLOCK = 512
+BLOCK = 2048
 SKETCH = "doc_id long, n_shingles long, set_hash string, keys array<long>, sig array<long>"
 
 
@@ -123,16 +123,7 @@ def matches(a: Column, b: Column) -> Column:
 
 def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """Those of ``pairs`` (a, b) whose full sets are similar enough, written."""
-    ids = written(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "ids")
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(ids, "doc_id", "left_semi")
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher(lower=True)
-        for batch in batches:
-            found = [s.tobytes() for s in shingle_sets(batch.column(1), hasher)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["doc_id", "shingles"])
-
-    full = written(d.mapInArrow(sets, "doc_id long, shingles binary"), "sets")
+    full = full_sets(docs, pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
     left, right = (full.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab")
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,6 +140,20 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return written(joined.mapInArrow(similar, "a long, b long").distinct(), "links")
 
 
+def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, shingles): the whole sets of some documents, written."""
+    ids = written(ids, "ids")
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(ids, "doc_id", "left_semi")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = WordHasher(lower=True)
+        for batch in batches:
+            found = [s.tobytes() for s in shingle_sets(batch.column(1), hasher)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["doc_id", "shingles"])
+
+    return written(d.mapInArrow(sets, "doc_id long, shingles binary"), "sets")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, component) of every id in ``links`` (a, b); component is the smallest id reachable. Stars are contracted
     until nothing changes; a hub's neighbours meet in an aggregate of minima, never in one row."""
@@ -172,8 +177,8 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _blocked(hot: DataFrame) -> DataFrame:
-    """Likely links (a, b) between different components among the members of each key: ``hot`` has key, rep, sig,
-    component and c, the key's number of members."""
+    """Links (a, b) between different components among the members of each key: ``hot`` has key, rep, sig, component,
+    shingles and c, the key's number of members."""
     blocks = F.ceil(F.col("c") / BLOCK).cast("int")
     d = hot.withColumn("mine", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
     d = d.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
@@ -183,24 +188,36 @@ def _blocked(hot: DataFrame) -> DataFrame:
 
     def compare(table: pa.Table) -> pa.Table:
         sig = np.stack(table.column("sig").to_numpy(zero_copy_only=False)).astype(np.uint64)
-        rep, comp, mine = (table.column(c).to_numpy() for c in ("rep", "component", "mine"))
+        rep, mine = table.column("rep").to_numpy(), table.column("mine").to_numpy()
+        comp = table.column("component").to_numpy().copy()
+        sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in table.column("shingles")]
+        size = np.array([len(s) for s in sets])
+        values, codes = np.unique(np.concatenate(sets), return_inverse=True)
+        codes = np.split(codes, np.cumsum(size)[:-1])
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         left, right = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
-        out_a, out_b = [], []
+        member = np.zeros(len(values), bool)
+        out: list[tuple[int, int]] = []
         for x in left:
-            d = sig[x] ^ sig[right]
+            near = right[(comp[right] != comp[x]) & (100 * np.minimum(size[right], size[x]) >= PERCENT * np.maximum(size[right], size[x]))]
+            d = sig[x] ^ sig[near]
             folded = d.copy()
             for k in range(1, BITS):
                 folded |= d >> np.uint64(k)
-            same = HASHES - np.bitwise_count(folded & lanes).sum(axis=1, dtype=np.int64)
-            ok = right[(same >= least) & (comp[right] != comp[x])]
-            out_a.append(np.minimum(rep[x], rep[ok]))
-            out_b.append(np.maximum(rep[x], rep[ok]))
-        a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (out_a, out_b))
-        return pa.table({"a": a.astype(np.int64), "b": b.astype(np.int64)})
-
-    found = d.select("key", "rep", "sig", "component", "mine", "i", "j").groupBy("key", "i", "j").applyInArrow(compare, "a long, b long")
-    return found.where("a <> b").distinct()
+            near = near[HASHES - np.bitwise_count(folded & lanes).sum(axis=1, dtype=np.int64) >= least]
+            if not len(near):
+                continue
+            member[codes[x]] = True
+            for y in near:
+                both = int(member[codes[y]].sum())
+                if comp[y] != comp[x] and 100 * both >= PERCENT * (size[x] + size[y] - both):
+                    out.append((int(rep[x]), int(rep[y])))
+                    comp[comp == comp[y]] = comp[x]  # further pairs of these two components say nothing new
+            member[codes[x]] = False
+        return pa.table({"a": pa.array([p[0] for p in out], pa.int64()), "b": pa.array([p[1] for p in out], pa.int64())})
+
+    cols = ("key", "rep", "sig", "component", "shingles", "mine", "i", "j")
+    return d.select(*cols).groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -230,9 +247,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         large = large.join(sigs, "rep").join(found, F.col("rep") == F.col("id"), "left").withColumn("component", F.coalesce("component", "rep"))
         large = written(large.select("key", "rep", "sig", "component", "c"), "large")
         split = large.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-        more = written(_blocked(large.join(split, "key", "left_semi")), "likely")
+        large = large.join(split, "key", "left_semi")
+        full = full_sets(docs, large.select(F.col("rep").alias("doc_id")).distinct())
+        more = written(_blocked(large.join(full.withColumnRenamed("doc_id", "rep"), "rep")), "links")
         if more.limit(1).count():
-            again = confirmed(more, docs).unionByName(found.select(F.col("id").alias("a"), F.col("component").alias("b")))
+            again = more.unionByName(found.select(F.col("id").alias("a"), F.col("component").alias("b")))
             found = written(components(again), "components")
     out = d.select("doc_id", "n_shingles", "set_hash").join(reps, "set_hash", "left").join(found, F.col("rep") == F.col("id"), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
