@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHUNK_CHARS = 2_000_000
-DICTIONARY_PIECES = 500_000
+DICTIONARY_PIECES = 800_000
 
 #: One row a merge: tokens l and r, neighbours, become token m, whose number is its rank.
 MERGES = """
@@ -64,8 +64,11 @@ SELECT w, w << 32, id FROM whole WHERE id IS NOT NULL
 ORDER BY k
 """
 
+#: One thread aggregates rows in the order in which they come.
 DECODE = """
-SELECT doc, string_agg(v.latin, '' ORDER BY pos) AS latin FROM stream s JOIN vocab v ON v.id = s.id GROUP BY doc
+SELECT doc, string_agg(latin, '') AS latin
+FROM (SELECT doc, v.latin FROM stream s JOIN vocab v ON v.id = s.id ORDER BY doc, pos)
+GROUP BY doc
 """
 
 
@@ -126,7 +129,7 @@ class Codec:
             self.forget()
         cuts = [self.cut(t) for t in texts]
         known = self.known
-        new = [p for p in dict.fromkeys(p for c in cuts for p in c) if p not in known]
+        new = sorted(set().union(*cuts).difference(known))
         if new:
             known.update(zip(new, range(len(known), len(known) + len(new))))
             self.learn(new)
