@@ -7,8 +7,8 @@ stretches to shards such that a window meets all its equals in one shard, and th
 1. one pass over the texts gives each document's minimizers and a hash of its word sequence; of documents with equal
    sequences only the first goes on, the others are covered entirely;
 2. minimizers are sorted; those of a single document end here;
-3. the stretches of the rest, as text, go to shards of about ``SHARD`` stretches. A shard indexes its distinct
-   stretches with their smallest documents and searches each backward: whole, and where no earlier document holds the
+3. the stretches of the rest, as text, go to shards of about ``SHARD`` stretches; equal ones of a batch of documents
+   travel once, with their places. A shard indexes its distinct stretches with their smallest documents and searches each backward: whole, and where no earlier document holds the
    whole, window by window, giving up once no earlier document is left. Hits are reported as word intervals;
 4. intervals are gathered by document and the words they cover removed.
 
@@ -38,7 +38,7 @@ from .wordhash import WordHasher, window_hashes
 WINDOW, GRAM = 13, 5
 SHARD = 8_000
 HOT = 20_000
-STRETCH = "shard long, doc_id long, pos int, n int, content binary"
+STRETCH = "shard long, n int, content binary, docs array<long>, places array<int>"
 #: End of an interval that covers a whole document.
 ALL = (1 << 31) - 1
 
@@ -116,9 +116,9 @@ def _cut(docs: DataFrame, wanted: DataFrame, shards: int, single: bool) -> DataF
         hasher = WordHasher()
         for batch in batches:
             ids = batch.column(0).to_numpy()
+            found: dict[tuple[int, int, bytes], tuple[list[int], list[int]]] = {}
             for a, b, data, offsets in hasher.pieces(batch.column(1)):
                 words, first_byte, end_byte, begin = hasher.words(data, offsets)
-                out: list[list] = [[], [], [], [], []]
                 for i in range(b - a):
                     w = words[begin[i] : begin[i + 1]]
                     pos, n, mins = stretches(w)
@@ -132,18 +132,21 @@ def _cut(docs: DataFrame, wanted: DataFrame, shards: int, single: bool) -> DataF
                         shard = window_hashes(w, WINDOW)[pos].view(np.int64)
                     else:
                         shard = (mins >> np.uint64(1)).astype(np.int64) % shards
-                    raw = data[first_byte[begin[i]] : end_byte[begin[i + 1] - 1]].tobytes()
-                    begins, ends = first_byte[begin[i] + pos], end_byte[begin[i] + pos + n + WINDOW - 2]
                     base = first_byte[begin[i]]
-                    out[0].append(shard)
-                    out[1].append(np.full(len(pos), ids[a + i]))
-                    out[2].append(pos.astype(np.int32))
-                    out[3].append(n.astype(np.int32))
-                    out[4] += [raw[x:y] for x, y in zip((begins - base).tolist(), (ends - base).tolist(), strict=True)]
-                if out[0]:
-                    yield pa.RecordBatch.from_arrays(
-                        [*(pa.array(np.concatenate(v)) for v in out[:4]), pa.array(out[4], pa.binary())], names=["shard", "doc_id", "pos", "n", "content"]
-                    )
+                    raw = data[base : end_byte[begin[i + 1] - 1]].tobytes()
+                    begins, ends = first_byte[begin[i] + pos] - base, end_byte[begin[i] + pos + n + WINDOW - 2] - base
+                    d = int(ids[a + i])
+                    for h, k, p, x, y in zip(shard.tolist(), n.tolist(), pos.tolist(), begins.tolist(), ends.tolist(), strict=True):
+                        docs_of, places = found.setdefault((h, k, raw[x:y]), ([], []))
+                        docs_of.append(d)
+                        places.append(p)
+            if found:
+                h, k, content = zip(*found, strict=True)
+                docs_of, places = zip(*found.values(), strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h, pa.int64()), pa.array(k, pa.int32()), pa.array(content, pa.binary()), pa.array(docs_of, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32()))],
+                    names=["shard", "n", "content", "docs", "places"],
+                )
 
     return _texts(docs).join(wanted, "doc_id").select("doc_id", "text", "ms").mapInArrow(run, STRETCH)
 
@@ -156,8 +159,10 @@ def _hashed(contents: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return words, begin
 
 
-def search(doc_id: np.ndarray, n: np.ndarray, contents: pa.ChunkedArray) -> list[np.ndarray | None]:
-    """For each stretch of a shard which of its windows occur in an earlier document: None for none of them.
+def search(least: np.ndarray, n: np.ndarray, contents: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, dict[int, np.ndarray]]:
+    """For each stretch of a shard, whose smallest document is ``least``: the smallest document with the same words,
+    whether an earlier one holds it whole, and for the others which windows of that smallest document an earlier one
+    holds, where any.
 
     The index holds the distinct stretches with their smallest documents. A stretch that an earlier document holds
     whole is covered whole; another is searched window by window.
@@ -166,13 +171,12 @@ def search(doc_id: np.ndarray, n: np.ndarray, contents: pa.ChunkedArray) -> list
     width = int(n.max()) + WINDOW - 1
     padded = np.zeros((len(n), width), np.uint64)
     size = n + WINDOW - 1
-    inside = np.arange(width)[None, :] < size[:, None]
-    padded[inside] = words
+    padded[np.arange(width)[None, :] < size[:, None]] = words
     # equal rows of words are one distinct stretch
     key = padded.view(np.dtype((np.void, 8 * width))).ravel()
     _, first, which = np.unique(key, return_index=True, return_inverse=True)
     own = np.full(len(first), np.iinfo(np.int64).max)
-    np.minimum.at(own, which, doc_id)
+    np.minimum.at(own, which, least)
     symbols_of, symbols = np.unique(words, return_inverse=True)
     size, n_of = size[first], n[first]
     flat = symbols[np.concatenate([np.arange(begin[i], begin[i] + s) for i, s in zip(first, size, strict=True)])] + 1
@@ -183,14 +187,9 @@ def search(doc_id: np.ndarray, n: np.ndarray, contents: pa.ChunkedArray) -> list
     at = np.repeat(starts[part] - np.cumsum(n_of[part]) + n_of[part], n_of[part]) + np.arange(n_of[part].sum())
     hit = index.covered(flat, at, np.full(len(at), WINDOW), np.repeat(own[part], n_of[part]))
     ends = np.cumsum(n_of[part])
-    windows = {int(p): hit[e - k : e] for p, e, k in zip(part, ends, n_of[part], strict=True)}
-    out: list[np.ndarray | None] = []
-    for d, u in zip(doc_id, which, strict=True):
-        if whole[u] or d > own[u]:
-            out.append(np.ones(n_of[u], bool))
-        else:
-            out.append(windows[int(u)] if windows[int(u)].any() else None)
-    return out
+    some = {int(p): hit[e - k : e] for p, e, k in zip(part, ends, n_of[part], strict=True) if hit[e - k : e].any()}
+    rows = {int(r): some[int(u)] for r, u in enumerate(which) if int(u) in some}
+    return own[which], whole[which], rows
 
 
 def _runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -199,16 +198,20 @@ def _runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _shard_hits(table: pa.Table) -> pa.Table:
-    doc_id, pos, n = (table.column(c).to_numpy() for c in ("doc_id", "pos", "n"))
-    contents = table.column("content")
-    ids, begin, end = [], [], []
-    for d, p, mask in zip(doc_id.tolist(), pos.tolist(), search(doc_id, n.astype(np.int64), contents), strict=True):
-        if mask is not None:
-            for a, b in zip(*_runs(mask), strict=True):
-                ids.append(d)
-                begin.append(p + int(a))
-                end.append(p + int(b) + WINDOW - 1)
-    return pa.table({"doc_id": pa.array(ids, pa.int64()), "b": pa.array(begin, pa.int32()), "e": pa.array(end, pa.int32())})
+    docs, places = (table.column(c).combine_chunks() for c in ("docs", "places"))
+    n = table.column("n").to_numpy().astype(np.int64)
+    count = docs.value_lengths().to_numpy().astype(np.int64)
+    row = np.repeat(np.arange(len(n)), count)
+    d, p = docs.flatten().to_numpy(), places.flatten().to_numpy().astype(np.int64)
+    own, whole, rows = search(np.minimum.reduceat(d, np.cumsum(count) - count), n, table.column("content"))
+    full = whole[row] | (d > own[row])
+    ids, begin, end = [d[full]], [p[full]], [p[full] + n[row[full]] + WINDOW - 1]
+    for k in np.flatnonzero(~full & np.isin(row, list(rows))):
+        a, b = _runs(rows[int(row[k])])
+        ids.append(np.full(len(a), d[k]))
+        begin.append(p[k] + a)
+        end.append(p[k] + b + WINDOW - 1)
+    return pa.table({"doc_id": pa.array(np.concatenate(ids)), "b": pa.array(np.concatenate(begin).astype(np.int32)), "e": pa.array(np.concatenate(end).astype(np.int32))})
 
 
 def repeated(docs: DataFrame, shard: int = SHARD, hot: int = HOT) -> DataFrame:
@@ -227,14 +230,13 @@ def repeated(docs: DataFrame, shard: int = SHARD, hot: int = HOT) -> DataFrame:
     lists = lambda d: d.groupBy("doc_id").agg(F.collect_list("m").alias("ms"))
     hits = _cut(docs, lists(cool), shards, False).groupBy("shard").applyInArrow(_shard_hits, "doc_id long, b int, e int")
     if n_hot:
-        singles = _cut(docs, lists(wanted.join(crowded, "m", "left_semi")), shards, True)
-        least = singles.groupBy("shard").agg(F.min("doc_id").alias("least"), F.count("*").alias("c")).where("c > 1")
-        members = singles.join(least, "shard").where("doc_id >= least")
-        kinds = members.groupBy("shard", "content").agg(F.min("doc_id").alias("doc_id"))
-        index = kinds.select(F.pmod(F.col("shard"), F.lit(shards)).alias("shard"), "doc_id", F.lit(0).alias("pos"), F.lit(1).alias("n"), "content")
-        found = index.groupBy("shard").applyInArrow(_single_hits, "h long, content binary, least long")
-        more = members.select(F.col("shard").alias("h"), "doc_id", "pos", "content").join(found, ["h", "content"]).where("doc_id > least")
-        hits = hits.unionByName(more.select("doc_id", F.col("pos").alias("b"), (F.col("pos") + WINDOW).alias("e")))
+        singles = _cut(docs, lists(wanted.join(crowded, "m", "left_semi")), shards, True).withColumnRenamed("shard", "h")
+        least = F.array_min("docs")
+        kinds = singles.groupBy("h", "content").agg(F.min(least).alias("doc_id"))
+        found = kinds.groupBy(F.pmod(F.col("h"), F.lit(shards)).alias("shard")).applyInArrow(_single_hits, "h long, content binary, least long")
+        members = singles.join(found, ["h", "content"]).select("least", F.explode(F.arrays_zip("docs", "places")).alias("m"))
+        more = members.where("m.docs > least").select(F.col("m.docs").alias("doc_id"), F.col("m.places").alias("b"), (F.col("m.places") + WINDOW).alias("e"))
+        hits = hits.unionByName(more)
     return hits.unionByName(copies)
 
 
