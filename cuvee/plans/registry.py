@@ -1,6 +1,665 @@
-"""Queries over the driver's tables and their SQL twins."""
+"""Registered queries over the driver's tables and their SQL twins."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import labels
+from ..operators import balance, dims, quality, stats, store, vintage
+from ..schemas import OBSERVATION_KEY
+from ..sources import tpch_vintage as source
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLE: dict[str, str] = {}
+
+K = "table_slug, commodity, region, attribute"
+KM = f"{K}, marketing_year"
+KMR = f"{KM}, report_month"
+
+SQL = f"""WITH {source.SQL},
+head AS (
+    SELECT * FROM (
+        SELECT *, row_number() OVER (PARTITION BY {KMR} ORDER BY CAST(forecast_month <> '' AS INTEGER), release_id) AS n
+        FROM obs WHERE forecast_month = '' OR forecast_month = strftime(report_month, '%b')
+    ) WHERE n = 1 AND value IS NOT NULL
+), beside AS (
+    SELECT * FROM (
+        SELECT *, row_number() OVER (PARTITION BY {KMR} ORDER BY forecast_month, release_id) AS n
+        FROM obs WHERE forecast_month <> '' AND forecast_month <> strftime(report_month, '%b')
+    ) WHERE n = 1
+), joined AS (
+    SELECT h.*, b.value AS companion, b.n IS NOT NULL AND h.year_status = 'projection' AS within
+    FROM (SELECT *, lag(value) OVER (PARTITION BY {KM} ORDER BY report_month) AS last FROM head) h
+    LEFT JOIN beside b USING ({KMR})
+), prev AS (SELECT *, CASE WHEN within THEN companion ELSE last END AS value_prev FROM joined
+), rev AS (
+    SELECT {KMR}, release_id, year_status, value, value_prev, value - value_prev AS delta,
+           (value - value_prev) / nullif(abs(value_prev), 0) AS pct_change,
+           CASE WHEN within THEN 'within_report' ELSE 'cross_release' END AS method, value_prev IS NULL AS is_first_print,
+           CASE WHEN within THEN companion - last END AS reprint_revision
+    FROM prev
+), fin AS (
+    SELECT {KM}, arg_max(value, report_month) AS final_value, max(report_month) AS final_report_month,
+           arg_max(year_status, report_month) AS final_year_status, count(*) AS n_reports
+    FROM head GROUP BY ALL
+), err AS (
+    SELECT {KMR}, h.year_status, value, final_value, final_year_status, (value - final_value) / nullif(final_value, 0) AS pct_error,
+           CAST((year(final_report_month) - year(report_month)) * 12 + month(final_report_month) - month(report_month) AS INTEGER) AS horizon_months,
+           CAST(month(report_month) AS INTEGER) AS calendar_month
+    FROM head h LEFT JOIN fin USING ({KM})
+), done AS (SELECT * FROM err WHERE final_year_status = 'actual' AND horizon_months > 0
+), pairs AS (
+    SELECT * FROM (
+        SELECT {KMR}, pct_change * 100 AS pct, strftime(report_month, '%b') AS month_name,
+               lead(pct_change * 100) OVER w AS pct_next, lead(strftime(report_month, '%b')) OVER w AS month_next
+        FROM rev WHERE NOT is_first_print WINDOW w AS (PARTITION BY {KM} ORDER BY report_month)
+    ) WHERE pct IS NOT NULL AND pct_next IS NOT NULL
+), zed AS (
+    SELECT *, (pct - avg(pct) OVER w) / nullif(stddev_samp(pct) OVER w, 0) AS z FROM (
+        SELECT {KMR}, year_status, value, pct_change * 100 AS pct, CAST(month(report_month) AS INTEGER) AS cal_month
+        FROM rev WHERE NOT is_first_print AND pct_change IS NOT NULL
+    ) WINDOW w AS (PARTITION BY {K}, cal_month)
+)
+"""
+
+
+def query(sql: str | None = None):
+    """Registers a query under its function's name, with the SQL that follows the common tables."""
+
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE[f.__name__] = SQL + sql
+        return f
+
+    return add
+
+
+def _all(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    obs = source.observations(spark, d)
+    return obs, store.latest_winner(source.releases(spark, d), obs)
+
+
+def _obs(spark: SparkSession, d: str) -> DataFrame:
+    obs, releases = _all(spark, d)
+    return store.observations_latest(obs, releases)
+
+
+def _changes(spark: SparkSession, d: str) -> DataFrame:
+    return vintage.mom_changes(_obs(spark, d))
+
+
+def _errors(spark: SparkSession, d: str) -> DataFrame:
+    cur = vintage.current_values(_obs(spark, d))
+    return vintage.attach_errors(cur, vintage.finals_of(cur))
+
+
+def _rounded(d: DataFrame, *cols: str, places: int = 8) -> DataFrame:
+    return d.withColumns({c: F.round(c, places) for c in cols})
+
+
+def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest revisions: headline, companion, lag, and a top-k."""
+    d = _changes(spark, sf_dir).where("pct_change IS NOT NULL")
+    return d.orderBy(F.abs("pct_change").desc(), *d.columns[:6]).limit(25)
+
+
+KMR_COLS = KMR.split(", ")
+KM_COLS = KM.split(", ")
+K_COLS = K.split(", ")
+
+
+@query(f"SELECT {KMR}, release_id, year_status, value FROM head")
+def headline_values(spark, d):
+    return vintage.current_values(_obs(spark, d)).select(*KMR_COLS, "release_id", "year_status", "value")
+
+
+@query(f"SELECT {KMR}, value FROM head WHERE marketing_year IN ('1996/97', '1997/98')")
+def vintage_series(spark, d):
+    return vintage.vintage_series(_obs(spark, d), ["1996/97", "1997/98"]).select(*KMR_COLS, "value")
+
+
+@query(f"SELECT {KMR}, release_id, forecast_month, value FROM obs WHERE forecast_month = '' OR forecast_month = strftime(report_month, '%b')")
+def headline_view(spark, d):
+    return store.headline_view(*_all(spark, d)).select(*KMR_COLS, "release_id", "forecast_month", "value")
+
+
+@query("SELECT * FROM rev")
+def revisions(spark, d):
+    return _changes(spark, d).drop("unit", "qa_status")
+
+
+@query(f"SELECT {KMR}, method FROM rev WHERE is_first_print")
+def revision_first_prints(spark, d):
+    return _changes(spark, d).where("is_first_print").select(*KMR_COLS, "method")
+
+
+@query(f"SELECT {KMR}, reprint_revision FROM rev WHERE reprint_revision <> 0")
+def reprint_revisions(spark, d):
+    return _changes(spark, d).where("reprint_revision <> 0").select(*KMR_COLS, "reprint_revision")
+
+
+@query("SELECT * FROM fin")
+def final_values(spark, d):
+    return vintage.final_values(_obs(spark, d))
+
+
+@query(f"SELECT {KMR}, value, final_value, pct_error, horizon_months, calendar_month FROM err")
+def forecast_errors(spark, d):
+    return _errors(spark, d).select(*KMR_COLS, "value", "final_value", "pct_error", "horizon_months", "calendar_month")
+
+
+@query(
+    """SELECT a.table_slug, a.commodity, a.region, a.release_id, a.report_month, a.marketing_year, a.year_status, a.forecast_month,
+       a.value / nullif(b.value, 0) AS value, 'stocks_to_use' AS attribute, 'ratio' AS unit
+    FROM obs a JOIN obs b ON (a.table_slug, a.commodity, a.region, a.release_id, a.report_month, a.marketing_year, a.year_status, a.forecast_month)
+      = (b.table_slug, b.commodity, b.region, b.release_id, b.report_month, b.marketing_year, b.year_status, b.forecast_month)
+    WHERE a.attribute = 'ending_stocks' AND b.attribute = 'use_total'"""
+)
+def stocks_to_use(spark, d):
+    return vintage.stocks_to_use(_obs(spark, d))
+
+
+@query(f"SELECT {KMR}, forecast_month, value FROM obs WHERE qa_status IN ('ok', 'corrected')")
+def trusted_slice(spark, d):
+    return vintage.trusted_only(_obs(spark, d)).select(*KMR_COLS, "forecast_month", "value")
+
+
+BIAS = """SELECT {k}, {by}, count(pct_error) AS n, round(avg(pct_error), 8) AS mean_pct_error, round(median(pct_error), 8) AS median_pct_error,
+       round(avg(abs(pct_error)), 8) AS mae_pct, round(avg(CASE WHEN pct_error IS NOT NULL THEN CAST(pct_error > 0 AS DOUBLE) END), 8) AS hit_rate_over,
+       round(avg(pct_error) / nullif(stddev_samp(pct_error) / sqrt(nullif(count(pct_error), 0)), 0), 6) AS t_stat FROM done GROUP BY ALL"""
+STATS = ("mean_pct_error", "median_pct_error", "mae_pct", "hit_rate_over")
+
+
+@query(BIAS.format(k=K, by="calendar_month"))
+def bias_by_month(spark, d):
+    s = stats.bias_summary(vintage.finalized(_errors(spark, d)), "calendar_month", p_value=False)
+    return _rounded(_rounded(s, *STATS), "t_stat", places=6)
+
+
+BUCKET = """CASE WHEN horizon_months <= 3 THEN '1-3' WHEN horizon_months <= 6 THEN '4-6' WHEN horizon_months <= 9 THEN '7-9'
+ WHEN horizon_months <= 12 THEN '10-12' WHEN horizon_months <= 18 THEN '13-18' WHEN horizon_months <= 24 THEN '19-24' ELSE '25+' END"""
+
+
+@query(BIAS.format(k=K, by=f"{BUCKET} AS bucket"))
+def bias_by_horizon(spark, d):
+    errors = vintage.finalized(_errors(spark, d)).withColumn("bucket", stats.horizon_bucket(F.col("horizon_months")))
+    return _rounded(_rounded(stats.bias_summary(errors, "bucket", p_value=False), *STATS), "t_stat", places=6)
+
+
+@query()
+def wilcoxon_bias(spark, d):
+    return stats.bias_summary(vintage.finalized(_errors(spark, d)), "calendar_month").select(*K_COLS, "calendar_month", "n", "wilcoxon_p")
+
+
+@query(
+    "SELECT attribute, "
+    + ", ".join(f"round(avg(pct_error) FILTER (calendar_month = {m}) * 100, 6) AS m{m}" for m in range(1, 13))
+    + " FROM done GROUP BY attribute"
+)
+def error_surface_pivot(spark, d):
+    s = vintage.finalized(_errors(spark, d)).groupBy("attribute").pivot("calendar_month", list(range(1, 13))).agg(F.avg("pct_error") * 100)
+    return s.select("attribute", *[F.round(str(m), 6).alias(f"m{m}") for m in range(1, 13)])
+
+
+@query(f"SELECT attribute, {BUCKET} AS bucket, round(avg(pct_error) * 100, 6) AS mean_pct FROM done GROUP BY ALL")
+def error_surface_horizon(spark, d):
+    errors = vintage.finalized(_errors(spark, d)).withColumn("bucket", stats.horizon_bucket(F.col("horizon_months")))
+    return _rounded(stats.error_surface(errors, "bucket"), "mean_pct", places=6)
+
+
+MATRIX = ("beginning_stocks", "production", "imports", "exports", "ending_stocks")
+
+
+@query(
+    "SELECT commodity, region, report_month, marketing_year, "
+    + ", ".join(f"max(pct_change) FILTER (attribute = '{a}') AS {a}, max(pct_error) FILTER (attribute = '{a}') AS {a}_error" for a in MATRIX)
+    + f""" FROM (SELECT r.*, e.pct_error, max(r.marketing_year) OVER (PARTITION BY r.table_slug, r.commodity, r.region, r.report_month) AS target
+    FROM rev r LEFT JOIN err e USING ({KMR}) WHERE month(r.report_month) = 8 AND r.year_status = 'projection')
+    WHERE marketing_year = target GROUP BY ALL"""
+)
+def report_month_matrix(spark, d):
+    from pyspark.sql import Window
+
+    r = _changes(spark, d).where("month(report_month) = 8 AND year_status = 'projection'")
+    r = r.join(_errors(spark, d).select(*KMR_COLS, "pct_error"), KMR_COLS, "left")
+    target = F.max("marketing_year").over(Window.partitionBy("table_slug", "commodity", "region", "report_month"))
+    r = r.withColumn("_t", target).where("marketing_year = _t")
+    of = lambda a, c: F.max(F.when(F.col("attribute") == a, F.col(c)))
+    return r.groupBy("commodity", "region", "report_month", "marketing_year").agg(*[x for a in MATRIX for x in (of(a, "pct_change").alias(a), of(a, "pct_error").alias(f"{a}_error"))])
+
+
+@query(f"SELECT commodity, region, arg_max(attribute, (round(abs(z), 6), {K}, marketing_year, report_month)) AS attribute, round(max(abs(z)), 6) AS z FROM zed WHERE z IS NOT NULL GROUP BY commodity, region")
+def matrix_hot_cell(spark, d):
+    z = stats.surprises(_changes(spark, d)).where("z IS NOT NULL")
+    order = F.struct(F.round(F.abs("z"), 6), *KMR_COLS)
+    return z.groupBy("commodity", "region").agg(F.max_by("attribute", order).alias("attribute"), F.round(F.max(F.abs("z")), 6).alias("z"))
+
+
+@query(
+    f"""SELECT {K}, months_in, round(quantile_cont(ratio, 0.25), 8) AS q25, round(quantile_cont(ratio, 0.75), 8) AS q75, count(DISTINCT marketing_year) AS n_years FROM (
+    SELECT r.*, value / final_value * 100 AS ratio,
+           CAST((year(report_month) - year(first)) * 12 + month(report_month) - month(first) AS INTEGER) AS months_in
+    FROM (SELECT r.*, f.final_value, min(report_month) OVER (PARTITION BY {KM}) AS first FROM rev r JOIN fin f USING ({KM})
+          WHERE final_year_status = 'actual' AND final_value <> 0) r) GROUP BY ALL"""
+)
+def quantile_cone(spark, d):
+    obs = _obs(spark, d)
+    return _rounded(stats.quantile_cone(vintage.mom_changes(obs), vintage.final_values(obs)), "q25", "q75")
+
+
+OVERLAY = f"CAST((year(report_month) - year(min(report_month) OVER w)) * 12 + month(report_month) - month(min(report_month) OVER w) AS INTEGER) AS months_in"
+
+
+@query(f"SELECT {KMR}, {OVERLAY}, value / nullif(arg_min(value, report_month) OVER w, 0) * 100 AS y FROM rev WINDOW w AS (PARTITION BY {KM})")
+def overlay_pct_of_first(spark, d):
+    return stats.overlay(_changes(spark, d))
+
+
+@query(f"SELECT {KMR}, {OVERLAY}, value / nullif(final_value, 0) * 100 AS y FROM rev LEFT JOIN fin USING ({KM}) WINDOW w AS (PARTITION BY {KM})")
+def overlay_pct_of_final(spark, d):
+    obs = _obs(spark, d)
+    return stats.overlay(vintage.mom_changes(obs), vintage.final_values(obs))
+
+
+@query("""SELECT commodity, round(limit_, 6) AS limit_, count(*) FILTER (x > limit_) AS n_clipped FROM (
+    SELECT commodity, abs(pct_error) * 100 AS x, quantile_cont(abs(pct_error) * 100, 0.95) OVER (PARTITION BY commodity) * 1.6 AS limit_ FROM done WHERE pct_error IS NOT NULL)
+    GROUP BY ALL""")
+def bias_clip_limit(spark, d):
+    e = vintage.finalized(_errors(spark, d)).where("pct_error IS NOT NULL").select("commodity", (F.abs("pct_error") * 100).alias("x"))
+    limit = e.groupBy("commodity").agg((F.percentile("x", F.lit(0.95)) * 1.6).alias("limit_"))
+    return e.join(limit, "commodity").groupBy("commodity", F.round("limit_", 6).alias("limit_")).agg(F.count_if(F.col("x") > F.col("limit_")).alias("n_clipped"))
+
+
+@query("SELECT * FROM pairs")
+def revision_pairs(spark, d):
+    return stats.revision_pairs(_changes(spark, d))
+
+
+@query(f"""SELECT {K}, count(*) AS n, round(regr_slope(pct_next, pct), 6) AS slope, round(regr_intercept(pct_next, pct), 6) AS intercept,
+    round(avg(CAST(sign(pct) = sign(pct_next) AS DOUBLE)), 8) AS same_sign FROM pairs WHERE abs(pct) >= 0.1 GROUP BY ALL HAVING count(*) >= 10""")
+def momentum_ols(spark, d):
+    return _rounded(_rounded(stats.momentum_ols(stats.revision_pairs(_changes(spark, d))), "slope", "intercept", places=6), "same_sign")
+
+
+@query(f"""SELECT {K}, count(*) AS n, round(corr(a, b), 6) AS rho FROM (
+    SELECT {K}, rank() OVER (PARTITION BY {K} ORDER BY pct) + (count(*) OVER (PARTITION BY {K}, pct) - 1) / 2.0 AS a,
+           rank() OVER (PARTITION BY {K} ORDER BY pct_next) + (count(*) OVER (PARTITION BY {K}, pct_next) - 1) / 2.0 AS b
+    FROM pairs WHERE abs(pct) >= 0.1) GROUP BY ALL HAVING count(*) >= 10""")
+def momentum_spearman(spark, d):
+    return _rounded(stats.momentum_spearman(stats.revision_pairs(_changes(spark, d))), "rho", places=6)
+
+
+@query("""SELECT month_name || '-' || month_next AS pair, attribute, round(avg(CAST(sign(pct) = sign(pct_next) AS DOUBLE)), 8) AS agree, count(*) AS n
+    FROM pairs WHERE abs(pct) >= 0.1 AND pct <> 0 GROUP BY ALL HAVING count(*) >= 8""")
+def sign_agreement(spark, d):
+    return _rounded(stats.sign_agreement(stats.revision_pairs(_changes(spark, d))), "agree")
+
+
+@query(f"""SELECT {K}, direction, n, k, round(unconditional, 8) AS unconditional, round(k / n, 8) AS p, round(1.96 * sqrt(k / n * (1 - k / n) / n), 8) AS half_width FROM (
+    SELECT {K}, direction, count(*) FILTER (sign(pct) = direction) AS n, count(*) FILTER (sign(pct) = direction AND sign(pct_next) = direction) AS k,
+           avg(CAST(sign(pct_next) = direction AS DOUBLE)) AS unconditional
+    FROM pairs, (VALUES (-1), (1)) v(direction) WHERE abs(pct) >= 0.1 GROUP BY ALL) WHERE n >= 5""")
+def follow_or_fade(spark, d):
+    return _rounded(stats.follow_or_fade(stats.revision_pairs(_changes(spark, d))), "unconditional", "p", "half_width")
+
+
+@query(f"SELECT {KMR}, pct, round(z, 6) AS z FROM zed WHERE z IS NOT NULL AND abs(pct) >= 0.5 ORDER BY round(abs(z), 6) DESC, {KMR} LIMIT 25")
+def surprise_top25(spark, d):
+    return _rounded(stats.surprise_top(_changes(spark, d)).select(*KMR_COLS, "pct", "z"), "z", places=6)
+
+
+@query(f"""SELECT {K}, now, round(avg(CAST(pct < now AS DOUBLE)) * 100, 6) AS percentile, count(*) AS n FROM (
+    SELECT {K}, pct AS now, report_month AS latest FROM zed WHERE z IS NOT NULL AND report_month = (SELECT max(report_month) FROM zed WHERE z IS NOT NULL)
+    AND marketing_year = (SELECT coalesce(max(marketing_year) FILTER (year_status = 'projection'), max(marketing_year)) FROM zed
+        WHERE z IS NOT NULL AND report_month = (SELECT max(report_month) FROM zed WHERE z IS NOT NULL)))
+    JOIN (SELECT * FROM zed WHERE z IS NOT NULL) h USING ({K}) WHERE h.report_month <> latest AND h.cal_month = month(latest) GROUP BY ALL""")
+def latest_percentile(spark, d):
+    return _rounded(stats.latest_percentile(_changes(spark, d)), "percentile", places=6)
+
+
+LATEST = "report_month = (SELECT max(report_month) FROM rev) AND marketing_year = (SELECT coalesce(max(marketing_year) FILTER (year_status = 'projection'), max(marketing_year)) FROM rev WHERE report_month = (SELECT max(report_month) FROM rev))"
+
+
+def _latest(changes: DataFrame) -> DataFrame:
+    """Rows of the latest report for its newest projected marketing year; both are one-row aggregates."""
+    last = changes.agg(F.max("report_month").alias("report_month"))
+    lat = changes.join(F.broadcast(last), "report_month")
+    target = lat.agg(F.coalesce(F.max(F.when(F.col("year_status") == "projection", F.col("marketing_year"))), F.max("marketing_year")).alias("marketing_year"))
+    return lat.join(F.broadcast(target), "marketing_year")
+
+
+@query(f"SELECT {KMR}, value, delta, method FROM rev WHERE {LATEST}")
+def latest_cards(spark, d):
+    return _latest(_changes(spark, d)).select(*KMR_COLS, "value", "delta", "method")
+
+
+FLOWS = {"beginning_stocks": 1, "production": 1, "imports": 1, "domestic_total": -1, "exports": -1, "ending_stocks": -1}
+
+
+@query(
+    "SELECT table_slug, commodity, region, "
+    + ", ".join(f"max(delta) FILTER (attribute = '{a}') AS {a}" for a in FLOWS)
+    + ", "
+    + " ".join(f"{'+' if s > 0 else '-'} max(delta) FILTER (attribute = '{a}')" for a, s in FLOWS.items())
+    + f" AS residual FROM rev WHERE {LATEST} GROUP BY ALL HAVING count(delta) FILTER (attribute IN {tuple(FLOWS)}) = 6"
+)
+def waterfall_deltas(spark, d):
+    g = _latest(_changes(spark, d)).where(F.col("attribute").isin(*FLOWS)).groupBy("table_slug", "commodity", "region")
+    w = g.agg(*[F.max(F.when(F.col("attribute") == a, F.col("delta"))).alias(a) for a in FLOWS], F.count("delta").alias("_n")).where("_n = 6").drop("_n")
+    return w.withColumn("residual", sum((F.col(a) * s for a, s in FLOWS.items()), F.lit(0.0)))
+
+
+PULSE = ("production", "exports", "ending_stocks", "farm_price")
+
+
+@query(f"SELECT commodity, region, " + ", ".join(f"max(pct_change) FILTER (attribute = '{a}') * 100 AS {a}" for a in PULSE) + f" FROM rev WHERE {LATEST} GROUP BY ALL")
+def pulse_table(spark, d):
+    p = _latest(_changes(spark, d)).groupBy("commodity", "region").pivot("attribute", list(PULSE)).agg(F.max("pct_change"))
+    return p.select("commodity", "region", *[(F.col(a) * 100).alias(a) for a in PULSE])
+
+
+@query("SELECT table_slug, commodity, count(*) AS n, 'US - ' || upper(commodity[1]) || commodity[2:] AS label, table_slug NOT LIKE 'us_%' AS not_us FROM obs GROUP BY ALL")
+def datasets(spark, d):
+    return dims.datasets(_obs(spark, d))
+
+
+@query("""SELECT table_slug, commodity, region, row_number() OVER (PARTITION BY table_slug, commodity ORDER BY
+    CASE region WHEN 'world' THEN 0 WHEN 'united_states' THEN 1 WHEN 'america' THEN 2 ELSE 3 END, region) AS place FROM (SELECT DISTINCT table_slug, commodity, region FROM obs)""")
+def regions_pinned(spark, d):
+    return dims.regions(_obs(spark, d))
+
+
+ORDER = " ".join(f"WHEN '{a}' THEN {i}" for i, a in enumerate(labels.ATTRIBUTE_ORDER))
+
+
+@query(f"""SELECT *, CAST(CASE attribute {ORDER} ELSE {len(labels.ATTRIBUTE_ORDER)} END AS INTEGER) AS rank FROM (
+    SELECT {K}, arg_max(unit, report_month) FILTER (unit IS NOT NULL) AS unit, min(report_month) AS first_report, max(report_month) AS last_report, count(*) AS n FROM obs GROUP BY ALL
+    UNION ALL SELECT table_slug, commodity, region, 'stocks_to_use', 'ratio', min(report_month), max(report_month), count(*) FROM obs o WHERE attribute = 'ending_stocks'
+      AND EXISTS (SELECT 1 FROM obs u WHERE u.attribute = 'use_total' AND (u.table_slug, u.commodity, u.region) = (o.table_slug, o.commodity, o.region)) GROUP BY ALL)""")
+def attributes_meta(spark, d):
+    return dims.attributes(_obs(spark, d))
+
+
+@query("SELECT DISTINCT table_slug, commodity, region, marketing_year FROM obs")
+def marketing_years(spark, d):
+    return dims.marketing_years(_obs(spark, d))
+
+
+@query("SELECT release_id, report_month, release_datetime, format_era FROM rel WHERE is_latest")
+def release_calendar(spark, d):
+    return dims.release_calendar(_all(spark, d)[1])
+
+
+@query("SELECT CAST(year(report_month) AS INTEGER) AS year, format_era, count(*) AS n FROM rel WHERE is_latest GROUP BY ALL")
+def era_timeline(spark, d):
+    return dims.era_timeline(_all(spark, d)[1])
+
+
+@query("SELECT table_slug, attribute, CAST(year(report_month) AS INTEGER) AS year, count(DISTINCT report_month) AS n_months FROM obs WHERE value IS NOT NULL GROUP BY ALL")
+def attribute_availability(spark, d):
+    return dims.attribute_availability(_obs(spark, d))
+
+
+@query("SELECT qa_status, count(*) AS n FROM obs_all GROUP BY ALL")
+def qa_status_counts(spark, d):
+    return dims.qa_status_counts(_all(spark, d)[0])
+
+
+@query("SELECT release_id, format_era FROM rel WHERE release_id NOT IN (SELECT release_id FROM obs_all)")
+def releases_without_rows(spark, d):
+    obs, releases = _all(spark, d)
+    return dims.releases_without_rows(releases, obs)
+
+
+GROUPS = ", ".join(quality.GROUP)
+DEC = "coalesce(length(rtrim(split_part(printf('%.10f', {0}), '.', 2), '0')), 99)"
+
+
+def _findings(sql: str) -> str:
+    return f"SELECT release_id, table_slug, check_name, severity, detail, observed, expected FROM ({sql})"
+
+
+WIDE = ", ".join(f"max(value) FILTER (attribute = '{a}') AS {a}, count(*) FILTER (attribute = '{a}') > 0 AS has_{a}" for a in ("beginning_stocks", "production", "imports", "supply_total", "domestic_total", "exports", "use_total", "ending_stocks"))
+
+
+def _tol(*parts: str) -> str:
+    d = ", ".join(DEC.format(p) for p in parts)
+    return f"10.0 ** -(CASE WHEN least({d}) = 99 THEN 0 ELSE least({d}) END) * {len(parts) + 1} / 2"
+
+
+IDENTITIES = f"""SELECT release_id, table_slug, check_name, 'fail' AS severity,
+    commodity || '/' || region || ' ' || marketing_year || ' ' || CASE WHEN forecast_month = '' THEN 'base' ELSE forecast_month END AS detail, observed, expected FROM (
+    SELECT *, unnest([
+        CASE WHEN has_supply_total AND has_beginning_stocks AND has_production AND has_imports THEN {{'check_name': 'supply_identity', 'observed': supply_total, 'expected': beginning_stocks + production + imports, 'tol': {_tol('beginning_stocks', 'production', 'imports')}}} END,
+        CASE WHEN has_use_total AND has_domestic_total THEN {{'check_name': 'use_identity', 'observed': use_total, 'expected': CASE WHEN has_exports THEN domestic_total + exports ELSE domestic_total END, 'tol': {_tol('domestic_total', 'exports')}}} END,
+        CASE WHEN has_ending_stocks AND has_supply_total AND has_use_total THEN {{'check_name': 'ending_identity', 'observed': ending_stocks, 'expected': supply_total - use_total, 'tol': {_tol('supply_total', 'use_total')}}} END], recursive := true)
+    FROM (SELECT {GROUPS}, {WIDE} FROM obs_all WHERE qa_status <> 'quarantined' GROUP BY ALL)) WHERE abs(observed - expected) > tol"""
+
+
+@query(_findings(IDENTITIES))
+def qa_identities(spark, d):
+    return quality.check_identities(source.observations(spark, d).where("qa_status <> 'quarantined'"))
+
+
+CONTINUITY = f"""SELECT a.release_id, a.table_slug, 'mom_continuity' AS check_name, 'warn' AS severity,
+    a.commodity || '/' || a.region || ' ' || a.marketing_year || ' ' || a.attribute || ' prior-col(' || a.forecast_month || ')' AS detail, a.value AS observed, b.value AS expected
+    FROM obs a JOIN obs b ON CAST(b.report_month AS DATE) = CAST(a.report_month - INTERVAL 1 MONTH AS DATE) AND b.forecast_month = strftime(b.report_month, '%b') AND a.forecast_month = b.forecast_month
+     AND a.forecast_month <> strftime(a.report_month, '%b') AND (a.table_slug, a.commodity, a.region, a.marketing_year, a.attribute) = (b.table_slug, b.commodity, b.region, b.marketing_year, b.attribute)
+    WHERE a.year_status = 'projection' AND b.year_status = 'projection' AND a.value IS DISTINCT FROM b.value
+     AND (abs(a.value - b.value) > 10.0 ** -least({DEC.format('a.value')}, {DEC.format('b.value')}, 6) * 1.01 OR a.value IS NULL OR b.value IS NULL)"""
+
+
+@query(_findings(CONTINUITY))
+def qa_continuity(spark, d):
+    return quality.check_continuity(*_all(spark, d))
+
+
+PRIORITY = ["us_corn"]
+NONE = "CAST(NULL AS DOUBLE) AS observed, CAST(NULL AS DOUBLE) AS expected"
+COVERAGE = f"""SELECT release_id, '' AS table_slug, 'coverage' AS check_name, 'fail' AS severity, format_era || ' release has no observations' AS detail, {NONE} FROM rel
+    WHERE release_id NOT IN (SELECT release_id FROM obs_all) AND format_era IN ('xml', 'txt')
+    UNION ALL SELECT release_id, '', 'coverage', 'fail', 'no priority-table observations', NULL, NULL FROM obs_all GROUP BY release_id HAVING count(*) FILTER (table_slug IN ('us_corn')) = 0"""
+
+
+@query(_findings(COVERAGE))
+def qa_coverage(spark, d):
+    obs, releases = _all(spark, d)
+    return quality.check_coverage(obs, releases, PRIORITY)
+
+
+def _misses(spark: SparkSession, d: str) -> DataFrame:
+    part = spark.read.parquet(f"{d}/part.parquet").where("p_partkey % 50 = 0")
+    kind = F.when(F.col("p_partkey") % 100 == 0, "unit").otherwise("attribute")
+    return part.select(F.concat(F.lit("report-"), "p_partkey").alias("release_id"), F.lit("us_corn").alias("table_slug"), F.col("p_name").alias("raw_label"), kind.alias("kind"))
+
+
+UNMAPPED = f"""SELECT 'report-' || p_partkey AS release_id, 'us_corn' AS table_slug, 'unmapped_label' AS check_name,
+    CASE WHEN p_partkey % 100 = 0 THEN 'warn' ELSE 'fail' END AS severity, CASE WHEN p_partkey % 100 = 0 THEN 'unit' ELSE 'attribute' END || ': ' || p_name AS detail, {NONE} FROM part WHERE p_partkey % 50 = 0"""
+
+
+@query(_findings(UNMAPPED))
+def qa_unmapped(spark, d):
+    return quality.check_unmapped(_misses(spark, d), PRIORITY)
+
+
+def _other(obs: DataFrame) -> DataFrame:
+    """Another source: the finals of corn in africa, a hundredth higher in even years."""
+    f = vintage.final_values(obs.where("region = 'africa' AND commodity = 'corn'"))
+    up = F.when(F.left("marketing_year", F.lit(4)).cast("int") % 2 == 0, 1.01).otherwise(1.0)
+    return f.select("commodity", "attribute", "marketing_year", (F.col("final_value") * up).alias("value"))
+
+
+ACTUALS = """SELECT commodity, attribute, marketing_year, value, row_number() OVER (PARTITION BY commodity, attribute, marketing_year
+    ORDER BY report_month DESC, release_id, table_slug, region, forecast_month) AS n FROM obs WHERE year_status = 'actual' AND value IS NOT NULL"""
+CROSS = f"""SELECT '(final)' AS release_id, 'us_' || commodity AS table_slug, 'cross_source' AS check_name, 'warn' AS severity, commodity || ' ' || marketing_year || ' ' || attribute AS detail,
+    a.value AS observed, o.value AS expected FROM ({ACTUALS}) a JOIN (
+    SELECT commodity, attribute, marketing_year, final_value * CASE WHEN CAST(left(marketing_year, 4) AS INTEGER) % 2 = 0 THEN 1.01::DOUBLE ELSE 1.0::DOUBLE END AS value FROM fin WHERE region = 'africa' AND commodity = 'corn') o
+    USING (commodity, attribute, marketing_year) WHERE n = 1 AND abs(a.value - o.value) / greatest(abs(o.value), 1e-9) * 100 > 0.5"""
+
+
+@query(_findings(CROSS))
+def qa_cross_source(spark, d):
+    obs = _obs(spark, d)
+    return quality.check_cross_source(obs, _other(obs))
+
+
+VERIFIED = [quality.Verified("supply_identity", detail_prefix="corn/asia"), quality.Verified("mom_continuity", detail_contains="farm_price")]
+
+
+@query(
+    f"""SELECT release_id, table_slug, check_name, CASE WHEN check_name = 'supply_identity' AND starts_with(detail, 'corn/asia') OR check_name = 'mom_continuity' AND contains(detail, 'farm_price')
+    THEN 'whitelisted' ELSE severity END AS severity, detail, observed, expected FROM (
+    {_findings(IDENTITIES)} UNION ALL {_findings(CONTINUITY)} UNION ALL {_findings(COVERAGE)} UNION ALL {_findings(UNMAPPED)} UNION ALL {_findings(CROSS)})"""
+)
+def qa_all_whitelisted(spark, d):
+    all_, releases = _all(spark, d)
+    other = _other(store.observations_latest(all_, releases))
+    # the cross-source check reads the latest releases, the identities all of them
+    parts = [
+        quality.check_identities(all_.where("qa_status <> 'quarantined'")),
+        quality.check_continuity(all_, releases),
+        quality.check_coverage(all_, releases, PRIORITY),
+        quality.check_unmapped(_misses(spark, d), PRIORITY),
+        quality.check_cross_source(store.observations_latest(all_, releases), other),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return quality.apply_whitelist(out, VERIFIED)
+
+
+def _incoming(obs: DataFrame) -> DataFrame:
+    """Rows that overwrite a month, twice over, and rows that are new."""
+    d = obs.where("report_month = DATE '1997-05-01'")
+    first, second = (d.withColumns({"value": F.col("value") + k, "seq": F.lit(k)}) for k in (10, 20))
+    return first.unionByName(second).unionByName(d.withColumns({"release_id": F.lit("report-new"), "seq": F.lit(1)}))
+
+
+KEY = ", ".join(OBSERVATION_KEY)
+
+
+@query(f"""SELECT {KEY}, CASE WHEN report_month = DATE '1997-05-01' THEN value + 20 ELSE value END AS value FROM obs_all
+    UNION ALL SELECT 'report-new', {', '.join(OBSERVATION_KEY[1:])}, value FROM obs_all WHERE report_month = DATE '1997-05-01'""")
+def upsert_merge(spark, d):
+    obs = source.observations(spark, d)
+    return store.upsert(obs, _incoming(obs), list(OBSERVATION_KEY), "seq").select(*OBSERVATION_KEY, "value")
+
+
+@query(f"""SELECT {KEY}, value FROM obs_all WHERE report_month <> DATE '1997-05-01'
+    UNION ALL SELECT {KEY}, value + 20 FROM obs_all WHERE report_month = DATE '1997-05-01' AND attribute = 'exports'""")
+def replace_release(spark, d):
+    obs = source.observations(spark, d)
+    new = _incoming(obs).where("attribute = 'exports' AND release_id <> 'report-new'")
+    return store.replace_release(obs, new, list(OBSERVATION_KEY), "seq").select(*OBSERVATION_KEY, "value")
+
+
+@query(f"SELECT {KEY}, CASE WHEN attribute = 'imports' AND report_month = DATE '1997-06-01' THEN value * 2 ELSE value END AS value FROM obs_all")
+def keyed_update(spark, d):
+    obs = source.observations(spark, d)
+    new = obs.where("attribute = 'imports' AND report_month = DATE '1997-06-01'").withColumn("value", F.col("value") * 2)
+    return store.keyed_update(obs, new, list(OBSERVATION_KEY), ["value"]).select(*OBSERVATION_KEY, "value")
+
+
+@query("SELECT release_id, report_month, version, is_latest FROM rel")
+def latest_winner(spark, d):
+    return _all(spark, d)[1].select("release_id", "report_month", "version", "is_latest")
+
+
+@query(f"SELECT {KMR}, forecast_month, value FROM obs WHERE table_slug = 'us_corn' AND (forecast_month = '' OR forecast_month = strftime(report_month, '%b'))")
+def balance_views(spark, d):
+    return store.balance_view(*_all(spark, d), ["us_corn"]).select(*KMR_COLS, "forecast_month", "value")
+
+
+@query("SELECT 'observations' AS name, count(*) AS n FROM obs_all UNION ALL SELECT 'releases', count(*) FROM rel UNION ALL SELECT 'headline', count(*) FROM head")
+def export_counts(spark, d):
+    obs, releases = _all(spark, d)
+    head = vintage.current_values(store.observations_latest(obs, releases))
+    counts = [f.agg(F.lit(n).alias("name"), F.count("*").alias("n")) for n, f in (("observations", obs), ("releases", releases), ("headline", head))]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+BY = ["release_id", "table_slug", "commodity", "region", "marketing_year", "forecast_month"]
+
+
+@query(f"""SELECT {', '.join(BY)}, coalesce(abs(b + p + i - s) <= 1.6, true) AND coalesce(abs(d + e - u) <= 1.6, true) AND coalesce(abs(s - u - z) <= 1.6, true) AS ok FROM (
+    SELECT {', '.join(BY)}, {', '.join(f"max(value) FILTER (attribute = '{a}') AS {c}" for a, c in (('beginning_stocks', 'b'), ('production', 'p'), ('imports', 'i'), ('supply_total', 's'), ('domestic_total', 'd'), ('exports', 'e'), ('use_total', 'u'), ('ending_stocks', 'z')))}
+    FROM obs_all GROUP BY ALL)""")
+def identities_pass(spark, d):
+    g = balance.column_groups(source.observations(spark, d), BY)
+    return g.select(*BY, balance.identities_pass(g).alias("ok"))
+
+
+@query()
+def identity_repair(spark, d):
+    g = balance.column_groups(source.observations(spark, d), BY)
+    cells = g.select(*BY, F.explode(balance.repair_cells()("commodity", "vals")).alias("c"))
+    return cells.select(*BY, "c.*")
+
+
+@query()
+def reader_arbitration(spark, d):
+    obs = source.observations(spark, d)
+    first = balance.column_groups(obs, BY)
+    misread = F.when((F.col("attribute") == "production") & (F.month("report_month") == 5), F.col("value") + 30).otherwise(F.col("value"))
+    second = balance.column_groups(obs.withColumn("value", misread).where("NOT (attribute = 'imports' AND month(report_month) = 6)"), BY).withColumnRenamed("vals", "vals2")
+    both = first.join(second, BY, "full")
+    return both.select(*BY, F.explode(balance.arbitrate_cells()("commodity", "vals", "vals2")).alias("c")).select(*BY, "c.*")
+
+
+RAW = "n_name || CASE n_nationkey % 4 WHEN 0 THEN ' 2/' WHEN 1 THEN '  :' WHEN 2 THEN ' *' ELSE '.,' END"
+
+
+def _raw(spark: SparkSession, d: str) -> DataFrame:
+    n = spark.read.parquet(f"{d}/nation.parquet")
+    k = F.col("n_nationkey") % 4
+    tail = F.when(k == 0, " 2/").when(k == 1, "  :").when(k == 2, " *").otherwise(".,")
+    return n.select("n_nationkey", F.concat("n_name", tail).alias("raw"))
+
+
+@query("SELECT n_nationkey, lower(n_name) AS label FROM nation")
+def normalize_label(spark, d):
+    return _raw(spark, d).select("n_nationkey", labels.normalize_label(F.col("raw")).alias("label"))
+
+
+@query("SELECT n_nationkey, trim(regexp_replace(lower(n_name), '[^a-z0-9]+', '_', 'g'), '_') AS slug FROM nation")
+def slugify_region(spark, d):
+    return _raw(spark, d).select("n_nationkey", labels.slugify_region(F.col("raw")).alias("slug"))
+
+
+@query("SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN NULL WHEN 1 THEN CAST(p_size + p_size + 1 AS DOUBLE) / 2 ELSE CAST(p_partkey AS DOUBLE) + CASE WHEN p_partkey % 5 = 3 THEN 1000 ELSE 0 END END AS value FROM part")
+def clean_number(spark, d):
+    p = spark.read.parquet(f"{d}/part.parquet")
+    k, key, size = F.col("p_partkey") % 5, F.col("p_partkey"), F.col("p_size")
+    raw = (
+        F.when(k == 0, "--")
+        .when(k == 1, F.concat_ws(" - ", size, size + 1))
+        .when(k == 3, F.format_number(key + 1000, 0))
+        .otherwise(F.concat(key.cast("string"), F.lit(" *")))
+    )
+    return p.select("p_partkey", labels.clean_number(raw).alias("value"))
+
+
+@query("SELECT n_nationkey, CASE WHEN n_regionkey < 3 THEN 'r' || n_regionkey END AS slug FROM nation")
+def alias_resolve(spark, d):
+    aliases = spark.read.parquet(f"{d}/nation.parquet").where("n_regionkey < 3").select(F.lower("n_name").alias("alias"), F.concat(F.lit("r"), "n_regionkey").alias("slug"))
+    return dims.resolve_labels(_raw(spark, d), aliases, "raw", "slug").select("n_nationkey", "slug")
+
+
+@query(f"SELECT 'r' AS release_id, 't' AS table_slug, {RAW} AS raw_label, 'attribute' AS kind FROM nation WHERE n_regionkey >= 3")
+def unmapped_misses(spark, d):
+    known = spark.read.parquet(f"{d}/nation.parquet").where("n_regionkey < 3").select(F.lower("n_name").alias("alias"), F.lit("a").alias("slug"))
+    cells = _raw(spark, d).select(F.lit("r").alias("release_id"), F.lit("t").alias("table_slug"), F.col("raw").alias("raw_attribute"), F.lit("Corn").alias("raw_commodity"), F.lit("Bu").alias("raw_unit"))
+    one = lambda a: spark.createDataFrame([(a, a)], "alias string, slug string")
+    return dims.normalize_cells(cells, known, one("corn"), one("bu"))[1]
+
+
+@query("SELECT CAST(date_trunc('day', ts) AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY ALL")
+def event_ingest_available_now(spark, d):
+    from ..streaming.ingest import daily_counts
+
+    return daily_counts(spark, f"{d}/events.parquet")
