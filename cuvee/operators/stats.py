@@ -7,6 +7,7 @@ import math
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import MY, series_keys
 from .vintage import month_name, months_between
@@ -37,7 +38,7 @@ def wilcoxon_p(n: int, w: float, ties: float) -> float | None:
     return math.erfc(abs(w - n * (n + 1) / 4) / sd / math.sqrt(2)) if sd else None
 
 
-@F.arrow_udf("double")
+@F.arrow_udf(T.DoubleType())
 def _wilcoxon(n: pa.Array, w: pa.Array, ties: pa.Array) -> pa.Array:
     return pa.array([None if a is None or b is None else wilcoxon_p(a, b, c or 0.0) for a, b, c in zip(n.to_pylist(), w.to_pylist(), ties.to_pylist(), strict=True)], pa.float64())
 
