@@ -111,8 +111,7 @@ def measured(docs: DataFrame) -> DataFrame:
         ),
     )
     found = F.transform(_twins(F.col("_near"), lambda x: x["s"]), lambda x: F.array(x["p"], x["p"] + 1, x["p"] + 2))
-    return d.select(
-        *kept,
+    measures = F.struct(
         F.col("_n").cast("long").alias("n_words"),
         "word_chars",
         "n_symbols",
@@ -124,6 +123,8 @@ def measured(docs: DataFrame) -> DataFrame:
         F.size(F.filter("_lines", lambda x: x.rlike(rf"(\.\.\.|…)[{BLANK_CLASS}]*$"))).cast("long").alias("n_ellipsis_lines"),
         F.size(F.filter("_lines", lambda x: x.rlike(rf"^[{BLANK_CLASS}]*[-*•][{BLANK_CLASS}]"))).cast("long").alias("n_bullet_lines"),
     )
+    # filters on generated columns stay above them; pushed into a projection, they would repeat every measure
+    return d.select(*kept, F.inline_outer(F.array(measures)))
 
 
 ADDED = {
@@ -154,6 +155,5 @@ def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 def apply_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``docs`` that every rule and the base tests pass, with the columns of ``docs``."""
     row = F.struct(*[F.col(c) for c in docs.columns]).alias("_row")
-    d = judged(docs.select(F.col("text").alias("text"), row), rules).select("_row", "kept", F.monotonically_increasing_id().alias("_at"))
-    # a filter on a projection that isn't deterministic stays above it; pushed down, it would repeat every measure
-    return d.where("kept AND _at >= 0").select("_row.*")
+    d = judged(docs.select(F.col("text").alias("text"), row), rules)
+    return d.where("kept").select("_row.*")
