@@ -59,6 +59,27 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
 
+def _packed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): texts compressed one by one before they are shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            packed = pa.array([pack(t.as_buffer()) for t in batch.column(1)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), packed], names=["doc_id", "text"])
+
+    return _texts(docs).mapInArrow(run, "doc_id long, text binary")
+
+
+def _unpacked(packed: pa.Array) -> pa.Array:
+    import zstandard
+
+    unpack = zstandard.ZstdDecompressor().decompress
+    return pa.array([unpack(t.as_buffer()) for t in packed], pa.binary()).cast(pa.string())
+
+
 def _grams(docs: DataFrame) -> DataFrame:
     """(doc_id, sequence, mins) of documents with a window and an id."""
 
@@ -117,7 +138,7 @@ def _cut(docs: DataFrame, wanted: DataFrame, shards: int, single: bool) -> DataF
         for batch in batches:
             ids = batch.column(0).to_numpy()
             found: dict[tuple[int, int, bytes], tuple[list[int], list[int]]] = {}
-            for a, b, data, offsets in hasher.pieces(batch.column(1)):
+            for a, b, data, offsets in hasher.pieces(_unpacked(batch.column(1))):
                 words, first_byte, end_byte, begin = hasher.words(data, offsets)
                 for i in range(b - a):
                     w = words[begin[i] : begin[i + 1]]
@@ -148,7 +169,7 @@ def _cut(docs: DataFrame, wanted: DataFrame, shards: int, single: bool) -> DataF
                     names=["shard", "n", "content", "docs", "places"],
                 )
 
-    return _texts(docs).join(wanted, "doc_id").select("doc_id", "text", "ms").mapInArrow(run, STRETCH)
+    return _packed(docs).join(wanted, "doc_id").select("doc_id", "text", "ms").mapInArrow(run, STRETCH)
 
 
 def _hashed(contents: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -259,13 +280,13 @@ def _single_hits(table: pa.Table) -> pa.Table:
 def removed(docs: DataFrame, shard: int = SHARD, hot: int = HOT) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, n_removed, kept (the words left, joined by one space)."""
     spans = repeated(docs, shard, hot).groupBy("doc_id").agg(F.collect_list("b").alias("bs"), F.collect_list("e").alias("es"))
-    d = _texts(docs).join(spans, "doc_id", "left").select("doc_id", "text", "bs", "es")
+    d = _packed(docs).join(spans, "doc_id", "left").select("doc_id", "text", "bs", "es")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
         for batch in batches:
             n_words, n_removed, kept = [], [], []
-            for a, b, data, offsets in hasher.pieces(batch.column(1)):
+            for a, b, data, offsets in hasher.pieces(_unpacked(batch.column(1))):
                 _, first_byte, end_byte, begin = hasher.words(data, offsets)
                 raw = data.tobytes()
                 for i in range(b - a):
