@@ -130,6 +130,40 @@ def momentum_ols(pairs: DataFrame, eps: float = 0.1, least: int = 10) -> DataFra
     return g.where(F.col("n") >= least).select(*keys, "n", "slope", (F.col("_y") - F.col("slope") * F.col("_x")).alias("intercept"), "same_sign")
 
 
+def t_tail(t: float, df: int) -> float:
+    """Two-sided tail of Student's t: the regularized incomplete beta function as a continued fraction (Lentz)."""
+    x, a, b = df / (df + t * t), df / 2, 0.5
+    swap = x > (a + 1) / (a + b + 2)
+    if swap:
+        x, a, b = 1 - x, b, a
+    if x <= 0:
+        return 1.0 if swap else 0.0
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) / a
+    tiny = 1e-300
+    d = 1 / ((1 - (a + b) * x / (a + 1)) or tiny)
+    c, h = 1.0, d
+    for m in range(1, 300):
+        for num in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+            d, c = 1 / ((1 + num * d) or tiny), (1 + num / c) or tiny
+            h *= c * d
+        if abs(c * d - 1) < 1e-14:
+            break
+    return 1 - front * h if swap else front * h
+
+
+@F.arrow_udf(T.DoubleType())
+def _slope_p(n: pa.Array, r2: pa.Array) -> pa.Array:
+    out = [None if r is None or k < 3 else 0.0 if r >= 1 else t_tail(math.sqrt(r * (k - 2) / (1 - r)), k - 2) for k, r in zip(n.to_pylist(), r2.to_pylist(), strict=True)]
+    return pa.array(out, pa.float64())
+
+
+def momentum_p(pairs: DataFrame, eps: float = 0.1, least: int = 10) -> DataFrame:
+    """p-value of the slope of ``momentum_ols`` against zero, by series."""
+    keys = series_keys(pairs)
+    g = pairs.where(F.abs("pct") >= eps).groupBy(keys).agg(F.count("*").cast("int").alias("n"), _correlation("pct", "pct_next").alias("r"))
+    return g.where(F.col("n") >= least).select(*keys, _slope_p("n", F.col("r") * F.col("r")).alias("p_value"))
+
+
 def average_rank(by: list[str], x: str) -> Column:
     return F.rank().over(Window.partitionBy(by).orderBy(x)) + (F.count("*").over(Window.partitionBy(*by, x)) - 1) / F.lit(2.0)
 

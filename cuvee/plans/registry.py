@@ -286,6 +286,11 @@ def momentum_ols(spark, d):
     return _rounded(_rounded(stats.momentum_ols(stats.revision_pairs(_changes(spark, d))), "slope", "intercept", places=6), "same_sign")
 
 
+@query()
+def momentum_p_value(spark, d):
+    return stats.momentum_p(stats.revision_pairs(_changes(spark, d)))
+
+
 @query(f"""SELECT {K}, count(*) AS n, round(corr(a, b), 6) AS rho FROM (
     SELECT {K}, rank() OVER (PARTITION BY {K} ORDER BY pct) + (count(*) OVER (PARTITION BY {K}, pct) - 1) / 2.0 AS a,
            rank() OVER (PARTITION BY {K} ORDER BY pct_next) + (count(*) OVER (PARTITION BY {K}, pct_next) - 1) / 2.0 AS b

@@ -240,6 +240,51 @@ def test_stream_ingests_each_file_once(spark, tmp_path):
         assert spark.read.schema("id long").parquet(f"{base}/table").count() == want
 
 
+def test_t_tail():
+    from cuvee.operators.stats import t_tail
+
+    # closed forms: one degree of freedom is Cauchy, two are algebraic
+    for t in (0.1, 0.7, 2.0, 12.7, 80.0):
+        assert t_tail(t, 1) == pytest.approx(1 - 2 * math.atan(t) / math.pi, rel=1e-9)
+        assert t_tail(t, 2) == pytest.approx(1 - t / math.sqrt(2 + t * t), rel=1e-7)
+    assert t_tail(1.96, 100_000) == pytest.approx(0.05, abs=1e-4) and t_tail(0.0, 5) == 1.0
+
+
+def test_workbook_sheets(spark):
+    from cuvee.sources import workbook as w
+
+    names = spark.createDataFrame([("Exports", "exports"), ("Ending Stocks", "ending_stocks")], "alias string, slug string")
+    corn = spark.createDataFrame([("Exports 1/", "1,200", "NA"), ("Unknown", "1", "2"), ("Ending stocks", "5", "6.5")], "item string, `72/73` string, `99/00` string")
+    got = {(r.attribute, r.marketing_year): r.value for r in w.attributes_by_row(corn, "item", names, "corn").collect()}
+    assert got == {("exports", "2072/73"): 1200.0, ("ending_stocks", "2072/73"): 5.0, ("ending_stocks", "1999/00"): 6.5}
+    soy = spark.createDataFrame([("1999", 7.0), ("note", 8.0)], "year string, exports double")
+    assert [tuple(r) for r in w.years_by_row(soy, "year", names, "soybeans").collect()] == [("soybeans", "exports", "1999/00", 7.0)]
+
+
+def test_update_run(spark, tmp_path):
+    from cuvee.operators import store
+    from cuvee.schemas import OBSERVATION
+    from cuvee.streaming.update import run
+
+    base = f"file://{tmp_path}"
+
+    def land(release, version, value):
+        row = {f.name: "x" for f in OBSERVATION if f.dataType.simpleString() == "string"} | {"release_id": release, "report_month": day("2026-05-01"), "value": value, "parsed_at": None, "fetched_at": None}
+        d = spark.createDataFrame([tuple(row[n] for n in OBSERVATION.names)], OBSERVATION)
+        d = d.select("*", F.lit(version).alias("version"), F.lit("2026-05-12").cast("timestamp").alias("release_datetime"), F.lit("xml").alias("format_era"))
+        d.coalesce(1).write.mode("append").parquet(f"{base}/landing")
+
+    go = lambda: run(spark, f"{base}/landing", f"{base}/store", f"{base}/checkpoint")
+    land("r1", 1, 1.0)
+    assert go() == 1 and go() == 0
+    land("r1-v2", 2, 2.0)
+    land("r1", 1, 3.0)
+    assert go() == 1
+    rel = {r.release_id: r.is_latest for r in store.current(spark, f"{base}/store/releases").collect()}
+    assert rel == {"r1": False, "r1-v2": True}
+    assert {(r.release_id, r.value) for r in store.current(spark, f"{base}/store/observations").collect()} == {("r1", 3.0), ("r1-v2", 2.0)}
+
+
 def test_queries_match_their_sql(spark):
     """A few queries end to end against DuckDB on the smallest tables."""
     import os
