@@ -227,6 +227,43 @@ def test_xml_reports(spark):
     }
 
 
+RULE = "=" * 60
+TEXT = f"""
+                 U.S. Corn Supply and Use  1/
+                   (Million Bushels)
+{RULE}
+                      :  2003/04 :  2004/05  :   2005/06 Projections
+      Item            :          :   Est.    :     May        June
+{RULE}
+CORN                  :
+                      :      Million bushels
+Beginning stocks      :    1,087        958        2,215      2,115
+Yield per harvested   :
+ acre                 :    142.2      160.4        148.0      148.0
+Exports           2/  :    1,897 3    1,800        1,850      1,850
+CCC inventory         :                                         1
+Avg. price ($/bu)     :     2.42    1.95- 2.15    1.60 -     1.55 -
+                      :                           2.00       1.95
+{RULE}
+Note: nothing here : 1 2 3 4
+{RULE}
+"""
+
+
+def test_text_reports(spark):
+    from cuvee.sources.text_reports import cells
+
+    files = spark.createDataFrame([("r", day("2005-06-01"), TEXT)], "release_id string, report_month date, text string")
+    specs = spark.createDataFrame([("us_corn", "(?i)U\\.S\\. Corn", 1, "united_states", "corn"), ("any", "Supply", 2, "x", "y")], "slug string, pattern string, place int, region string, commodity string")
+    sections = spark.createDataFrame([("corn", "corn")], "alias string, slug string")
+    got = {(r.raw_attribute, r.marketing_year, r.forecast_month): (r.value, r.year_status, r.raw_unit, r.table_slug) for r in cells(files, specs, sections).collect()}
+    at = lambda a: [got.get((a, *c), (None,))[0] for c in (("2003/04", ""), ("2004/05", ""), ("2005/06", "May"), ("2005/06", "Jun"))]
+    assert at("Beginning stocks") == [1087.0, 958.0, 2215.0, 2115.0] and at("Yield per harvested acre") == [142.2, 160.4, 148.0, 148.0]
+    assert at("Exports 2/") == [1897.0, 1800.0, 1850.0, 1850.0] and at("CCC inventory") == [None, None, None, 1.0]
+    assert at("Avg. price ($/bu)") == [2.42, pytest.approx(2.05), pytest.approx(1.8), pytest.approx(1.75)]
+    assert got[("Exports 2/", "2004/05", "")][1:] == ("estimate", "Million bushels", "us_corn") and len(got) == 17
+
+
 def test_stream_ingests_each_file_once(spark, tmp_path):
     from cuvee.streaming.ingest import ingest
 
