@@ -11,6 +11,7 @@ from ..functions import labels
 from ..operators import balance, dims, quality, stats, store, vintage
 from ..schemas import OBSERVATION_KEY
 from ..sources import tpch_vintage as source
+from ..streaming.ingest import daily_counts, shared
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -79,9 +80,20 @@ def query(sql: str | None = None):
     return add
 
 
+_EXPORTS: dict[tuple[str, str], str] = {}
+
+
 def _all(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    obs = source.observations(spark, d)
-    return obs, store.latest_winner(source.releases(spark, d), obs)
+    """Observations and releases with winners, as the store exports them: written once a session and data folder into
+    the shared folder, read by every query."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _EXPORTS:
+        base = shared(spark)
+        source.observations(spark, d).write.parquet(f"{base}/observations")
+        winners = store.latest_winner(source.releases(spark, d), spark.read.parquet(f"{base}/observations"))
+        winners.write.parquet(f"{base}/releases")
+        _EXPORTS[key] = base
+    return spark.read.parquet(f"{_EXPORTS[key]}/observations"), spark.read.parquet(f"{_EXPORTS[key]}/releases")
 
 
 def _obs(spark: SparkSession, d: str) -> DataFrame:
@@ -448,7 +460,7 @@ IDENTITIES = f"""SELECT release_id, table_slug, check_name, 'fail' AS severity,
 
 @query(_findings(IDENTITIES))
 def qa_identities(spark, d):
-    return quality.check_identities(source.observations(spark, d).where("qa_status <> 'quarantined'"))
+    return quality.check_identities(_all(spark, d)[0].where("qa_status <> 'quarantined'"))
 
 
 CONTINUITY = f"""SELECT a.release_id, a.table_slug, 'mom_continuity' AS check_name, 'warn' AS severity,
@@ -551,21 +563,21 @@ KEY = ", ".join(OBSERVATION_KEY)
 @query(f"""SELECT {KEY}, CASE WHEN report_month = DATE '1997-05-01' THEN value + 20 ELSE value END AS value FROM obs_all
     UNION ALL SELECT 'report-new', {', '.join(OBSERVATION_KEY[1:])}, value FROM obs_all WHERE report_month = DATE '1997-05-01'""")
 def upsert_merge(spark, d):
-    obs = source.observations(spark, d)
+    obs = _all(spark, d)[0]
     return store.upsert(obs, _incoming(obs), list(OBSERVATION_KEY), "seq").select(*OBSERVATION_KEY, "value")
 
 
 @query(f"""SELECT {KEY}, value FROM obs_all WHERE report_month <> DATE '1997-05-01'
     UNION ALL SELECT {KEY}, value + 20 FROM obs_all WHERE report_month = DATE '1997-05-01' AND attribute = 'exports'""")
 def replace_release(spark, d):
-    obs = source.observations(spark, d)
+    obs = _all(spark, d)[0]
     new = _incoming(obs).where("attribute = 'exports' AND release_id <> 'report-new'")
     return store.replace_release(obs, new, list(OBSERVATION_KEY), "seq").select(*OBSERVATION_KEY, "value")
 
 
 @query(f"SELECT {KEY}, CASE WHEN attribute = 'imports' AND report_month = DATE '1997-06-01' THEN value * 2 ELSE value END AS value FROM obs_all")
 def keyed_update(spark, d):
-    obs = source.observations(spark, d)
+    obs = _all(spark, d)[0]
     new = obs.where("attribute = 'imports' AND report_month = DATE '1997-06-01'").withColumn("value", F.col("value") * 2)
     return store.keyed_update(obs, new, list(OBSERVATION_KEY), ["value"]).select(*OBSERVATION_KEY, "value")
 
@@ -595,20 +607,20 @@ BY = ["release_id", "table_slug", "commodity", "region", "marketing_year", "fore
     SELECT {', '.join(BY)}, {', '.join(f"max(value) FILTER (attribute = '{a}') AS {c}" for a, c in (('beginning_stocks', 'b'), ('production', 'p'), ('imports', 'i'), ('supply_total', 's'), ('domestic_total', 'd'), ('exports', 'e'), ('use_total', 'u'), ('ending_stocks', 'z')))}
     FROM obs_all GROUP BY ALL)""")
 def identities_pass(spark, d):
-    g = balance.column_groups(source.observations(spark, d), BY)
+    g = balance.column_groups(_all(spark, d)[0], BY)
     return g.select(*BY, balance.identities_pass(g).alias("ok"))
 
 
 @query()
 def identity_repair(spark, d):
-    g = balance.column_groups(source.observations(spark, d), BY)
+    g = balance.column_groups(_all(spark, d)[0], BY)
     cells = g.select(*BY, F.explode(balance.repair_cells()("commodity", "vals")).alias("c"))
     return cells.select(*BY, "c.*")
 
 
 @query()
 def reader_arbitration(spark, d):
-    obs = source.observations(spark, d)
+    obs = _all(spark, d)[0]
     first = balance.column_groups(obs, BY)
     misread = F.when((F.col("attribute") == "production") & (F.month("report_month") == 5), F.col("value") + 30).otherwise(F.col("value"))
     second = balance.column_groups(obs.withColumn("value", misread).where("NOT (attribute = 'imports' AND month(report_month) = 6)"), BY).withColumnRenamed("vals", "vals2")
@@ -665,6 +677,4 @@ def unmapped_misses(spark, d):
 
 @query("SELECT CAST(date_trunc('day', ts) AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY ALL")
 def event_ingest_available_now(spark, d):
-    from ..streaming.ingest import daily_counts
-
     return daily_counts(spark, f"{d}/events.parquet")
