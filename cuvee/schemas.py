@@ -26,7 +26,7 @@ OBSERVATION = _schema(
 )
 OBSERVATION_KEY = ("release_id", "table_slug", "region", "commodity", "attribute", "marketing_year", "forecast_month")
 RELEASE = _schema(
-    "release_id string, esmis_id string, title string, release_datetime timestamp, report_month date, version int, "
+    "release_id string, catalog_id string, title string, release_datetime timestamp, report_month date, version int, "
     "is_latest boolean, format_era string, fetched_at timestamp"
 )
 EXCEPTION = _schema(

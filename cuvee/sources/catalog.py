@@ -27,7 +27,7 @@ def releases(pages: DataFrame, prefix: str = "report") -> DataFrame:
     d = d.withColumn("_n", F.row_number().over(first)).where("_n = 1").select("r.*")
     versions = F.transform("files", lambda f: F.nullif(F.regexp_extract(f, r"(?i)v([0-9]+)\.[a-z]+$", 1), F.lit("")).cast("int"))
     d = d.select(
-        F.col("id").alias("esmis_id"), "title", F.try_to_timestamp(F.left("release_datetime", F.lit(19)), F.lit("yyyy-MM-dd'T'HH:mm:ss")).alias("release_datetime"),
+        F.col("id").alias("catalog_id"), "title", F.try_to_timestamp(F.left("release_datetime", F.lit(19)), F.lit("yyyy-MM-dd'T'HH:mm:ss")).alias("release_datetime"),
         "files", F.coalesce(F.array_max(versions), F.lit(1)).alias("version"),
     )
     era = F.lit(None).cast("string")

@@ -183,7 +183,7 @@ def test_catalog(spark, tmp_path):
     for k, results in enumerate(pages):
         (tmp_path / f"p{k}.json").write_text(json.dumps({"pager": {"current_page": k, "items_per_page": 2, "total_pages": 2, "total_results": 4}, "results": results}))
     rel = catalog.releases(catalog.read_pages(spark, str(tmp_path)))
-    got = {r.esmis_id: (r.release_id, r.version, r.format_era, str(r.report_month)) for r in rel.collect()}
+    got = {r.catalog_id: (r.release_id, r.version, r.format_era, str(r.report_month)) for r in rel.collect()}
     assert got == {
         "1": ("report-2026-05-12-v2", 2, "xml", "2026-05-01"), "2": ("report-2026-05-11", 1, "txt", "2026-05-01"),
         "3": ("report-1985-06-01", 1, "pdf_scan", "1985-06-01"), "4": ("report-1990-01-01", 1, "unknown", "1990-01-01"),
@@ -191,7 +191,7 @@ def test_catalog(spark, tmp_path):
     assert {r.release_id for r in catalog.latest_ids(rel).collect()} >= {"report-2026-05-12-v2", "report-1985-06-01"}
     plan = {r.url[len(url) :]: (r.target, r.is_canonical) for r in catalog.archive_plan(rel, r"report\d{4}(v\d+)?").collect()}
     assert plan["report0526.txt"] == ("2026-05/report-2026-05-11.txt", True) and plan["extra.txt"] == ("2026-05/report-2026-05-11__extra.txt", False)
-    assert rel.where("esmis_id = '1'").select(catalog.file_for("xml").alias("f")).first().f.endswith("v2.xml")
+    assert rel.where("catalog_id = '1'").select(catalog.file_for("xml").alias("f")).first().f.endswith("v2.xml")
 
 
 def test_scanned_pages(spark):
