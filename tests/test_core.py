@@ -227,6 +227,45 @@ def test_xml_reports(spark):
     }
 
 
+def test_xml_tables_prove_themselves(spark):
+    from cuvee.sources import xml_report as x
+
+    def report(n, title, *matrices, sub=""):
+        return f'<Report Name="sr{n}" sub_report_title="{title}" sub_report_subtitle="{sub}">' + "".join(f"<matrix{k}>{m}</matrix{k}>" for k, m in enumerate(matrices, 1)) + "</Report>"
+
+    def rows(unit, *names):
+        u = f'<u m1_unit_descr1="{unit}"/>' if unit else ""
+        return u + "".join(f'<g attribute1="{n}"><h market_year1="2024/25"><Cell cell_value1="5"/></h></g>' for n in names)
+
+    world = '<r region_header1="World 2/"><g attribute1="Output"><h commodity_header2="2023/24 Est."><Cell cell_value1="7"/></h></g><g attribute_group1="Soft" attribute1="Trade"><h market_year1="2024/25"><Cell cell_value1="8"/></h></g></r>'
+    files = {
+        "good": report(1, "Corn", rows("Metric Tons", "Exports"), rows("Million Bushels", "Exports", "Farm Price ($/bu)")) + report(2, "World", world, sub="(Million Tons)") + report(3, "Eggs", rows("", "x")) + report(4, "Other", rows("", "y")),
+        "backup": report(1, "Corn", rows("Metric Tons", "Exports"), rows("Metric Tons", "Exports", "Farm Price ($/bu)", "Season Price")),
+        "unproven": report(1, "Corn", rows("Metric Tons", "Exports"), rows("Million Bushels", "Exports")) + report(2, "World", world),
+        "swapped": report(1, "Corn", rows("Metric Tons", "Farm Price ($/bu)")),
+        "wrong unit": report(1, "Corn", rows("Bushels", "Exports")),
+        "many": report(1, "Corn", *[rows("Metric Tons", "Exports")] * 3),
+    }
+    d = spark.createDataFrame([(k, bytearray(f"<Root>{v}</Root>".encode())) for k, v in files.items()], "path string, content binary")
+    first = {"commodity": "feed", "unit_has": "metric tons", "has_not": "Farm Price"}
+    second = {"commodity": "corn", "unit_has": "Bushels", "has": "farm price ($/bu)", "area": "Acres", "yield": "Bushels", "quantity": "Million Bushels"}
+    schema = f"slug string, pattern string, place int, region string, commodity string, skip boolean, price_unit string, matrices array<{x.MATRIX}>"
+    fill = lambda m: {k: m.get(k) for k in ("commodity", "unit", "unit_has", "has", "has_not", "area", "yield", "quantity")}
+    tables = spark.createDataFrame([("corn", "^Corn", 1, "us", None, False, "each", [fill(first), fill(second)]), ("world", "^World", 2, "world", "wheat", None, None, None), ("eggs", "Eggs", 3, "us", "eggs", True, None, None)], schema)
+    raw = x.raw_cells(d).cache()
+    problems = {(r.file, r.matrix): r.problem for r in x.structure_errors(raw, tables).collect()}
+    assert problems == {("unproven", 1): "attribute absent", ("swapped", 0): "forbidden attribute", ("wrong unit", 0): "other quantity unit", **{("many", k): "more matrices than known" for k in range(3)}}
+    got = {(r.file, r.table_slug, r.raw_commodity, r.raw_attribute): (r.region, r.marketing_year, r.year_status, r.value, r.raw_unit) for r in x.cells(raw, tables).collect()}
+    us = ("us", "2024/25", "actual", 5.0)
+    assert got == {
+        ("good", "corn", "feed", "Exports"): (*us, "Metric Tons"), ("good", "corn", "corn", "Exports"): (*us, "Million Bushels"), ("good", "corn", "corn", "Farm Price ($/bu)"): (*us, "$/bu"),
+        ("good", "world", "wheat", "Output"): ("world", "2023/24", "estimate", 7.0, "Million Tons"), ("good", "world", "Soft", "Trade"): ("world", "2024/25", "actual", 8.0, "Million Tons"),
+        ("backup", "corn", "feed", "Exports"): (*us, "Metric Tons"), ("backup", "corn", "corn", "Exports"): (*us, "Million Bushels"), ("backup", "corn", "corn", "Farm Price ($/bu)"): (*us, "$/bu"),
+        ("backup", "corn", "corn", "Season Price"): (*us, "each"),
+    }
+    assert {(r.title, r.kind) for r in x.unread_tables(raw, tables).collect()} == {("Eggs", "skipped"), ("Other", "unknown")}
+
+
 RULE = "=" * 60
 TEXT = f"""
                  U.S. Corn Supply and Use  1/
