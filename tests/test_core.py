@@ -303,6 +303,77 @@ def test_text_reports(spark):
     assert got[("Exports 2/", "2004/05", "")][1:] == ("estimate", "Million bushels", "us_corn") and len(got) == 17
 
 
+WORLD = f"""
+                World Corn Supply and Use  1/
+                   (Million Metric Tons)
+{RULE}
+                 :        Supply        :    Use     : Ending
+    Region       :----------------------------------- : stocks
+                 :Beginning: Production : Exports    :
+                 :  stocks :            :            :
+{RULE}
+                 :            2003/04
+                 :
+World 2/         :   126.94     624.81       77.04     101.82
+  Brazil  3/     :     0.61      42.00        5.00       NA
+                 :            2005/06 (Projected)
+Argentina     May:     1.00      20.00       13.00       0.90
+              Jun:     1.10      20.50       13.50       0.95
+South Africa     :
+            May  :     2.00                              2.50
+            Sept :     2.10       8.00        1.00       2.60
+Mexico           :     3.00      21.00        0.01       3.20
+{RULE}
+Note: World 9/   :     9.00       9.00        9.00       9.00
+"""
+
+
+def test_world_text_reports(spark):
+    from cuvee.sources import text_reports as t
+
+    fewer = WORLD.replace("World Corn", "World Rice").replace("Exports", "Shipped")
+    files = spark.createDataFrame([("r", day("2005-06-01"), WORLD + TEXT), ("s", day("2005-06-01"), fewer + WORLD.replace("World Corn", "World Tea"))], "release_id string, report_month date, text string")
+    four, spec = ["beginning_stocks", "production", "exports", "ending_stocks"], "slug string, pattern string, place int, region string, commodity string, columns array<string>, skip boolean"
+    specs = spark.createDataFrame([("world_corn", "World Corn", 1, "world", "corn", four, None), ("world_rice", "World Rice", 2, "world", "rice", four, False), ("us_corn", "U.S. Corn", 3, "united_states", "corn", None, None)], spec)
+    sections = spark.createDataFrame([("corn", "corn")], "alias string, slug string")
+    all_ = t.cells(files, specs, sections).collect()
+    assert sum(r.table_slug == "us_corn" for r in all_) == 17 and {r.release_id for r in all_} == {"r"}
+    got = {}
+    for r in all_:
+        if r.table_slug == "world_corn":
+            got.setdefault((r.region, r.marketing_year, r.year_status, r.forecast_month), {})[r.raw_attribute] = r.value
+            assert r.raw_unit == "Million Metric Tons" and r.commodity == "corn"
+    row = lambda *v: {a: x for a, x in zip(four, v, strict=True) if x != "-"}
+    assert got == {
+        ("world", "2003/04", "actual", ""): row(126.94, 624.81, 77.04, 101.82), ("brazil", "2003/04", "actual", ""): row(0.61, 42.0, 5.0, None),
+        ("argentina", "2005/06", "projection", "May"): row(1.0, 20.0, 13.0, 0.9), ("argentina", "2005/06", "projection", "Jun"): row(1.1, 20.5, 13.5, 0.95),
+        ("south_africa", "2005/06", "projection", "May"): row(2.0, "-", "-", 2.5), ("south_africa", "2005/06", "projection", "Sep"): row(2.1, 8.0, 1.0, 2.6),
+        ("mexico", "2005/06", "projection", "Jun"): row(3.0, 21.0, 0.01, 3.2),
+    }
+    assert [tuple(r) for r in t.structure_errors(files, specs).collect()] == [("s", "world_rice", "header lacks expor")]
+    assert [tuple(r) for r in t.unknown_tables(files, specs).collect()] == [("s", "World Tea Supply and Use 1/")]
+
+
+def test_landed_files(spark, tmp_path):
+    import hashlib
+    import zipfile
+
+    from cuvee.sources.landed import damaged, texts
+
+    (tmp_path / "a.txt").write_bytes(b"good \xff end")
+    (tmp_path / "empty.txt").write_bytes(b"")
+    (tmp_path / "bad.zip").write_bytes(b"no archive")
+    for name, members in (("b.zip", {"x.csv": "1", "Y.TXT": "in zip", "z.txt": "later"}), ("c.zip", {"x.csv": "1"})):
+        with zipfile.ZipFile(tmp_path / name, "w") as z:
+            for m, c in members.items():
+                z.writestr(m, c)
+    got = {r.path.rpartition("/")[2]: r.text for r in texts(spark, f"file://{tmp_path}").collect()}
+    assert got == {"a.txt": "good \ufffd end", "bad.zip": None, "b.zip": "in zip", "c.zip": None}
+    path, sha = f"file:{tmp_path}/", lambda b: hashlib.sha256(b).hexdigest()
+    manifest = spark.createDataFrame([(path + "a.txt", sha(b"good \xff end")), (path + "empty.txt", sha(b"")), (path + "c.zip", sha(b"x")), (path + "gone.txt", sha(b""))], "path string, sha256 string")
+    assert {tuple(r) for r in damaged(spark, f"file://{tmp_path}", manifest).collect()} == {(path + "c.zip", "changed"), (path + "empty.txt", "missing"), (path + "gone.txt", "missing")}
+
+
 def test_stream_ingests_each_file_once(spark, tmp_path):
     from cuvee.streaming.ingest import ingest
 
