@@ -125,7 +125,7 @@ def _world_headers(lines: DataFrame, tables: DataFrame) -> DataFrame:
     at = F.transform(places(F.col("leaf"), ":"), lambda p: p["start"])
     g = g.withColumn("at", at).withColumn("label_end", F.get("at", F.lit(0)))
     gaps = F.zip_with(F.slice("at", F.lit(1), F.greatest(F.size("at") - 1, F.lit(0))), F.slice("at", F.lit(2), F.size("at")), lambda a, b: F.floor((a + b) / 2).cast("int"))
-    last = F.when(F.col("behind"), F.array(F.element_at("at", -1) + 5)).otherwise(F.array().cast("array<int>"))
+    last = F.when(F.col("behind"), F.array(F.try_element_at("at", F.lit(-1)) + 5)).otherwise(F.array().cast("array<int>"))
     g = g.withColumn("anchors", F.when(F.size("at") > 0, F.concat(gaps, last)).otherwise(F.array().cast("array<int>")))
     problem = F.when(F.size("anchors") != F.size("columns"), "other number of columns")
     for word in HEADER_WORDS:
