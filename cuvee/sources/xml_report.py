@@ -47,10 +47,15 @@ def _meaning(key: str, value: str) -> str | None:
 
 
 def _cells(file: str, content: bytes) -> Iterator[tuple]:
-    """One row a cell value: its report, matrix, and the attributes met on the way down."""
+    """One row a cell value: its report, matrix, and the attributes met on the way down. A file that isn't XML has one row
+    without a title."""
     from xml.etree import ElementTree
 
-    root = ElementTree.fromstring(content)
+    try:
+        root = ElementTree.fromstring(content)
+    except (ElementTree.ParseError, LookupError, ValueError):  # the latter two: encodings that are unknown or don't hold
+        yield file, None, None, None, 0, None, [], {}, {}, None
+        return
     for el in root.iter():
         el.tag = el.tag.rpartition("}")[2]
     for report in root.iter("Report"):
@@ -127,15 +132,16 @@ def _of_table(raw: DataFrame, tables: DataFrame) -> DataFrame:
 def structure_errors(raw: DataFrame, tables: DataFrame) -> DataFrame:
     """(file, table_slug, matrix, problem): matrices that don't prove what their position promises. ``cells`` gives
     nothing of such a file, since a wrong commodity is worse than none."""
-    d = _of_table(raw, tables).where("problem IS NOT NULL")
-    return d.select("file", F.col("t.slug").alias("table_slug"), "matrix", "problem").distinct()
+    d = _of_table(raw, tables).where("problem IS NOT NULL").select("file", F.col("t.slug").alias("table_slug"), "matrix", "problem")
+    bad = raw.where("title IS NULL").select("file", F.lit(None).cast("string").alias("table_slug"), "matrix", F.lit("not XML").alias("problem"))
+    return d.unionByName(bad).distinct()
 
 
 def unread_tables(raw: DataFrame, tables: DataFrame) -> DataFrame:
     """(file, title, kind): titles that no table lists (unknown) or that a table skips (skipped)."""
     known = _of_table(raw, tables).where("t.skip").select("file", "title", F.lit("skipped").alias("kind"))
     patterns = tables.select("pattern")
-    rest = raw.select("file", "title").distinct().join(F.broadcast(patterns), F.expr("regexp_like(title, pattern)"), "left_anti")
+    rest = raw.where("title IS NOT NULL").select("file", "title").distinct().join(F.broadcast(patterns), F.expr("regexp_like(title, pattern)"), "left_anti")
     return known.distinct().unionByName(rest.withColumn("kind", F.lit("unknown")))
 
 

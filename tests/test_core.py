@@ -245,8 +245,9 @@ def test_xml_tables_prove_themselves(spark):
         "swapped": report(1, "Corn", rows("Metric Tons", "Farm Price ($/bu)")),
         "wrong unit": report(1, "Corn", rows("Bushels", "Exports")),
         "many": report(1, "Corn", *[rows("Metric Tons", "Exports")] * 3),
+        "broken": "<Report>",
     }
-    d = spark.createDataFrame([(k, bytearray(f"<Root>{v}</Root>".encode())) for k, v in files.items()], "path string, content binary")
+    d = spark.createDataFrame([*((k, bytearray(f"<Root>{v}</Root>".encode())) for k, v in files.items()), ("odd", bytearray(b'<?xml version="1.0" encoding="none"?><a/>'))], "path string, content binary")
     first = {"commodity": "feed", "unit_has": "metric tons", "has_not": "Farm Price"}
     second = {"commodity": "corn", "unit_has": "Bushels", "has": "farm price ($/bu)", "area": "Acres", "yield": "Bushels", "quantity": "Million Bushels"}
     schema = f"slug string, pattern string, place int, region string, commodity string, skip boolean, price_unit string, matrices array<{x.MATRIX}>"
@@ -254,7 +255,7 @@ def test_xml_tables_prove_themselves(spark):
     tables = spark.createDataFrame([("corn", "^Corn", 1, "us", None, False, "each", [fill(first), fill(second)]), ("world", "^World", 2, "world", "wheat", None, None, None), ("eggs", "Eggs", 3, "us", "eggs", True, None, None)], schema)
     raw = x.raw_cells(d).cache()
     problems = {(r.file, r.matrix): r.problem for r in x.structure_errors(raw, tables).collect()}
-    assert problems == {("unproven", 1): "attribute absent", ("swapped", 0): "forbidden attribute", ("wrong unit", 0): "other quantity unit", **{("many", k): "more matrices than known" for k in range(3)}}
+    assert problems == {("unproven", 1): "attribute absent", ("swapped", 0): "forbidden attribute", ("wrong unit", 0): "other quantity unit", **{("many", k): "more matrices than known" for k in range(3)}, ("broken", None): "not XML", ("odd", None): "not XML"}
     got = {(r.file, r.table_slug, r.raw_commodity, r.raw_attribute): (r.region, r.marketing_year, r.year_status, r.value, r.raw_unit) for r in x.cells(raw, tables).collect()}
     us = ("us", "2024/25", "actual", 5.0)
     assert got == {
@@ -433,6 +434,75 @@ def test_update_run(spark, tmp_path):
     assert {(r.release_id, r.value) for r in store.current(spark, f"{base}/store/observations").collect()} == {("r1", 3.0), ("r1-v2", 2.0)}
 
 
+def test_report_run(spark, tmp_path):
+    """Catalog to store: one release by XML, one by archived text, one broken; a corrected file replaces its release."""
+    import zipfile
+
+    from cuvee.operators import store
+    from cuvee.sources import catalog
+    from cuvee.streaming import reports
+
+    base = f"file://{tmp_path}"
+    entry = lambda i, t, *f: {"id": i, "title": "T", "release_datetime": t, "files": [f"https://host/{x}" for x in f]}
+    found = [entry("1", "2026-05-12T12:00:00+0000", "rep0526.xml", "rep0526.txt"), entry("2", "2005-06-10T12:00:00+0000", "rep0605.zip"), entry("3", "2026-04-10T12:00:00+0000", "rep0426.xml"), entry("4", "2005-05-10T12:00:00+0000", "rep0505.zip")]
+    (tmp_path / "page.json").write_text(json.dumps({"pager": {"current_page": 0, "items_per_page": 9, "total_pages": 1, "total_results": 4}, "results": found}))
+    rel = catalog.releases(catalog.read_pages(spark, f"{base}/page.json")).cache()
+    plan = catalog.archive_plan(rel, r"rep\d{4}").cache()
+    target = {r.release_id: r.target for r in plan.where("ext <> 'txt'").collect()}
+
+    def put(release, content, name=None):
+        path = tmp_path / "archive" / target[release]
+        path = path.with_name(name or path.name)
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(content)
+
+    def packed(member, text):
+        import io
+
+        z = io.BytesIO()
+        with zipfile.ZipFile(z, "w") as out:
+            out.writestr(member, text)
+        return z.getvalue()
+
+    xml, text = "report-2026-05-12", "report-2005-06-10"
+    put(xml, XML.encode())
+    put(xml, TEXT.encode(), "report-2026-05-12.txt")
+    put(text, packed("a.txt", WORLD + TEXT))
+    put("report-2026-04-10", b"<broken")
+    put("report-2005-05-10", packed("a.csv", ""))
+    lists = lambda *p: spark.createDataFrame(list(p), "alias string, slug string")
+    tables = "slug string, pattern string, place int, region string, commodity string"
+    four = ["beginning_stocks", "production", "exports", "ending_stocks"]
+    registry = reports.Registry(
+        spark.createDataFrame([("us_corn", "Feed Grain", 1, "united_states", "corn")], tables),
+        spark.createDataFrame([("world_corn", "World Corn", 1, "world", "corn", four), ("us_corn", "U.S. Corn", 2, "united_states", "corn", None)], f"{tables}, columns array<string>"),
+        lists(("corn", "corn")),
+        lists(("Exports", "exports"), ("Beginning stocks", "beginning_stocks"), ("Yield", "yield"), ("Yield per harvested acre", "yield"), ("production", "production"), ("ending stocks", "ending_stocks")),
+        lists(("Corn", "corn")),
+        lists(("Million Bushels", "million_bushels")),
+    )
+    go = lambda **k: reports.run(spark, f"{base}/archive", rel, plan, registry, f"{base}/store", f"{base}/checkpoint", **k)
+    with pytest.raises(Exception, match="us_corn"):
+        go(priority=["us_corn"])
+    assert go() == 1 and go() == 0
+    obs = store.current(spark, f"{base}/store/observations")
+    got = {(r.release_id, r.table_slug, r.region, r.attribute, r.marketing_year, r.forecast_month): (r.value, r.unit, r.source_format, str(r.report_month)) for r in obs.collect()}
+    assert got[(xml, "us_corn", "united_states", "exports", "2025/26", "Jun")] == (1200.0, "million_bushels", "xml", "2026-05-01")
+    assert got[(text, "world_corn", "argentina", "exports", "2005/06", "May")] == (13.0, None, "txt", "2005-06-01")
+    assert got[(text, "us_corn", "united_states", "beginning_stocks", "2003/04", "")] == (1087.0, "million_bushels", "txt", "2005-06-01")
+    assert {k[0] for k in got} == {xml, text}
+    bad = {(r.release_id, r.table_slug, r.raw_label, r.kind) for r in store.current(spark, f"{base}/store/unmapped").collect()}
+    assert bad == {
+        ("report-2026-04-10", None, "not XML", "structure"), ("report-2005-05-10", None, "no text in archive", "structure"), (text, "us_corn", "CCC inventory", "attribute"),
+        (text, "us_corn", "Avg. price ($/bu)", "attribute"), (text, "world_corn", "Million Metric Tons", "unit"),
+    }
+    assert reports.top_unmapped(store.current(spark, f"{base}/store/unmapped"), 1).first().n == 1
+    latest = {r.release_id: r.is_latest for r in store.current(spark, f"{base}/store/releases").collect()}
+    assert latest[xml] and latest[text] and len(latest) == 4
+    with pytest.raises(ValueError, match="'corn' means 2"):
+        reports.Registry(*[registry.xml_tables] * 3, registry.attributes, lists(("Corn", "corn"), ("CORN", "maize")), registry.units).checked()
+
+
 def test_queries_match_their_sql(spark):
     """A few queries end to end against DuckDB on the smallest tables."""
     import os
