@@ -58,12 +58,14 @@ def parsed(files: DataFrame, registry: Registry) -> tuple[DataFrame, DataFrame]:
     """(observations, unmapped) of ``chosen`` files. A release's rows that agree in their key are left to the store."""
     spark = files.sparkSession
     here = shared(spark)
-    files.write.parquet(f"{here}/files")
-    files = spark.read.schema(files.schema).parquet(f"{here}/files")
+
+    def kept(d: DataFrame, name: str) -> DataFrame:
+        d.write.parquet(f"{here}/{name}")
+        return spark.read.schema(d.schema).parquet(f"{here}/{name}")
+
+    files = kept(files, "files")
     release = files.select(F.col("path").alias("file"), "release_id", "report_month")
-    raw = xml_report.raw_cells(files.where("ext = 'xml'"))
-    raw.write.parquet(f"{here}/raw")
-    raw = spark.read.schema(raw.schema).parquet(f"{here}/raw")
+    raw = kept(xml_report.raw_cells(files.where("ext = 'xml'")), "raw")
     packed = landed.unzipped(files.where("ext = 'zip'"))
     content = files.where("ext = 'txt'").select("path", "content").unionByName(packed).withColumnRenamed("path", "file")
     texts = content.join(release, "file").select("release_id", "report_month", F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
@@ -71,7 +73,8 @@ def parsed(files: DataFrame, registry: Registry) -> tuple[DataFrame, DataFrame]:
     r = registry.checked()
     of_xml = xml_report.cells(raw, r.xml_tables).join(release, "file").withColumn("source_format", F.lit("xml"))
     of_text = text_reports.cells(texts, r.text_tables, r.sections).withColumnRenamed("commodity", "raw_commodity").withColumn("source_format", F.lit("txt"))
-    cells, misses = normalize_cells(of_xml.unionByName(of_text, allowMissingColumns=True), r.attributes, r.commodities, r.units)
+    found = kept(of_xml.unionByName(of_text, allowMissingColumns=True), "cells")
+    cells, misses = normalize_cells(found, r.attributes, r.commodities, r.units)
     obs = conform(cells.withColumns({"qa_status": F.lit("ok"), "parsed_at": F.current_timestamp()}), OBSERVATION)
 
     row = lambda d, slug, label, kind: d.select("release_id", slug.alias("table_slug"), label.alias("raw_label"), F.lit(kind).alias("kind"))
