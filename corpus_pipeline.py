@@ -5,7 +5,8 @@ as Parquet and read again as the next one's docs. Stages work on all that their
 return the columns of documents:
 
 1. quality rules drop the documents they reject;
-2. MinHash near-dedup keeps the document of smallest id of each group;
+2. MinHash near-dedup keeps the document of smallest id of each group; it links at NEAR_PERCENT, so near copies below it
+   stay;
 3. benchmark decontamination drops contaminated documents;
 4. personal data is replaced by its kind in brackets, and n_chars counts the new text;
 5. byte-level BPE gives each document's ids (little-endian unsigned 32-bit integers); its decoding must equal the text.
@@ -26,8 +27,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(docs)
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minhash_dedup.deduplicated(docs)
+#: Least similarity, in percent, at which the pipeline links documents: the value of op8's contract.
+NEAR_PERCENT = minhash_dedup.PERCENT
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str, percent: int = NEAR_PERCENT) -> DataFrame:
+    return minhash_dedup.deduplicated(docs, percent)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,11 +1,13 @@
 """Near-duplicate documents by b-bit MinHash.
 
 One pass over the texts makes, per document, the number of its distinct 5-word shingles, a 128-bit hash of that set, a
-key for each of ``BANDS`` bands of ``ROWS`` minima, and the ``BITS`` low bits of all minima, packed. Equal sets are
+key for each of the bands that ``banded`` gives for the threshold, and the ``BITS`` low bits of all minima, packed. Equal sets are
 collapsed to their smallest doc_id. Sets that share a band key are candidates; the share of equal low bits, corrected
 for chance collisions, estimates their similarity, and candidates whose estimate lies within five standard deviations
-of the threshold or above are confirmed on their full sets. A pair at the threshold misses every band with probability
-(1 - 0.85**ROWS)**BANDS = 3e-7 and the estimate with about as little. Links become components by star contraction.
+of the threshold or above are confirmed on their full sets. The threshold is a parameter; ``PERCENT`` is that of op8 and
+of the pipeline's stage. A pair at the threshold misses every band with probability (1 - t**rows)**bands = 3e-7 (32 bands
+of 6 minima at 85 percent, 38 of 5 at 80) and the estimate with about as little. Links become components by star
+contraction.
 
 Large groups: a band key of up to ``BUCKET`` sets gives its pairs. A larger one gives a star of its members around its
 smallest; only where its members are then not yet one component are they compared further, in blocks of ``BLOCK`` by
@@ -31,19 +33,28 @@ from .wordhash import WordHasher, mixed, window_hashes
 
 SHINGLE = 5
 PERCENT = 85
-ROWS, BANDS, BITS = 6, 32, 2
-HASHES = ROWS * BANDS
+HASHES, BITS = 192, 2
+#: Bands are so many that a pair at the threshold misses all of them with this probability at most.
+MISS = 4e-7
 WORDS = HASHES * BITS // 64
 BUCKET = 32
 BLOCK = 2048
 SKETCH = "doc_id long, n_shingles long, set_hash string, keys array<long>, sig array<long>"
 
 
-def least_matches(deviations: float = 5.0) -> int:
+def banded(percent: int) -> tuple[int, int]:
+    """(bands, rows): the most minima a band for which a pair at the threshold misses all bands as rarely as MISS."""
+    fit = [r for r in range(1, HASHES + 1) if (1 - (percent / 100) ** r) ** (HASHES // r) <= MISS]
+    if not 0 < percent <= 100 or not fit:
+        raise ValueError(f"{HASHES} minima don't suffice for a threshold of {percent} percent")
+    return HASHES // max(fit), max(fit)
+
+
+def least_matches(percent: int = PERCENT, deviations: float = 5.0) -> int:
     """Equal b-bit minima that a pair at the threshold has but for ``deviations`` standard deviations: chance makes
     2**-BITS of the unequal minima agree."""
     chance = 2.0**-BITS
-    p = chance + (1 - chance) * PERCENT / 100
+    p = chance + (1 - chance) * percent / 100
     return int(HASHES * p - deviations * (HASHES * p * (1 - p)) ** 0.5)
 
 
@@ -56,7 +67,8 @@ def shingle_sets(texts: pa.Array, hasher: WordHasher) -> Iterator[np.ndarray]:
 
 
 class Sketcher:
-    def __init__(self):
+    def __init__(self, percent: int = PERCENT):
+        self.bands, self.rows = banded(percent)
         rng = np.random.default_rng(11)
         self.a = (rng.integers(0, 1 << 31, HASHES) * 2 + 1).astype(np.uint32)[:, None]
         self.b = rng.integers(0, 1 << 32, HASHES).astype(np.uint32)[:, None]
@@ -72,21 +84,21 @@ class Sketcher:
             part ^= part >> np.uint32(15)
             part *= np.uint32(0x2C1B3C6D)
             np.minimum(low, part.min(axis=1), out=low)
-        keys = np.arange(BANDS, dtype=np.uint64)
-        for row in low.reshape(BANDS, ROWS).T:
+        keys = np.arange(self.bands, dtype=np.uint64)
+        for row in low[: self.bands * self.rows].reshape(self.bands, self.rows).T:
             keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + row)
         bits = mixed(low.astype(np.uint64)) & np.uint64((1 << BITS) - 1)
         sig = np.bitwise_or.reduce(bits.reshape(WORDS, -1) << self.shift, axis=1)
         return keys.astype(np.int64), sig.astype(np.int64)
 
 
-def sketches(docs: DataFrame) -> DataFrame:
+def sketches(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """SKETCH rows of all documents, written to the shared folder."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        hasher, sketcher = WordHasher(lower=True), Sketcher()
+        hasher, sketcher = WordHasher(lower=True), Sketcher(percent)
         for batch in batches:
             n, names, keys, sigs = [], [], [], []
             for s in shingle_sets(batch.column(1), hasher):
@@ -121,7 +133,7 @@ def matches(a: Column, b: Column) -> Column:
     return F.lit(HASHES) - diff
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Those of ``pairs`` (a, b) whose full sets are similar enough, written."""
     full = full_sets(docs, pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
     left, right = (full.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab")
@@ -132,7 +144,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * both >= PERCENT * (len(x) + len(y) - both))
+                ok.append(100 * both >= percent * (len(x) + len(y) - both))
             keep = pa.array(ok, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
@@ -176,14 +188,14 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).union(edges.select("v", "v").distinct())
 
 
-def _blocked(hot: DataFrame) -> DataFrame:
+def _blocked(hot: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between different components among the members of each key: ``hot`` has key, rep, sig, component,
     shingles and c, the key's number of members."""
     blocks = F.ceil(F.col("c") / BLOCK).cast("int")
     d = hot.withColumn("mine", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
     d = d.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     d = d.withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other")})
-    least = least_matches()
+    least = least_matches(percent)
     lanes = np.uint64(sum(1 << i for i in range(0, 64, BITS)))
 
     def compare(table: pa.Table) -> pa.Table:
@@ -199,7 +211,7 @@ def _blocked(hot: DataFrame) -> DataFrame:
         member = np.zeros(len(values), bool)
         out: list[tuple[int, int]] = []
         for x in left:
-            near = right[(comp[right] != comp[x]) & (100 * np.minimum(size[right], size[x]) >= PERCENT * np.maximum(size[right], size[x]))]
+            near = right[(comp[right] != comp[x]) & (100 * np.minimum(size[right], size[x]) >= percent * np.maximum(size[right], size[x]))]
             d = sig[x] ^ sig[near]
             folded = d.copy()
             for k in range(1, BITS):
@@ -210,7 +222,7 @@ def _blocked(hot: DataFrame) -> DataFrame:
             member[codes[x]] = True
             for y in near:
                 both = int(member[codes[y]].sum())
-                if comp[y] != comp[x] and 100 * both >= PERCENT * (size[x] + size[y] - both):
+                if comp[y] != comp[x] and 100 * both >= percent * (size[x] + size[y] - both):
                     out.append((int(rep[x]), int(rep[y])))
                     comp[comp == comp[y]] = comp[x]  # further pairs of these two components say nothing new
             member[codes[x]] = False
@@ -220,9 +232,10 @@ def _blocked(hot: DataFrame) -> DataFrame:
     return d.select(*cols).groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included), kept."""
-    d = sketches(docs)
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included), kept.
+    Sets link whose Jaccard similarity is ``percent`` hundredths or more."""
+    d = sketches(docs, percent)
     reps = d.where("set_hash IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_hash").agg(F.min("doc_id").alias("rep"))
     reps = written(reps, "reps")
     own = d.join(reps, "set_hash").where("doc_id = rep").select("rep", "keys", "sig")
@@ -237,10 +250,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     likely = (
         pairs.join(sigs.select(F.col("rep").alias("a"), F.col("sig").alias("ga")), "a")
         .join(sigs.select(F.col("rep").alias("b"), F.col("sig").alias("gb")), "b")
-        .where(matches(F.col("ga"), F.col("gb")) >= least_matches())
+        .where(matches(F.col("ga"), F.col("gb")) >= least_matches(percent))
         .select("a", "b")
     )
-    links = confirmed(written(likely, "likely"), docs)
+    links = confirmed(written(likely, "likely"), docs, percent)
     found = written(components(links), "components")
     large = buckets.where(F.col("c") > BUCKET)
     if large.limit(1).count():
@@ -249,7 +262,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         split = large.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
         large = large.join(split, "key", "left_semi")
         full = full_sets(docs, large.select(F.col("rep").alias("doc_id")).distinct())
-        more = written(_blocked(large.join(full.withColumnRenamed("doc_id", "rep"), "rep")), "links")
+        more = written(_blocked(large.join(full.withColumnRenamed("doc_id", "rep"), "rep"), percent), "links")
         if more.limit(1).count():
             again = more.unionByName(found.select(F.col("id").alias("a"), F.col("component").alias("b")))
             found = written(components(again), "components")
@@ -258,7 +271,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
+def deduplicated(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` whose document is the kept one of its component; rows with a null doc_id stay."""
-    gone = near_duplicates(docs.select("doc_id", "text")).where("NOT kept").select(F.col("doc_id").alias("_gone"))
+    gone = near_duplicates(docs.select("doc_id", "text"), percent).where("NOT kept").select(F.col("doc_id").alias("_gone"))
     return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
