@@ -10,8 +10,10 @@ known from an aggregate over digests; it travels to the writer as marker rows in
 shuffled once. A group of copies is aggregated before its shuffle and its marker rows join by digest, where Spark may
 split a hot one.
 
-Defined results: a null html is an empty payload; a null url leaves the header out; of rows equal in page id and
-payload one is written; a null page id sorts first. No table rows give an empty archive. Other columns are ignored.
+Defined results: a null html is an empty payload; a null url leaves the header out; a null page id sorts first. With
+``repeats``, as op6 has it, every row has its record, and all rows of the largest page id are responses; rows equal in
+page id and payload are numbered by url, so that record ids stay unique. Without it one of such rows is written. No
+table rows give an empty archive. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,8 +37,9 @@ MANIFEST = "file string, first_page long, last_page long, records long, bytes lo
 RECORDS = "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
-def page_urn(page_id: int | None) -> str:
-    return f"<urn:x-page:{'' if page_id is None else page_id}>"
+def page_urn(page_id: int | None, digest: str, ordinal: int = 1) -> str:
+    """The id of a page's record with this payload; rows equal in both have ordinals."""
+    return f"<urn:x-page:{'' if page_id is None else page_id}/{digest}{f'/{ordinal}' if ordinal > 1 else ''}>"
 
 
 def base32_sha1(data: bytes) -> str:
@@ -45,17 +48,18 @@ def base32_sha1(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisits: bool, date: str = DATE) -> bytes:
+def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisits: bool, date: str = DATE, ordinal: int = 1) -> bytes:
     """One record with its headers and digests."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if revisits else http + payload
-    head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisits else 'response'}", f"WARC-Record-ID: {page_urn(page_id)}", f"WARC-Date: {date}"]
+    digest = base32_sha1(payload)
+    head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisits else 'response'}", f"WARC-Record-ID: {page_urn(page_id, digest, ordinal)}", f"WARC-Date: {date}"]
     if url is not None:
         head.append("WARC-Target-URI: " + "".join(c if c > " " else f"%{ord(c):02X}" for c in url))
-    head.append(f"WARC-Payload-Digest: sha1:{base32_sha1(payload)}")
+    head.append(f"WARC-Payload-Digest: sha1:{digest}")
     head.append(f"WARC-Block-Digest: sha1:{base32_sha1(block)}")
     if revisits:
-        head += [f"WARC-Profile: {REVISIT}", f"WARC-Refers-To: {page_urn(refers_to)}"]
+        head += [f"WARC-Profile: {REVISIT}", f"WARC-Refers-To: {page_urn(refers_to, digest)}"]
     head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -102,9 +106,9 @@ class _Shard:
         return [(self.name, self.first, self.last, self.n, self.size, self.sum.hexdigest())]
 
 
-def write_archive(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES) -> DataFrame:
+def write_archive(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, repeats: bool = False) -> DataFrame:
     """Writes ``pages`` (page_id, url, html) below ``folder``, a URI all executors reach; the manifest, which also
-    stands in ``folder``/_manifest as Parquet."""
+    stands in ``folder``/_manifest as Parquet. Rows equal in page id and payload each have a record only with ``repeats``."""
     spark = pages.sparkSession
     payload = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("html"))
@@ -116,7 +120,7 @@ def write_archive(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES) -
         .select("page_id", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("url"), "_sha1", "lead")
     )
     records = rows.select("page_id", F.lit(1).alias("kind"), "url", F.col("html").alias("_sha1"), F.lit(None).cast("long").alias("lead"))
-    ordered = markers.unionByName(records).repartitionByRange("page_id").sortWithinPartitions("page_id", "kind", "_sha1")
+    ordered = markers.unionByName(records).repartitionByRange("page_id").sortWithinPartitions("page_id", "kind", "_sha1", "url")
     names = [x.split()[0] for x in MANIFEST.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,7 +130,7 @@ def write_archive(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES) -
 
         shard = _Shard(folder, TaskContext.get().partitionId(), roll_bytes)
         done: list[tuple] = []
-        page, marks, seen = object(), {}, None
+        page, marks, seen, ordinal = object(), {}, None, 0
         for batch in batches:
             for page_id, kind, url, text, lead in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if page_id != page:
@@ -134,13 +138,14 @@ def write_archive(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES) -
                 if kind == 0:
                     marks[text] = lead
                     continue
-                if text == seen:  # rows of a page id are sorted by payload
+                ordinal = ordinal + 1 if text == seen else 1  # rows of a page id are sorted by payload
+                if ordinal > 1 and not repeats:
                     continue
                 seen, data = text, text.encode()
                 lead = marks.get(hashlib.sha1(data).hexdigest()) if marks else None
                 if shard.full():
                     done += shard.close()
-                shard.add(page_id, member(record(page_id, url, data, lead, lead is not None)))
+                shard.add(page_id, member(record(page_id, url, data, lead, lead is not None, ordinal=ordinal)))
         done += shard.close()
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*done, strict=True)] if done else [pa.array([], t) for t in (pa.string(), *[pa.int64()] * 4, pa.string())], names=names)
 
@@ -174,7 +179,7 @@ def parse(raw: bytes) -> tuple:
     http, _, payload = block.partition(b"\r\n\r\n")
     n = next(int(x.split(b":")[1]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:"))
     digest = h["warc-payload-digest"].removeprefix("sha1:")
-    page = lambda urn: int(urn[len("<urn:x-page:") : -1]) if len(urn) > len("<urn:x-page:>") else None
+    page = lambda urn: int(n) if (n := urn[len("<urn:x-page:") : -1].partition("/")[0]) else None
     kind = h["warc-type"]
     if h["warc-block-digest"] != "sha1:" + base32_sha1(block) or kind == "response" and (len(payload) != n or base32_sha1(payload) != digest):
         raise ValueError(f"digest mismatch in {h['warc-record-id']}")
@@ -214,7 +219,7 @@ def read_archive(spark: SparkSession, folder: str, payloads: bool = True) -> Dat
 
 
 def round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame:
-    """Writes ``pages`` and reads the archive back, without payloads."""
+    """Writes ``pages`` and reads the archive back, a record a row, without payloads."""
     folder = folder or scratch(pages.sparkSession, "warc")
-    write_archive(pages, folder)
+    write_archive(pages, folder, repeats=True)
     return read_archive(pages.sparkSession, folder, payloads=False)

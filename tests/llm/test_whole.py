@@ -45,3 +45,27 @@ def test_bands_miss_nothing():
         assert bands * rows <= m.HASHES and (1 - (percent / 100) ** rows) ** bands <= m.MISS
     with pytest.raises(ValueError):
         m.banded(1)
+
+
+# ---------------------------------------------------------------- 6
+def test_warc_repeated_rows(spark, tmp_path):
+    """A record for every row, as in the query's SQL."""
+    import duckdb
+
+    from cuvee.llm import queries, warc
+    from cuvee.llm.oracle import OP6
+
+    rows = [(1, "u1", "a"), (1, "u1", "a"), (1, "u2", "a"), (2, "v", "b"), (2, "w", "a"), (2, "v", "b"), (3, None, None), (3, "x", "")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    key = lambda r: tuple((v is None, v) for v in r)
+    want = duckdb.sql(f"WITH pages AS (FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')) {OP6.strip().replace('WITH p AS', ', p AS', 1)}").fetchall()
+    got = list(map(tuple, queries.op6_warc(spark, str(tmp_path)).collect()))
+    assert len(got) == len(rows) and sorted(got, key=key) == sorted(want, key=key)
+    # no url is lost, null page ids included, and record ids are unique and the referred ones exist
+    pages = spark.createDataFrame([*rows, (None, "n1", "c"), (None, "n2", "c"), (None, "n2", "c"), (None, "n3", "a")], "page_id long, url string, html string")
+    warc.write_archive(pages, f"file://{tmp_path}/a", repeats=True)
+    back = warc.read_archive(spark, f"file://{tmp_path}/a").collect()
+    assert sorted((r.page_id or 0, r.url or "") for r in back) == sorted((r.page_id or 0, r.url or "") for r in pages.collect())
+    raws = [raw.decode() for f in (tmp_path / "a").glob("part-*.warc.gz") for raw in warc._records(f.open("rb"))]
+    ids = [re.search(r"WARC-Record-ID: (\S+)", x)[1] for x in raws]
+    assert len(set(ids)) == len(ids) == 12 and {m[1] for x in raws if (m := re.search(r"WARC-Refers-To: (\S+)", x))} <= set(ids)
