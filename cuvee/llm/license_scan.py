@@ -4,14 +4,18 @@ A word that occurs once in a stretch of text and once in a template is an anchor
 anchors is kept and the gaps between them are aligned in the same way, after equal words at their ends. The aligned
 share of a template's words is its coverage; at ``COVERAGE`` or more the license is reported, with the words it spans.
 
-Where to align follows from the template: so many of its words (probes) are looked up that a text holding none of them
-cannot reach the coverage. An occurrence of a probe fixes a diagonal, text position less template position; diagonals
-near each other make one stretch. So repeated notices are found each by itself, and texts without probes, nearly all,
-end after one look-up of their words.
+Where to align follows from the rule: a find of n template words spans n / ``DENSITY`` words at most and begins at one of
+the template's words, so every such position whose following n / ``DENSITY`` words hold enough of the template's words,
+counted with repeats, is aligned with that stretch. So many of the template's words (probes) are looked up first that a
+text holding none of them cannot reach the coverage; texts without probes, nearly all, end there. Repeated notices are
+found each by itself.
+
+In templates of up to ``SHORT`` words the coverage alone would mix names. With ``named``, as op1 has it, all words of
+such a template that are ``MARKS`` or numbers must be aligned, and no other mark may stand inside the find.
 
 Each text is handled whole and by itself in Arrow batches, without a shuffle. Defined results: null and empty texts
 have no words and no license; overlapping finds keep the one with most aligned words (then the greater coverage, then
-the name that sorts first); repeated rows give repeated results; columns of the input are kept unless named as an added
+the name that sorts first, then the narrower, then the first); repeated rows give repeated results; columns of the input are kept unless named as an added
 one; an empty table gives no rows.
 """
 
@@ -83,6 +87,11 @@ TEMPLATES = {
 #: Words too common to look a license up by.
 COMMON = frozenset("the of and to in is a or for be any this that with by on at an as it all are if can you your from not but was which".split())
 
+#: Templates of up to so many words are told apart by their marks.
+SHORT = 20
+#: Words that tell licenses apart.
+MARKS = frozenset("mit apache gnu lesser affero library gpl lgpl agpl bsd isc mpl mozilla cc creative attribution nc noncommercial nd noderivatives noderivs sa sharealike rights reserved".split())
+
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -136,12 +145,15 @@ def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
 
 
 class Template:
-    def __init__(self, name: str, text: str, coverage: float = COVERAGE):
+    def __init__(self, name: str, text: str, coverage: float = COVERAGE, named: bool = False):
         self.name, self.words, self.coverage = name, words_of(text), coverage
         n = len(self.words)
-        self.slack = n // 4 + 2
+        self.span, self.count = int(n / DENSITY + 1e-9), Counter(self.words)
+        self.least = next(k for k in range(n + 1) if k >= coverage * n)
+        self.named = named and n <= SHORT
+        self.marks = [k for k, w in enumerate(self.words) if w in MARKS or w.isdigit()]
         # words that may be missing; the probes' occurrences in the template exceed that
-        missing, count = int((1 - coverage) * n + 1e-9), Counter(self.words)
+        missing, count = int((1 - coverage) * n + 1e-9), self.count
         self.probes: dict[str, int] = {}
         held = 0
         for w in sorted(count, key=lambda w: (w in COMMON, -len(w), w)):
@@ -150,28 +162,57 @@ class Template:
             self.probes[w] = self.words.index(w)
             held += count[w]
 
+    def starts(self, words: list[str], at: dict[str, list[int]]) -> Iterator[int]:
+        """Positions of template words from which ``span`` words hold as many of the template's words as a find needs;
+        ``at`` has the positions of each word. Only template words are visited."""
+        places = sorted(p for w in self.count for p in at.get(w, ()))
+        held: Counter[str] = Counter()
+        common = k = 0
+        for p in places:
+            while k < len(places) and places[k] < p + self.span:
+                w = words[places[k]]
+                held[w] += 1
+                common += held[w] <= self.count[w]
+                k += 1
+            if common >= self.least:
+                yield p
+            w = words[p]
+            common -= held[w] <= self.count[w]
+            held[w] -= 1
+
+    def best(self, pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        """The longest run of ``pairs`` that is dense enough, the first of such, or none if it has too few."""
+        for m in range(len(pairs), self.least - 1, -1):
+            for k in range(len(pairs) - m + 1):
+                if m >= DENSITY * (pairs[k + m - 1][1] - pairs[k][1] + 1):
+                    return pairs[k : k + m]
+        return []
+
+    def is_named(self, pairs: list[tuple[int, int]], words: list[str]) -> bool:
+        """Whether all marks of the template are aligned and no other mark stands among the words spanned."""
+        aligned, own = {i for i, _ in pairs}, {p for _, p in pairs}
+        foreign = (words[p] for p in range(pairs[0][1], pairs[-1][1]) if p not in own)
+        return aligned.issuperset(self.marks) and MARKS.isdisjoint(foreign)
+
     def finds(self, words: list[str], at: dict[str, list[int]]) -> Iterator[tuple[int, int, int, float]]:
-        """(begin, end, aligned words, coverage) in a text whose probes stand ``at`` these positions."""
-        n = len(self.words)
-        diagonals = sorted(p - o for w, o in self.probes.items() for p in at.get(w, ()))
-        k = 0
-        while k < len(diagonals):
-            e = k
-            while e + 1 < len(diagonals) and diagonals[e + 1] - diagonals[e] <= self.slack:
-                e += 1
-            low, high = max(0, diagonals[k] - self.slack), min(len(words), diagonals[e] + n + self.slack)
-            k = e + 1
-            pairs = align(self.words, words[low:high])
-            if len(pairs) >= self.coverage * n:
-                begin, end = low + pairs[0][1], low + pairs[-1][1] + 1
-                if len(pairs) >= DENSITY * (end - begin):
-                    yield begin, end, len(pairs), len(pairs) / n
+        """(begin, end, aligned words, coverage) in a text whose words stand ``at`` these positions."""
+        if not any(w in at for w in self.probes):
+            return
+        seen = set()
+        for low in self.starts(words, at):
+            pairs = self.best([(i, low + p) for i, p in align(self.words, words[low : low + self.span])])
+            if pairs and not (self.named and not self.is_named(pairs, words)):
+                find = pairs[0][1], pairs[-1][1] + 1, len(pairs), len(pairs) / len(self.words)
+                if find not in seen:
+                    seen.add(find)
+                    yield find
 
 
 class Scanner:
-    def __init__(self, templates: dict[str, str] | None = None, coverage: float = COVERAGE):
-        self.templates = [Template(k, v, coverage) for k, v in sorted((templates or TEMPLATES).items())]
+    def __init__(self, templates: dict[str, str] | None = None, coverage: float = COVERAGE, named: bool = False):
+        self.templates = [Template(k, v, coverage, named) for k, v in sorted((templates or TEMPLATES).items())]
         self.probes = frozenset(w for t in self.templates for w in t.probes)
+        self.words = frozenset(w for t in self.templates for w in t.words)
 
     def scan(self, text: str) -> tuple[int, list[tuple[str, int, int, float]]]:
         """Number of words and (license, first word, word after, coverage) by position."""
@@ -180,12 +221,12 @@ class Scanner:
             return len(words), []
         at: dict[str, list[int]] = {}
         for i, w in enumerate(words):
-            if w in self.probes:
+            if w in self.words:
                 at.setdefault(w, []).append(i)
-        found = sorted(((-n, -c, t.name, b, e) for t in self.templates for b, e, n, c in t.finds(words, at)))
+        found = sorted(((-n, -c, t.name, e - b, b, e) for t in self.templates for b, e, n, c in t.finds(words, at)))
         taken: list[tuple[str, int, int, float]] = []
         free = bytearray(len(words))
-        for _, c, name, b, e in found:
+        for _, c, name, _, b, e in found:
             if not any(free[b:e]):
                 free[b:e] = b"\1" * (e - b)
                 taken.append((name, b, e, -c))
@@ -204,7 +245,7 @@ FOUND = T.ArrayType(
 )
 
 
-def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE) -> DataFrame:
+def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE, named: bool = False) -> DataFrame:
     """``docs`` with n_words and licenses (array of struct license, begin, end, coverage; words, end exclusive)."""
     kept = [c for c in docs.columns if c.lower() not in ("n_words", "licenses")]
     d = docs.select(*kept, F.coalesce("text", F.lit("")).alias("_license_text"))
@@ -212,7 +253,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
     kind = pa.list_(pa.struct([("license", pa.string()), ("begin", pa.int32()), ("end", pa.int32()), ("coverage", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(templates, coverage)
+        scanner = Scanner(templates, coverage, named)
         for batch in batches:
             rows = [scanner.scan(t.as_py()) for t in batch.column(batch.num_columns - 1)]
             found = [[dict(zip(("license", "begin", "end", "coverage"), f, strict=True)) for f in r[1]] for r in rows]

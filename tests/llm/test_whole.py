@@ -69,3 +69,49 @@ def test_warc_repeated_rows(spark, tmp_path):
     raws = [raw.decode() for f in (tmp_path / "a").glob("part-*.warc.gz") for raw in warc._records(f.open("rb"))]
     ids = [re.search(r"WARC-Record-ID: (\S+)", x)[1] for x in raws]
     assert len(set(ids)) == len(ids) == 12 and {m[1] for x in raws if (m := re.search(r"WARC-Refers-To: (\S+)", x))} <= set(ids)
+
+
+# ---------------------------------------------------------------- 1
+def test_license_stretches():
+    """Finds as wide as the density allows, against alignment at every position."""
+    import random
+
+    from cuvee.llm.license_scan import COVERAGE, DENSITY, TEMPLATES, Scanner, Template, align, words_of
+
+    mpl, rng = words_of(TEMPLATES["MPL-2.0/header"]), random.Random(4)
+    at = mpl.index("2") + 2
+    for k in (21, 26):
+        found = Scanner().scan(" ".join(["before"] * 9 + mpl[:at] + [f"x{i}" for i in range(k)] + mpl[at:] + ["after"] * 9))[1]
+        assert found == [("MPL-2.0/header", 9, 9 + len(mpl) + k, 1.0)]
+    for name in ("MPL-2.0/header", "MIT/terms", "Proprietary/line"):
+        t, hits = Template(name, TEMPLATES[name]), 0
+        n = len(t.words)
+        for _ in range(60):
+            text = [rng.choice([*t.words, "y"]) for _ in range(rng.randint(0, n))]
+            for _ in range(rng.randint(1, 3)):
+                cut, gap = rng.randrange(n), rng.randint(0, int(0.7 * n))
+                text += [w for w in t.words[:cut] if rng.random() > 0.08] + ["z"] * gap + t.words[cut:] + ["q"] * rng.randint(0, 3)
+            want = set()
+            for low in range(len(text)):
+                pairs = align(t.words, text[low : low + int(n / DENSITY + 1e-9)])
+                runs = [(i, j) for i in range(len(pairs)) for j in range(i, len(pairs)) if j + 1 - i >= COVERAGE * n and j + 1 - i >= DENSITY * (pairs[j][1] - pairs[i][1] + 1)]
+                if runs:
+                    i, j = max(runs, key=lambda r: (r[1] - r[0], -r[0]))
+                    want.add((low + pairs[i][1], low + pairs[j][1] + 1, j + 1 - i, (j + 1 - i) / n))
+            where = {w: [p for p, x in enumerate(text) if x == w] for w in set(text)}
+            got = list(t.finds(text, where))
+            assert len(got) == len(set(got)) and set(got) <= want, (name, text)
+            assert {f for f in want if not any(g[2] >= f[2] and g[0] < f[1] and f[0] < g[1] for g in got)} == set(), (name, text)
+            hits += bool(want)
+        assert hits > 20
+
+
+def test_license_names(spark):
+    from cuvee.llm.license_scan import TEMPLATES, Scanner
+
+    s = Scanner(named=True)
+    for name, template in TEMPLATES.items():
+        assert any(f[0] == name and f[3] == 1.0 for f in s.scan("before " + template + " after")[1]), name
+    for text in ("Released under the GNU License", "This work is licensed under the GNU Lesser General Public License, version 3", "Licensed under CC BY-NC-SA 4.0", "This work is licensed under the GNU General Public License, version 1"):
+        assert s.scan(text)[1] == [], text
+    assert [f[0] for f in s.scan("Released by us under the MIT License")[1]] == ["MIT/line"]
