@@ -1,8 +1,10 @@
 """Compression classifier: a text that a dictionary of good texts compresses better than one of bad texts is good.
 
-Two zstandard dictionaries are built from labelled text. A text's compressed sizes under either, normalised by its
-length, and their difference go through a logistic calibration to a probability of label 1. Labels are read only from
-rows that are not held out; language, source and id are never inputs.
+Two zstandard dictionaries are built from labelled text. Five measures go through a logistic calibration to a
+probability of label 1: the difference of a text's compressed sizes under the two, by its length and by the larger size,
+the size under the good one by length, the size without a dictionary by length, and the logarithm of the length. The last
+two are not differences, so length and plain compressibility are part of the verdict. Labels are read only from rows that
+are not held out; language, source and id are never inputs.
 
 Bounds of the fit, independent of corpus size: ``PIECES`` pieces of ``PIECE_BYTES`` bytes a class, least hash first,
 make a dictionary; ``CALIBRATION`` rows a class, of other ids, calibrate on whole texts. Scoring handles every whole
