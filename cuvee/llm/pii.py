@@ -3,7 +3,9 @@
 Base kinds are found exactly as the fixed patterns below say, but in time linear in the text. Generators of high recall
 propose further spans (addresses written with (at), telephone numbers without a plus sign, card numbers with other
 separators); trees over format and context features score them and spans above the calibrated threshold are added where
-they touch no chosen span. The trees are fitted on the driver from ``EXAMPLES`` generated examples with a fixed seed.
+they touch no chosen span. The trees are fitted on the driver from ``EXAMPLES`` generated examples with a fixed seed. A
+candidate may be of any length; what a tree sees of its context are the three words before it among ``CONTEXT`` characters.
+Numbers are taken with all groups that separators join, so a row of more digits than a card has is no candidate.
 
 Each text is handled by itself in Arrow batches: no shuffle, and a hot source costs what its rows cost. Defined
 results: a null text is empty and has no spans; offsets are code points, end exclusive; repeated rows give repeated
@@ -13,6 +15,7 @@ results; columns of the input are kept unless they are named as an added one.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,10 +36,11 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 
-AT = re.compile(r"\x20?[\[({]\x20?(?:at|AT)\x20?[\])}]\x20?|\x20(?:at|AT)\x20(?=[A-Za-z0-9-]{1,63}\x20?[\[({]\x20?(?:dot|DOT))")
-SPELT = re.compile(r"[A-Za-z0-9-]{1,63}(?:(?:\x20?[\[({]\x20?(?:dot|DOT)\x20?[\])}]\x20?|\x20(?:dot|DOT)\x20|\.)[A-Za-z0-9-]{1,63}){1,5}")
-GROUPS = re.compile(r"(?<![0-9A-Za-z.+/:-])\(?[0-9]{2,6}\)?(?:[\x20./-]{1,2}\(?[0-9]{2,6}\)?){1,6}(?![0-9A-Za-z])")
-RUN = re.compile(r"(?<![0-9A-Za-z.+/:-])[0-9]{9,19}(?![0-9A-Za-z])")
+AT = re.compile(r"\x20?[\[({]\x20?(?:at|AT)\x20?[\])}]\x20?|\x20(?:at|AT)\x20(?=[A-Za-z0-9-]+\x20?[\[({]\x20?(?:dot|DOT))")
+SPELT = re.compile(r"[A-Za-z0-9-]+(?:(?:\x20?[\[({]\x20?(?:dot|DOT)\x20?[\])}]\x20?|\x20(?:dot|DOT)\x20|\.)[A-Za-z0-9-]+)+")
+GROUPS = re.compile(r"(?<![0-9A-Za-z.+/:-])\(?[0-9]+\)?(?:[\x20./-]{1,2}\(?[0-9]+\)?)+(?![0-9A-Za-z])")
+RUN = re.compile(r"(?<![0-9A-Za-z.+/:-])[0-9]{9,}(?![0-9A-Za-z])")
+CONTEXT = 40
 
 
 def luhn(digits: str) -> bool:
@@ -72,7 +76,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
         for k in range(0, len(parts) - 3, 4):
             four = parts[k : k + 4]
             end = begin + len(".".join(four))
-            if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in four):
+            if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in four):
                 out.append(("ip", begin, end))
             begin = end + 1
     for m in CARD.finditer(text):
@@ -89,8 +93,9 @@ def proposals(text: str) -> list[tuple[str, int, int]]:
     """Overlapping spans of high recall beyond the base kinds."""
     out = []
     if "at" in text or "AT" in text:
+        done = 0
         for m in AT.finditer(text):
-            begin = _left(text, m.start(), max(0, m.start() - 64))
+            begin, done = _left(text, m.start(), done), m.end()
             if begin < m.start() and (d := SPELT.match(text, m.end())):
                 out.append(("email", begin, d.end()))
     if DIGIT.search(text):
@@ -112,7 +117,7 @@ N_FEATURES = 19
 
 def features(text: str, kind: str, begin: int, end: int) -> list[float]:
     """Format and context of a proposed span."""
-    s, before = text[begin:end], re.findall(r"[^\W\d_]+", text[max(0, begin - 40) : begin].lower())[-3:]
+    s, before = text[begin:end], re.findall(r"[^\W\d_]+", text[max(0, begin - CONTEXT) : begin].lower())[-3:]
     d = _digits(s)
     groups = [len(g) for g in re.findall("[0-9]+", s)]
     seps = re.findall(r"[^0-9()]+", s)
@@ -174,20 +179,46 @@ def train(n: int = EXAMPLES, seed: int = 7) -> Boosted:
     return fit(np.array([features(*r[:4]) for r in rows]), np.array([float(r[4]) for r in rows]))
 
 
+class Taken:
+    """Intervals that may overlap, as a sorted list of disjoint ones."""
+
+    def __init__(self):
+        self.begins: list[int] = []
+        self.ends: list[int] = []
+
+    def _touching(self, b: int, e: int) -> tuple[int, int]:
+        """The range of listed intervals that share a place with [b, e)."""
+        low = bisect_left(self.ends, b + 1)
+        return low, max(low, bisect_left(self.begins, e))
+
+    def free(self, b: int, e: int) -> bool:
+        low, high = self._touching(b, e)
+        return low == high
+
+    def add(self, b: int, e: int) -> None:
+        low, high = self._touching(b, e)
+        if low < high:
+            b, e = min(b, self.begins[low]), max(e, self.ends[high - 1])
+        self.begins[low:high], self.ends[low:high] = [b], [e]
+
+
 def spans(text: str, model: Boosted) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """(base spans, all spans), each by kind as listed, then start."""
     base = base_spans(text)
-    new = [p for p in proposals(text) if not any(p[1] < e and b < p[2] for _, b, e in base)]
+    taken = Taken()
+    for _, b, e in base:
+        taken.add(b, e)
+    new = [p for p in proposals(text) if taken.free(p[1], p[2])]
     if not new:
         return base, base
     score = model.probability(np.array([features(text, *p) for p in new]))
     chosen = list(base)
-    added: list[tuple[str, int, int]] = []
     for i in np.argsort(-score, kind="stable"):
         k, b, e = new[i]
-        if score[i] >= model.threshold and not any(b < y and x < e for _, x, y in added):
-            added.append((k, b, e))
-    return base, sorted(chosen + added, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
+        if score[i] >= model.threshold and taken.free(b, e):
+            taken.add(b, e)
+            chosen.append((k, b, e))
+    return base, sorted(chosen, key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 
 
 def listed(found: list[tuple[str, int, int]]) -> str:
