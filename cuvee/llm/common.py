@@ -23,9 +23,12 @@ def words_of(text: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or one of our own where it is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``. Where it is unset a local session gets a
+    temporary one; a cluster's executors would each write to their own disk, so there this raises."""
     here = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not here:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         import tempfile
 
         here = "file://" + tempfile.mkdtemp(prefix="spark-cuvee-")
@@ -43,4 +46,14 @@ def written(df: DataFrame, what: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, what)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes what ``written`` wrote for these tables; nothing that is still to run may read them."""
+    for t in tables:
+        context = t.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(t._scratch)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

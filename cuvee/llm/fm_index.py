@@ -21,10 +21,53 @@ class Bits:
         return self.before[w] + np.bitwise_count(self.words[w] & mask)
 
 
+class Least:
+    """Smallest value of any range of an array in about four numbers a value: prefix and suffix minima inside blocks, and
+    a sparse table over the blocks' minima."""
+
+    BLOCK = 16
+
+    def __init__(self, values: np.ndarray):
+        self.known, rank = np.unique(values, return_inverse=True)
+        kind = np.min_scalar_type(len(self.known))
+        rows = np.full((-(-len(values) // self.BLOCK), self.BLOCK), len(self.known), kind)
+        rows.ravel()[: len(values)] = rank
+        self.ranks = rows.ravel()
+        self.from_left = np.minimum.accumulate(rows, axis=1).ravel()
+        self.to_right = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
+        self.tables, width = [rows.min(axis=1)], 1
+        while 2 * width <= len(rows):
+            a = self.tables[-1]
+            self.tables.append(np.minimum(a[: len(a) - width], a[width:]))
+            width *= 2
+
+    def of(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The smallest value in each [low, high); ranges aren't empty."""
+        last = high - 1
+        first_block, last_block = low // self.BLOCK, last // self.BLOCK
+        out = np.minimum(self.to_right[low], self.from_left[last])
+        between = last_block - first_block - 1
+        far = np.flatnonzero(between > 0)
+        level = np.frexp(between[far].astype(np.float64))[1] - 1
+        for k in np.unique(level):
+            at, table = far[level == k], self.tables[k]
+            inside = np.minimum(table[first_block[at] + 1], table[last_block[at] - (1 << int(k))])
+            out[at] = np.minimum(out[at], inside)
+        near = np.flatnonzero(between < 0)
+        at, end = low[near], last[near]
+        out[near] = self.ranks[at]
+        while len(near):
+            more = at < end
+            near, at, end = near[more], at[more] + 1, end[more]
+            out[near] = np.minimum(out[near], self.ranks[at])
+        return self.known[out]
+
+
 class FMIndex:
     """Index of sequences of positive symbols up to ``sigma``, each owned by a number; a search keeps, for many
     patterns at once, the range of suffixes that begin with what was read so far, and ``least`` gives the smallest
-    owner in a range. Suffixes are ordered by their first ``DEPTH`` symbols, so patterns have fewer symbols."""
+    owner in a range. It holds the transformed text's bits, a count for each 64 of them, and owners in ``Least``.
+    Suffixes are ordered by their first ``DEPTH`` symbols, so patterns have fewer symbols."""
 
     DEPTH = 32
 
@@ -58,12 +101,7 @@ class FMIndex:
             last = np.concatenate([last[bit == 0], last[bit == 1]])
         every = np.arange(sigma + 1)
         self.start = self._down(np.zeros(sigma + 1, np.int64), every)
-        self.mins = [own[order]]
-        width = 1
-        while 2 * width <= n:
-            a = self.mins[-1]
-            self.mins.append(np.minimum(a[: len(a) - width], a[width:]))
-            width *= 2
+        self.least = Least(own[order]).of
 
     def _down(self, at: np.ndarray, symbol: np.ndarray) -> np.ndarray:
         for k, (row, zeros) in enumerate(zip(self.rows, self.zeros, strict=True)):
@@ -78,32 +116,20 @@ class FMIndex:
         base = self.first[symbol] - self.start[symbol]
         return both[: len(low)] + base, both[len(low) :] + base
 
-    def least(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        """The smallest owner in each range; ranges aren't empty."""
-        k = np.frexp((high - low).astype(np.float64))[1] - 1
-        out = np.empty(len(low), self.mins[0].dtype)
-        for level in np.unique(k):
-            at = k == level
-            table = self.mins[level]
-            out[at] = np.minimum(table[low[at]], table[high[at] - (1 << int(level))])
-        return out
-
-    def covered(self, symbols: np.ndarray, begin: np.ndarray, length: np.ndarray, owner: np.ndarray) -> np.ndarray:
-        """Whether each pattern (``length`` symbols from ``begin``) occurs under an owner smaller than its own. The
-        search reads backward and gives a pattern up once no suffix in its range has a smaller owner."""
-        out = np.zeros(len(begin), bool)
+    def statistics(self, symbols: np.ndarray, begin: np.ndarray, length: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        """Matching statistics at the end of each pattern (``length`` symbols from ``begin``): how many of its last
+        symbols occur together under an owner smaller than its own. The search reads backward and gives a pattern up
+        once no suffix in its range has a smaller owner."""
+        out = np.zeros(len(begin), np.int64)
         live = np.arange(len(begin))
         low, high = np.zeros(len(begin), np.int64), np.full(len(begin), self.n, np.int64)
         left = np.asarray(length, np.int64).copy()
         while len(live):
-            c = symbols[begin[live] + left - 1]
-            low, high = self.extend(low, high, c)
-            left -= 1
+            low, high = self.extend(low, high, symbols[begin[live] + left - 1])
             ok = high > low
-            live, low, high, left = live[ok], low[ok], high[ok], left[ok]
+            live, low, high, left = live[ok], low[ok], high[ok], left[ok] - 1
             ok = self.least(low, high) < owner[live]
-            done = ok & (left == 0)
-            out[live[done]] = True
-            go = ok & (left > 0)
-            live, low, high, left = live[go], low[go], high[go], left[go]
+            out[live[ok]] += 1
+            ok &= left > 0
+            live, low, high, left = live[ok], low[ok], high[ok], left[ok]
         return out

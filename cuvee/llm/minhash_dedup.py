@@ -1,20 +1,22 @@
 """Near-duplicate documents by b-bit MinHash.
 
-One pass over the texts makes, per document, the number of its distinct 5-word shingles, a 128-bit hash of that set, a
-key for each of the bands that ``banded`` gives for the threshold, and the ``BITS`` low bits of all minima, packed. Equal sets are
-collapsed to their smallest doc_id. Sets that share a band key are candidates; the share of equal low bits, corrected
-for chance collisions, estimates their similarity, and candidates whose estimate lies within five standard deviations
-of the threshold or above are confirmed on their full sets. The threshold is a parameter; ``PERCENT`` is that of op8 and
-of the pipeline's stage. A pair at the threshold misses every band with probability (1 - t**rows)**bands = 3e-7 (32 bands
+One pass over the texts makes, per document, the number of its distinct 5-word shingles, a cryptographic digest of its
+lower-cased word sequence, a key for each of the bands that ``banded`` gives for the threshold, and the ``BITS`` low bits
+of all minima, packed. Documents of equal sequences are collapsed to their smallest doc_id. Those that share a band key
+are candidates; the share of equal low bits, corrected for chance collisions, estimates their similarity, and candidates
+whose estimate lies within five standard deviations of the threshold or above are confirmed on their full sets, as words:
+shingles are hashed (xxh3 of words) only to sketch and to count them. The threshold is a parameter; ``PERCENT`` is op8's. A pair at the threshold misses every band with probability (1 - t**rows)**bands = 3e-7 (32 bands
 of 6 minima at 85 percent, 38 of 5 at 80) and the estimate with about as little. Links become components by star
 contraction.
 
 Large groups: a band key of up to ``BUCKET`` sets gives its pairs. A larger one gives a star of its members around its
-smallest; only where its members are then not yet one component are they compared further, in blocks of ``BLOCK`` by
-``BLOCK``: sizes and signatures first, then full sets, which emits nothing but links between different components. So
-pairs within a group are never enumerated as rows, and no link between components is lost.
+smallest; only where its members are then not yet one component are they compared further, in two steps. Blocks of
+``BLOCK`` by ``BLOCK`` compare sizes and signatures, a hundred bytes a member; members of different components that come
+near each other go on to blocks of ``FINE`` by ``FINE``, and only there their texts are fetched and compared, which emits
+nothing but links between different components. So pairs within a group are never rows, and no link between components is
+lost.
 
-Every iteration is written to the shared folder. Defined results: null and texts without words have an empty set, are
+Every iteration is written to the shared folder and its predecessor deleted. Defined results: null and texts without words have an empty set, are
 kept and link with nothing; a null doc_id links with nothing and is kept; rows that share a doc_id are linked through
 it; an empty table gives no rows; other columns are ignored.
 """
@@ -28,8 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
-from .wordhash import WordHasher, mixed, window_hashes
+from .common import discard, written
+from .wordhash import WordHasher, Words, exact_windows, mixed, window_hashes
 
 SHINGLE = 5
 PERCENT = 85
@@ -38,8 +40,10 @@ HASHES, BITS = 192, 2
 MISS = 4e-7
 WORDS = HASHES * BITS // 64
 BUCKET = 32
-BLOCK = 2048
-SKETCH = "doc_id long, n_shingles long, set_hash string, keys array<long>, sig array<long>"
+BLOCK, FINE = 512, 128
+#: Candidates are confirmed about this many bytes of text at a time.
+CONFIRM_BYTES = 4 << 20
+SKETCH = "doc_id long, n_shingles long, sequence string, keys array<long>, sig array<long>"
 
 
 def banded(percent: int) -> tuple[int, int]:
@@ -58,12 +62,12 @@ def least_matches(percent: int = PERCENT, deviations: float = 5.0) -> int:
     return int(HASHES * p - deviations * (HASHES * p * (1 - p)) ** 0.5)
 
 
-def shingle_sets(texts: pa.Array, hasher: WordHasher) -> Iterator[np.ndarray]:
-    """The sorted distinct shingle hashes of each text."""
-    for a, b, words, begin in hasher.slices(texts):
-        for i in range(b - a):
-            w = words[begin[i] : begin[i + 1]]
-            yield np.unique(window_hashes(w, min(SHINGLE, len(w)))) if len(w) else w
+def shingle_sets(words: Words) -> Iterator[np.ndarray]:
+    """The sorted distinct shingle hashes of each text of a slice."""
+    hashes = words.hashes()
+    for a, b in zip(words.begin[:-1], words.begin[1:], strict=True):
+        w = hashes[a:b]
+        yield np.unique(window_hashes(w, min(SHINGLE, len(w)))) if len(w) else w
 
 
 class Sketcher:
@@ -96,20 +100,19 @@ def sketches(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """SKETCH rows of all documents, written to the shared folder."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         hasher, sketcher = WordHasher(lower=True), Sketcher(percent)
         for batch in batches:
             n, names, keys, sigs = [], [], [], []
-            for s in shingle_sets(batch.column(1), hasher):
-                n.append(len(s))
-                k, g = sketcher.sketch(s) if len(s) else (None, None)
-                names.append(xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None)
-                keys.append(k)
-                sigs.append(g)
+            for _, _, words in hasher.slices(batch.column(1)):
+                for i, s in enumerate(shingle_sets(words)):
+                    n.append(len(s))
+                    k, g = sketcher.sketch(s) if len(s) else (None, None)
+                    names.append(words.name(i) if len(s) else None)
+                    keys.append(k)
+                    sigs.append(g)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(names, pa.string()), pa.array(keys, pa.list_(pa.int64())), pa.array(sigs, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "set_hash", "keys", "sig"],
+                names=["doc_id", "n_shingles", "sequence", "keys", "sig"],
             )
 
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
@@ -133,44 +136,69 @@ def matches(a: Column, b: Column) -> Column:
     return F.lit(HASHES) - diff
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Those of ``pairs`` (a, b) whose full sets are similar enough, written."""
-    full = full_sets(docs, pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
-    left, right = (full.select(F.col("doc_id").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab")
+def packed_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, packed): the whole texts of some documents, compressed one by one, written."""
+    ids = written(ids, "ids")
+    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(ids, "doc_id", "left_semi")
 
-    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
-            ok = []
-            for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * both >= percent * (len(x) + len(y) - both))
-            keep = pa.array(ok, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([pack(t.as_buffer()) for t in batch.column(1)], pa.binary())], names=["doc_id", "packed"])
 
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
-    return written(joined.mapInArrow(similar, "a long, b long").distinct(), "links")
+    out = written(d.mapInArrow(run, "doc_id long, packed binary"), "texts")
+    discard(ids)
+    return out
 
 
-def full_sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """(doc_id, shingles): the whole sets of some documents, written."""
-    ids = written(ids, "ids")
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(ids, "doc_id", "left_semi")
+def confirmed(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Those of ``pairs`` (a, b) whose full sets are similar enough, compared as words, written."""
+    texts = packed_texts(docs, pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
+    left, right = (texts.select(F.col("doc_id").alias(c), F.col("packed").alias(f"t{c}")) for c in "ab")
+
+    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        unpack, hasher = zstandard.ZstdDecompressor().decompress, WordHasher(lower=True)
+
+        def judged(held: list[bytes], rows: list[tuple[int, int]]) -> list[bool]:
+            sets = exact_windows(hasher.of(held), SHINGLE)
+            out = []
+            for x, y in rows:
+                both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                out.append(100 * both >= percent * (len(sets[x]) + len(sets[y]) - both))
+            return out
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHasher(lower=True)
         for batch in batches:
-            found = [s.tobytes() for s in shingle_sets(batch.column(1), hasher)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["doc_id", "shingles"])
+            ok: list[bool] = []
+            known, held, rows, size = {}, [], [], 0
+            for pair in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist(), strict=True):
+                for t in pair:
+                    if t not in known:
+                        known[t] = len(held)
+                        held.append(unpack(t))
+                        size += len(held[-1])
+                rows.append((known[pair[0]], known[pair[1]]))
+                if size > CONFIRM_BYTES:
+                    ok += judged(held, rows)
+                    known, held, rows, size = {}, [], [], 0
+            ok += judged(held, rows)
+            keep = pa.array(ok, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
-    return written(d.mapInArrow(sets, "doc_id long, shingles binary"), "sets")
+    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
+    out = written(joined.mapInArrow(similar, "a long, b long").distinct(), "links")
+    discard(texts)
+    return out
 
 
 def components(links: DataFrame) -> DataFrame:
     """(id, component) of every id in ``links`` (a, b); component is the smallest id reachable. Stars are contracted
     until nothing changes; a hub's neighbours meet in an aggregate of minima, never in one row."""
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
-    before = None
+    before, last = None, ()
     while True:
         # large star: larger neighbours of u move to the least around u
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -182,34 +210,32 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
         edges = written(small.where("u <> v").distinct(), "stars")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        discard(large, *last)
+        last = (edges,)
         if now == before:
             break
         before = now
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).union(edges.select("v", "v").distinct())
 
 
-def _blocked(hot: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between different components among the members of each key: ``hot`` has key, rep, sig, component,
-    shingles and c, the key's number of members."""
+def _near(hot: DataFrame, percent: int) -> DataFrame:
+    """(key, u, v, rep, component, mine): members of each key that lie near one of another component by size and
+    signature, with the fine blocks u <= v of the two; mine is the member's own. ``hot`` has key, rep, sig, n, component and
+    c, the key's number of members."""
+    ratio = max(1, BLOCK // FINE)
     blocks = F.ceil(F.col("c") / BLOCK).cast("int")
-    d = hot.withColumn("mine", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
-    d = d.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    d = hot.withColumn("fine", F.pmod(F.xxhash64("rep"), blocks * ratio).cast("int"))
+    d = d.withColumn("mine", (F.col("fine") / ratio).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     d = d.withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other")})
     least = least_matches(percent)
     lanes = np.uint64(sum(1 << i for i in range(0, 64, BITS)))
 
     def compare(table: pa.Table) -> pa.Table:
         sig = np.stack(table.column("sig").to_numpy(zero_copy_only=False)).astype(np.uint64)
-        rep, mine = table.column("rep").to_numpy(), table.column("mine").to_numpy()
-        comp = table.column("component").to_numpy().copy()
-        sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in table.column("shingles")]
-        size = np.array([len(s) for s in sets])
-        values, codes = np.unique(np.concatenate(sets), return_inverse=True)
-        codes = np.split(codes, np.cumsum(size)[:-1])
+        rep, mine, fine, comp, size = (table.column(c).to_numpy() for c in ("rep", "mine", "fine", "component", "n"))
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
         left, right = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
-        member = np.zeros(len(values), bool)
-        out: list[tuple[int, int]] = []
+        found = [np.zeros((0, 3), np.int64)]
         for x in left:
             near = right[(comp[right] != comp[x]) & (100 * np.minimum(size[right], size[x]) >= percent * np.maximum(size[right], size[x]))]
             d = sig[x] ^ sig[near]
@@ -217,28 +243,52 @@ def _blocked(hot: DataFrame, percent: int) -> DataFrame:
             for k in range(1, BITS):
                 folded |= d >> np.uint64(k)
             near = near[HASHES - np.bitwise_count(folded & lanes).sum(axis=1, dtype=np.int64) >= least]
-            if not len(near):
-                continue
-            member[codes[x]] = True
-            for y in near:
-                both = int(member[codes[y]].sum())
-                if comp[y] != comp[x] and 100 * both >= percent * (size[x] + size[y] - both):
+            if len(near):
+                u, v = np.minimum(fine[x], fine[near]), np.maximum(fine[x], fine[near])
+                rows = np.stack([np.concatenate([u, u]), np.concatenate([v, v]), np.concatenate([np.full(len(near), x), near])], axis=1)
+                found.append(np.unique(rows, axis=0))
+        u, v, at = np.unique(np.concatenate(found), axis=0).T
+        key = np.full(len(at), table.column("key")[0].as_py())
+        return pa.table({"key": key, "u": u.astype(np.int32), "v": v.astype(np.int32), "rep": rep[at], "component": comp[at], "mine": fine[at].astype(np.int32)})
+
+    cols = ("key", "rep", "sig", "n", "component", "mine", "fine", "i", "j")
+    return d.select(*cols).groupBy("key", "i", "j").applyInArrow(compare, "key long, u int, v int, rep long, component long, mine int").distinct()
+
+
+def _linked(near: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between different components among the members of each pair of fine blocks: ``near`` has key, u, v,
+    rep, component, mine and packed."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor().decompress
+        sets = exact_windows(WordHasher(lower=True).of([unpack(t) for t in table.column("packed").to_pylist()]), SHINGLE)
+        rep, mine = table.column("rep").to_numpy(), table.column("mine").to_numpy()
+        comp = table.column("component").to_numpy().copy()
+        u, v = table.column("u")[0].as_py(), table.column("v")[0].as_py()
+        out: list[tuple[int, int]] = []
+        for x in np.flatnonzero(mine == u):
+            for y in np.flatnonzero((mine == v) & (comp != comp[x])):
+                small, large = sorted((len(sets[x]), len(sets[y])))
+                if comp[x] == comp[y] or 100 * small < percent * large:
+                    continue
+                both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if 100 * both >= percent * (small + large - both):
                     out.append((int(rep[x]), int(rep[y])))
                     comp[comp == comp[y]] = comp[x]  # further pairs of these two components say nothing new
-            member[codes[x]] = False
         return pa.table({"a": pa.array([p[0] for p in out], pa.int64()), "b": pa.array([p[1] for p in out], pa.int64())})
 
-    cols = ("key", "rep", "sig", "component", "shingles", "mine", "i", "j")
-    return d.select(*cols).groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+    return near.groupBy("key", "u", "v").applyInArrow(compare, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included), kept.
     Sets link whose Jaccard similarity is ``percent`` hundredths or more."""
     d = sketches(docs, percent)
-    reps = d.where("set_hash IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_hash").agg(F.min("doc_id").alias("rep"))
+    reps = d.where("sequence IS NOT NULL AND doc_id IS NOT NULL").groupBy("sequence").agg(F.min("doc_id").alias("rep"))
     reps = written(reps, "reps")
-    own = d.join(reps, "set_hash").where("doc_id = rep").select("rep", "keys", "sig")
+    own = d.join(reps, "sequence").where("doc_id = rep").select("rep", "keys", "sig", F.col("n_shingles").alias("n"))
     members = own.select("rep", F.explode("keys").alias("key"))
     shared = members.groupBy("key").agg(F.count("*").alias("c"), F.min("rep").alias("hub")).where("c > 1")
     buckets = written(members.join(shared, "key"), "buckets")
@@ -253,20 +303,29 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         .where(matches(F.col("ga"), F.col("gb")) >= least_matches(percent))
         .select("a", "b")
     )
-    links = confirmed(written(likely, "likely"), docs, percent)
+    likely = written(likely, "likely")
+    links = confirmed(likely, docs, percent)
     found = written(components(links), "components")
+    discard(likely, links)
     large = buckets.where(F.col("c") > BUCKET)
     if large.limit(1).count():
-        large = large.join(sigs, "rep").join(found, F.col("rep") == F.col("id"), "left").withColumn("component", F.coalesce("component", "rep"))
-        large = written(large.select("key", "rep", "sig", "component", "c"), "large")
+        large = large.join(own.select("rep", "sig", "n"), "rep").join(found, F.col("rep") == F.col("id"), "left").withColumn("component", F.coalesce("component", "rep"))
+        large = written(large.select("key", "rep", "sig", "n", "component", "c"), "large")
         split = large.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-        large = large.join(split, "key", "left_semi")
-        full = full_sets(docs, large.select(F.col("rep").alias("doc_id")).distinct())
-        more = written(_blocked(large.join(full.withColumnRenamed("doc_id", "rep"), "rep"), percent), "links")
-        if more.limit(1).count():
-            again = more.unionByName(found.select(F.col("id").alias("a"), F.col("component").alias("b")))
-            found = written(components(again), "components")
-    out = d.select("doc_id", "n_shingles", "set_hash").join(reps, "set_hash", "left").join(found, F.col("rep") == F.col("id"), "left")
+        near = written(_near(large.join(split, "key", "left_semi"), percent), "near")
+        discard(large)
+        if near.limit(1).count():
+            texts = packed_texts(docs, near.select(F.col("rep").alias("doc_id")).distinct())
+            more = written(_linked(near.join(texts.withColumnRenamed("doc_id", "rep"), "rep"), percent), "links")
+            if more.limit(1).count():
+                again = more.unionByName(found.select(F.col("id").alias("a"), F.col("component").alias("b")))
+                joined = written(components(again), "components")
+                discard(found)
+                found = joined
+            discard(texts, more)
+        discard(near)
+    discard(buckets)
+    out = d.select("doc_id", "n_shingles", "sequence").join(reps, "sequence", "left").join(found, F.col("rep") == F.col("id"), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 

@@ -4,22 +4,24 @@ A window is ``WINDOW`` consecutive words. Each has a minimizer, the least hash a
 a row that share one form a stretch, and equal windows have equal minimizers wherever they stand. So minimizers deal
 stretches to shards such that a window meets all its equals in one shard, and the work stays linear in the corpus:
 
-1. one pass over the texts gives each document's minimizers and a hash of its word sequence; of documents with equal
-   sequences only the first goes on, the others are covered entirely;
-2. minimizers are sorted; those of a single document end here;
+1. one pass over the texts gives each document's minimizers and a cryptographic digest of its word sequence; of documents
+   with equal sequences only the first goes on, the others are covered entirely;
+2. minimizers are counted; those of a single document end here;
 3. the stretches of the rest, as text, go to shards of about ``SHARD`` stretches; equal ones of a batch of documents
-   travel once, with their places. A shard indexes its distinct stretches with their smallest documents and searches each backward: whole, and where no earlier document holds the
-   whole, window by window, giving up once no earlier document is left. Hits are reported as word intervals;
+   travel once, with their places. A shard indexes its distinct stretches with their smallest documents and searches each
+   backward from each place where a window may end: the matching statistic there is the number of words before it that an
+   earlier document holds in a row. A stretch matched whole is covered whole, and of another the intervals whose statistic
+   reaches ``WINDOW`` are reported;
 4. intervals are gathered by document and the words they cover removed.
 
 A minimizer of more than ``HOT`` documents would overfill a shard. Its windows are taken singly: equal ones are first
 aggregated to one with their smallest document, then dealt to shards by their own hash and searched in the same way,
 and their members join the result by that hash, where Spark may split a hot one.
 
-Words are compared by 64-bit hashes, windows by 13 of them. Defined results: null texts have no words; a document of
-fewer words than a window keeps all; a null doc_id neither removes nor loses words; rows equal in doc_id and text give
-equal rows; rows of one doc_id with different texts count as one document, so that what is covered in one is removed in
-each; other columns are ignored; an empty table gives no rows.
+Hashes only deal; in a shard words have exact numbers and are compared by them. Defined results: null texts have no
+words; a document of fewer words than a window keeps all; a null doc_id neither removes nor loses words; rows equal in
+doc_id and text give equal rows; rows of one doc_id with different texts count as one document, so that what is covered
+in one is removed in each; other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,13 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 from .fm_index import FMIndex
 from .wordhash import WordHasher, window_hashes
 
 WINDOW, GRAM = 13, 5
 SHARD = 8_000
-HOT = 20_000
+HOT = 2_000
 STRETCH = "shard long, n int, content binary, docs array<long>, places array<int>"
 #: End of an interval that covers a whole document.
 ALL = (1 << 31) - 1
@@ -84,16 +86,15 @@ def _grams(docs: DataFrame) -> DataFrame:
     """(doc_id, sequence, mins) of documents with a window and an id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         hasher = WordHasher()
         for batch in batches:
             names, mins, at = [], [], []
-            for a, b, words, begin in hasher.slices(batch.column(1)):
+            for a, b, words in hasher.slices(batch.column(1)):
+                hashes, begin = words.hashes(), words.begin
                 for i in range(b - a):
-                    w = words[begin[i] : begin[i + 1]]
+                    w = hashes[begin[i] : begin[i + 1]]
                     if len(w) >= WINDOW:
-                        names.append(xxhash.xxh3_128_hexdigest(w.tobytes()))
+                        names.append(words.name(i))
                         mins.append(np.unique(stretches(w)[2]).view(np.int64))
                         at.append(a + i)
             yield pa.RecordBatch.from_arrays(
@@ -103,30 +104,14 @@ def _grams(docs: DataFrame) -> DataFrame:
     return _texts(docs).where("doc_id IS NOT NULL").mapInArrow(run, "doc_id long, sequence string, mins array<long>")
 
 
-def _shared(grams: DataFrame) -> DataFrame:
-    """(doc_id, m): minimizers that more than one row has. Rows come sorted, so equal ones are neighbours and no group
-    is held."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_d, held_m, linked = np.zeros(0, np.int64), np.zeros(0, np.int64), False
-        for batch in batches:
-            m = np.concatenate([held_m, batch.column(0).to_numpy()])
-            d = np.concatenate([held_d, batch.column(1).to_numpy()])
-            if not len(m):
-                continue
-            same = m[1:] == m[:-1]
-            keep = np.zeros(len(m), bool)
-            keep[1:] |= same
-            keep[:-1] |= same
-            keep[0] |= linked
-            linked, held_m, held_d = bool(keep[-1]), m[-1:], d[-1:]
-            out = np.flatnonzero(keep[:-1])  # the last row waits for its neighbour
-            yield pa.RecordBatch.from_arrays([pa.array(d[out]), pa.array(m[out])], names=["doc_id", "m"])
-        if linked:
-            yield pa.RecordBatch.from_arrays([pa.array(held_d), pa.array(held_m)], names=["doc_id", "m"])
-
+def _shared(grams: DataFrame, hot: int) -> DataFrame:
+    """(doc_id, m, crowded): minimizers that more than one row has. They are counted with a combine before the shuffle, and
+    the rows of a frequent one meet its count in a join that Spark may split."""
     rows = grams.select(F.explode("mins").alias("m"), "doc_id")
-    return rows.repartition("m").sortWithinPartitions("m").mapInArrow(run, "doc_id long, m long")
+    counts = written(rows.groupBy("m").agg(F.count("*").alias("c")).where("c > 1"), "counts")
+    out = written(rows.join(counts, "m").select("doc_id", "m", (F.col("c") > hot).alias("crowded")), "shared")
+    discard(counts)
+    return out
 
 
 def _cut(docs: DataFrame, wanted: DataFrame, shards: int, single: bool) -> DataFrame:
@@ -139,9 +124,10 @@ def _cut(docs: DataFrame, wanted: DataFrame, shards: int, single: bool) -> DataF
             ids = batch.column(0).to_numpy()
             found: dict[tuple[int, int, bytes], tuple[list[int], list[int]]] = {}
             for a, b, data, offsets in hasher.pieces(_unpacked(batch.column(1))):
-                words, first_byte, end_byte, begin = hasher.words(data, offsets)
+                words = hasher.words(data, offsets)
+                hashes, first_byte, end_byte, begin = words.hashes(), words.first, words.end, words.begin
                 for i in range(b - a):
-                    w = words[begin[i] : begin[i + 1]]
+                    w = hashes[begin[i] : begin[i + 1]]
                     pos, n, mins = stretches(w)
                     mine = np.isin(mins.view(np.int64), np.asarray(batch.column(2)[a + i].values))
                     pos, n, mins = pos[mine], n[mine], mins[mine]
@@ -172,25 +158,24 @@ def _cut(docs: DataFrame, wanted: DataFrame, shards: int, single: bool) -> DataF
     return _packed(docs).join(wanted, "doc_id").select("doc_id", "text", "ms").mapInArrow(run, STRETCH)
 
 
-def _hashed(contents: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """The word hashes of a shard's contents and where each content's words begin."""
-    parts = contents.to_pylist()
-    offsets = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
-    words, _, _, begin = WordHasher().words(np.frombuffer(b"".join(parts), np.uint8), offsets)
-    return words, begin
+def _numbered(contents: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, int]:
+    """A shard's contents as numbers of their words from 1 on, where each content begins, and the number of words."""
+    words = WordHasher().of(contents.to_pylist())
+    codes, known = words.codes()
+    return codes + 1, words.begin, len(known)
 
 
-def search(least: np.ndarray, n: np.ndarray, contents: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, dict[int, np.ndarray]]:
+def search(least: np.ndarray, n: np.ndarray, contents: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, dict[int, tuple[np.ndarray, np.ndarray]]]:
     """For each stretch of a shard, whose smallest document is ``least``: the smallest document with the same words,
-    whether an earlier one holds it whole, and for the others which windows of that smallest document an earlier one
-    holds, where any.
+    whether an earlier one holds it whole, and for the others the word intervals [b, e) of that smallest document which
+    earlier ones hold in a row, where any has a window's length.
 
-    The index holds the distinct stretches with their smallest documents. A stretch that an earlier document holds
-    whole is covered whole; another is searched window by window.
+    The index holds the distinct stretches with their smallest documents, and each is searched backward from its end and,
+    where it isn't held whole, from every other place at which a window may end.
     """
-    words, begin = _hashed(contents)
+    words, begin, sigma = _numbered(contents)
     width = int(n.max()) + WINDOW - 1
-    padded = np.zeros((len(n), width), np.uint64)
+    padded = np.zeros((len(n), width), np.int64)
     size = n + WINDOW - 1
     padded[np.arange(width)[None, :] < size[:, None]] = words
     # equal rows of words are one distinct stretch
@@ -198,26 +183,27 @@ def search(least: np.ndarray, n: np.ndarray, contents: pa.ChunkedArray) -> tuple
     _, first, which = np.unique(key, return_index=True, return_inverse=True)
     own = np.full(len(first), np.iinfo(np.int64).max)
     np.minimum.at(own, which, least)
-    symbols_of, symbols = np.unique(words, return_inverse=True)
     size, n_of = size[first], n[first]
-    flat = symbols[np.concatenate([np.arange(begin[i], begin[i] + s) for i, s in zip(first, size, strict=True)])] + 1
     starts = np.concatenate([[0], np.cumsum(size)])
-    index = FMIndex(flat, starts, own, len(symbols_of))
-    whole = index.covered(flat, starts[:-1], size, own)
+    flat = words[np.arange(starts[-1]) + np.repeat(begin[first] - starts[:-1], size)]
+    index = FMIndex(flat, starts, own, sigma)
+    last = index.statistics(flat, starts[:-1], size, own)
+    whole = last == size
+    # a stretch's other ends: its first window's to its last but one's
     part = np.flatnonzero(~whole)
-    at = np.repeat(starts[part] - np.cumsum(n_of[part]) + n_of[part], n_of[part]) + np.arange(n_of[part].sum())
-    hit = index.covered(flat, at, np.full(len(at), WINDOW), np.repeat(own[part], n_of[part]))
-    ends = np.cumsum(n_of[part])
-    some = {int(p): hit[e - k : e] for p, e, k in zip(part, ends, n_of[part], strict=True) if hit[e - k : e].any()}
-    rows = {int(r): some[int(u)] for r, u in enumerate(which) if int(u) in some}
+    more = n_of[part] - 1
+    stretch = np.repeat(part, more)
+    end = np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more) + WINDOW
+    stretch, end = np.concatenate([stretch, part]), np.concatenate([end, size[part]])
+    length = np.concatenate([index.statistics(flat, starts[stretch[: more.sum()]], end[: more.sum()], own[stretch[: more.sum()]]), last[part]])
+    hit = np.flatnonzero(length >= WINDOW)
+    hit = hit[np.argsort(stretch[hit], kind="stable")]
+    some, at = np.unique(stretch[hit], return_index=True)
+    spans = {int(u): (end[h] - length[h], end[h]) for u, h in zip(some, np.split(hit, at[1:]), strict=True)} if len(hit) else {}
+    rows = {int(r): spans[int(u)] for r, u in enumerate(which) if int(u) in spans}
     return own[which], whole[which], rows
 
 
-def _runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    edge = np.diff(np.concatenate([[0], mask.astype(np.int8), [0]]))
-    return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-
-
 def _shard_hits(table: pa.Table) -> pa.Table:
     docs, places = (table.column(c).combine_chunks() for c in ("docs", "places"))
     n = table.column("n").to_numpy().astype(np.int64)
@@ -228,10 +214,10 @@ def _shard_hits(table: pa.Table) -> pa.Table:
     full = whole[row] | (d > own[row])
     ids, begin, end = [d[full]], [p[full]], [p[full] + n[row[full]] + WINDOW - 1]
     for k in np.flatnonzero(~full & np.isin(row, list(rows))):
-        a, b = _runs(rows[int(row[k])])
-        ids.append(np.full(len(a), d[k]))
-        begin.append(p[k] + a)
-        end.append(p[k] + b + WINDOW - 1)
+        b, e = rows[int(row[k])]
+        ids.append(np.full(len(b), d[k]))
+        begin.append(p[k] + b)
+        end.append(p[k] + e)
     return pa.table({"doc_id": pa.array(np.concatenate(ids)), "b": pa.array(np.concatenate(begin).astype(np.int32)), "e": pa.array(np.concatenate(end).astype(np.int32))})
 
 
@@ -242,16 +228,13 @@ def repeated(docs: DataFrame, shard: int = SHARD, hot: int = HOT) -> DataFrame:
     seen = grams.select("sequence", "doc_id").join(firsts, "sequence")
     copies = seen.where("doc_id > first").select("doc_id", F.lit(0).alias("b"), F.lit(ALL).alias("e")).distinct()
     alone = grams.join(seen.where("doc_id > first").select("doc_id"), "doc_id", "left_anti")
-    wanted = written(_shared(alone), "shared")
-    crowded = wanted.groupBy("m").agg(F.count("*").alias("c")).where(F.col("c") > hot).select("m")
-    crowded = written(crowded, "crowded")
-    n_hot = crowded.count()
-    cool = wanted.join(crowded, "m", "left_anti") if n_hot else wanted
-    shards = max(1, -(-wanted.count() // shard))
+    wanted = _shared(alone, hot)
+    n_cool, n_hot = (wanted.where(c).count() for c in ("NOT crowded", "crowded"))
+    shards = max(1, -(-(n_cool + n_hot) // shard))
     lists = lambda d: d.groupBy("doc_id").agg(F.collect_list("m").alias("ms"))
-    hits = _cut(docs, lists(cool), shards, False).groupBy("shard").applyInArrow(_shard_hits, "doc_id long, b int, e int")
+    hits = _cut(docs, lists(wanted.where("NOT crowded")), shards, False).groupBy("shard").applyInArrow(_shard_hits, "doc_id long, b int, e int")
     if n_hot:
-        singles = _cut(docs, lists(wanted.join(crowded, "m", "left_semi")), shards, True).withColumnRenamed("shard", "h")
+        singles = _cut(docs, lists(wanted.where("crowded")), shards, True).withColumnRenamed("shard", "h")
         least = F.array_min("docs")
         kinds = singles.groupBy("h", "content").agg(F.min(least).alias("doc_id"))
         found = kinds.groupBy(F.pmod(F.col("h"), F.lit(shards)).alias("shard")).applyInArrow(_single_hits, "h long, content binary, least long")
@@ -263,18 +246,12 @@ def repeated(docs: DataFrame, shard: int = SHARD, hot: int = HOT) -> DataFrame:
 
 def _single_hits(table: pa.Table) -> pa.Table:
     """Each single window of a shard with the smallest document that holds it, by search."""
-    doc_id = table.column("doc_id").to_numpy()
-    contents = table.column("content")
-    words, _ = _hashed(contents)
-    rows = words.reshape(-1, WINDOW)
-    symbols_of, symbols = np.unique(words, return_inverse=True)
-    flat, starts = symbols.ravel() + 1, np.arange(len(rows) + 1) * WINDOW
-    index = FMIndex(flat, starts, doc_id, len(symbols_of))
-    low, high = np.zeros(len(rows), np.int64), np.full(len(rows), index.n, np.int64)
+    flat, starts, sigma = _numbered(table.column("content"))
+    index = FMIndex(flat, starts, table.column("doc_id").to_numpy(), sigma)
+    low, high = np.zeros(len(starts) - 1, np.int64), np.full(len(starts) - 1, index.n, np.int64)
     for k in range(WINDOW - 1, -1, -1):
         low, high = index.extend(low, high, flat[starts[:-1] + k])
-    h = np.array([window_hashes(r, WINDOW)[0] for r in rows], np.uint64).view(np.int64)
-    return pa.table({"h": pa.array(h), "content": contents, "least": pa.array(index.least(low, high))})
+    return pa.table({"h": table.column("h"), "content": table.column("content"), "least": pa.array(index.least(low, high))})
 
 
 def removed(docs: DataFrame, shard: int = SHARD, hot: int = HOT) -> DataFrame:
@@ -287,7 +264,8 @@ def removed(docs: DataFrame, shard: int = SHARD, hot: int = HOT) -> DataFrame:
         for batch in batches:
             n_words, n_removed, kept = [], [], []
             for a, b, data, offsets in hasher.pieces(_unpacked(batch.column(1))):
-                _, first_byte, end_byte, begin = hasher.words(data, offsets)
+                words = hasher.words(data, offsets)
+                first_byte, end_byte, begin = words.first, words.end, words.begin
                 raw = data.tobytes()
                 for i in range(b - a):
                     n = int(begin[i + 1] - begin[i])

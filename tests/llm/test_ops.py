@@ -146,10 +146,22 @@ def test_fm_index():
         begin, flat = np.cumsum([0, *map(len, seqs)]), np.concatenate(seqs)
         f = FMIndex(flat, begin, own, 5)
         p = [(i, j, n) for i, s in enumerate(seqs) for j in range(len(s)) for n in (1, 3, 5) if j + n <= len(s)]
-        got = f.covered(flat, np.array([begin[i] + j for i, j, _ in p]), np.array([n for *_, n in p]), np.array([own[i] for i, *_ in p]))
+        got = f.statistics(flat, np.array([begin[i] + j for i, j, _ in p]), np.array([n for *_, n in p]), np.array([own[i] for i, *_ in p]))
         for (i, j, n), g in zip(p, got, strict=True):
-            pat = seqs[i][j : j + n].tolist()
-            assert g == any(own[k] < own[i] and any(s[q : q + n].tolist() == pat for q in range(len(s))) for k, s in enumerate(seqs))
+            held = lambda pat, i=i: any(own[k] < own[i] and any(s[q : q + len(pat)].tolist() == pat for q in range(len(s))) for k, s in enumerate(seqs))
+            assert g == max((m for m in range(1, n + 1) if held(seqs[i][j + n - m : j + n].tolist())), default=0)
+
+
+def test_least_of_ranges():
+    import numpy as np
+
+    from cuvee.llm.fm_index import Least
+
+    rng = np.random.default_rng(1)
+    for n in (1, 5, 16, 17, 300):
+        v = rng.integers(0, 50, n)
+        low, high = np.array([(a, b) for a in range(n) for b in range(a + 1, n + 1)]).T
+        assert Least(v).of(low, high).tolist() == [v[a:b].min() for a, b in zip(low, high, strict=True)]
 
 
 # ---------------------------------------------------------------- 5
