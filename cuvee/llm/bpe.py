@@ -6,9 +6,17 @@ recursive query whose step joins neighbouring tokens with the merge table and co
 least rank, until no piece has a pair left. Documents are then sequences of piece numbers, and decoding joins token ids
 with their bytes and concatenates them in order of position.
 
+The recursion costs a piece's length times its number of contractions, so pieces of more than ``PART`` bytes run as
+overlapping parts of that length and are put together exactly: a sequence of tokens is the encoding of its bytes if and
+only if each two neighbours are the encoding of theirs, because the first contraction across any boundary would also come
+first in those two alone. So where two overlapping parts have the same token at the same place, the first part's tokens
+before it and the second's from it on are the encoding of both. Parts without such a place are encoded anew from a
+boundary of the first, and longer ones if need be.
+
 Bounds: the merge table follows from the vocabulary (50 thousand tokens here). Texts are taken by ``CHUNK_CHARS``
-characters at a time, cut only between documents, and the piece dictionary is emptied beyond ``DICTIONARY_PIECES``;
-both only bound memory, never what is encoded.
+characters at a time, cut only between documents, new pieces by ``LEARN_BYTES``, ids to decode by ``DECODE_IDS``, and the
+piece dictionary is emptied beyond ``DICTIONARY_PIECES``; all only bound memory, never what is encoded. DuckDB works in
+memory and may not spill to the worker's disk.
 
 Defined results: a null text is encoded as an empty one, to no ids. Repeated rows give repeated results. Other columns
 are kept by ``encode``; columns named ids, n_tokens and decoded are replaced.
@@ -26,6 +34,10 @@ from pyspark.sql import types as T
 
 CHUNK_CHARS = 2_000_000
 DICTIONARY_PIECES = 800_000
+LEARN_BYTES = 1 << 20
+DECODE_IDS = 1_000_000
+#: Bytes of a part of a long piece; no less than twice the longest token.
+PART = 256
 
 #: One row a merge: tokens l and r, neighbours, become token m, whose number is its rank.
 MERGES = """
@@ -64,11 +76,8 @@ SELECT w, w << 32, id FROM whole WHERE id IS NOT NULL
 ORDER BY k
 """
 
-#: One thread aggregates rows in the order in which they come.
 DECODE = """
-SELECT doc, string_agg(latin, '') AS latin
-FROM (SELECT doc, v.latin FROM stream s JOIN vocab v ON v.id = s.id ORDER BY doc, pos)
-GROUP BY doc
+SELECT doc, string_agg(latin, '' ORDER BY pos) AS latin FROM stream s JOIN vocab v ON v.id = s.id GROUP BY doc
 """
 
 
@@ -86,7 +95,8 @@ class Codec:
         import regex
 
         self.cut = regex.compile(pattern).findall
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self.part = max(PART, 2 * max(len(t) for t, _ in ranks))
         vocab = pa.table(
             {
                 "id": pa.array([r for _, r in ranks], pa.int64()),
@@ -109,17 +119,86 @@ class Codec:
         self.flat = np.zeros(0, np.uint32)
         self.begin = np.zeros(1, np.int64)
 
+    def contracted(self, pieces: list[bytes]) -> tuple:
+        """The encodings of pieces, one after another, as arrays of piece, first byte and token."""
+        rows = pa.table({"w": pa.array(range(len(pieces)), pa.int64()), "hex": [p.hex() for p in pieces]})
+        self.con.register("pieces", rows)
+        got = self.con.execute(ENCODE).fetchnumpy()
+        self.con.unregister("pieces")
+        return got["w"], got["k"] & 0xFFFFFFFF, got["tok"]
+
     def learn(self, pieces: list[str]) -> None:
         """Encodes pieces that are new, numbered on from those known."""
         import numpy as np
 
-        rows = pa.table({"w": pa.array(range(len(pieces)), pa.int64()), "hex": [p.encode().hex() for p in pieces]})
-        self.con.register("pieces", rows)
-        got = self.con.execute(ENCODE).fetchnumpy()
-        self.con.unregister("pieces")
-        n = np.bincount(got["w"], minlength=len(pieces))
-        self.flat = np.concatenate([self.flat, got["tok"].astype(np.uint32)])
-        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(n)])
+        todo, size = [], 0
+        for i, p in enumerate(p.encode() for p in pieces):
+            todo.append(p)
+            size += len(p)
+            if size >= LEARN_BYTES or i + 1 == len(pieces):
+                long = [k for k, p in enumerate(todo) if len(p) > self.part]
+                w, _, tok = self.contracted([b"" if len(p) > self.part else p for p in todo])
+                n = np.bincount(w, minlength=len(todo))
+                if long:
+                    found = np.split(tok, np.cumsum(n)[:-1])
+                    for k in long:
+                        found[k] = self.long_piece(todo[k])
+                        n[k] = len(found[k])
+                    tok = np.concatenate(found)
+                self.flat = np.concatenate([self.flat, tok.astype(np.uint32)])
+                self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(n)])
+                todo, size = [], 0
+
+    def long_piece(self, piece: bytes):
+        """The encoding of a piece of more than a part's bytes, from parts that overlap by half."""
+        import numpy as np
+
+        step = self.part // 2
+        starts = list(range(0, len(piece) - self.part + 1, step))
+        at: list = []
+        tok: list = []
+        for a in range(0, len(starts), LEARN_BYTES // self.part):
+            group = starts[a : a + LEARN_BYTES // self.part]
+            ends = [len(piece) if s == starts[-1] else s + self.part for s in group]
+            w, pos, ids = self.contracted([piece[s:e] for s, e in zip(group, ends, strict=True)])
+            cuts = np.searchsorted(w, np.arange(len(group) + 1))
+            for s, b, e in zip(group, cuts[:-1], cuts[1:], strict=True):
+                new_at, new_tok = (pos[b:e] + s).tolist(), ids[b:e].tolist()
+                if s and not self.joined(at, tok, new_at, new_tok):
+                    self.extend(piece, at, tok, s + self.part if s != starts[-1] else len(piece))
+                elif not s:
+                    at, tok = new_at, new_tok
+        return np.array(tok, np.int64)
+
+    @staticmethod
+    def joined(at: list[int], tok: list[int], new_at: list[int], new_tok: list[int]) -> bool:
+        """Puts an encoding that begins inside another's bytes behind it, where they have a token in common."""
+        from bisect import bisect_left
+
+        low = bisect_left(at, new_at[0])
+        here = dict(zip(at[low:], zip(tok[low:], range(low, len(at)), strict=True), strict=True))
+        for k, (p, t) in enumerate(zip(new_at, new_tok, strict=True)):
+            if p in here and here[p][0] == t:
+                i = here[p][1]
+                at[i:], tok[i:] = new_at[k:], new_tok[k:]
+                return True
+        return False
+
+    def extend(self, piece: bytes, at: list[int], tok: list[int], end: int) -> None:
+        """Encodes on to ``end`` from boundaries of the encoding so far, further back each time, at last from the first."""
+        from bisect import bisect_left
+
+        back = self.part // 2
+        while True:
+            begin = at[max(bisect_left(at, at[-1] - back), 0)] if back < at[-1] else 0
+            _, pos, ids = self.contracted([piece[begin:end]])
+            new_at, new_tok = (pos + begin).tolist(), ids.tolist()
+            if begin == 0:
+                at[:], tok[:] = new_at, new_tok
+                return
+            if self.joined(at, tok, new_at, new_tok):
+                return
+            back *= 2
 
     def encode(self, texts: list[str]) -> list:
         """Each text's ids, as arrays of unsigned 32-bit integers."""
@@ -148,36 +227,29 @@ class Codec:
         import numpy as np
 
         n = np.array([len(x) for x in ids], np.int64)
-        if not n.sum():
-            return [b""] * len(ids)
-        stream = pa.table(
-            {
-                "doc": np.repeat(np.arange(len(ids)), n),
-                "pos": np.arange(n.sum()),
-                "id": np.concatenate(ids).astype(np.int64),
-            }
-        )
-        self.con.register("stream", stream)
-        got = self.con.execute(DECODE).fetchall()
-        self.con.unregister("stream")
-        out = [b""] * len(ids)
-        for doc, latin in got:
-            # two bytes a character in UTF-16; the upper ones are all 1
-            out[doc] = latin.encode("utf-16-le")[::2]
-        return out
+        flat, doc = np.concatenate([np.zeros(0, np.int64), *ids]).astype(np.int64), np.repeat(np.arange(len(ids)), n)
+        out: list[list[bytes]] = [[] for _ in ids]
+        for a in range(0, len(flat), DECODE_IDS):
+            part = slice(a, a + DECODE_IDS)
+            self.con.register("stream", pa.table({"doc": doc[part], "pos": np.arange(len(flat[part])), "id": flat[part]}))
+            got = self.con.execute(DECODE).fetchall()
+            self.con.unregister("stream")
+            for d, latin in got:
+                # two bytes a character in UTF-16; the upper ones are all 1
+                out[d].append(latin.encode("utf-16-le")[::2])
+        return [b"".join(x) for x in out]
 
 
-def _task_codec(ranks: list[tuple[bytes, int]], pattern: str) -> Codec:
-    """The worker process's codec, kept for its next task."""
-    import sys
-    import types
+#: The worker process's codec, kept for its next task.
+_CODECS: dict = {}
 
-    kept = sys.modules.setdefault("_cuvee_worker", types.ModuleType("_cuvee_worker")).__dict__.setdefault("codecs", {})
+
+def _task_codec(ranks: list[tuple[bytes, int]], pattern: str) -> Codec:
     key = (hash(tuple(ranks)), pattern)
-    if key not in kept:
-        kept.clear()
-        kept[key] = Codec(ranks, pattern)
-    return kept[key]
+    if key not in _CODECS:
+        _CODECS.clear()
+        _CODECS[key] = Codec(ranks, pattern)
+    return _CODECS[key]
 
 
 def _chunks(texts: list[str]) -> Iterator[tuple[int, int]]:

@@ -112,3 +112,44 @@ def test_pii_hard_texts(spark):
     assert pii.spans(f"write to {long_name} (at) foo (dot) com", model)[1] in ([], [("email", 9, 9 + 200 + len(" (at) foo (dot) com"))])
     d = spark.createDataFrame([(1, "0" * 5000 + ".1.2.3"), (2, None)], "doc_id long, text string")
     assert {(r.doc_id, r.n_ip) for r in pii.find(d, model).collect()} == {(1, 1), (2, 0)}
+
+
+# ---------------------------------------------------------------- 5
+def test_very_long_pieces():
+    """Pieces of a hundred thousand letters equal the library's ids, in time that follows their length."""
+    import random
+
+    import public_tokenizers as p
+    import tiktoken
+
+    from cuvee.llm import bpe
+
+    ranks = bpe.read_ranks(p.path("byte_bpe_50k.tiktoken"))
+    library = tiktoken.Encoding("own", pat_str=p.PATTERN, mergeable_ranks=dict(ranks), special_tokens={})
+    codec, rng = bpe.Codec(ranks, p.PATTERN), random.Random(3)
+    texts = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n)) for n in (255, 256, 257, 384, 1000, 100_000)]
+    texts += ["a" * 5000, "abcde" * 1000, "=" * 3000, "é" * 2000, "".join(rng.choices("ACGT", k=5000)), "".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(2000))]
+    began = time.time()
+    got = codec.encode(texts)
+    assert time.time() - began < 60
+    assert [x.tolist() for x in got] == [library.encode_ordinary(t) for t in texts]
+    assert codec.decode(got) == [t.encode() for t in texts]
+    # parts without a common token: encoded anew from a boundary, or from the start
+    piece = texts[4].encode()
+    for known in (400, 900):
+        head = [codec.contracted([piece[:known]])[k].tolist() for k in (1, 2)]
+        codec.extend(piece, *head, len(piece))
+        assert head[1] == library.encode_ordinary(texts[4])
+    assert not codec.joined([0, 3], [5, 6], [3, 4], [7, 6])
+
+
+def test_decoding_in_blocks(monkeypatch):
+    import public_tokenizers as p
+
+    from cuvee.llm import bpe
+
+    monkeypatch.setattr(bpe, "DECODE_IDS", 7)
+    monkeypatch.setattr(bpe, "LEARN_BYTES", 16)
+    codec = bpe.Codec(bpe.read_ranks(p.path("byte_bpe_50k.tiktoken")), p.PATTERN)
+    texts = ["", "one two three four five six seven eight nine ten", "", "x\x00y", "😀 é " * 9]
+    assert codec.decode(codec.encode(texts)) == [t.encode() for t in texts]
