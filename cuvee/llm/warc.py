@@ -1,7 +1,10 @@
 """WARC archives: a deterministic sharded writer and its reader.
 
-Writing range-sorts records by page id, so a shard holds a run of ids and the same input gives the same files. A task
-appends gzip members (one a record, no time stamps) to a file and rolls it when it reaches ``roll_bytes`` compressed.
+Records are range-sorted by page id, payload digest and url. Where a shard begins follows from the bytes that stand before
+it in this order, so the same input gives the same files however it is dealt to tasks: a first pass sums sizes by range,
+a second finds the shards' first keys, and only those keys are brought to the driver. A shard has a 256th of all bytes, but
+no less than ``LEAST_SHARD`` and no more than ``MOST_SHARD``; a page id of many rows, null included, may span several. A
+task appends gzip members (one a record, no time stamps) to a file and rolls it when it reaches ``roll_bytes`` compressed.
 A file is written under a name of its task attempt and renamed when complete; the manifest, written last by Spark,
 lists the files that count, so a lost executor or a repeated task leaves nothing that a reader would see.
 
@@ -12,8 +15,8 @@ split a hot one.
 
 Defined results: a null html is an empty payload; a null url leaves the header out; a null page id sorts first. With
 ``repeats``, as op6 has it, every row has its record, and all rows of the largest page id are responses; rows equal in
-page id and payload are numbered by url, so that record ids stay unique. Without it one of such rows is written. No
-table rows give an empty archive. Other columns are ignored.
+page id and payload are numbered by url, so that record ids stay unique. Without it the one of least url is written.
+Rows equal in page id, payload and url lie in one shard. No table rows give an empty archive. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,12 +26,15 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import scratch
+from .common import discard, scratch, written
 
 ROLL_BYTES = 64 << 20
+LEAST_SHARD, MOST_SHARD = 4 << 20, 256 << 20
+#: Bytes that a record's headers count for.
+HEAD_BYTES = 512
 #: Fixed value: the profile of a revisit with an identical payload, from the WARC 1.1 standard.
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Fixed value, so that archives of equal input are equal.
@@ -106,51 +112,107 @@ class _Shard:
         return [(self.name, self.first, self.last, self.n, self.size, self.sum.hexdigest())]
 
 
-def write_archive(pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, repeats: bool = False) -> DataFrame:
+def _prefix() -> Column:
+    """Page id, null first, and payload digest as a text that sorts like them."""
+    at = F.lpad(F.hex(F.col("page_id").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+    return F.concat(F.coalesce(at, F.lit("")), F.lit("/"), "_sha1")
+
+
+def _key() -> Column:
+    return F.concat(_prefix(), F.lit("/"), F.coalesce("url", F.lit("")))
+
+
+def shard_starts(keyed: DataFrame, least: int = LEAST_SHARD, most: int = MOST_SHARD) -> list[str]:
+    """The first key of each shard but the first: ``keyed`` (page_id, url, _sha1, _n) in order of keys is cut where the
+    bytes before a row reach a multiple of a shard's bytes. They are no more than all bytes over ``least``."""
+    total = keyed.agg(F.sum(F.col("_n") + HEAD_BYTES)).first()[0] or 0
+    size = min(most, max(least, total // 256))
+    if total <= size:
+        return []
+    ranged = keyed.select(_key().alias("key"), (F.col("_n") + HEAD_BYTES).alias("size")).repartitionByRange("key")
+    ranged = written(ranged.withColumn("range", F.spark_partition_id()), "ranges")
+    before, at = 0, []
+    for r in ranged.groupBy("range").agg(F.sum("size").alias("size")).orderBy("range").collect():
+        at.append((r.range, before))
+        before += r.size
+    offsets = keyed.sparkSession.createDataFrame(at, "range int, offset long")
+    inside = F.sum("size").over(Window.partitionBy("range").orderBy("key").rowsBetween(Window.unboundedPreceding, -1))
+    placed = ranged.join(F.broadcast(offsets), "range").withColumn("at", F.col("offset") + F.coalesce(inside, F.lit(0)))
+    first = placed.groupBy(F.floor(F.col("at") / size).alias("shard")).agg(F.min("key").alias("key"))
+    out = [r.key for r in first.orderBy("shard").collect()][1:]
+    discard(ranged)
+    return sorted(set(out))
+
+
+def _shard_of(starts: list[str]):
+    import numpy as np
+
+    ordered = np.array([s.encode() for s in starts], object)
+
+    @F.arrow_udf("int")
+    def shard(keys: pa.Array) -> pa.Array:
+        return pa.array(np.searchsorted(ordered, np.array([k.encode() for k in keys.to_pylist()], object), "right").astype(np.int32))
+
+    return shard
+
+
+def write_archive(
+    pages: DataFrame, folder: str, roll_bytes: int = ROLL_BYTES, repeats: bool = False, least_shard: int = LEAST_SHARD, most_shard: int = MOST_SHARD
+) -> DataFrame:
     """Writes ``pages`` (page_id, url, html) below ``folder``, a URI all executors reach; the manifest, which also
     stands in ``folder``/_manifest as Parquet. Rows equal in page id and payload each have a record only with ``repeats``."""
     spark = pages.sparkSession
-    payload = F.coalesce(F.col("html"), F.lit(""))
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("html"))
-    keyed = rows.select("page_id", F.sha1("html").alias("_sha1"), F.octet_length("html").alias("_n"))
+    html = F.coalesce(F.col("html"), F.lit(""))
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"), F.sha1(html).alias("_sha1"))
+    keyed = written(rows.select("page_id", "url", "_sha1", F.octet_length("html").cast("long").alias("_n")), "keys")
     leads = keyed.groupBy("_sha1", "_n").agg(F.max("page_id").alias("lead"), F.count("*").alias("_c")).where("_c > 1").drop("_c")
     markers = (
         keyed.join(leads, ["_sha1", "_n"])
         .where(~F.col("page_id").eqNullSafe(F.col("lead")))
-        .select("page_id", F.lit(0).alias("kind"), F.lit(None).cast("string").alias("url"), "_sha1", "lead")
+        .select("page_id", F.lit(0).alias("kind"), "url", "_sha1", F.lit(None).cast("string").alias("html"), "lead")
     )
-    records = rows.select("page_id", F.lit(1).alias("kind"), "url", F.col("html").alias("_sha1"), F.lit(None).cast("long").alias("lead"))
-    ordered = markers.unionByName(records).repartitionByRange("page_id").sortWithinPartitions("page_id", "kind", "_sha1", "url")
+    records = rows.select("page_id", F.lit(1).alias("kind"), "url", "_sha1", "html", F.lit(None).cast("long").alias("lead"))
+    starts = shard_starts(keyed, least_shard, most_shard)
+    shard = _shard_of(starts)(_key()) if starts else F.lit(0)
+    # rows of a page id and payload that lie in several shards are numbered on from one to the next
+    split = spark.createDataFrame([(p,) for p in sorted({s[: s.index("/") + 41] for s in starts})], "prefix string")
+    counted = keyed.withColumn("prefix", _prefix()).join(F.broadcast(split), "prefix").groupBy("prefix", shard.alias("shard")).agg(F.count("*").alias("n"))
+    earlier: dict[tuple[int, str], int] = {}
+    last, total = None, 0
+    for r in counted.orderBy("prefix", "shard").collect() if starts else ():
+        total = total if r.prefix == last else 0
+        earlier[r.shard, r.prefix.partition("/")[0], r.prefix.partition("/")[2]] = total
+        last, total = r.prefix, total + r.n
+    n_shards = len(starts) + 1
+    ordered = markers.unionByName(records).withColumn("shard", shard).repartitionById(n_shards, "shard").sortWithinPartitions("shard", "page_id", "_sha1", "kind", "url")
     names = [x.split()[0] for x in MANIFEST.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import hashlib
-
-        from pyspark import TaskContext
-
-        shard = _Shard(folder, TaskContext.get().partitionId(), roll_bytes)
-        done: list[tuple] = []
-        page, marks, seen, ordinal = object(), {}, None, 0
+        out, done = None, []
+        group, lead, ordinal = object(), None, 0
         for batch in batches:
-            for page_id, kind, url, text, lead in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if page_id != page:
-                    page, marks, seen = page_id, {}, None
+            for page_id, kind, url, sha1, html, marked, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if out is None or part != out.part:
+                    done += out.close() if out else []
+                    out, group = _Shard(folder, part, roll_bytes), object()
+                if (page_id, sha1) != group:
+                    group, lead = (page_id, sha1), None
+                    ordinal = earlier.get((part, "" if page_id is None else f"{page_id + (1 << 63):016X}", sha1), 0)
                 if kind == 0:
-                    marks[text] = lead
+                    lead = marked
                     continue
-                ordinal = ordinal + 1 if text == seen else 1  # rows of a page id are sorted by payload
+                ordinal += 1
                 if ordinal > 1 and not repeats:
                     continue
-                seen, data = text, text.encode()
-                lead = marks.get(hashlib.sha1(data).hexdigest()) if marks else None
-                if shard.full():
-                    done += shard.close()
-                shard.add(page_id, member(record(page_id, url, data, lead, lead is not None, ordinal=ordinal)))
-        done += shard.close()
+                if out.full():
+                    done += out.close()
+                out.add(page_id, member(record(page_id, url, html.encode(), lead, lead is not None, ordinal=ordinal)))
+        done += out.close() if out else []
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*done, strict=True)] if done else [pa.array([], t) for t in (pa.string(), *[pa.int64()] * 4, pa.string())], names=names)
 
     manifest = f"{folder}/_manifest"
     ordered.mapInArrow(run, MANIFEST).write.parquet(manifest)
+    discard(keyed)
     return spark.read.schema(MANIFEST).parquet(manifest)
 
 

@@ -153,3 +153,27 @@ def test_decoding_in_blocks(monkeypatch):
     codec = bpe.Codec(bpe.read_ranks(p.path("byte_bpe_50k.tiktoken")), p.PATTERN)
     texts = ["", "one two three four five six seven eight nine ten", "", "x\x00y", "😀 é " * 9]
     assert codec.decode(codec.encode(texts)) == [t.encode() for t in texts]
+
+
+# ---------------------------------------------------------------- 6
+def test_archives_are_equal(spark, tmp_path):
+    """However the input is dealt to tasks, the same pages give the same files; shards split hot ids without repeating record ids."""
+    import re
+
+    from cuvee.llm import warc
+
+    n = 200_000
+    pages = spark.range(n).select(
+        F.when(F.col("id") % 3 > 0, F.col("id") % 50_000).alias("page_id"), F.concat(F.lit("u"), F.col("id")).alias("url"),
+        F.when(F.col("id") % 6 == 0, F.lit("hot")).otherwise(F.sha1(F.col("id").cast("string"))).alias("html"),
+    )
+    made = []
+    for name, d in (("a", pages), ("b", pages.repartition(7)), ("c", pages.repartition(3, "url"))):
+        made.append(sorted(map(tuple, warc.write_archive(d, f"file://{tmp_path}/{name}", repeats=True, least_shard=1 << 20).collect())))
+    assert made[0] == made[1] == made[2] and len(made[0]) > 50
+    assert sum(m[3] for m in made[0]) == n and max(m[3] for m in made[0]) < 3 * n / len(made[0])
+    back = warc.read_archive(spark, f"file://{tmp_path}/a")
+    assert back.select("url").distinct().count() == n
+    ids = [x for f in (tmp_path / "a").glob("part-*.warc.gz") for raw in warc._records(f.open("rb")) for x in re.findall(rb"WARC-Record-ID: (\S+)", raw)]
+    assert len(ids) == len(set(ids)) == n
+    assert warc.shard_starts(pages.limit(0).select("page_id", "url", F.lit("").alias("_sha1"), F.lit(0).cast("long").alias("_n"))) == []
