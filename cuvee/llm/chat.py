@@ -8,8 +8,8 @@ with ``<|more|>`` between the texts of merged turns. In texts and names ``\\`` b
 (``|`` becomes ``\\p`` in names), so no control string can occur inside them and reading back is exact. ``loss_spans``
 holds the code points [start, end) of each assistant text.
 
-A conversation is formatted in one row, as it is one training sample; hot conversations are only as large as their
-turns. Defined results: a null text or role is empty, null conversation ids form one conversation, turns of equal
+A conversation is formatted in one row, as it is one training sample, in time that follows its length: offsets are summed
+in blocks of ``BLOCK`` turns, since an array that grows inside an aggregate is copied at each step. Defined results: a null text or role is empty, null conversation ids form one conversation, turns of equal
 number are ordered by role and text, an empty table gives no rows, and other columns are ignored.
 """
 
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 HEAD, NAMED, MORE, END = "<|role:", "|>", "<|more|>", "<|end|>"
 LEARNED = "assistant"
+BLOCK = 512
 
 
 def _escaped(c: Column) -> Column:
@@ -30,6 +31,12 @@ def _plain(c: Column) -> Column:
     return F.replace(F.replace(c, F.lit("\\l"), F.lit("<")), F.lit("\\b"), F.lit("\\"))
 
 
+def _blocks(items: Column | str) -> Column:
+    """An array's elements in blocks."""
+    last = F.greatest(F.ceil(F.size(items) / BLOCK) - 1, F.lit(0)).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(items, k * BLOCK + 1, F.lit(BLOCK)))
+
+
 def formatted(conversations: DataFrame) -> DataFrame:
     """Per conversation: conv_id, formatted, loss_spans (array of struct start, end)."""
     turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
@@ -64,22 +71,31 @@ def formatted(conversations: DataFrame) -> DataFrame:
             ),
         )
     )
+    d = d.select("conv_id", text.alias("formatted"), pieces.alias("_p"))
+    d = d.select("conv_id", "formatted", _blocks("_p").alias("_b"))
+    length = lambda p: p["before"] + p["n"] + p["after"]
+    before = F.transform("_b", lambda b: F.aggregate(b, F.lit(0), lambda a, p: a + length(p)))
+    starts = F.aggregate(before, F.array(F.lit(0)), lambda a, x: F.concat(a, F.array(F.get(a, F.size(a) - 1) + x)))
+    d = d.select("conv_id", "formatted", "_b", starts.alias("_s"))
     none = F.array().cast("array<struct<start:int,end:int>>")
-    spans = F.aggregate(
-        pieces,
-        F.struct(F.lit(0).alias("at"), none.alias("spans")),
-        lambda a, p: F.struct(
-            (a["at"] + p["before"] + p["n"] + p["after"]).alias("at"),
-            F.when(
-                p["learned"],
-                F.concat(a["spans"], F.array(F.struct((a["at"] + p["before"]).alias("start"), (a["at"] + p["before"] + p["n"]).alias("end")))),
-            )
-            .otherwise(a["spans"])
-            .alias("spans"),
-        ),
-        lambda a: a["spans"],
-    )
-    return d.select("conv_id", text.alias("formatted"), spans.alias("loss_spans"))
+
+    def spans(block: Column, k: Column) -> Column:
+        return F.aggregate(
+            block,
+            F.struct(F.get("_s", k).alias("at"), none.alias("spans")),
+            lambda a, p: F.struct(
+                (a["at"] + length(p)).alias("at"),
+                F.when(
+                    p["learned"],
+                    F.concat(a["spans"], F.array(F.struct((a["at"] + p["before"]).alias("start"), (a["at"] + p["before"] + p["n"]).alias("end")))),
+                )
+                .otherwise(a["spans"])
+                .alias("spans"),
+            ),
+            lambda a: a["spans"],
+        )
+
+    return d.select("conv_id", "formatted", F.flatten(F.transform("_b", spans)).alias("loss_spans"))
 
 
 def read_back(chats: DataFrame) -> DataFrame:
@@ -96,7 +112,13 @@ def read_back(chats: DataFrame) -> DataFrame:
             ),
         )
     )
-    loss = F.array_join(
-        F.transform("loss_spans", lambda s: _plain(F.substr("formatted", s["start"] + 1, s["end"] - s["start"]))), ""
+    # a block's stretch of the text is cut first, since finding a code point reads what stands before it
+    stretch = lambda b: F.struct(
+        b.alias("spans"), F.substr("formatted", F.get(b, F.lit(0))["start"] + 1, F.get(b, F.size(b) - 1)["end"] - F.get(b, F.lit(0))["start"]).alias("s"),
+    )
+    d = d.select("*", F.transform(_blocks("loss_spans"), stretch).alias("_cut"))
+    text = lambda c: F.transform(
+        c["spans"], lambda s: _plain(F.substr(c["s"], s["start"] - F.get(c["spans"], F.lit(0))["start"] + 1, s["end"] - s["start"]))
     )
+    loss = F.array_join(F.transform("_cut", lambda c: F.array_join(text(c), "")), "")
     return d.select("conv_id", turns.alias("turns"), loss.alias("loss_text"), F.char_length("formatted").cast("long").alias("formatted_chars"))

@@ -177,3 +177,20 @@ def test_archives_are_equal(spark, tmp_path):
     ids = [x for f in (tmp_path / "a").glob("part-*.warc.gz") for raw in warc._records(f.open("rb")) for x in re.findall(rb"WARC-Record-ID: (\S+)", raw)]
     assert len(ids) == len(set(ids)) == n
     assert warc.shard_starts(pages.limit(0).select("page_id", "url", F.lit("").alias("_sha1"), F.lit(0).cast("long").alias("_n"))) == []
+
+
+# ---------------------------------------------------------------- 7
+def test_very_long_conversation(spark):
+    """A hundred thousand turns, in time that follows their number."""
+    from cuvee.llm import chat
+
+    n = 100_000
+    turn = F.col("id")
+    rows = spark.range(n).select(
+        F.lit(1).cast("long").alias("conv_id"), turn.alias("turn"), F.when(turn % 3 > 0, "assistant").otherwise("user").alias("role"), F.concat(F.lit("é<x\\ "), turn).alias("text")
+    )
+    began = time.time()
+    back = chat.read_back(chat.formatted(rows)).select(F.size("turns").alias("n"), "loss_text", F.element_at("turns", -1)["text"].alias("last")).collect()
+    assert time.time() - began < 60
+    assert [(r.n, r.last) for r in back] == [(n, f"é<x\\ {n - 1}")]
+    assert back[0].loss_text == "".join(f"é<x\\ {i}" for i in range(n) if i % 3)
