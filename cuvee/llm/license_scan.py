@@ -11,7 +11,8 @@ text holding none of them cannot reach the coverage; texts without probes, nearl
 found each by itself.
 
 In templates of up to ``SHORT`` words the coverage alone would mix names. With ``named``, as op1 has it, all words of
-such a template that are ``MARKS`` or numbers must be aligned, and no other mark may stand inside the find.
+such a template that are ``MARKS`` or numbers must be aligned, each next to its neighbours in the template that are
+aligned, and no other mark may stand inside the find.
 
 Each text is handled whole and by itself in Arrow batches, without a shuffle. Defined results: null and empty texts
 have no words and no license; overlapping finds keep the one with most aligned words (then the greater coverage, then
@@ -35,8 +36,11 @@ COVERAGE = 0.8
 #: Least share of aligned words among the words that a find spans.
 DENSITY = 0.6
 
+#: SPDX identifiers looked for by themselves.
+IDENTIFIERS = "MIT Apache-2.0 BSD-2-Clause BSD-3-Clause ISC MPL-2.0 GPL-2.0 GPL-3.0 LGPL-2.1 LGPL-3.0 AGPL-3.0 EPL-2.0 BSL-1.0 Zlib Unlicense CC0-1.0 CC-BY-4.0 CC-BY-SA-4.0 CC-BY-NC-4.0".split()
 #: Public license notices, by SPDX identifier and form.
 TEMPLATES = {
+    **{f"{x}/identifier": f"SPDX-License-Identifier: {x}" for x in IDENTIFIERS},
     "MIT/line": "Released under the MIT License",
     "MIT/terms": "This project is licensed under the terms of the MIT license",
     "Apache-2.0/line": "Licensed under the Apache License, Version 2.0",
@@ -45,6 +49,9 @@ TEMPLATES = {
     "CC-BY-NC-4.0/line": "Licensed under CC BY-NC 4.0",
     "CC-BY-SA-4.0/line": "Licensed under CC BY-SA 4.0",
     "CC-BY-4.0/line": "This work is licensed under a Creative Commons Attribution 4.0 International License",
+    "CC-BY-SA-4.0/notice": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+    "CC-BY-NC-4.0/notice": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
+    "CC0-1.0/notice": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work",
     "Proprietary/line": "All rights reserved",
     "MIT/text": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and
         associated documentation files (the "Software"), to deal in the Software without restriction, including without
@@ -70,6 +77,41 @@ TEMPLATES = {
         materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS
         IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF
         MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.""",
+    "BSD-3-Clause/text": """Redistribution and use in source and binary forms, with or without modification, are permitted
+        provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright
+        notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the
+        above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other
+        materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its
+        contributors may be used to endorse or promote products derived from this software without specific prior written
+        permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
+        WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR
+        PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT,
+        INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE
+        GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF
+        LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY
+        OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "Unlicense/text": """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify,
+        publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for
+        any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the
+        author or authors of this software dedicate any and all copyright interest in the software to the public domain.""",
+    "Zlib/text": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be
+        held liable for any damages arising from the use of this software. Permission is granted to anyone to use this
+        software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject
+        to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that
+        you wrote the original software. If you use this software in a product, an acknowledgment in the product
+        documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such,
+        and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from
+        any source distribution.""",
+    "BSL-1.0/text": """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the
+        software and accompanying documentation covered by this license (the "Software") to use, reproduce, display,
+        distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit
+        third-parties to whom the Software is furnished to do so, all subject to the following: The copyright notices in
+        the Software and this entire statement, including the above license grant, this restriction and the following
+        disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the
+        Software, unless such copies or derivative works are solely in the form of machine-executable object code
+        generated by a source language processor.""",
+    "EPL-2.0/header": """This program and the accompanying materials are made available under the terms of the Eclipse Public
+        License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/""",
     "Apache-2.0/header": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except
         in compliance with the License. You may obtain a copy of the License at
         http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software
@@ -81,6 +123,21 @@ TEMPLATES = {
         your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY
         WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU
         General Public License for more details.""",
+    "GPL-2.0/notice": """This program is free software; you can redistribute it and/or modify it under the terms of the GNU
+        General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your
+        option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY
+        WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU
+        General Public License for more details.""",
+    "AGPL-3.0/notice": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU
+        Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or
+        (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT
+        ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU
+        Affero General Public License for more details.""",
+    "LGPL-2.1/notice": """This library is free software; you can redistribute it and/or modify it under the terms of the GNU
+        Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or
+        (at your option) any later version. This library is distributed in the hope that it will be useful, but WITHOUT
+        ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU
+        Lesser General Public License for more details.""",
     "MPL-2.0/header": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of
         the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
 }
@@ -90,7 +147,7 @@ COMMON = frozenset("the of and to in is a or for be any this that with by on at
 #: Templates of up to so many words are told apart by their marks.
 SHORT = 20
 #: Words that tell licenses apart.
-MARKS = frozenset("mit apache gnu lesser affero library gpl lgpl agpl bsd isc mpl mozilla cc creative attribution nc noncommercial nd noderivatives noderivs sa sharealike rights reserved".split())
+MARKS = frozenset("mit apache gnu lesser affero library gpl lgpl agpl bsd isc mpl mozilla cc creative attribution nc noncommercial nd noderivatives noderivs sa sharealike rights reserved cc0 epl eclipse bsl zlib unlicense".split())
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -189,10 +246,13 @@ class Template:
         return []
 
     def is_named(self, pairs: list[tuple[int, int]], words: list[str]) -> bool:
-        """Whether all marks of the template are aligned and no other mark stands among the words spanned."""
-        aligned, own = {i for i, _ in pairs}, {p for _, p in pairs}
+        """Whether all marks of the template are aligned, next to their aligned neighbours, and no other mark stands among
+        the words spanned."""
+        aligned, own = dict(pairs), {p for _, p in pairs}
         foreign = (words[p] for p in range(pairs[0][1], pairs[-1][1]) if p not in own)
-        return aligned.issuperset(self.marks) and MARKS.isdisjoint(foreign)
+        if not aligned.keys() >= set(self.marks) or not MARKS.isdisjoint(foreign):
+            return False
+        return all(aligned[k + d] == aligned[k] + d for k in self.marks for d in (-1, 1) if k + d in aligned)
 
     def finds(self, words: list[str], at: dict[str, list[int]]) -> Iterator[tuple[int, int, int, float]]:
         """(begin, end, aligned words, coverage) in a text whose words stand ``at`` these positions."""

@@ -194,3 +194,20 @@ def test_very_long_conversation(spark):
     assert time.time() - began < 60
     assert [(r.n, r.last) for r in back] == [(n, f"é<x\\ {n - 1}")]
     assert back[0].loss_text == "".join(f"é<x\\ {i}" for i in range(n) if i % 3)
+
+
+# ---------------------------------------------------------------- 1
+def test_license_back_to_back_and_noise():
+    from cuvee.llm.license_scan import TEMPLATES, Scanner
+
+    s = Scanner(named=True)
+    for name in ("MIT/text", "BSD-3-Clause/text", "AGPL-3.0/notice"):
+        n = s.scan(TEMPLATES[name])[0]
+        assert s.scan(" ".join([TEMPLATES[name]] * 3))[1] == [(name, k * n, k * n + n, 1.0) for k in range(3)]
+    noise = "license " * 50
+    assert s.scan(noise + "Released under the MIT License " + noise)[1] == [("MIT/line", 50, 55, 1.0)]
+    for text in ("All human rights activists reserved tickets", "licensed under the Apache tribe license of version 2 0", "SPDX-License-Identifier: CC-BY-NC-SA-4.0", "SPDX-License-Identifier: NOASSERTION"):
+        assert s.scan(text)[1] == [], text
+    assert [f[0] for f in s.scan("// SPDX-License-Identifier: GPL-3.0-only\n# SPDX-License-Identifier: (MIT OR Apache-2.0)")[1]] == ["GPL-3.0/identifier", "MIT/identifier"]
+    bsd2 = TEMPLATES["BSD-2-Clause/text"]
+    assert [f[0] for f in s.scan(bsd2)[1]] == ["BSD-2-Clause/text"]
