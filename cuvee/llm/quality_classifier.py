@@ -1,13 +1,12 @@
 """Compression classifier: a text that a dictionary of good texts compresses better than one of bad texts is good.
 
-Two zstandard dictionaries are built from labelled text. Five measures go through a logistic calibration to a
-probability of label 1: the difference of a text's compressed sizes under the two, by its length and by the larger size,
-the size under the good one by length, the size without a dictionary by length, and the logarithm of the length. The last
-two are not differences, so length and plain compressibility are part of the verdict. Labels are read only from rows that
-are not held out; language, source and id are never inputs.
+Two zstandard dictionaries are built from labelled text. The difference of a text's compressed sizes under the two, over
+the square root of its length (it grows with the length, its noise with the root), is the only measure; a calibration that
+rises with it makes the probability of label 1: isotonic regression, with a share of ``SLOPE`` of a logistic one, so that
+no two measures tie. Labels are read only from rows that are not held out; language, source and id are never inputs.
 
 Bounds of the fit, independent of corpus size: ``PIECES`` pieces of ``PIECE_BYTES`` bytes a class, least hash first,
-make a dictionary; ``CALIBRATION`` rows a class, of other ids, calibrate on whole texts. Scoring handles every whole
+make a dictionary; ``CALIBRATION`` rows a class, of other ids and least hash first, calibrate on whole texts. Scoring handles every whole
 text in Arrow batches without a shuffle.
 
 Defined results: null and empty texts are scored as empty texts; rows without labels are only scored; rows whose id
@@ -34,20 +33,36 @@ CALIBRATION = 5000
 DICTIONARY_BYTES = 262_144
 LEVEL = 3
 THRESHOLD = 0.3
-N_MEASURES = 5
+SLOPE = 0.01
 
 
 @dataclass
 class Model:
+    """Dictionaries, the isotonic calibration's corners (measure, probability), and the logistic one's weights."""
+
     good: bytes
     bad: bytes
-    mean: np.ndarray
-    spread: np.ndarray
+    at: np.ndarray
+    share: np.ndarray
     weights: np.ndarray
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        z = (x - self.mean) / self.spread @ self.weights[:-1] + self.weights[-1]
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        z = np.clip(x * self.weights[0] + self.weights[1], -30, 30)
+        return (1 - SLOPE) * np.interp(x, self.at, self.share) + SLOPE / (1 + np.exp(-z))
+
+
+def rising(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Isotonic regression of y on x: the corners of its steps."""
+    at, which, count = np.unique(x, return_inverse=True, return_counts=True)
+    mean = np.bincount(which, y) / count
+    steps: list[list[float]] = []  # mean, weight, first x, last x
+    for x, m, n in zip(at.tolist(), mean.tolist(), count.tolist(), strict=True):
+        steps.append([m, n, x, x])
+        while len(steps) > 1 and steps[-2][0] >= steps[-1][0]:
+            m, n, _, last = steps.pop()
+            into = steps[-1]
+            into[:] = [(into[0] * into[1] + m * n) / (into[1] + n), into[1] + n, into[2], last]
+    return np.array([v for s in steps for v in s[2:]]), np.array([s[0] for s in steps for _ in range(2)])
 
 
 def fold(doc_id: Column) -> Column:
@@ -60,12 +75,10 @@ class Measurer:
         import zstandard as z
 
         self.by = [z.ZstdCompressor(level=LEVEL, dict_data=z.ZstdCompressionDict(d)) for d in (good, bad)]
-        self.by.append(z.ZstdCompressor(level=LEVEL))
 
-    def measure(self, data: bytes) -> list[float]:
-        g, b, plain = (len(c.compress(data)) for c in self.by)
-        n = max(len(data), 1)
-        return [(b - g) / n, (b - g) / max(b, g), g / n, plain / n, float(np.log1p(len(data)))]
+    def measure(self, data: bytes) -> float:
+        g, b = (len(c.compress(data)) for c in self.by)
+        return (b - g) / max(len(data), 1) ** 0.5
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, folds: tuple[int, ...], limit: int) -> DataFrame:
@@ -77,14 +90,14 @@ def _labelled(docs: DataFrame, labels: DataFrame, folds: tuple[int, ...], limit:
 
 
 def _measured(d: DataFrame, good: bytes, bad: bytes) -> DataFrame:
-    """``d`` (whose last column is a text) with that text's measures in its place."""
-    schema = T.StructType([*d.schema.fields[:-1], T.StructField("_x", T.ArrayType(T.DoubleType()))])
+    """``d`` (whose last column is a text) with that text's measure in its place."""
+    schema = T.StructType([*d.schema.fields[:-1], T.StructField("_x", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = None
         for batch in batches:
             m = m or Measurer(good, bad)
-            x = pa.array([m.measure(t.as_py().encode()) for t in batch.column(batch.num_columns - 1)], pa.list_(pa.float64()))
+            x = pa.array([m.measure(t.as_py().encode()) for t in batch.column(batch.num_columns - 1)], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], x], names=schema.names)
 
     return d.mapInArrow(run, schema)
@@ -111,14 +124,15 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | float:
             dicts.append(z.train_dictionary(size, samples).as_bytes())
         except z.ZstdError:  # too few samples to train on: their text itself
             dicts.append(b"\n".join(samples)[-DICTIONARY_BYTES:])
-    rows = _measured(_labelled(docs, labels, (3, 4), CALIBRATION).select("quality", "text"), *dicts).collect()
+    measured = _measured(_labelled(docs, labels, (3, 4), CALIBRATION).select("quality", "_h", "doc_id", "text"), *dicts)
+    rows = [r for k in (1, 0) for r in measured.where(F.col("quality") == k).orderBy("_h", "doc_id", "_x").limit(CALIBRATION).select("quality", "_x").collect()]
     if len({r.quality for r in rows}) < 2:
         share = labels.where(F.col("quality").isin(0, 1) & (fold(F.col("doc_id")) != 0)).agg(F.avg("quality")).first()[0]
         return 0.5 if share is None else float(share)
-    order = np.lexsort(np.array([r["_x"] for r in rows]).T)
-    x, y = np.array([r["_x"] for r in rows])[order], np.array([float(r.quality) for r in rows])[order]
-    mean, spread = x.mean(0), x.std(0) + 1e-9
-    return Model(*dicts, mean, spread, logistic((x - mean) / spread, y))
+    x, y = np.array(sorted((r["_x"], float(r.quality)) for r in rows)).T
+    mean, spread = x.mean(), x.std() + 1e-9
+    w = logistic((x - mean)[:, None] / spread, y)
+    return Model(*dicts, *rising(x, y), np.array([w[0] / spread, w[1] - w[0] * mean / spread]))
 
 
 def score(docs: DataFrame, model: Model | float) -> DataFrame:
@@ -134,7 +148,7 @@ def score(docs: DataFrame, model: Model | float) -> DataFrame:
         m = None
         for batch in batches:
             m = m or Measurer(model.good, model.bad)
-            x = np.array([m.measure(t.as_py().encode()) for t in batch.column(batch.num_columns - 1)]).reshape(-1, N_MEASURES)
+            x = np.array([m.measure(t.as_py().encode()) for t in batch.column(batch.num_columns - 1)], np.float64)
             p = model.score(x)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(p), pa.array((p >= THRESHOLD).astype(np.int32))], names=schema.names)
 

@@ -211,3 +211,35 @@ def test_license_back_to_back_and_noise():
     assert [f[0] for f in s.scan("// SPDX-License-Identifier: GPL-3.0-only\n# SPDX-License-Identifier: (MIT OR Apache-2.0)")[1]] == ["GPL-3.0/identifier", "MIT/identifier"]
     bsd2 = TEMPLATES["BSD-2-Clause/text"]
     assert [f[0] for f in s.scan(bsd2)[1]] == ["BSD-2-Clause/text"]
+
+
+# ---------------------------------------------------------------- 3
+def test_rising():
+    """Against the definition: at each point the greatest of the least means of the stretches that hold it."""
+    import numpy as np
+
+    from cuvee.llm.quality_classifier import rising
+
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        x, y = np.sort(rng.integers(0, 12, 20)).astype(float), rng.integers(0, 2, 20).astype(float)
+        got = np.interp(x, *rising(x, y))
+        values = np.unique(x)
+        for v in values:
+            want = max(min(y[(x >= a) & (x <= b)].mean() for b in values if b >= v) for a in values if a <= v)
+            assert abs(got[x == v][0] - want) < 1e-9
+        assert (np.diff(got) >= -1e-12).all()
+
+
+def test_classifier_repeated_and_long_rows(spark, monkeypatch):
+    """Rows of one labelled id count up to the bound; a very long text is scored whole."""
+    from cuvee.llm import quality_classifier as qc
+
+    monkeypatch.setattr(qc, "CALIBRATION", 40)
+    rows = [(i, ("river stone light morning " if i % 2 else "BUY $$$ click !!! ") * (20 + i % 7)) for i in range(300)]
+    docs = spark.createDataFrame(rows + [rows[3]] * 500 + [(900, "river stone light morning " * 40_000), (None, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)] * 2, "doc_id long, quality int")
+    model = qc.train(docs, labels)
+    got = qc.score(docs, model).select("doc_id", "score", "predicted").collect()
+    assert len(got) == 802 and {r.predicted for r in got if r.doc_id == 900} == {1} and len({r.score for r in got if r.doc_id == 3}) == 1
+    assert all(r.predicted == r.doc_id % 2 for r in got if r.doc_id is not None and r.doc_id < 300)
