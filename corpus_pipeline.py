@@ -5,11 +5,11 @@ as Parquet and read again as the next one's docs. Stages work on all that their
 return the columns of documents:
 
 1. quality rules drop the documents they reject;
-2. MinHash near-dedup keeps the document of smallest id of each group; it links at NEAR_PERCENT, so near copies below it
-   stay;
+2. MinHash near-dedup keeps the document of smallest id of each group, linking at NEAR_PERCENT and above;
 3. benchmark decontamination drops contaminated documents;
 4. personal data is replaced by its kind in brackets, and n_chars counts the new text;
-5. byte-level BPE gives each document's ids (little-endian unsigned 32-bit integers); its decoding must equal the text.
+5. byte-level BPE gives each document's ids (little-endian unsigned 32-bit integers); its decoding must equal the text,
+   or the stage fails.
 
 Columns beyond those of documents pass through untouched. An empty table gives an empty result.
 """
@@ -20,15 +20,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cuvee.llm import bpe, decontaminate, minhash_dedup, pii, quality_rules
-from cuvee.llm.common import table, written
+from cuvee.llm.common import discard, table, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.apply_rules(docs)
 
 
-#: Least similarity, in percent, at which the pipeline links documents: the value of op8's contract.
-NEAR_PERCENT = minhash_dedup.PERCENT
+#: Least similarity, in percent, at which the pipeline links documents.
+NEAR_PERCENT = 80
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str, percent: int = NEAR_PERCENT) -> DataFrame:
@@ -50,6 +50,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     coded = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     exact = F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    exact = F.when(exact, F.lit(True)).otherwise(F.raise_error("decoded ids differ from the text").cast("boolean"))
     return coded.select("doc_id", "lang", "source", "n_chars", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), exact.alias("round_trip"), "ids")
 
 
@@ -66,7 +67,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), ()
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
+        discard(*last)
+        last = (docs,)
     return STAGES[-1][1](spark, docs, sf_dir)
