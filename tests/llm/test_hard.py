@@ -243,3 +243,27 @@ def test_classifier_repeated_and_long_rows(spark, monkeypatch):
     got = qc.score(docs, model).select("doc_id", "score", "predicted").collect()
     assert len(got) == 802 and {r.predicted for r in got if r.doc_id == 900} == {1} and len({r.score for r in got if r.doc_id == 3}) == 1
     assert all(r.predicted == r.doc_id % 2 for r in got if r.doc_id is not None and r.doc_id < 300)
+
+
+# ---------------------------------------------------------------- pipeline
+def test_pipeline_of_an_empty_table(spark, empty, tmp_path):
+    import corpus_pipeline
+
+    empty.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "a b c")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_pipeline_on_hard_texts(spark, tmp_path):
+    """Digits without end, a very long piece and null texts go through all stages."""
+    import corpus_pipeline
+
+    words = " ".join(f"the river number {k} of a long walk and its stone" for k in range(30))
+    rows = [(1, words + " " + "0" * 5000 + ".1.2.3"), (2, words[::-1] + " and the " + "xyz" * 2000), (3, None), (4, ""), (4, ""), (None, words + " of others")]
+    d = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        d = stage(spark, d, "") if name != "decontamination" else corpus_pipeline.decontaminate.clean_documents(d, spark.createDataFrame([], "item_id long, text string"))
+    got = corpus_pipeline.tokens(spark, d, "").collect()
+    assert {r.doc_id for r in got} <= {1, 2, None} and all(r.round_trip for r in got)
+    ids = corpus_pipeline.personal_data(spark, spark.createDataFrame(rows[:1], "doc_id long, text string"), "").first()
+    assert "[IP]" in ids.text and "0000" not in ids.text

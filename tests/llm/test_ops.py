@@ -243,7 +243,7 @@ def test_chat_format(spark):
 
 
 # ---------------------------------------------------------------- 8
-def near_truth(corpus):
+def near_truth(corpus, percent=85):
     sets = {}
     for i, t in corpus:
         w = words((t or "").translate(ASCII))
@@ -260,7 +260,7 @@ def near_truth(corpus):
         for y in ids:
             if x < y and sets[x] and sets[y]:
                 both = len(sets[x] & sets[y])
-                if 100 * both >= 85 * (len(sets[x]) + len(sets[y]) - both):
+                if 100 * both >= percent * (len(sets[x]) + len(sets[y]) - both):
                     a, b = find(x), find(y)
                     parent[max(a, b)] = min(a, b)
     return {i: (len(sets[i]), find(i), find(i) == i) for i in ids}
@@ -420,7 +420,7 @@ def test_pipeline(spark, documents, corpus, tmp_path):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_dedup", "decontamination", "personal_data", "tokens"]
     kept = {r.doc_id for r in judged(documents).where("kept").collect()}
     docs = [(i, t) for i, t in corpus if i in kept]
-    near = near_truth(docs)
+    near = near_truth(docs, 80)
     docs = [(i, t) for i, t in docs if near[i][2]]
     bad = contamination_truth([d for d in docs if len(d[1]) < 5000], items)
     docs = [(i, t) for i, t in docs if not (i in bad and bad[i][4])]
