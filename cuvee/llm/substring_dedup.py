@@ -39,7 +39,7 @@ from .wordhash import WordHasher, window_hashes
 
 WINDOW, GRAM = 13, 5
 SHARD = 8_000
-HOT = 2_000
+HOT = 20_000
 STRETCH = "shard long, n int, content binary, docs array<long>, places array<int>"
 #: End of an interval that covers a whole document.
 ALL = (1 << 31) - 1
