@@ -10,11 +10,11 @@ of 6 minima at 85 percent, 38 of 5 at 80) and the estimate with about as little.
 contraction.
 
 Large groups: a band key of up to ``BUCKET`` sets gives its pairs. A larger one gives a star of its members around its
-smallest; only where its members are then not yet one component are they compared further, in two steps. Blocks of
-``BLOCK`` by ``BLOCK`` compare sizes and signatures, a hundred bytes a member; members of different components that come
-near each other go on to blocks of ``FINE`` by ``FINE``, and only there their texts are fetched and compared, which emits
-nothing but links between different components. So pairs within a group are never rows, and no link between components is
-lost.
+smallest; only where its members are then not yet one component are they compared further, in blocks of ``BLOCK`` by
+``BLOCK`` and in two steps. The first compares sizes and signatures, a hundred bytes a member, and lets those pass that come
+near a member of another component. Only their texts are fetched, and the second step compares them, holding the sets of
+2 * ``FINE`` members at a time; it emits nothing but links between different components. So pairs within a group are never
+rows, and no link between components is lost.
 
 Every iteration is written to the shared folder and its predecessor deleted. Defined results: null and texts without words have an empty set, are
 kept and link with nothing; a null doc_id links with nothing and is kept; rows that share a doc_id are linked through
@@ -40,7 +40,7 @@ HASHES, BITS = 192, 2
 MISS = 4e-7
 WORDS = HASHES * BITS // 64
 BUCKET = 32
-BLOCK, FINE = 512, 128
+BLOCK, FINE = 2048, 128
 #: Candidates are confirmed about this many bytes of text at a time.
 CONFIRM_BYTES = 4 << 20
 SKETCH = "doc_id long, n_shingles long, sequence string, keys array<long>, sig array<long>"
@@ -218,68 +218,74 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).union(edges.select("v", "v").distinct())
 
 
+def _near_in(sig: np.ndarray, size: np.ndarray, comp: np.ndarray, x: int, others: np.ndarray, percent: int, least: int) -> np.ndarray:
+    """Those of ``others`` in another component than x whose size and signature allow a link with it."""
+    near = others[(comp[others] != comp[x]) & (100 * np.minimum(size[others], size[x]) >= percent * np.maximum(size[others], size[x]))]
+    d = sig[x] ^ sig[near]
+    folded = d.copy()
+    for k in range(1, BITS):
+        folded |= d >> np.uint64(k)
+    lanes = np.uint64(sum(1 << i for i in range(0, 64, BITS)))
+    return near[HASHES - np.bitwise_count(folded & lanes).sum(axis=1, dtype=np.int64) >= least]
+
+
+MEMBER = "key long, i int, j int, rep long, sig array<long>, n long, component long, mine int"
+
+
+def _columns(table: pa.Table) -> tuple:
+    """rep, signatures, sizes, components, and the rows of the first and of the second block."""
+    sig = np.stack(table.column("sig").to_numpy(zero_copy_only=False)).astype(np.uint64)
+    rep, size, comp, mine = (table.column(c).to_numpy() for c in ("rep", "n", "component", "mine"))
+    left, right = (np.flatnonzero(mine == table.column(c)[0].as_py()) for c in "ij")
+    return rep, sig, size, comp.copy(), left, right
+
+
 def _near(hot: DataFrame, percent: int) -> DataFrame:
-    """(key, u, v, rep, component, mine): members of each key that lie near one of another component by size and
-    signature, with the fine blocks u <= v of the two; mine is the member's own. ``hot`` has key, rep, sig, n, component and
-    c, the key's number of members."""
-    ratio = max(1, BLOCK // FINE)
+    """MEMBER rows of those members of each key that lie near one of another component. ``hot`` has key, rep, sig, n,
+    component and c, the key's number of members."""
     blocks = F.ceil(F.col("c") / BLOCK).cast("int")
-    d = hot.withColumn("fine", F.pmod(F.xxhash64("rep"), blocks * ratio).cast("int"))
-    d = d.withColumn("mine", (F.col("fine") / ratio).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    d = hot.withColumn("mine", F.pmod(F.xxhash64("rep"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     d = d.withColumns({"i": F.least("mine", "other"), "j": F.greatest("mine", "other")})
-    least = least_matches(percent)
-    lanes = np.uint64(sum(1 << i for i in range(0, 64, BITS)))
+    least, names = least_matches(percent), [x.split()[0] for x in MEMBER.split(", ")]
 
     def compare(table: pa.Table) -> pa.Table:
-        sig = np.stack(table.column("sig").to_numpy(zero_copy_only=False)).astype(np.uint64)
-        rep, mine, fine, comp, size = (table.column(c).to_numpy() for c in ("rep", "mine", "fine", "component", "n"))
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        left, right = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
-        found = [np.zeros((0, 3), np.int64)]
+        _, sig, size, comp, left, right = _columns(table)
+        keep = np.zeros(len(comp), bool)
         for x in left:
-            near = right[(comp[right] != comp[x]) & (100 * np.minimum(size[right], size[x]) >= percent * np.maximum(size[right], size[x]))]
-            d = sig[x] ^ sig[near]
-            folded = d.copy()
-            for k in range(1, BITS):
-                folded |= d >> np.uint64(k)
-            near = near[HASHES - np.bitwise_count(folded & lanes).sum(axis=1, dtype=np.int64) >= least]
-            if len(near):
-                u, v = np.minimum(fine[x], fine[near]), np.maximum(fine[x], fine[near])
-                rows = np.stack([np.concatenate([u, u]), np.concatenate([v, v]), np.concatenate([np.full(len(near), x), near])], axis=1)
-                found.append(np.unique(rows, axis=0))
-        u, v, at = np.unique(np.concatenate(found), axis=0).T
-        key = np.full(len(at), table.column("key")[0].as_py())
-        return pa.table({"key": key, "u": u.astype(np.int32), "v": v.astype(np.int32), "rep": rep[at], "component": comp[at], "mine": fine[at].astype(np.int32)})
-
-    cols = ("key", "rep", "sig", "n", "component", "mine", "fine", "i", "j")
-    return d.select(*cols).groupBy("key", "i", "j").applyInArrow(compare, "key long, u int, v int, rep long, component long, mine int").distinct()
+            near = _near_in(sig, size, comp, x, right, percent, least)
+            keep[near] = True
+            keep[x] |= len(near) > 0
+        return table.filter(pa.array(keep)).select(names)
+
+    return d.select(names).groupBy("key", "i", "j").applyInArrow(compare, MEMBER)
 
 
 def _linked(near: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between different components among the members of each pair of fine blocks: ``near`` has key, u, v,
-    rep, component, mine and packed."""
+    """Links (a, b) between different components among MEMBER rows with packed texts, by pair of blocks."""
+    least = least_matches(percent)
 
     def compare(table: pa.Table) -> pa.Table:
         import zstandard
 
-        unpack = zstandard.ZstdDecompressor().decompress
-        sets = exact_windows(WordHasher(lower=True).of([unpack(t) for t in table.column("packed").to_pylist()]), SHINGLE)
-        rep, mine = table.column("rep").to_numpy(), table.column("mine").to_numpy()
-        comp = table.column("component").to_numpy().copy()
-        u, v = table.column("u")[0].as_py(), table.column("v")[0].as_py()
+        unpack, hasher = zstandard.ZstdDecompressor().decompress, WordHasher(lower=True)
+        rep, sig, size, comp, left, right = _columns(table)
+        packed = table.column("packed")
         out: list[tuple[int, int]] = []
-        for x in np.flatnonzero(mine == u):
-            for y in np.flatnonzero((mine == v) & (comp != comp[x])):
-                small, large = sorted((len(sets[x]), len(sets[y])))
-                if comp[x] == comp[y] or 100 * small < percent * large:
-                    continue
-                both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
-                if 100 * both >= percent * (small + large - both):
-                    out.append((int(rep[x]), int(rep[y])))
-                    comp[comp == comp[y]] = comp[x]  # further pairs of these two components say nothing new
+        for a in range(0, len(left), FINE):
+            for b in range(0, len(right), FINE):
+                pairs = [(x, y) for x in left[a : a + FINE] for y in _near_in(sig, size, comp, x, right[b : b + FINE], percent, least)]
+                ids = sorted({v for pair in pairs for v in pair})
+                sets = dict(zip(ids, exact_windows(hasher.of([unpack(packed[int(v)].as_buffer()) for v in ids]), SHINGLE), strict=True)) if ids else {}
+                for x, y in pairs:
+                    if comp[x] == comp[y]:
+                        continue
+                    both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                    if 100 * both >= percent * (len(sets[x]) + len(sets[y]) - both):
+                        out.append((int(rep[x]), int(rep[y])))
+                        comp[comp == comp[y]] = comp[x]  # further pairs of these two components say nothing new
         return pa.table({"a": pa.array([p[0] for p in out], pa.int64()), "b": pa.array([p[1] for p in out], pa.int64())})
 
-    return near.groupBy("key", "u", "v").applyInArrow(compare, "a long, b long").distinct()
+    return near.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
