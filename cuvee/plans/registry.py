@@ -614,8 +614,7 @@ def identities_pass(spark, d):
 @query()
 def identity_repair(spark, d):
     g = balance.column_groups(_all(spark, d)[0], BY)
-    cells = g.select(*BY, F.explode(balance.repair_cells()("commodity", "vals")).alias("c"))
-    return cells.select(*BY, "c.*")
+    return balance.repaired(g).select(*BY, F.explode("cells").alias("c")).select(*BY, "c.*")
 
 
 @query()
@@ -625,7 +624,7 @@ def reader_arbitration(spark, d):
     misread = F.when((F.col("attribute") == "production") & (F.month("report_month") == 5), F.col("value") + 30).otherwise(F.col("value"))
     second = balance.column_groups(obs.withColumn("value", misread).where("NOT (attribute = 'imports' AND month(report_month) = 6)"), BY).withColumnRenamed("vals", "vals2")
     both = first.join(second, BY, "full")
-    return both.select(*BY, F.explode(balance.arbitrate_cells()("commodity", "vals", "vals2")).alias("c")).select(*BY, "c.*")
+    return balance.arbitrated(both).select(*BY, F.explode("cells").alias("c")).select(*BY, "c.*")
 
 
 RAW = "n_name || CASE n_nationkey % 4 WHEN 0 THEN ' 2/' WHEN 1 THEN '  :' WHEN 2 THEN ' *' ELSE '.,' END"

@@ -78,34 +78,47 @@ def test_bias(spark):
 CORN = {"beginning_stocks": 100.0, "production": 900.0, "imports": 10.0, "supply_total": 1010.0, "domestic_total": 600.0, "exports": 300.0, "use_total": 900.0, "ending_stocks": 110.0}
 
 
-def test_repair():
-    from cuvee.operators.balance import passes, repaired, single_bad
-
-    assert repaired(CORN, "corn")[1:] == (set(), set()) and passes(CORN, "corn")
-    hole = {**CORN, "imports": None}
-    vals, corrected, bad = repaired(hole, "corn")
-    assert vals["imports"] == 10.0 and corrected == {"imports"} and not bad
-    two = {k: v for k, v in CORN.items() if k not in ("supply_total", "imports")}
-    assert repaired(two, "corn")[0].get("supply_total") == 1010.0  # the ending identity unlocks the supply identity
-    off = repaired({**CORN, "production": 950.0}, "corn")
-    assert off[2] and "production" in off[2]
-    assert single_bad({**CORN, "use_total": 950.0}, "corn") == ("use_total", 900.0)
-    soy = {"crush": 50.0, "exports": 20.0, "seed": 3.0, "residual": 2.0, "use_total": 75.0}
-    assert passes(soy, "soybeans") and passes({"use_total": 5.0}, "corn")
+def groups(spark, rows):
+    return spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id long, commodity string, vals map<string,double>, vals2 map<string,double>")
 
 
-def test_arbitration():
-    from cuvee.operators.balance import arbitrated
+def test_repair(spark):
+    from cuvee.operators import balance
 
-    assert set(arbitrated(CORN, CORN, "corn").values()) == {(v, "ok") for v in CORN.values()}
-    wrong = {**CORN, "production": 909.0}
-    assert arbitrated(wrong, CORN, "corn")["production"] == (900.0, "corrected")
-    assert arbitrated(CORN, wrong, "corn")["production"] == (900.0, "ok")
-    assert arbitrated({"price": 3.0}, {"price": 4.0}, "corn")["price"] == (3.0, "quarantined")
-    assert arbitrated({}, {"price": 4.0}, "corn")["price"] == (4.0, "warn")
-    assert arbitrated({"price": None}, {"price": None}, "corn") == {}
-    lost = {k: v for k, v in CORN.items() if k != "exports"}
-    assert arbitrated(lost, CORN, "corn")["exports"] == (300.0, "corrected")
+    cases = [
+        CORN, {**CORN, "imports": None}, {k: v for k, v in CORN.items() if k not in ("supply_total", "imports")}, {**CORN, "production": 950.0},
+        {**CORN, "use_total": 950.0}, {"use_total": 5.0, "price": 3.0}, {},
+    ]
+    soy = {"crush": 50.0, "exports": 20.0, "seed": 3.0, "residual": 2.0, "use_total": 75.0}
+    g = groups(spark, [("corn", c, None) for c in cases] + [("soybeans", soy, None)])
+    out = {r.id: {c.attribute: (c.value, c.qa_status) for c in r.cells} for r in balance.repaired(g).collect()}
+    assert out[0] == {k: (v, "ok") for k, v in CORN.items()}
+    assert out[1] == {k: (10.0, "corrected") if k == "imports" else (v, "ok") for k, v in CORN.items()}
+    assert out[2]["supply_total"] == (1010.0, "corrected") and out[2]["imports"] == (10.0, "corrected")  # the ending identity unlocks the supply identity
+    assert out[3]["production"][1] == "quarantined" and out[3]["exports"] == (300.0, "ok")
+    assert out[5] == {"use_total": (5.0, "ok"), "price": (3.0, "warn")} and out[6] == {}
+    assert {s for _, s in out[7].values()} == {"ok"}
+    kept = {r.id: {c.attribute for c in r.cells} for r in balance.repaired(g, emit_derived=False).collect()}
+    assert kept[2] == set(cases[2])
+    got = {r.id: (r.ok, r.lone) for r in g.select("id", balance.identities_pass(g).alias("ok"), balance.lone_error().alias("lone")).collect()}
+    assert got[0][0] and got[5][0] and got[7][0] and not got[4][0] and tuple(got[4][1]) == ("use_total", 900.0) and got[5][1] is None
+    assert "Python" not in spark._jvm.PythonSQLUtils.explainString(balance.repaired(g)._jdf.queryExecution(), "simple")
+
+
+def test_arbitration(spark):
+    from cuvee.operators import balance
+
+    wrong, lost = {**CORN, "production": 909.0}, {k: v for k, v in CORN.items() if k != "exports"}
+    cases = [(CORN, CORN), (wrong, CORN), (CORN, wrong), ({"price": 3.0}, {"price": 4.0}), ({}, {"price": 4.0}), ({"price": None}, {"price": None}), (lost, CORN), (None, None)]
+    g = groups(spark, [("corn", *c) for c in cases])
+    out = {r.id: {c.attribute: (c.value, c.qa_status) for c in r.cells} for r in balance.arbitrated(g).collect()}
+    assert out[0] == {k: (v, "ok") for k, v in CORN.items()}
+    assert out[1]["production"] == (900.0, "corrected") and out[2]["production"] == (900.0, "ok")
+    assert out[3] == {"price": (3.0, "quarantined")} and out[4] == {"price": (4.0, "warn")} and out[5] == {} == out[7]
+    assert out[6]["exports"] == (300.0, "corrected")
+    updates, inserts, worklist = balance.reconciled(g, ["id"])
+    assert {(r.id, r.attribute) for r in inserts.collect()} == {(4, "price"), (6, "exports")}
+    assert [(r.id, r.attribute) for r in worklist.collect()] == [(3, "price")] and updates.where("id = 1 AND attribute = 'production'").first().value == 900.0
 
 
 def test_identity_checks(spark):
