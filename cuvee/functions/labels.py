@@ -5,13 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Tokens that mean no value, glyphs that scans confuse with digits, and what they stand for.
+#: Tokens that mean no value; characters that scans confuse with digits, and those digits.
 NOT_AVAILABLE = ("", "na", "n/a", "--", "---", "tr", "neg")
-CONFUSED, DIGITS = "OoQDIlL|!iZzAaSsGBT", "0000111111224455687"[:19]
+CONFUSED = "ilI|{oOQDSsBZzgqGA?"
+DIGITS = "1111100005582299647"
 #: Order of attributes in displays, pinned regions, month cycle of a marketing year.
-ATTRIBUTE_ORDER = ("area_planted", "area_harvested", "yield", "beginning_stocks", "production", "imports", "supply_total", "domestic_total", "exports", "use_total", "ending_stocks", "stocks_to_use", "farm_price")
-REGION_PINS = ("world", "united_states", "america")
+ATTRIBUTE_ORDER = (
+    "area_planted", "area_harvested", "yield_per_harvested_acre", "beginning_stocks", "production", "imports", "supply_total", "feed_residual",
+    "feed_and_residual", "food_seed_industrial", "ethanol_for_fuel", "crush", "seed", "residual", "domestic_total", "exports", "use_total",
+    "ending_stocks", "stocks_to_use", "farm_price",
+)
+REGION_PINS = ("united_states", "world", "total_foreign", "china", "brazil", "argentina", "european_union", "major_exporters", "major_importers")
 MONTH_CYCLE = ("May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec", "Jan", "Feb", "Mar", "Apr")
+#: Units of prices, and short names of units.
+PRICE_UNITS = ("usd_per_bushel", "usd_per_cwt", "usd_per_short_ton", "usd_per_metric_ton", "cents_per_pound", "usd_per_pound")
+UNIT_NAMES = {
+    "million_bushels": "mil bu", "bushels_per_acre": "bu/acre", "usd_per_bushel": "$/bu", "million_acres": "mil acres", "million_metric_tons": "MMT",
+    "metric_tons_per_hectare": "t/ha", "million_cwt": "mil cwt", "usd_per_cwt": "$/cwt", "million_480lb_bales": "mil bales", "cents_per_pound": "c/lb",
+    "thousand_short_tons": "k short tons", "usd_per_short_ton": "$/short ton", "million_pounds": "mil lb", "million_hectares": "mil ha",
+    "thousand_acres": "k acres", "ratio": "ratio",
+}
 
 
 def normalize_label(c: Column) -> Column:
@@ -28,13 +41,13 @@ def slugify_region(c: Column) -> Column:
 
 
 def clean_number(c: Column) -> Column:
-    """The number that a cell prints: without footnotes and thousands separators; a range is its midpoint; else null."""
-    c = F.trim(F.regexp_replace(F.trim(c), r"(?:[0-9]{1,2}/|\*)\s*$", ""))
-    low, high = (F.replace(F.regexp_extract(c, r"^\s*\$?([0-9][0-9,]*\.?[0-9]*)\s*-\s*\$?([0-9][0-9,]*\.?[0-9]*)\s*$", k), F.lit(","), F.lit("")) for k in (1, 2))
-    plain = F.replace(c, F.lit(","), F.lit(""))
-    number = F.when(plain.rlike(r"^-?(?:[0-9]+(?:\.[0-9]+)?|\.[0-9]+)$"), plain.try_cast("double"))
-    midpoint = (low.try_cast("double") + high.try_cast("double")) / 2
-    return F.when(F.lower(c).isin(*NOT_AVAILABLE), F.lit(None)).when(low != "", midpoint).otherwise(number)
+    """The number that a cell prints: without footnotes, stars and thousands separators; a range of two numbers, signed
+    or without a leading digit, is its midpoint; else null."""
+    c = F.trim(F.replace(F.regexp_replace(F.trim(c), r"\s*[0-9]{1,2}/\s*$", ""), F.lit("*"), F.lit("")))
+    one, tight = r"-?[0-9,]*\.?[0-9]+", F.regexp_replace(c, " ", "")
+    low, high = (F.replace(F.regexp_extract(tight, f"^({one})-({one})$", k), F.lit(","), F.lit("")).try_cast("double") for k in (1, 2))
+    number = F.when(c.rlike(f"^{one}$"), F.replace(c, F.lit(","), F.lit("")).try_cast("double"))
+    return F.when(F.lower(c).isin(*NOT_AVAILABLE), F.lit(None)).otherwise(F.coalesce((low + high) / 2, number))
 
 
 def parse_market_year(c: Column) -> Column:
@@ -53,7 +66,8 @@ def month_abbreviation(c: Column) -> Column:
 
 def mended_digits(c: Column) -> Column:
     """Digit look-alikes replaced, only in tokens that hold a digit and nothing but number-like characters."""
-    return F.when(c.rlike(rf"^[0-9,.$()\-{CONFUSED.replace('|', chr(92) + '|')}]*[0-9][0-9,.$()\-{CONFUSED.replace('|', chr(92) + '|')}]*$"), F.translate(c, CONFUSED, DIGITS)).otherwise(c)
+    like = "[0-9" + CONFUSED.replace("|", r"\|").replace("{", r"\{").replace("?", r"\?") + r",.\-]"
+    return F.when(c.rlike(f"^{like}*[0-9]{like}*$"), F.translate(c, CONFUSED, DIGITS)).otherwise(c)
 
 
 def scanned_value(c: Column) -> Column:
@@ -84,5 +98,26 @@ def dataset_label(slug: Column, commodity: Column) -> Column:
     return F.concat(scope, F.lit(" - "), F.initcap(F.replace(commodity, F.lit("_"), F.lit(" "))))
 
 
+def unit_label(unit: Column) -> Column:
+    """A unit's short name, else its words; empty where there is none."""
+    names = F.create_map(*[F.lit(x) for kv in UNIT_NAMES.items() for x in kv])
+    return F.coalesce(F.try_element_at(names, unit), F.replace(unit, F.lit("_"), F.lit(" ")), F.lit(""))
+
+
+def pretty(name: Column) -> Column:
+    words = F.lower(F.replace(name, F.lit("_"), F.lit(" ")))
+    return F.concat(F.upper(F.left(words, F.lit(1))), F.substr(words, F.lit(2)))
+
+
+def is_price(attribute: Column, unit: Column) -> Column:
+    return F.coalesce(attribute == "farm_price", F.lit(False)) | F.coalesce(unit.isin(*PRICE_UNITS), F.lit(False))
+
+
+def month_rank(c: Column) -> Column:
+    """Place of a month in the marketing year's cycle; others last."""
+    at = F.array_position(F.array(*[F.lit(m) for m in MONTH_CYCLE]), c)
+    return F.when(at > 0, at - 1).otherwise(len(MONTH_CYCLE)).cast("int")
+
+
 def cache_key(c: Column) -> Column:
     return F.left(F.sha1(c), F.lit(16))

@@ -1,7 +1,8 @@
 """The observation store as versioned Parquet: upsert, replace, winners, views, export.
 
-A table is a folder of versions; ``publish`` writes a new one and then moves a pointer file, so readers see the old or
-the new version whole. All merges are joins on keys, never loops over rows.
+A table is a folder of numbered versions; ``publish`` writes a new one under another name and renames it when complete.
+Readers take the greatest number, so they see the old or the new version whole, and a lost job leaves nothing they would
+see. The last ``KEPT`` versions stay for readers that have begun. All merges are joins on keys, never loops over rows.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 
 from .vintage import is_headline
 
+KEPT = 3
+
 
 def last_by_key(incoming: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Of rows with equal keys the one with the greatest ``order``."""
@@ -70,24 +73,34 @@ def balance_view(obs: DataFrame, releases: DataFrame, slugs: list[str]) -> DataF
     return headline_view(obs, releases).where(F.col("table_slug").isin(slugs))
 
 
-def publish(df: DataFrame, table: str) -> int:
-    """Writes a new version of ``table`` (a path) and points readers to it; its number of rows."""
-    spark = df.sparkSession
-    version = f"v-{uuid.uuid4().hex}"
-    df.write.parquet(f"{table}/{version}")
+def _versions(spark: SparkSession, table: str) -> tuple:
+    """The file system and the complete versions below ``table``, by number."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs = path(table).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").json(f"{table}/_next")
-    old, new = path(f"{table}/_current"), path(f"{table}/_next")
-    fs.delete(old, True)
-    fs.rename(new, old)
-    return spark.read.parquet(f"{table}/{version}").count()
+    found = fs.globStatus(path(f"{table}/v-*")) or []
+    return fs, path, sorted((f.getPath().getName() for f in found), key=lambda n: int(n[2:]))
+
+
+def publish(df: DataFrame, table: str) -> int:
+    """Writes a new version of ``table`` (a path) for readers to see; its number of rows."""
+    spark = df.sparkSession
+    building = f"{table}/_building-{uuid.uuid4().hex}"
+    df.write.parquet(building)
+    fs, path, versions = _versions(spark, table)
+    number = int(versions[-1][2:]) + 1 if versions else 1
+    while fs.exists(path(f"{table}/v-{number:08d}")) or not fs.rename(path(building), path(f"{table}/v-{number:08d}")):
+        number += 1
+    for old in versions[: max(0, len(versions) + 1 - KEPT)]:
+        fs.delete(path(f"{table}/{old}"), True)
+    return spark.read.parquet(f"{table}/v-{number:08d}").count()
 
 
 def current(spark: SparkSession, table: str) -> DataFrame:
     """The version that readers of ``table`` see."""
-    version = spark.read.json(f"{table}/_current").first()["version"]
-    return spark.read.parquet(f"{table}/{version}")
+    versions = _versions(spark, table)[2]
+    if not versions:
+        raise FileNotFoundError(f"{table} has no published version")
+    return spark.read.parquet(f"{table}/{versions[-1]}")
 
 
 def export(frames: dict[str, DataFrame], folder: str) -> dict[str, int]:

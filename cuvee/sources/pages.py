@@ -29,7 +29,14 @@ UNITS = (
 )
 #: Section headings within a page and their commodities.
 SECTIONS = ((r"^SOYBEAN\s*OIL", "soybean_oil"), (r"^SOYBEAN\s*MEAL", "soybean_meal"), (r"^SOYBEANS?\b", "soybeans"), (r"^FEED\s*GRAINS?", "feed_grains"), (r"^CORN\b", "corn"))
-TOLERANCE = r"\+/?-|±"
+#: The first token of a row's reliability column, and the titles of pages that are read.
+TOLERANCE = r"^[+±]|^t/?-|^to$|^/$|/=?-"
+TITLES = (
+    (r"(?i)U\W{0,3}[S5$]\W{0,3}\s*Feed\s+Gra[il1]ns?\s+and\s+C[o0]rn", "us_corn"),
+    (r"(?i)U\W{0,3}[S5$]\W{0,3}\s*S[o0]ybeans?\s+and\s+Pr[o0]ducts", "us_soybeans"),
+)
+#: A page's title stands among so many characters.
+TITLE_CHARS = 400
 
 
 def columns_of(report_month: str) -> Column:
@@ -51,6 +58,12 @@ def _first_match(rules: tuple, test) -> Column:
     return F.get(F.filter(table, lambda r: F.coalesce(test(r["needle"]), F.lit(False))), F.lit(0))["value"]
 
 
+def located(pages: DataFrame) -> DataFrame:
+    """The pages (release_id, report_month, page_no, text) whose title is known, with table_slug."""
+    d = pages.withColumn("table_slug", _first_match(TITLES, lambda p: F.regexp_like(F.left("text", F.lit(TITLE_CHARS)), p)))
+    return d.where("table_slug IS NOT NULL")
+
+
 def cells(pages: DataFrame) -> DataFrame:
     """ParsedCell rows of pages (release_id, report_month, page_no, table_slug, text)."""
     d = pages.select("release_id", "report_month", "page_no", "table_slug", F.posexplode(F.split("text", "\n")).alias("ln", "line"))

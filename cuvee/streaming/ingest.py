@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 
 
 def shared(spark: SparkSession) -> str:
+    """A new folder below ``spark.checkpoint.dir``. Where that is unset a local session gets a temporary one; on a cluster
+    executors would each write to their own disk, so there this raises."""
     here = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not here and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     return f"{here or 'file://' + tempfile.mkdtemp(prefix='spark-cuvee-')}/stream-{uuid.uuid4().hex}"
 
 

@@ -536,3 +536,42 @@ def test_queries_match_their_sql(spark):
         want = con.execute(f"SELECT {', '.join(cols)} FROM ({registry.ORACLE[name]})").fetchall()
         assert sorted(map(repr, (tuple(r[c] for c in cols) for r in df.collect()))) == sorted(map(repr, want)), name
     assert registry.entry(spark, d).count() > 0
+
+
+def test_scanned_tokens_and_ranges(spark):
+    from cuvee.functions import labels as l
+
+    one = lambda f, *xs: [r.v for r in spark.createDataFrame([(i, x) for i, x in enumerate(xs)], "i int, s string").select("i", f(F.col("s")).alias("v")).orderBy("i").collect()]
+    assert one(l.scanned_value, "1g", "q5", "{2", "7?", "1T", "8,8O0", "So", "1|A", "$5") == [19.0, 95.0, 12.0, 77.0, None, 8800.0, None, 114.0, None]
+    assert one(l.clean_number, ".90-1.10", "-5 - 10", "2.20 - 2.30", "106.2 *", "1,233.20 2/", "-.5", "1-2-3") == [1.0, 2.5, pytest.approx(2.25), 106.2, 1233.2, -0.5, None]
+    assert one(l.unit_label, "million_bushels", "head_of_cattle", None) == ["mil bu", "head of cattle", ""] and one(l.pretty, "use_total") == ["Use total"]
+    assert one(l.month_rank, "May", "Apr", "x") == [0, 11, 12] and one(l.attribute_rank, "farm_price", "x") == [19, 20] and one(l.region_rank, "world", "united_states", "x") == [1, 0, 9]
+    prices = spark.createDataFrame([("farm_price", None), ("x", "usd_per_cwt"), ("x", None)], "a string, u string")
+    assert [r.v for r in prices.select(l.is_price(F.col("a"), F.col("u")).alias("v")).collect()] == [True, True, False]
+
+
+def test_tolerance_columns_and_titles(spark):
+    import datetime
+
+    from cuvee.sources import pages
+
+    text = "CORN\n: Million bushels\nProduction : 7656 8500 +300 to -300\nExports : 1865 1900 t/-22 22\nImports : 5 6 7 8 21/=-21"
+    d = spark.createDataFrame([("r", datetime.date(1985, 6, 1), 1, "us_corn", text)], "release_id string, report_month date, page_no int, table_slug string, text string")
+    got = sorted((r.raw_attribute, r.value) for r in pages.cells(d).collect())
+    assert got == [("exports", 1865.0), ("exports", 1900.0), ("imports", 5.0), ("imports", 6.0), ("imports", 7.0), ("imports", 8.0), ("production", 7656.0), ("production", 8500.0)]
+    titled = spark.createDataFrame([(1, "x U.S. Feed Gra1ns and C0rn Supply"), (2, "U S Soybeans and Products"), (3, "y" * 400 + " U.S. Feed Grains and Corn"), (4, None)], "page_no int, text string")
+    assert {(r.page_no, r.table_slug) for r in pages.located(titled).collect()} == {(1, "us_corn"), (2, "us_soybeans")}
+
+
+def test_published_versions(spark, tmp_path):
+    """Readers see the greatest complete version; older ones beyond the last few go."""
+    from cuvee.operators import store
+
+    path = f"file://{tmp_path}/t"
+    with pytest.raises(FileNotFoundError):
+        store.current(spark, path)
+    for n in range(1, 6):
+        assert store.publish(spark.range(n), path) == n
+        (tmp_path / "t" / "_building-left-by-a-lost-job").mkdir(exist_ok=True)
+        assert store.current(spark, path).count() == n
+    assert sorted(p.name for p in (tmp_path / "t").glob("v-*")) == ["v-00000003", "v-00000004", "v-00000005"]
