@@ -11,6 +11,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .vintage import is_headline
 
@@ -95,9 +96,11 @@ def publish(df: DataFrame, table: str) -> int:
     return spark.read.parquet(f"{table}/v-{number:08d}").count()
 
 
-def current(spark: SparkSession, table: str) -> DataFrame:
-    """The version that readers of ``table`` see."""
+def current(spark: SparkSession, table: str, empty: StructType | None = None) -> DataFrame:
+    """The version that readers of ``table`` see; where nothing is published yet, no rows of the schema ``empty``."""
     versions = _versions(spark, table)[2]
+    if not versions and empty is not None:
+        return spark.createDataFrame([], empty)
     if not versions:
         raise FileNotFoundError(f"{table} has no published version")
     return spark.read.parquet(f"{table}/{versions[-1]}")

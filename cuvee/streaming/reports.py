@@ -17,7 +17,7 @@ from ..operators.dims import alias_collisions, normalize_cells
 from ..schemas import OBSERVATION, UNMAPPED, conform
 from ..sources import landed, text_reports, xml_report
 from .ingest import shared
-from .update import _current, load
+from .update import load
 
 FORMATS = ("xml", "txt", "zip")
 
@@ -115,7 +115,7 @@ def load_files(spark: SparkSession, files: DataFrame, plan: DataFrame, releases:
         raise ValueError(f"{miss['release_id']}, {miss['table_slug']}: unknown {miss['kind']} {miss['raw_label']!r}")
     touched = obs.select("release_id").union(unmapped.select("release_id")).distinct()
     load(spark, folder, obs, releases.join(touched, "release_id", "left_semi"))
-    old = _current(spark, f"{folder}/unmapped", UNMAPPED)
+    old = store.current(spark, f"{folder}/unmapped", UNMAPPED)
     store.publish(old.join(touched, "release_id", "left_anti").unionByName(unmapped), f"{folder}/unmapped")
     return obs.count()
 

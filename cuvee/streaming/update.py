@@ -9,21 +9,15 @@ from ..operators import store
 from ..schemas import OBSERVATION, OBSERVATION_KEY, RELEASE, conform
 
 
-def _current(spark: SparkSession, table: str, schema) -> DataFrame:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{table}/_current")
-    there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
-    return store.current(spark, table) if there else spark.createDataFrame([], schema)
-
-
 def load(spark: SparkSession, folder: str, observations: DataFrame, releases: DataFrame) -> None:
     """Registers releases, replaces their observations, and chooses each month's winner anew. Running it again with
     the same input changes nothing."""
     new = conform(observations, OBSERVATION)
     order = F.xxhash64(*[F.col(c) for c in OBSERVATION.names if c not in ("parsed_at", "fetched_at")])
-    merged = store.replace_release(_current(spark, f"{folder}/observations", OBSERVATION), new.withColumn("_order", order), list(OBSERVATION_KEY), "_order")
+    merged = store.replace_release(store.current(spark, f"{folder}/observations", OBSERVATION), new.withColumn("_order", order), list(OBSERVATION_KEY), "_order")
     store.publish(merged, f"{folder}/observations")
     known = conform(releases, RELEASE).withColumn("_order", F.col("version"))
-    all_ = store.upsert(_current(spark, f"{folder}/releases", RELEASE), known, ["release_id"], "_order")
+    all_ = store.upsert(store.current(spark, f"{folder}/releases", RELEASE), known, ["release_id"], "_order")
     store.publish(store.latest_winner(all_, store.current(spark, f"{folder}/observations")), f"{folder}/releases")
 
 

@@ -445,6 +445,10 @@ def test_update_run(spark, tmp_path):
     rel = {r.release_id: r.is_latest for r in store.current(spark, f"{base}/store/releases").collect()}
     assert rel == {"r1": False, "r1-v2": True}
     assert {(r.release_id, r.value) for r in store.current(spark, f"{base}/store/observations").collect()} == {("r1", 3.0), ("r1-v2", 2.0)}
+    land("r2", 1, 4.0)
+    assert go() == 1  # what earlier runs loaded stays
+    assert {r.release_id for r in store.current(spark, f"{base}/store/observations").collect()} == {"r1", "r1-v2", "r2"}
+    assert store.current(spark, f"{base}/store/releases").count() == 3
 
 
 def test_report_run(spark, tmp_path):
