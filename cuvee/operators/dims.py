@@ -44,6 +44,11 @@ def era_timeline(releases: DataFrame) -> DataFrame:
     return releases.where("is_latest").groupBy(F.year("report_month").cast("int").alias("year"), "format_era").agg(F.count("*").alias("n"))
 
 
+def release_span(releases: DataFrame) -> DataFrame:
+    """How many releases there are, and their first and last report month."""
+    return releases.agg(F.count("*").alias("n_releases"), F.min("report_month").alias("first_month"), F.max("report_month").alias("last_month"))
+
+
 def attribute_availability(obs: DataFrame) -> DataFrame:
     g = obs.where("value IS NOT NULL").groupBy("table_slug", "attribute", F.year("report_month").cast("int").alias("year"))
     return g.agg(F.countDistinct("report_month").alias("n_months"))

@@ -223,3 +223,8 @@ def latest_percentile(changes: DataFrame) -> DataFrame:
     now = lat.crossJoin(F.broadcast(target)).where(F.col(MY) == F.col("_target")).select(*keys, F.col("pct").alias("now"))
     past = d.where("report_month <> latest AND cal_month = month(latest)").select(*keys, "pct")
     return now.join(past, keys).groupBy(*keys, "now").agg((F.avg((F.col("pct") < F.col("now")).cast("double")) * 100).alias("percentile"), F.count("*").alias("n"))
+
+
+def heat_limit(*columns: str, least: float = 0.1) -> Column:
+    """An aggregate: the end of a diverging scale, the greatest absolute value of all ``columns`` or ``least``."""
+    return F.greatest(*[F.max(F.abs(c)) for c in columns], F.lit(least))

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import labels
-from ..operators import balance, dims, quality, stats, store, vintage
+from ..operators import balance, dims, quality, report, stats, store, vintage
 from ..schemas import OBSERVATION_KEY
+from ..sources import pages, text_reports, xml_report
 from ..sources import tpch_vintage as source
+from ..streaming import reports
 from ..streaming.ingest import daily_counts, shared
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,13 +82,25 @@ def query(sql: str | None = None):
     return add
 
 
-_EXPORTS: dict[tuple[str, str], str] = {}
+_EXPORTS: dict[tuple, str] = {}
+
+
+def _files(spark: SparkSession, d: str) -> tuple:
+    """Path, size and time of every file of the tables that the observations are made of."""
+    found = []
+    for name in ("region", "nation", "supplier", "orders", "lineitem"):
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{d}/{name}.parquet")
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, True)
+        while files.hasNext():
+            f = files.next()
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
 
 
 def _all(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Observations and releases with winners, as the store exports them: written once a session and data folder into
-    the shared folder, read by every query."""
-    key = (spark.sparkContext.applicationId, d)
+    """Observations and releases with winners, as the store exports them: written once a session, data folder and state
+    of its files into the shared folder, read by every query."""
+    key = (spark.sparkContext.applicationId, d, _files(spark, d))
     if key not in _EXPORTS:
         base = shared(spark)
         source.observations(spark, d).write.parquet(f"{base}/observations")
@@ -374,12 +388,20 @@ def waterfall_deltas(spark, d):
 PULSE = ("production", "exports", "ending_stocks", "farm_price")
 
 
-@query(f"SELECT commodity, region, " + ", ".join(f"max(pct_change) FILTER (attribute = '{a}') * 100 AS {a}" for a in PULSE) + f" FROM rev WHERE {LATEST} GROUP BY ALL")
+PULSES = "SELECT commodity, region, " + ", ".join(f"max(pct_change) FILTER (attribute = '{a}') * 100 AS {a}" for a in PULSE) + f" FROM rev WHERE {LATEST} GROUP BY ALL"
+
+
+@query(PULSES)
 def pulse_table(spark, d):
     p = _latest(_changes(spark, d)).groupBy("commodity", "region").pivot("attribute", list(PULSE)).agg(F.max("pct_change"))
     return p.select("commodity", "region", *[(F.col(a) * 100).alias(a) for a in PULSE])
 
 
+@query(f"SELECT greatest({', '.join(f'max(abs({a}))' for a in PULSE)}, 0.1::DOUBLE) AS limit_ FROM ({PULSES})")
+def pulse_limit(spark, d):
+    return pulse_table(spark, d).agg(stats.heat_limit(*PULSE).alias("limit_"))
+
+
 @query("SELECT table_slug, commodity, count(*) AS n, 'US - ' || upper(commodity[1]) || commodity[2:] AS label, table_slug NOT LIKE 'us_%' AS not_us FROM obs GROUP BY ALL")
 def datasets(spark, d):
     return dims.datasets(_obs(spark, d))
@@ -535,11 +557,12 @@ def qa_cross_source(spark, d):
 VERIFIED = [quality.Verified("supply_identity", detail_prefix="corn/asia"), quality.Verified("mom_continuity", detail_contains="farm_price")]
 
 
-@query(
-    f"""SELECT release_id, table_slug, check_name, CASE WHEN check_name = 'supply_identity' AND starts_with(detail, 'corn/asia') OR check_name = 'mom_continuity' AND contains(detail, 'farm_price')
+CHECKED = f"""SELECT release_id, table_slug, check_name, CASE WHEN check_name = 'supply_identity' AND starts_with(detail, 'corn/asia') OR check_name = 'mom_continuity' AND contains(detail, 'farm_price')
     THEN 'whitelisted' ELSE severity END AS severity, detail, observed, expected FROM (
     {_findings(IDENTITIES)} UNION ALL {_findings(CONTINUITY)} UNION ALL {_findings(COVERAGE)} UNION ALL {_findings(UNMAPPED)} UNION ALL {_findings(CROSS)})"""
-)
+
+
+@query(CHECKED)
 def qa_all_whitelisted(spark, d):
     all_, releases = _all(spark, d)
     other = _other(store.observations_latest(all_, releases))
@@ -557,6 +580,38 @@ def qa_all_whitelisted(spark, d):
     return quality.apply_whitelist(out, VERIFIED)
 
 
+@query(f"SELECT check_name, severity, count(*) AS n FROM ({CHECKED}) GROUP BY ALL")
+def qa_summary(spark, d):
+    return report.summary(qa_all_whitelisted(spark, d))
+
+
+EXCEPTIONS = f"""SELECT release_id, table_slug, check_name, severity, detail, observed, expected FROM (
+    SELECT *, row_number() OVER (PARTITION BY release_id, table_slug, check_name, detail ORDER BY severity, observed NULLS FIRST, expected NULLS FIRST) AS n FROM ({CHECKED})) WHERE n = 1"""
+
+
+@query(EXCEPTIONS)
+def qa_exceptions(spark, d):
+    """The report's exceptions, published and read back."""
+    folder = shared(spark)
+    report.report(qa_all_whitelisted(spark, d), folder)
+    return store.current(spark, f"{folder}/qa_exceptions")
+
+
+@query(f"""SELECT 'observations' AS name, count(*) AS n FROM obs UNION ALL SELECT 'observations_all_versions', count(*) FROM obs_all UNION ALL SELECT 'releases', count(*) FROM rel
+    UNION ALL SELECT 'qa_exceptions', count(*) FROM ({EXCEPTIONS}) UNION ALL SELECT 'us_corn_balance', count(*) FROM obs WHERE table_slug = 'us_corn'
+    UNION ALL SELECT 'us_soybeans_balance', count(*) FROM obs WHERE table_slug IN ('us_soybeans', 'us_soybean_meal', 'us_soybean_oil')""")
+def named_exports(spark, d):
+    """Rows of the six exports, as published."""
+    obs, releases = _all(spark, d)
+    frames = report.exports(obs, releases, report.exceptions(qa_all_whitelisted(spark, d)))
+    return spark.createDataFrame(list(store.export(frames, shared(spark)).items()), "name string, n long")
+
+
+@query("SELECT count(*) AS n_releases, min(report_month) AS first_month, max(report_month) AS last_month FROM rel")
+def release_span(spark, d):
+    return dims.release_span(_all(spark, d)[1])
+
+
 def _incoming(obs: DataFrame) -> DataFrame:
     """Rows that overwrite a month, twice over, and rows that are new."""
     d = obs.where("report_month = DATE '1997-05-01'")
@@ -681,6 +736,76 @@ def unmapped_misses(spark, d):
     return dims.normalize_cells(cells, known, one("corn"), one("bu"))[1]
 
 
+def _nations(spark: SparkSession, d: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/nation.parquet").select(F.col("n_nationkey").cast("int").alias("k"), F.concat(F.lit("r"), "n_nationkey").alias("release_id"))
+
+
+@query("""SELECT 'r' || n_nationkey AS release_id, 'corn' AS commodity, 'exports' AS raw_attribute, x.my AS marketing_year, x.fm AS forecast_month, CAST(n_nationkey + x.k AS DOUBLE) AS value, 'Million Bushels' AS unit
+    FROM nation, unnest([{'my': '1983/84', 'fm': '', 'k': 1000}, {'my': '1984/85', 'fm': '', 'k': 2000}, {'my': '1985/86', 'fm': 'May', 'k': 3000}, {'my': '1985/86', 'fm': 'Jun', 'k': 4000}]) AS u(x)""")
+def scanned_cells(spark, d):
+    """A recognized page a nation, with digits misread as letters."""
+    k = F.col("k")
+    number = lambda n: F.regexp_replace((k + n).cast("string"), "0", "O")
+    text = F.format_string("CORN\n: Million bushels\nExports : %s %s %s %s\nnothing here", number(1000), number(2000), number(3000), number(4000))
+    page = _nations(spark, d).select("release_id", F.lit("1985-06-01").cast("date").alias("report_month"), F.lit(1).alias("page_no"), F.lit("us_corn").alias("table_slug"), text.alias("text"))
+    return pages.cells(page).select("release_id", "commodity", "raw_attribute", "marketing_year", "forecast_month", "value", "unit")
+
+
+TABLES = "slug string, pattern string, place int, region string, commodity string"
+
+
+@query("""SELECT 'r' || n_nationkey AS file, 'us_corn' AS table_slug, 'united_states' AS region, 'Exports 2/' AS raw_attribute, x.my AS marketing_year, x.s AS year_status, x.fm AS forecast_month,
+    CAST(n_nationkey + x.k AS DOUBLE) AS value, 'Million Bushels' AS raw_unit
+    FROM nation, unnest([{'my': '2025/26', 's': 'projection', 'fm': 'Jun', 'k': 1200}, {'my': '2024/25', 's': 'estimate', 'fm': '', 'k': 1100}]) AS u(x)""")
+def xml_cells(spark, d):
+    """An XML report a nation; a cover sheet has no cells."""
+    text = F.format_string(
+        '<Root xmlns="any"><Report Name="sr12" sub_report_title="U.S. Feed Grain and Corn"><matrix1><m1 m1_unit_descr1="Million Bushels"><g attribute1="Exports 2/">'
+        '<h market_year1="2025/26 Proj." forecast_month1="June"><Cell cell_value1="%s"/></h><h market_year1="2024/25 Est."><Cell cell_value1="%s"/></h></g></m1></matrix1></Report><Report Name="cover"/></Root>',
+        F.format_number(F.col("k") + 1200, 0), F.format_number(F.col("k") + 1100, 0),
+    )
+    files = _nations(spark, d).select(F.col("release_id").alias("path"), F.encode(text, "UTF-8").alias("content"))
+    tables = spark.createDataFrame([("us_other", "Corn$", 2, "us", "x"), ("us_corn", "Feed Grain", 1, "united_states", "corn")], TABLES)
+    return xml_report.cells(xml_report.raw_cells(files), tables).select("file", "table_slug", "region", "raw_attribute", "marketing_year", "year_status", "forecast_month", "value", "raw_unit")
+
+
+RULE = "=" * 60
+REPORT = f"""
+                 U.S. Corn Supply and Use  1/
+                   (Million Bushels)
+{RULE}
+                      :  2003/04 :  2004/05  :   2005/06 Projections
+      Item            :          :   Est.    :     May        June
+{RULE}
+CORN                  :
+                      :      Million bushels
+Beginning stocks      :    %s      %s        %s      %s
+CCC inventory         :                                     %s
+{RULE}
+Note: nothing here : 1 2 3 4
+{RULE}
+"""
+
+
+@query("""SELECT 'r' || n_nationkey AS release_id, x.a AS raw_attribute, x.my AS marketing_year, x.s AS year_status, x.fm AS forecast_month, CAST(n_nationkey + x.k AS DOUBLE) AS value FROM nation, unnest([
+    {'a': 'Beginning stocks', 'my': '2003/04', 's': 'actual', 'fm': '', 'k': 1000}, {'a': 'Beginning stocks', 'my': '2004/05', 's': 'estimate', 'fm': '', 'k': 1100},
+    {'a': 'Beginning stocks', 'my': '2005/06', 's': 'projection', 'fm': 'May', 'k': 1200}, {'a': 'Beginning stocks', 'my': '2005/06', 's': 'projection', 'fm': 'Jun', 'k': 1300},
+    {'a': 'CCC inventory', 'my': '2005/06', 's': 'projection', 'fm': 'Jun', 'k': 1400}]) AS u(x)""")
+def text_cells(spark, d):
+    """A text report a nation, with a row that has its last column alone."""
+    text = F.format_string(REPORT, *[F.format_number(F.col("k") + n, 0) for n in (1000, 1100, 1200, 1300, 1400)])
+    files = _nations(spark, d).select("release_id", F.lit("2005-06-01").cast("date").alias("report_month"), text.alias("text"))
+    tables = spark.createDataFrame([("us_corn", r"(?i)U\.S\. Corn", 1, "united_states", "corn")], TABLES)
+    sections = spark.createDataFrame([("corn", "corn")], "alias string, slug string")
+    return text_reports.cells(files, tables, sections).select("release_id", "raw_attribute", "marketing_year", "year_status", "forecast_month", "value")
+
+
+@query("""SELECT kind, raw_label, n FROM (SELECT CASE WHEN p_size % 5 = 0 THEN 'unit' ELSE 'attribute' END AS kind, p_name AS raw_label, count(DISTINCT p_partkey) AS n FROM part GROUP BY ALL)
+    ORDER BY n DESC, kind, raw_label LIMIT 25""")
+def top_unmapped(spark, d):
+    return reports.top_unmapped(_misses(spark, d))
+
+
 @query("SELECT CAST(date_trunc('day', ts) AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY ALL")
 def event_ingest_available_now(spark, d):
     return daily_counts(spark, f"{d}/events.parquet")

@@ -579,3 +579,27 @@ def test_published_versions(spark, tmp_path):
         (tmp_path / "t" / "_building-left-by-a-lost-job").mkdir(exist_ok=True)
         assert store.current(spark, path).count() == n
     assert sorted(p.name for p in (tmp_path / "t").glob("v-*")) == ["v-00000003", "v-00000004", "v-00000005"]
+
+
+def test_report_and_config(spark, tmp_path):
+    from cuvee.operators import report, store
+    from cuvee.operators.quality import Verified
+    from cuvee.schemas import EXCEPTION
+    from cuvee.sources import config
+
+    base = f"file://{tmp_path}"
+    rows = [("r", "t", "c", "warn", "x", 1.0, 2.0), ("r", "t", "c", "fail", "x", 3.0, None), ("r", "t", "c", "fail", "x", None, 9.0), ("s", "", "d", "whitelisted", "y, \"z\"", None, None)]
+    findings = spark.createDataFrame(rows, EXCEPTION)
+    counts = report.report(findings, f"{base}/qa")
+    assert counts == {"warn": 1, "fail": 2, "whitelisted": 1} and report.exit_code(counts) == 1 and report.exit_code({"warn": 3}) == 0
+    kept = {r.release_id: (r.severity, r.observed, r.expected) for r in store.current(spark, f"{base}/qa/qa_exceptions").collect()}
+    assert kept == {"r": ("fail", None, 9.0), "s": ("whitelisted", None, None)}
+    assert spark.read.csv(f"{base}/qa/qa_report", header=True).count() == 4
+    assert report.report(findings.limit(0), f"{base}/qa") == {} and store.current(spark, f"{base}/qa/qa_exceptions").count() == 0  # a full refresh
+    assert {tuple(r) for r in report.summary(findings).collect()} == {("c", "warn", 1), ("c", "fail", 2), ("d", "whitelisted", 1)}
+
+    (tmp_path / "w.yaml").write_text("whitelist:\n  - check_name: coverage\n    release_id: r1\n    reason: >\n      a notice\n  - check_name: mom_continuity\n    detail_contains: 'farm: price'\n")
+    assert config.whitelist(spark, f"{base}/w.yaml") == [Verified("coverage", "r1"), Verified("mom_continuity", detail_contains="farm: price")]
+    assert config.whitelist(spark, f"{base}/none.yaml") == []
+    (tmp_path / "a.yaml").write_text("attributes:\n  exports:\n    aliases: [Exports, 'Total exports']\n  seed:\n")
+    assert {tuple(r) for r in config.aliases(spark, f"{base}/a.yaml", "attributes").collect()} == {("exports", "exports"), ("Exports", "exports"), ("Total exports", "exports"), ("seed", "seed")}
