@@ -79,3 +79,67 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN cover USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+#: The crc32 of a text's bytes, by its table of 256 numbers made from the polynomial.
+_CRC_TABLE = "SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t"
+_CRC = (
+    "xor(list_reduce(list_prepend(4294967295, list_transform(range(strlen({0})), lambda j: CAST('0x' || substr(hex(encode({0})), 2 * j + 1, 2) AS BIGINT))),"
+    " lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295)"
+)
+
+#: Near words by their deletions: equal at the same place, or one word equal to another's.
+OP11 = f"""
+WITH RECURSIVE crc AS ({_CRC_TABLE}
+), r AS (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' AS id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[A-Za-zÀ-ÿ]+')) AS w FROM documents
+), g AS (SELECT id, w, count(*) AS n FROM r GROUP BY ALL
+), h AS (SELECT w, n, {_CRC.format("(id || w)")} AS h FROM g, crc
+), v AS (
+    SELECT CASE WHEN h % 97 = 0 THEN w[1:h % length(w)] || w[h % length(w) + 2:] ELSE w END AS word, CAST(sum(n) AS BIGINT) AS n FROM h
+    GROUP BY 1 HAVING length(word) >= 5 AND sum(n) >= 3
+), cut AS (SELECT word, i, word[1:i - 1] || word[i + 1:] AS rest FROM v, unnest(range(1, length(word) + 1)) u(i)
+), near AS (
+    SELECT a.word AS a, b.word AS b FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+    UNION SELECT c.word, v.word FROM cut c JOIN v ON v.word = c.rest UNION SELECT v.word, c.word FROM cut c JOIN v ON v.word = c.rest
+), best AS (SELECT a, count(*) AS n_near, min((-v.n, b)) AS best FROM near JOIN v ON v.word = b GROUP BY a
+), f AS (
+    SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -best[1] >= 2 * n THEN best[2] END AS form, CASE WHEN -best[1] >= 2 * n THEN -best[1] END AS form_n
+    FROM v LEFT JOIN best ON a = word
+), walk AS (SELECT word, word AS here FROM f UNION ALL SELECT w.word, f.form FROM walk w JOIN f ON f.word = w.here WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, here AS root, f.n, f.n_near, f.form_n FROM f JOIN walk w USING (word) JOIN f l ON l.word = w.here AND l.form IS NULL
+"""
+
+_FIELD = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR), '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars")) + " || {0})"
+
+
+def _climb(rows: str, nodes: str, match: str) -> str:
+    """A step of folding: the rows' digests and siblings, taken with the other nodes of their runs."""
+    return f"""SELECT f.g, f.k, f.i // 3, (f.n + 2) // 3, f.lv + 1, sha256(string_agg(CASE WHEN u.i = f.i THEN f.h ELSE u.h END, '' ORDER BY u.i)),
+           f.p || coalesce(string_agg(u.h, '' ORDER BY u.i) FILTER (u.i <> f.i), '')
+    FROM {rows} f JOIN {nodes} u ON {match} u.lv = f.lv AND u.i // 3 = f.i // 3 WHERE f.n > 1 GROUP BY f.g, f.k, f.i, f.n, f.lv, f.p"""
+
+
+OP13 = f"""
+WITH RECURSIVE crc AS ({_CRC_TABLE}
+), a AS (
+    SELECT doc_id, source, {_LEAF.format(_FIELD.format("text"))} AS leaf,
+           CASE WHEN {_CRC.format("CAST(doc_id AS VARCHAR)")} % 2 = 0 THEN {_LEAF.format(_FIELD.format("replace(text, chr(10), '')"))} ELSE {_LEAF.format(_FIELD.format("text"))} END AS changed
+    FROM documents, crc
+), d AS (
+    SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS g, count(*) OVER (PARTITION BY source) AS n,
+           row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS k FROM a
+), up AS (
+    SELECT g, k AS i, n, 0 AS lv, leaf AS h FROM d
+    UNION ALL SELECT g, i // 3, (n + 2) // 3, lv + 1, sha256(string_agg(h, '' ORDER BY i)) FROM up WHERE n > 1 GROUP BY g, i // 3, n, lv
+), crown AS (
+    SELECT g AS i, count(*) OVER () AS n, 0 AS lv, h FROM up WHERE n = 1
+    UNION ALL SELECT i // 3, (n + 2) // 3, lv + 1, sha256(string_agg(h, '' ORDER BY i)) FROM crown WHERE n > 1 GROUP BY i // 3, n, lv
+), low AS (
+    SELECT g, k, k AS i, n, 0 AS lv, changed AS h, '' AS p FROM d UNION ALL {_climb("low", "up", "u.g = f.g AND")}
+), high AS (
+    SELECT g, k, g AS i, (SELECT max(n) FROM crown) AS n, 0 AS lv, h, p FROM low WHERE n = 1 UNION ALL {_climb("high", "crown", "")}
+)
+SELECT doc_id, leaf, s.h AS subroot, c.h AS root, sha256(p) AS proof_sha256, e.h AS folded_root, e.h = c.h AS verified
+FROM d JOIN up s ON s.g = d.g AND s.n = 1 JOIN crown c ON c.n = 1 JOIN high e ON e.g = d.g AND e.k = d.k AND e.n = 1
+"""

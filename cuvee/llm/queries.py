@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontaminate, license_scan, minhash_dedup, pii, quality_classifier, quality_rules, substring_dedup, warc
+from . import (
+    bpe, chat, decontaminate, license_scan, merkle, minhash_dedup, pii, quality_classifier, quality_rules, spelling, substring_dedup, token_counts, warc,
+)
 from .common import table
-from .oracle import OP2, OP4, OP6, OP8, OP9
+from .oracle import OP2, OP4, OP6, OP8, OP9, OP11, OP13
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,7 +86,31 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
 
 
-QUERIES = {"op1_license_scan": op1_license_scan, "op2_quality_rules": op2_quality_rules, "op3_quality_classifier": op3_quality_classifier, "op4_substring_dedup": op4_substring_dedup, "op5_byte_bpe": op5_byte_bpe, "op6_warc": op6_warc, "op7_chat_format": op7_chat_format, "op8_minhash_dedup": op8_minhash_dedup, "op9_decontaminate": op9_decontaminate, "op10_pii": op10_pii}
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_counts.prefix_table(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    return counted.select("doc_id", "n_bytes", "n_tokens", token_counts.over_limit(1024).alias("over_limit"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    struck = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    tampered = F.when(struck, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    proofs, _ = merkle.manifest(merkle.document_leaves(docs, tampered))
+    d = proofs.select(
+        "row.doc_id", F.col("digest").alias("leaf"), "above.subroot", "above.root", F.sha2("siblings", 256).alias("proof_sha256"),
+        merkle.fold("row.changed").alias("folded_root"),
+    )
+    return d.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+QUERIES = {"op1_license_scan": op1_license_scan, "op2_quality_rules": op2_quality_rules, "op3_quality_classifier": op3_quality_classifier, "op4_substring_dedup": op4_substring_dedup, "op5_byte_bpe": op5_byte_bpe, "op6_warc": op6_warc, "op7_chat_format": op7_chat_format, "op8_minhash_dedup": op8_minhash_dedup, "op9_decontaminate": op9_decontaminate, "op10_pii": op10_pii, "op11_spelling_variants": op11_spelling_variants, "op12_token_counts": op12_token_counts, "op13_merkle_manifest": op13_merkle_manifest}
 #: formatted_chars: escapes, and the template's control strings by merged turn.
 OP7_SQL = """
 WITH c AS (
@@ -109,4 +135,6 @@ ORACLE: dict[str, str] = {
     "op7_chat_format": OP7_SQL,
     "op8_minhash_dedup": OP8,
     "op9_decontaminate": OP9,
+    "op11_spelling_variants": OP11,
+    "op13_merkle_manifest": OP13,
 }
