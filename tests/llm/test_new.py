@@ -189,7 +189,7 @@ def test_store_holds_every_level(spark):
     assert {(r.level, r.n) for r in nodes.select("level", "n").distinct().collect()} == {(1, 10), (2, 4), (3, 2), (4, 1)}
     assert sorted(r.place for r in nodes.where("level = 1").collect()) == list(range(10))
     p = proofs.where("row.id = 29").first()
-    assert (p.place, p.n, len(p.siblings)) == (29, 30, 64 * 4) and p.above.n_groups == 1 and p.above.subroot == p.above.root
+    assert (p.place, p.n, len(p.siblings)) == (29, 30, 64 * 3) and p.above.n_groups == 1 and p.above.subroot == p.above.root
 
 
 def test_other_fans(spark):
