@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from . import versions
 from .vintage import is_headline
 
 KEPT = 3
@@ -87,23 +88,34 @@ def publish(df: DataFrame, table: str) -> int:
     spark = df.sparkSession
     building = f"{table}/_building-{uuid.uuid4().hex}"
     df.write.parquet(building)
-    fs, path, versions = _versions(spark, table)
-    number = int(versions[-1][2:]) + 1 if versions else 1
-    while fs.exists(path(f"{table}/v-{number:08d}")) or not fs.rename(path(building), path(f"{table}/v-{number:08d}")):
-        number += 1
-    for old in versions[: max(0, len(versions) + 1 - KEPT)]:
+    fs, path, known = _versions(spark, table)
+    number = int(known[-1][2:]) + 1 if known else 1
+    while True:
+        try:
+            versions.rename_new(spark, building, f"{table}/v-{number:08d}", keep=True)
+            break
+        except versions.Conflict:  # another run took the number
+            number += 1
+    for old in known[: max(0, len(known) + 1 - KEPT)]:
         fs.delete(path(f"{table}/{old}"), True)
     return spark.read.parquet(f"{table}/v-{number:08d}").count()
 
 
 def current(spark: SparkSession, table: str, empty: StructType | None = None) -> DataFrame:
-    """The version that readers of ``table`` see; where nothing is published yet, no rows of the schema ``empty``."""
-    versions = _versions(spark, table)[2]
-    if not versions and empty is not None:
+    """The version that readers of ``table`` see, also where it is one of several tables under a pointer (``versions``);
+    where nothing is published yet, no rows of the schema ``empty``."""
+    folder, _, name = table.rpartition("/")
+    if folder.endswith("/exports"):
+        folder, name = folder.removesuffix("/exports"), f"exports/{name}"
+    together = versions.version(spark, folder)
+    if name in together.tables:
+        return versions.read(spark, folder, together, name)
+    known = _versions(spark, table)[2]
+    if not known and empty is not None:
         return spark.createDataFrame([], empty)
-    if not versions:
+    if not known:
         raise FileNotFoundError(f"{table} has no published version")
-    return spark.read.parquet(f"{table}/{versions[-1]}")
+    return spark.read.parquet(f"{table}/{known[-1]}")
 
 
 def export(frames: dict[str, DataFrame], folder: str) -> dict[str, int]:

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import labels
-from ..operators import balance, dims, quality, report, stats, store, vintage
+from ..operators import balance, dims, quality, report, stats, store, versions, vintage
 from ..schemas import OBSERVATION_KEY
 from ..sources import pages, text_reports, xml_report
 from ..sources import tpch_vintage as source
-from ..streaming import reports
+from ..streaming import reports, update
 from ..streaming.ingest import daily_counts, shared
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -644,6 +644,61 @@ def keyed_update(spark, d):
     return store.keyed_update(obs, new, list(OBSERVATION_KEY), ["value"]).select(*OBSERVATION_KEY, "value")
 
 
+def _stored(spark: SparkSession, folder: str) -> DataFrame:
+    """The store's observations with their releases' winners."""
+    won = store.current(spark, f"{folder}/releases").select("release_id", "is_latest")
+    return store.current(spark, f"{folder}/observations").join(won, "release_id").select(*OBSERVATION_KEY, "value", "is_latest")
+
+
+@query(f"SELECT {KEY}, value, is_latest FROM obs_all JOIN (SELECT release_id, is_latest FROM rel) USING (release_id)")
+def update_replay(spark, d):
+    """Batches in an odd order, the first with wrong values that a later one corrects, and each replayed with other values,
+    which must not count."""
+    obs, releases = _all(spark, d)
+    folder, late = shared(spark), F.col("report_month") >= "1997-01-01"
+    wrong = obs.withColumn("value", F.col("value") + 7)
+    for number, rows, rel in ((0, wrong.where(late), releases.where(late)), (1, obs.where(~late), releases.where(~late)), (2, obs.where(late), releases.where(late))):
+        update.load(spark, folder, rows, rel, applied=("reports", number))
+        update.load(spark, folder, wrong, releases, applied=("reports", number))
+    return _stored(spark, folder)
+
+
+FAILING = "month(report_month) = 11"
+BOTH = "(SELECT * FROM obs_all JOIN (SELECT release_id, is_latest FROM rel) USING (release_id))"
+
+
+@query(f"""SELECT {KEY}, value, is_latest FROM {BOTH} WHERE NOT {FAILING}
+    UNION ALL SELECT release_id, 'failure', NULL, NULL, 'not XML', NULL, NULL, NULL, NULL FROM rel WHERE {FAILING}""")
+def update_failed_release(spark, d):
+    """Releases that can't be read are recorded, and the others of their batch load."""
+    obs, releases = _all(spark, d)
+    folder = shared(spark)
+    failures = releases.where(FAILING).select("release_id", F.lit("not XML").alias("problem"))
+    update.load(spark, folder, obs, releases, failures=failures)
+    out = _stored(spark, folder)
+    bad = store.current(spark, f"{folder}/failures").select("release_id", F.lit("failure").alias("table_slug"), F.col("problem").alias("attribute"))
+    return out.unionByName(bad, allowMissingColumns=True)
+
+
+@query(f"""SELECT 'observations' AS name, report_month, count(*) AS n FROM obs WHERE NOT {FAILING} GROUP BY ALL
+    UNION ALL SELECT 'us_corn_balance', report_month, count(*) FROM obs WHERE NOT {FAILING} AND table_slug = 'us_corn' GROUP BY ALL
+    UNION ALL SELECT 'failed', report_month, count(*) FROM obs_all WHERE report_month = DATE '1996-02-01' GROUP BY ALL""")
+def update_checked(spark, d):
+    """A version that its checks refuse isn't published: the exports stay those of the last one."""
+    obs, releases = _all(spark, d)
+    folder = shared(spark)
+    update.load(spark, folder, obs.where(f"NOT {FAILING}"), releases.where(f"NOT {FAILING}"))
+    full = lambda o, r: o.where("value = -1").select("release_id", "table_slug", F.lit("none").alias("check_name"), F.lit("fail").alias("severity"), F.lit("").alias("detail"), F.col("value").alias("observed"), F.lit(0.0).alias("expected"))
+    bad = obs.where("report_month = DATE '1996-02-01'").withColumn("value", F.lit(-1.0))
+    refused = bad.limit(0)
+    try:
+        update.load(spark, folder, bad, releases.where("report_month = DATE '1996-02-01'"), check=full, refuse=True)
+    except versions.Unchecked:
+        refused = bad
+    parts = [store.current(spark, f"{folder}/exports/{n}").select(F.lit(n).alias("name"), "report_month") for n in ("observations", "us_corn_balance")]
+    return parts[0].unionByName(parts[1]).unionByName(refused.select(F.lit("failed").alias("name"), "report_month")).groupBy("name", "report_month").agg(F.count("*").alias("n"))
+
+
 @query("SELECT release_id, report_month, version, is_latest FROM rel")
 def latest_winner(spark, d):
     return _all(spark, d)[1].select("release_id", "report_month", "version", "is_latest")

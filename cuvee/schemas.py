@@ -32,6 +32,7 @@ RELEASE = _schema(
 EXCEPTION = _schema(
     "release_id string, table_slug string, check_name string, severity string, detail string, observed double, expected double"
 )
+FAILURE = _schema("release_id string, problem string")
 UNMAPPED = _schema("release_id string, table_slug string, raw_label string, kind string")
 
 

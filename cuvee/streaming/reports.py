@@ -12,12 +12,11 @@ from dataclasses import dataclass, fields
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import store
 from ..operators.dims import alias_collisions, normalize_cells
 from ..schemas import OBSERVATION, UNMAPPED, conform
 from ..sources import landed, text_reports, xml_report
 from .ingest import shared
-from .update import load
+from .update import Check, load, stream_id
 
 FORMATS = ("xml", "txt", "zip")
 
@@ -103,31 +102,47 @@ def priority_misses(unmapped: DataFrame, priority: list[str]) -> DataFrame:
     return unmapped.where(F.col("table_slug").isin(priority) & (F.col("kind") != "unit"))
 
 
-def load_files(spark: SparkSession, files: DataFrame, plan: DataFrame, releases: DataFrame, registry: Registry, folder: str, priority: list[str] | None = None) -> int:
+def failed_releases(obs: DataFrame, unmapped: DataFrame, priority: list[str] | None) -> DataFrame:
+    """(release_id, problem): releases with a miss in a priority table, and those without observations that have a problem
+    of structure. Of several problems the first by text counts."""
+    row = lambda d: d.select("release_id", F.concat_ws(": ", "table_slug", "kind", "raw_label").alias("problem"))
+    bad = row(unmapped.where("kind = 'structure'").join(obs.select("release_id"), "release_id", "left_anti"))
+    if priority:
+        bad = bad.unionByName(row(priority_misses(unmapped, priority)))
+    return bad.groupBy("release_id").agg(F.min("problem").alias("problem"))
+
+
+def load_files(
+    spark: SparkSession, files: DataFrame, plan: DataFrame, releases: DataFrame, registry: Registry, folder: str, priority: list[str] | None = None,
+    strict: bool = True, check: Check | None = None, refuse: bool = False, applied: tuple[str, int] | None = None,
+) -> int:
     """Loads files (path, content) into the store at ``folder``; its number of observations read. With ``priority``,
-    a miss in one of these tables raises before anything is published."""
+    a miss in one of these tables raises before anything is published; where not ``strict``, its release is recorded among
+    the failures instead, as are releases that can't be read, and the others load. ``check`` and ``refuse`` as in ``load``."""
     obs, unmapped = parsed(chosen(files, plan, releases), registry)
     here = shared(spark)
     for name, d in (("obs", obs), ("unmapped", unmapped)):
         d.write.parquet(f"{here}/{name}")
     obs, unmapped = (spark.read.schema(d.schema).parquet(f"{here}/{n}") for n, d in (("obs", obs), ("unmapped", unmapped)))
-    if priority and (miss := priority_misses(unmapped, priority).first()):
+    if strict and priority and (miss := priority_misses(unmapped, priority).first()):
         raise ValueError(f"{miss['release_id']}, {miss['table_slug']}: unknown {miss['kind']} {miss['raw_label']!r}")
     touched = obs.select("release_id").union(unmapped.select("release_id")).distinct()
-    load(spark, folder, obs, releases.join(touched, "release_id", "left_semi"))
-    old = store.current(spark, f"{folder}/unmapped", UNMAPPED)
-    store.publish(old.join(touched, "release_id", "left_anti").unionByName(unmapped), f"{folder}/unmapped")
+    failures = None if strict else failed_releases(obs, unmapped, priority)
+    load(spark, folder, obs, releases.join(touched, "release_id", "left_semi"), unmapped, failures, check, refuse, applied)
     return obs.count()
 
 
-def run(spark: SparkSession, archive: str, releases: DataFrame, plan: DataFrame, registry: Registry, folder: str, checkpoint: str, priority: list[str] | None = None) -> int:
+def run(
+    spark: SparkSession, archive: str, releases: DataFrame, plan: DataFrame, registry: Registry, folder: str, checkpoint: str, priority: list[str] | None = None,
+    strict: bool = True, check: Check | None = None, refuse: bool = False,
+) -> int:
     """Loads report files that are new in ``archive`` (two levels deep, as planned) for the catalog's ``releases``;
     the number of batches. A batch that raises leaves the checkpoint where it was and is run again next time."""
     done: list[int] = []
     schema = "path string, modificationTime timestamp, length long, content binary"
 
     def one(batch: DataFrame, number: int) -> None:
-        load_files(spark, batch, plan, releases, registry, folder, priority)
+        load_files(spark, batch, plan, releases, registry, folder, priority, strict, check, refuse, (stream_id(spark, checkpoint), number))
         done.append(number)
 
     stream = spark.readStream.format("binaryFile").schema(schema).load(f"{archive}/*")

@@ -603,3 +603,109 @@ def test_report_and_config(spark, tmp_path):
     assert config.whitelist(spark, f"{base}/none.yaml") == []
     (tmp_path / "a.yaml").write_text("attributes:\n  exports:\n    aliases: [Exports, 'Total exports']\n  seed:\n")
     assert {tuple(r) for r in config.aliases(spark, f"{base}/a.yaml", "attributes").collect()} == {("exports", "exports"), ("Exports", "exports"), ("Total exports", "exports"), ("seed", "seed")}
+
+
+VINTAGE = {"report_month": day("2026-05-01"), "table_slug": "us_corn", "region": "us", "commodity": "corn", "attribute": "exports", "marketing_year": "2025/26", "forecast_month": "May"}
+
+
+def _batch(spark, *rows):
+    """Observations and releases of (release, version, values)."""
+    obs = [(r, VINTAGE["report_month"], VINTAGE["table_slug"], "us", "corn", "exports", "2025/26", "May", float(k), v) for r, _, values in rows for k, v in enumerate(values)]
+    d = spark.createDataFrame(obs, "release_id string, report_month date, table_slug string, region string, commodity string, attribute string, marketing_year string, forecast_month string, k double, value double")
+    d = d.withColumn("region", F.concat("region", F.col("k").cast("string"))).drop("k")
+    rel = spark.createDataFrame([(r, VINTAGE["report_month"], n) for r, n, _ in rows], "release_id string, report_month date, version int")
+    return d, rel
+
+
+def test_update_is_one_transaction(spark, tmp_path):
+    """A run that dies before any step publishes nothing; run again, it ends as if it had not died."""
+    from cuvee.operators import store, versions
+    from cuvee.streaming.update import load
+
+    folder = f"file://{tmp_path}/s"
+    load(spark, folder, *_batch(spark, ("r1", 1, [1.0, 2.0])), applied=("s", 0))
+    state = lambda: {n: sorted(map(repr, store.current(spark, f"{folder}/{n}").collect())) for n in ("observations", "releases", "failures", "exports/observations", "exports/observations_all_versions", "exports/us_corn_balance", "exports/releases")}
+    before, steps = state(), []
+    batch = _batch(spark, ("r1-v2", 2, [3.0]), ("a*b/ü=%", 1, [4.0]))
+    check = lambda o, r: o.limit(0).select("release_id", "table_slug")
+    load(spark, f"{folder}-probe", *batch, check=check, on_step=steps.append)
+    assert steps[-1] == "publish" and {"write observations", "write releases", "write failures", "check", "write exports/observations"} <= set(steps)
+    for dies in range(len(steps)):
+        left = [dies]
+
+        def die(name, left=left):
+            left[0] -= 1
+            if left[0] < 0:
+                raise RuntimeError(name)
+
+        with pytest.raises(RuntimeError, match=steps[dies]):
+            load(spark, folder, *batch, check=check, applied=("s", 1), on_step=die)
+        assert state() == before and versions.version(spark, folder).number == 1
+    assert load(spark, folder, *batch, check=check, applied=("s", 1)) == 2
+    after = state()
+    assert load(spark, folder, *_batch(spark, ("r1", 1, [9.0])), applied=("s", 1)) is None and state() == after  # a replay
+    assert [(r.release_id, r.is_latest) for r in store.current(spark, f"{folder}/releases").orderBy("release_id").collect()] == [("a*b/ü=%", False), ("r1", False), ("r1-v2", True)]
+    assert {r.release_id for r in store.current(spark, f"{folder}/exports/observations").collect()} == {"r1-v2"}
+    assert store.current(spark, f"{folder}/observations").count() == 4
+
+
+def test_update_writes_what_the_batch_touches(spark, tmp_path):
+    from cuvee.operators import store, versions
+    from cuvee.streaming.update import load
+
+    folder = f"file://{tmp_path}/s"
+    files = lambda: {p for p in (tmp_path / "s" / "data" / "observations").rglob("*.parquet")}
+    load(spark, folder, *_batch(spark, *[(f"r{k}", 1, [float(k)] * 20) for k in range(12)]))
+    first, old = files(), store.current(spark, f"{folder}/observations")
+    assert len(first) >= 12
+    load(spark, folder, *_batch(spark, ("r3", 1, [5.0]), ("new", 1, [6.0])))
+    assert {p.parent.name for p in files() - first} == {"store_part=r3", "store_part=new"}
+    now = {(r.release_id, r.value) for r in store.current(spark, f"{folder}/observations").collect()}
+    assert now == {(f"r{k}", float(k)) for k in range(12) if k != 3} | {("r3", 5.0), ("new", 6.0)}
+    assert old.where("release_id = 'r3'").count() == 20  # a reader keeps its version
+    read = store.current(spark, f"{folder}/observations").inputFiles()
+    assert len([f for f in read if any(str(p) in f for p in first)]) == 11  # the others lie where they lay
+    assert versions.vacuum(spark, folder, keep=1, older_than=-10) > 0
+    assert {(r.release_id, r.value) for r in store.current(spark, f"{folder}/observations").collect()} == now
+    assert versions.vacuum(spark, folder, keep=1, older_than=-10) == 0
+
+
+def test_changes_that_meet_are_done_again(spark, tmp_path):
+    from cuvee.operators import versions
+
+    folder = f"file://{tmp_path}/s"
+    row = lambda k, v: spark.createDataFrame([(k, v)], "release_id string, v int")
+    tries = []
+
+    def work(change):
+        tries.append(change.base.number)
+        change.merge("t", row("a", 1), "release_id", lambda old, new: old.unionByName(new))
+        if len(tries) == 1:  # another run is faster
+            versions.transact(spark, folder, lambda c: c.merge("t", row("a", 2), "release_id", lambda old, new: old.unionByName(new)) and None)
+
+    assert versions.transact(spark, folder, work) == 2 and tries == [0, 1]
+    assert sorted(r.v for r in versions.read(spark, folder, versions.version(spark, folder), "t").collect()) == [1, 2]
+    with pytest.raises(versions.Conflict):
+        versions._claim(spark, folder, versions.Version(2))
+    with pytest.raises(FileNotFoundError):
+        versions.read(spark, folder, versions.Version(), "none")
+
+
+def test_failed_and_refused_releases(spark, tmp_path):
+    from cuvee.operators import store, versions
+    from cuvee.streaming.update import load
+
+    folder = f"file://{tmp_path}/s"
+    obs, rel = _batch(spark, ("good", 1, [1.0, 2.0]), ("bad", 1, [3.0]))
+    load(spark, folder, obs, rel, failures=spark.createDataFrame([("bad", "not XML")], "release_id string, problem string"))
+    ids = lambda t: {r.release_id for r in store.current(spark, f"{folder}/{t}").collect()}
+    assert ids("observations") == ids("releases") == {"good"} and ids("failures") == {"bad"}
+    finding = lambda o, r: o.where("value > 50").select("release_id", "table_slug", F.lit("c").alias("check_name"), F.lit("fail").alias("severity"), F.lit("x").alias("detail"), F.col("value").alias("observed"), F.lit(None).cast("double").alias("expected"))
+    with pytest.raises(versions.Unchecked, match="c of bad"):
+        load(spark, folder, *_batch(spark, ("bad", 1, [99.0])), check=finding, refuse=True)
+    assert ids("observations") == {"good"}
+    load(spark, folder, *_batch(spark, ("bad", 1, [99.0])), check=finding)  # findings alone don't stop a run
+    assert ids("observations") == {"good", "bad"} and ids("failures") == set() and ids("qa_exceptions") == ids("exports/qa_exceptions") == {"bad"}
+    late, early = (_batch(spark, ("good", 1, [v]))[0].withColumn("loaded_at", F.lit(t)) for v, t in ((8.0, 2), (7.0, 1)))
+    load(spark, folder, late.unionByName(early), rel.where("release_id = 'good'"))  # in order of date, not of rows
+    assert [r.value for r in store.current(spark, f"{folder}/observations").where("release_id = 'good'").collect()] == [8.0]
