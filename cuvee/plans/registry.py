@@ -12,9 +12,11 @@ from ..operators import balance, dims, quality, report, stats, store, versions,
 from ..schemas import OBSERVATION_KEY
 from ..sources import pages, text_reports, xml_report
 from ..sources import tpch_vintage as source
-from ..streaming import reports, update
+from ..streaming import reports, scans, update
 from ..streaming.ingest import daily_counts, shared
 
+from . import balance_sql
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -728,19 +730,43 @@ def identities_pass(spark, d):
     return g.select(*BY, balance.identities_pass(g).alias("ok"))
 
 
-@query()
+#: Rows of the first reader of the two fixtures below: holes, a misread total, a misread price.
+TORN = f"""SELECT {', '.join(BY)}, attribute, CASE WHEN attribute = 'supply_total' AND month(report_month) = 9 THEN value + 40 WHEN attribute = 'farm_price' AND month(report_month) = 11 THEN value + 1
+    WHEN attribute = 'ending_stocks' AND month(report_month) = 10 THEN value + 5 ELSE value END AS value
+    FROM obs_all WHERE NOT (attribute = 'exports' AND month(report_month) = 8) AND NOT (attribute IN ('imports', 'supply_total') AND month(report_month) = 12)"""
+#: The second reader's: another cell lost, another misread, and one that both misread.
+OTHER = f"""SELECT {', '.join(BY)}, attribute, CASE WHEN attribute = 'production' AND month(report_month) = 5 THEN value + 30
+    WHEN attribute = 'ending_stocks' AND month(report_month) = 10 THEN value + 9 ELSE value END AS value
+    FROM obs_all WHERE NOT (attribute = 'imports' AND month(report_month) = 6)"""
+
+
+def _read_by(obs: DataFrame, wrong: dict, lost) -> DataFrame:
+    """Rows as a reader saw them: with some attributes off in a month, and some cells lost."""
+    value = F.col("value")
+    for (attribute, month), by in wrong.items():
+        value = F.when((F.col("attribute") == attribute) & (F.month("report_month") == month), F.col("value") + by).otherwise(value)
+    return obs.withColumn("value", value).where(~lost(F.col("attribute"), F.month("report_month")))
+
+
+def _torn(obs: DataFrame) -> DataFrame:
+    lost = lambda a, m: ((a == "exports") & (m == 8)) | (a.isin("imports", "supply_total") & (m == 12))
+    return _read_by(obs, {("supply_total", 9): 40, ("farm_price", 11): 1, ("ending_stocks", 10): 5}, lost)
+
+
+@query(balance_sql.repair(TORN, BY))
 def identity_repair(spark, d):
-    g = balance.column_groups(_all(spark, d)[0], BY)
+    """Column groups with holes and misread cells, repaired."""
+    g = balance.column_groups(_torn(_all(spark, d)[0]), BY)
     return balance.repaired(g).select(*BY, F.explode("cells").alias("c")).select(*BY, "c.*")
 
 
-@query()
+@query(balance_sql.arbitration(TORN, OTHER, BY))
 def reader_arbitration(spark, d):
+    """Two readers' column groups: cells misread by either, by both, and lost by one."""
     obs = _all(spark, d)[0]
-    first = balance.column_groups(obs, BY)
-    misread = F.when((F.col("attribute") == "production") & (F.month("report_month") == 5), F.col("value") + 30).otherwise(F.col("value"))
-    second = balance.column_groups(obs.withColumn("value", misread).where("NOT (attribute = 'imports' AND month(report_month) = 6)"), BY).withColumnRenamed("vals", "vals2")
-    both = first.join(second, BY, "full")
+    first = balance.column_groups(_torn(obs), BY)
+    other = _read_by(obs, {("production", 5): 30, ("ending_stocks", 10): 9}, lambda a, m: (a == "imports") & (m == 6))
+    both = first.join(balance.column_groups(other, BY).withColumnRenamed("vals", "vals2"), BY, "full")
     return balance.arbitrated(both).select(*BY, F.explode("cells").alias("c")).select(*BY, "c.*")
 
 
@@ -806,6 +832,73 @@ def scanned_cells(spark, d):
     return pages.cells(page).select("release_id", "commodity", "raw_attribute", "marketing_year", "forecast_month", "value", "unit")
 
 
+#: Pages of all layouts: by the supplier's key, a corn page or a soybean page, with what scans do to headings, digits,
+#: colons, tolerances and units.
+LAYOUTS = """
+SELECT 's' || s_suppkey AS release_id, c.commodity, c.raw_attribute, m.my AS marketing_year, m.fm AS forecast_month, CAST(c.base + s_suppkey + m.k AS DOUBLE) AS value, c.unit
+FROM supplier, unnest([{'my': '1983/84', 'fm': '', 'k': 0}, {'my': '1984/85', 'fm': '', 'k': 1}, {'my': '1985/86', 'fm': 'May', 'k': 2}, {'my': '1985/86', 'fm': 'Jun', 'k': 3}]) u(m),
+    unnest([{'kind': 0, 'commodity': 'feed_grains', 'raw_attribute': 'production', 'base': 1100, 'unit': 'Million Metric Tons'}, {'kind': 0, 'commodity': 'corn', 'raw_attribute': 'production', 'base': 7100, 'unit': 'Million Bushels'},
+        {'kind': 0, 'commodity': 'corn', 'raw_attribute': 'ending_stocks', 'base': 3100, 'unit': 'Million Bushels'}, {'kind': 1, 'commodity': 'soybeans', 'raw_attribute': 'production', 'base': 1900, 'unit': 'Million Bushels'},
+        {'kind': 1, 'commodity': 'soybeans', 'raw_attribute': 'exports', 'base': 1500, 'unit': 'Million Bushels'}, {'kind': 1, 'commodity': 'soybean_meal', 'raw_attribute': 'use_total', 'base': 2400, 'unit': NULL}]) v(c)
+WHERE c.kind = s_suppkey % 2"""
+
+
+@query(LAYOUTS)
+def scanned_layouts(spark, d):
+    """A recognised page a supplier, of one of two tables."""
+    k = F.col("s_suppkey").cast("int")
+    four = lambda base, sep=" ": F.concat_ws(sep, *[(k + base + j).cast("string") for j in range(4)])
+    look_alike = lambda c: F.translate(c, "05", "OS")
+    corn = F.concat(
+        F.lit("U.S. Feed Gra1ns and C0rn\nCORN equivalent is not a heading of FEED GRAINS\nFEED GRAINS\n : Million metric tons\nProduction : "), four(1100), F.lit(" +/- 22\nCORN"),
+        F.when(k % 4 == 0, "2/").otherwise("t"), F.lit("\nAcreage of metric tons\n:Million bushels\nFroduction : "), look_alike(four(7100)), F.lit("\nEnding stocks 1 "), four(3100), F.lit("\nnothing\n"),
+    )
+    soy = F.concat(
+        F.lit("U 5 Soybeans and Products\n: Million bushels\nProduction : "), four(1900), F.lit("\nCORN equivalent of meal : 5\nTons of meal\nExports : "), look_alike(four(1500)),
+        F.lit(" +21/=-21 7\nSOYBEAN  MEAL\n: Million of something\nUse, total : "), four(2400, "  "), F.lit("\n"),
+    )
+    page = spark.read.parquet(f"{d}/supplier.parquet").select(
+        F.concat(F.lit("s"), "s_suppkey").alias("release_id"), F.lit("1985-06-01").cast("date").alias("report_month"), F.lit(1).alias("page_no"), F.when(k % 2 == 0, corn).otherwise(soy).alias("text")
+    )
+    return pages.cells(pages.located(page)).select("release_id", "commodity", "raw_attribute", "marketing_year", "forecast_month", "value", "unit")
+
+
+SCANNED = """
+SELECT 's' || s_suppkey AS release_id, y AS marketing_year, c.attribute, CAST(c.v + CASE WHEN s_suppkey % 4 = 2 AND c.attribute = 'production' THEN 50 ELSE 0 END AS DOUBLE) AS value,
+    CASE WHEN s_suppkey % 4 = 1 AND c.attribute = 'exports' THEN 'corrected' WHEN s_suppkey % 4 = 2 AND c.attribute IN ('beginning_stocks', 'production', 'imports', 'supply_total') THEN 'quarantined' ELSE 'ok' END AS qa_status,
+    CASE WHEN s_suppkey % 4 = 1 AND c.attribute = 'exports' THEN '(derived from identity)' ELSE c.attribute END AS raw_attribute,
+    s_suppkey % 4 = 2 AND c.attribute IN ('beginning_stocks', 'production', 'imports', 'supply_total') AS listed
+FROM supplier, unnest(['1983/84', '1984/85', '1985/86']) u(y), unnest([{'attribute': 'beginning_stocks', 'v': 100 + s_suppkey}, {'attribute': 'production', 'v': 2000 + s_suppkey}, {'attribute': 'imports', 'v': 10},
+    {'attribute': 'supply_total', 'v': 2110 + 2 * s_suppkey}, {'attribute': 'domestic_total', 'v': 900 + s_suppkey}, {'attribute': 'exports', 'v': 300}, {'attribute': 'use_total', 'v': 1200 + s_suppkey},
+    {'attribute': 'ending_stocks', 'v': 910 + s_suppkey}, {'attribute': 'area_planted', 'v': 80}]) v(c)"""
+
+
+@query(SCANNED)
+def scan_ingest(spark, d):
+    """Page texts of a scanned report a supplier, loaded into the store: clean pages, pages with a lost row, and pages with a
+    misread number."""
+    k = F.col("s_suppkey").cast("int")
+    row = lambda label, v: F.concat(F.lit(f"{label} : "), F.concat_ws(" ", v, v, v).cast("string"), F.lit("\n"))
+    exports = F.when(k % 4 == 1, "Exforts : 3OO 3OO 3OO\n").otherwise("Exports : 3OO 3OO 3OO\n")
+    text = F.concat(
+        F.lit("U.S. Feed Grains and Corn\nCORN\n: Million bushels\n"), row("Planted", F.lit(80)), row("Beginning stocks", 100 + k), row("Froduction", 2000 + k + F.when(k % 4 == 2, 50).otherwise(0)),
+        row("Imports", F.lit(10)), row("Supply, total", 2110 + 2 * k), row("Donestic", 900 + k), exports, row("Use, total", 1200 + k), row("Ending stocks", 910 + k),
+    )
+    name = F.concat(F.lit("s"), "s_suppkey")
+    s = spark.read.parquet(f"{d}/supplier.parquet")
+    files = s.select(F.concat(F.lit("/x/"), name, F.lit("-p03.txt")).alias("path"), F.encode(text, "UTF-8").alias("content"))
+    releases = s.select(name.alias("release_id"), F.lit("1985-05-01").cast("date").alias("report_month"), F.lit(1).alias("version"), F.lit("pdf_scan").alias("format_era"))
+    one = lambda *names: spark.createDataFrame([(n, n) for n in names], "alias string, slug string")
+    none = spark.createDataFrame([], TABLES)
+    lists = reports.Registry(none, none, one("corn"), one(*dict(pages.ROW_LABELS).values()), one("corn"), spark.createDataFrame([("Million Bushels", "million_bushels")], "alias string, slug string"))
+    folder = shared(spark)
+    scans.load_pages(spark, scans.page_texts(files), releases, lists, folder)
+    on = ["release_id", "marketing_year", "attribute"]
+    todo = store.current(spark, f"{folder}/worklist").select(*on, F.lit(True).alias("listed"))
+    out = store.current(spark, f"{folder}/observations").join(todo, on, "left").withColumn("listed", F.coalesce("listed", F.lit(False)))
+    return out.select(*on, "value", "qa_status", "raw_attribute", "listed")
+
+
 TABLES = "slug string, pattern string, place int, region string, commodity string"
 
 

@@ -6,6 +6,8 @@ columns by position. Pages are spread over tasks by (release_id, page_no).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,8 +29,13 @@ UNITS = (
     (("metric",), "Million Metric Tons"), (("bushel", "million"), "Million Bushels"), (("pound", "million"), "Million Pounds"),
     (("short ton",), "Thousand Short Tons"), (("tons",), "Thousand Short Tons"), (("acre",), "Million Acres"), (("bushel",), "Bushels"),
 )
-#: Section headings within a page and their commodities.
-SECTIONS = ((r"^SOYBEAN\s*OIL", "soybean_oil"), (r"^SOYBEAN\s*MEAL", "soybean_meal"), (r"^SOYBEANS?\b", "soybeans"), (r"^FEED\s*GRAINS?", "feed_grains"), (r"^CORN\b", "corn"))
+#: By table, the patterns of section headings and their commodities, first match first; the commodity of a
+#: page's lines before any heading is that of SECTIONS_BEGIN.
+SECTIONS = {
+    "us_corn": ((r"(?i)^FEED\s*GRAINS", "feed_grains"), (r"(?i)^CORN", "corn")),
+    "us_soybeans": ((r"(?i)^SOYBEANS\b", "soybeans"), (r"(?i)^SOYBEAN\s*OIL", "soybean_oil"), (r"(?i)^SOYBEAN\s*MEAL", "soybean_meal")),
+}
+SECTIONS_BEGIN = {"us_corn": "feed_grains", "us_soybeans": "soybeans"}
 #: The first token of a row's reliability column, and the titles of pages that are read.
 TOLERANCE = r"^[+±]|^t/?-|^to$|^/$|/=?-"
 TITLES = (
@@ -64,8 +71,17 @@ def located(pages: DataFrame) -> DataFrame:
     return d.where("table_slug IS NOT NULL")
 
 
-def cells(pages: DataFrame) -> DataFrame:
-    """ParsedCell rows of pages (release_id, report_month, page_no, table_slug, text)."""
+def _section(table: Column, line: Column) -> Column:
+    """The commodity whose heading a line of a table's page is."""
+    out = F.lit(None).cast("string")
+    for slug, rules in SECTIONS.items():
+        out = F.when(table == slug, _first_match(rules, lambda p: F.regexp_like(line, p))).otherwise(out)
+    return out
+
+
+def cells(pages: DataFrame, units: Sequence[str] = ()) -> DataFrame:
+    """ParsedCell rows of pages (release_id, report_month, page_no, table_slug, text), with page_no and the line ln. Only a
+    line that is one of the known ``units`` or says million or bushel changes the unit, to none where it names no unit."""
     d = pages.select("release_id", "report_month", "page_no", "table_slug", F.posexplode(F.split("text", "\n")).alias("ln", "line"))
     number = F.regexp_instr("line", F.lit(r"[0-9][0-9,]*\.?[0-9]*"))
     colon = F.instr("line", ":")
@@ -74,18 +90,18 @@ def cells(pages: DataFrame) -> DataFrame:
         {
             "label": F.when(cut.isNotNull(), F.substr("line", F.lit(1), cut - 1)),
             "zone": F.when(colon > 0, F.substr("line", colon + 1)).when(cut.isNotNull(), F.substr("line", cut)),
-            "_section": _first_match(SECTIONS, lambda p: F.regexp_like(F.trim("line"), p)),
+            "_section": _section(F.col("table_slug"), F.trim("line")),
         }
     )
     d = d.withColumn("_plain", F.trim(F.regexp_replace(normalize_label(F.col("label")), "[^a-z, ]", "")))
     d = d.withColumn("raw_attribute", _first_match(ROW_LABELS, lambda p: F.startswith("_plain", p)))
-    said = F.when(F.trim("zone") != "", normalize_label(F.col("zone"))).otherwise(normalize_label(F.col("label")))
-    d = d.withColumn("_said", said)
+    d = d.withColumn("_said", normalize_label(F.when(F.col("zone") != "", F.col("zone")).otherwise(F.col("label"))))
     needles = tuple(("".join(f"(?=.*{w})" for w in ws), name) for ws, name in UNITS)
-    unit = F.when(F.col("raw_attribute").isNull(), _first_match(needles, lambda p: F.regexp_like("_said", p)))
+    names_unit = F.contains("_said", F.lit("million")) | F.contains("_said", F.lit("bushel")) | F.col("_said").isin([u.lower() for u in units])
+    unit = F.when(F.col("raw_attribute").isNull() & names_unit, F.struct(_first_match(needles, lambda p: F.regexp_like("_said", p)).alias("name")))
     above = Window.partitionBy("release_id", "page_no").orderBy("ln").rowsBetween(Window.unboundedPreceding, 0)
-    start = F.when(F.col("table_slug") == "us_corn", "feed_grains").otherwise("soybeans")
-    d = d.withColumns({"commodity": F.coalesce(F.last("_section", ignorenulls=True).over(above), start), "unit": F.last(unit, ignorenulls=True).over(above)})
+    start = F.try_element_at(F.create_map(*[F.lit(x) for kv in SECTIONS_BEGIN.items() for x in kv]), "table_slug")
+    d = d.withColumns({"commodity": F.coalesce(F.last("_section", ignorenulls=True).over(above), start), "unit": F.last(unit, ignorenulls=True).over(above)["name"]})
     d = d.where("raw_attribute IS NOT NULL")
     tokens = F.split(F.trim("zone"), r"\s+")
     stop = F.array_position(F.transform(tokens, lambda t: t.rlike(TOLERANCE)), F.lit(True))
@@ -101,7 +117,7 @@ def cells(pages: DataFrame) -> DataFrame:
     d = d.withColumn("_at", F.col("_at") - F.max(F.col("_odd").cast("int")).over(line)).where("NOT _odd AND _at <= size(_cols)")
     col = F.get("_cols", F.col("_at") - 1)
     names = ("marketing_year", "year_status", "forecast_month")
-    return d.select("release_id", "report_month", "table_slug", F.lit("united_states").alias("region"), "commodity", "raw_attribute", *[col[n].alias(n) for n in names], "value", "unit")
+    return d.select("release_id", "report_month", "table_slug", F.lit("united_states").alias("region"), "commodity", "raw_attribute", *[col[n].alias(n) for n in names], "value", "unit", "page_no", "ln")
 
 
 def rebuilt_lines(boxes: DataFrame, tolerance: float = 14.0) -> DataFrame:

@@ -22,6 +22,7 @@ Check = Callable[[DataFrame, DataFrame], DataFrame]
 def load(
     spark: SparkSession, folder: str, observations: DataFrame, releases: DataFrame, unmapped: DataFrame | None = None, failures: DataFrame | None = None,
     check: Check | None = None, refuse: bool = False, applied: tuple[str, int] | None = None, on_step: Callable[[str], None] | None = None,
+    beside: dict[str, DataFrame] | None = None,
 ) -> int | None:
     """Publishes a version of the store at ``folder`` with ``releases`` registered, their observations and unmapped labels
     replaced, and each touched month's winner chosen anew; its number, or None for a batch that it holds already.
@@ -30,7 +31,7 @@ def load(
     ``failures`` (release_id, problem) are releases that could not be read: they are recorded, nothing of them is loaded,
     and what an earlier run loaded of them stays; a release that loads is no failure any more. ``check`` sees the version
     before it is published; its findings become the table qa_exceptions. With ``refuse``, a finding of severity fail raises
-    ``versions.Unchecked`` and publishes nothing. The inputs are read more than once: tables, not long plans."""
+    ``versions.Unchecked`` and publishes nothing. ``beside`` are further tables of the store, replaced by release. The inputs are read more than once: tables, not long plans."""
     failed = (conform(failures, FAILURE) if failures is not None else spark.createDataFrame([], FAILURE)).where("release_id IS NOT NULL")
     told = observations.withColumn("_at", F.col("loaded_at") if "loaded_at" in observations.columns else F.lit(0))
     new = told.select(*[c.alias(f.name) for c, f in zip(_conformed(told), OBSERVATION, strict=True)], "_at").join(failed, "release_id", "left_anti")
@@ -52,6 +53,8 @@ def load(
         change.replace("releases", all_.join(F.broadcast(month), here, "left_anti").unionByName(winners))
         if unmapped is not None:
             change.replace("unmapped", conform(unmapped, UNMAPPED).join(failed, "release_id", "left_anti"), "release_id", touched)
+        for name, d in (beside or {}).items():
+            change.replace(name, d.join(failed, "release_id", "left_anti"), "release_id", touched)
         change.replace("failures", failed.distinct(), "release_id", touched.union(failed.select("release_id")))
         found = None
         if check is not None:

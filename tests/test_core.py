@@ -709,3 +709,68 @@ def test_failed_and_refused_releases(spark, tmp_path):
     late, early = (_batch(spark, ("good", 1, [v]))[0].withColumn("loaded_at", F.lit(t)) for v, t in ((8.0, 2), (7.0, 1)))
     load(spark, folder, late.unionByName(early), rel.where("release_id = 'good'"))  # in order of date, not of rows
     assert [r.value for r in store.current(spark, f"{folder}/observations").where("release_id = 'good'").collect()] == [8.0]
+
+
+def test_sections_and_units_of_pages(spark):
+    """Headings are a table's own, also with marks behind them; a remark changes neither section nor unit."""
+    from cuvee.sources.pages import cells
+
+    corn = "FEED GRAINS\n: Million metric tons\nProduction : 1 2 3 4\nCORN2/\n: Million bushels\nExports : 5 6 7 8\nTons of meal\nImports : 1 1 1 1\nThousand sacks of million\nSeed : 2 2 2 2"
+    soy = "Production : 1 2 3 4\nCORN equivalent of meal : 5\nExports : 5 6 7 8\nShort tons\nImports : 3 3 3 3"
+    d = spark.createDataFrame([("r", day("1985-06-01"), 1, "us_corn", corn), ("r", day("1985-06-01"), 2, "us_soybeans", soy)], "release_id string, report_month date, page_no int, table_slug string, text string")
+    got = {(r.page_no, r.raw_attribute): (r.commodity, r.unit) for r in cells(d, units=["short tons"]).where("forecast_month = 'Jun'").collect()}
+    assert got[(1, "production")] == ("feed_grains", "Million Metric Tons") and got[(1, "exports")] == got[(1, "imports")] == ("corn", "Million Bushels")
+    assert got[(1, "seed")] == ("corn", None)  # a unit that nobody knows is none
+    assert got[(2, "exports")] == ("soybeans", None) and got[(2, "imports")] == ("soybeans", "Thousand Short Tons")
+
+
+def test_scan_run(spark, tmp_path):
+    """Page texts in two batches: a release is read again whole; what is off is mended or listed; another reader fills in."""
+    from cuvee.operators import store
+    from cuvee.sources.pages import ROW_LABELS
+    from cuvee.streaming import reports, scans
+
+    base = f"file://{tmp_path}"
+    page = "U.S. Feed Grains and Corn\nCORN\n: Million bushels\nPlanted : 80 80 80\nBeginning stocks : 100 100 100\nProduction : {p} 900 900\nImports : 10 10 10\nSupply, total : 1010 1010 1010\nDomestic : 600 600 600\n{e}Use, total : 900 900 900\nEnding stocks : 110 110 110\n"
+    soy = "U.S. Soybeans and Products\n: Million bushels\nExports : 20 20 20\n"
+    one = lambda *names: spark.createDataFrame([(n, n) for n in names], "alias string, slug string")
+    none = spark.createDataFrame([], "slug string, pattern string, place int, region string, commodity string")
+    registry = reports.Registry(none, none, one("corn"), one(*dict(ROW_LABELS).values()), one("corn", "soybeans"), spark.createDataFrame([("Million Bushels", "million_bushels")], "alias string, slug string"))
+    month = day("1985-05-01")
+    releases = spark.createDataFrame([("r1", month, 1, "pdf_scan"), ("r2", month, 1, "pdf_scan"), ("r3", month, 1, "xml")], "release_id string, report_month date, version int, format_era string")
+
+    def put(folder, name, text):
+        (tmp_path / folder).mkdir(exist_ok=True)
+        (tmp_path / folder / name).write_text(text)
+
+    go = lambda folder, **k: scans.run(spark, f"{base}/{folder}", releases, registry, f"{base}/store", f"{base}/c-{folder}", **k)
+    put("texts", "r1-p03.txt", page.format(p=900, e=""))
+    put("texts", "r3-p01.txt", page.format(p=900, e=""))
+    put("texts", "notes.txt", "no page")
+    assert go("texts") == 1 and go("texts") == 0
+    rows = lambda: {(r.release_id, r.commodity, r.marketing_year, r.attribute): (r.value, r.qa_status, r.unit) for r in store.current(spark, f"{base}/store/observations").collect()}
+    first = rows()
+    assert {k[0] for k in first} == {"r1"} and first[("r1", "corn", "1983/84", "exports")] == (300.0, "corrected", "million_bushels")
+    assert first[("r1", "corn", "1983/84", "area_planted")][1] == "ok" and store.current(spark, f"{base}/store/worklist").count() == 0
+    put("texts", "r1-p04.txt", soy)
+    put("texts", "r1-p03.txt.part", "half")
+    assert go("texts") == 1
+    second = rows()
+    assert {k: v for k, v in second.items() if k[1] == "corn"} == first and second[("r1", "soybeans", "1985/86", "exports")] == (20.0, "ok", "million_bushels")
+    put("again", "r1-p03.txt", page.format(p=1, e=""))
+    put("again", "r2-p03.txt", page.format(p=950, e="Exports : 300 300 300\n"))
+    assert go("again", first_reader=False, missing_only=True) == 1
+    third = rows()
+    assert {k: v for k, v in third.items() if k[0] == "r1"} == second  # it had rows
+    assert third[("r2", "corn", "1983/84", "production")][1] == "quarantined" and third[("r2", "corn", "1984/85", "production")][:2] == (900.0, "ok")
+    assert third[("r2", "corn", "1983/84", "area_planted")][1] == "warn"
+    todo = {(r.marketing_year, r.attribute) for r in store.current(spark, f"{base}/store/worklist").collect()}
+    assert todo == {("1983/84", a) for a in ("beginning_stocks", "production", "imports", "supply_total")}
+
+
+def test_repair_and_arbitration_show_every_status(spark):
+    from cuvee.plans import registry
+
+    d = "/root/testdata/sf0.001"
+    for name in ("identity_repair", "reader_arbitration"):
+        assert {r.qa_status for r in registry.QUERIES[name](spark, d).select("qa_status").distinct().collect()} == {"ok", "corrected", "warn", "quarantined"}, name
