@@ -95,7 +95,8 @@ def region_rank(c: Column) -> Column:
 
 def dataset_label(slug: Column, commodity: Column) -> Column:
     scope = F.when(F.startswith(slug, F.lit("us_")), "US").otherwise("World")
-    return F.concat(scope, F.lit(" - "), F.initcap(F.replace(commodity, F.lit("_"), F.lit(" "))))
+    both = F.when(F.startswith(slug, F.lit("world_us_")), " (world & US)").otherwise("")
+    return F.concat(scope, F.lit(" - "), F.initcap(F.replace(commodity, F.lit("_"), F.lit(" "))), both)
 
 
 def unit_label(unit: Column) -> Column:

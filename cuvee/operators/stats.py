@@ -4,10 +4,8 @@ from __future__ import annotations
 
 import math
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..schemas import MY, series_keys
 from .vintage import month_name, months_between
@@ -38,9 +36,34 @@ def wilcoxon_p(n: int, w: float, ties: float) -> float | None:
     return math.erfc(abs(w - n * (n + 1) / 4) / sd / math.sqrt(2)) if sd else None
 
 
-@F.arrow_udf(T.DoubleType())
-def _wilcoxon(n: pa.Array, w: pa.Array, ties: pa.Array) -> pa.Array:
-    return pa.array([None if a is None or b is None else wilcoxon_p(a, b, c or 0.0) for a, b, c in zip(n.to_pylist(), w.to_pylist(), ties.to_pylist(), strict=True)], pa.float64())
+#: Values up to which the signed-rank distribution is exact.
+EXACT = 50
+
+
+def signed_rank_ways(spark: SparkSession) -> DataFrame:
+    """(n, ways): for each n up to EXACT the number of sign choices whose rank sum is 0, 1, ..., up to the mean. A table of
+    EXACT rows, whatever the data."""
+    size = EXACT * (EXACT + 1) // 4 + 1
+    start = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda s: F.when(s == 0, 1.0).otherwise(0.0))
+    add = lambda old, r: F.transform(old, lambda x, s: x + F.when(s >= r, F.get(old, (s - r).cast("int"))).otherwise(0.0))
+    return spark.range(1, EXACT + 1).select(F.col("id").cast("int").alias("n"), F.aggregate(F.sequence(F.lit(1), F.col("id").cast("int")), start, add).alias("ways"))
+
+
+def erfc(x: Column) -> Column:
+    """The complementary error function of x >= 0, to 15 places, as a sum of positive terms; beyond 6 it is 0 to as many."""
+    start = F.struct(x.alias("term"), x.alias("sum"))
+    step = lambda a, k: F.struct((a["term"] * 2 * x * x / (2 * k + 1)).alias("term"), (a["sum"] + a["term"] * 2 * x * x / (2 * k + 1)).alias("sum"))
+    series = F.aggregate(F.sequence(F.lit(1), F.lit(150)), start, step, lambda a: a["sum"])
+    return F.when(x < 6, 1 - 2 / math.sqrt(math.pi) * F.exp(-x * x) * series).when(x >= 6, 0.0)
+
+
+def _signed_rank_p(n: Column, w: Column, ties: Column, ways: Column) -> Column:
+    """``wilcoxon_p`` as an expression; ``ways`` is of ``signed_rank_ways``, null beyond EXACT."""
+    below = F.aggregate(F.slice(ways, F.lit(1), F.floor(w).cast("int") + 1), F.lit(0.0), lambda a, x: a + x)
+    sd = F.sqrt(n * (n + 1) * (2 * n + 1) / 24 - ties / 48)
+    normal = F.when(sd > 0, erfc(F.abs(w - n * (n + 1) / 4) / sd / math.sqrt(2)))
+    exact = F.least(F.lit(1.0), 2 * below / F.pow(F.lit(2.0), n))
+    return F.when(n >= MIN_WILCOXON, F.when((n <= EXACT) & (ties == 0), exact).otherwise(normal))
 
 
 def bias_summary(errors: DataFrame, by: str = "calendar_month", p_value: bool = True) -> DataFrame:
@@ -69,7 +92,9 @@ def bias_summary(errors: DataFrame, by: str = "calendar_month", p_value: bool =
         F.least(F.sum(F.when(x > 0, F.col("r")).otherwise(0.0)), F.sum(F.when(x < 0, F.col("r")).otherwise(0.0))).alias("_w"),
         F.sum(F.col("t") * F.col("t") - 1).alias("_ties"),  # each of t tied values adds (t**3 - t) / t
     )
-    p = sums.select(*group, _wilcoxon("_n", "_w", "_ties").alias("wilcoxon_p"))
+    ways = signed_rank_ways(errors.sparkSession).withColumnRenamed("n", "_of")
+    sums = sums.join(F.broadcast(ways), F.col("_n") == F.col("_of"), "left")
+    p = sums.select(*group, _signed_rank_p(F.col("_n"), F.col("_w"), F.col("_ties"), F.col("ways")).alias("wilcoxon_p"))
     return stats.join(p, group, "left")
 
 
@@ -151,17 +176,40 @@ def t_tail(t: float, df: int) -> float:
     return 1 - front * h if swap else front * h
 
 
-@F.arrow_udf(T.DoubleType())
-def _slope_p(n: pa.Array, r2: pa.Array) -> pa.Array:
-    out = [None if r is None or k < 3 else 0.0 if r >= 1 else t_tail(math.sqrt(r * (k - 2) / (1 - r)), k - 2) for k, r in zip(n.to_pylist(), r2.to_pylist(), strict=True)]
-    return pa.array(out, pa.float64())
+#: Degrees of freedom from which the tail of t is that of a normal variable of nearly its distribution.
+MANY = 2000
+
+
+def t_tail_of(t: Column, df: Column) -> Column:
+    """``t_tail`` of t >= 0 and whole degrees of freedom as an expression: the finite sum in the angle's cosine, for odd and
+    even ones; beyond MANY by a normal variable, to about 8 places."""
+    angle = F.atan2(t, F.sqrt(df.cast("double")))
+    sin, cos2 = F.sin(angle), F.cos(angle) * F.cos(angle)
+    odd = df % 2 == 1
+    # factors: odd (2k) / (2k + 1), even (2k - 1) / (2k), each times the squared cosine
+    last = F.when(odd, F.floor((df - 3) / 2)).otherwise(F.floor((df - 2) / 2)).cast("int")
+    factor = lambda k: F.when(odd, 2 * k / (2 * k + 1)).otherwise((2 * k - 1) / (2 * k)) * cos2
+    step = lambda a, k: F.struct((a["term"] * factor(k)).alias("term"), (a["sum"] + a["term"] * factor(k)).alias("sum"))
+    first = F.when(odd, F.cos(angle)).otherwise(1.0)
+    ks = F.when(last >= 1, F.sequence(F.lit(1), F.least(last, F.lit(MANY)))).otherwise(F.array().cast("array<int>"))
+    total = F.aggregate(ks, F.struct(first.alias("term"), first.alias("sum")), step, lambda a: a["sum"])
+    inner = F.when(odd, 2 / math.pi * (angle + F.when(df > 1, sin * total).otherwise(0.0))).otherwise(sin * total)
+    z = t * (1 - 1 / (4 * df)) / F.sqrt(1 + t * t / (2 * df))
+    return F.when(df > MANY, erfc(z / math.sqrt(2))).otherwise(F.greatest(1 - inner, F.lit(0.0)))
+
+
+def slope_p(n: Column, r2: Column) -> Column:
+    """The p-value of a slope against zero from the number of points and the squared correlation."""
+    r2 = r2.cast("double")
+    t = F.sqrt(r2 * (n - 2) / (1 - r2))
+    return F.when((n >= 3) & (r2 >= 1), 0.0).when((n >= 3) & r2.isNotNull(), t_tail_of(t, n - 2))
 
 
 def momentum_p(pairs: DataFrame, eps: float = 0.1, least: int = 10) -> DataFrame:
     """p-value of the slope of ``momentum_ols`` against zero, by series."""
     keys = series_keys(pairs)
     g = pairs.where(F.abs("pct") >= eps).groupBy(keys).agg(F.count("*").cast("int").alias("n"), _correlation("pct", "pct_next").alias("r"))
-    return g.where(F.col("n") >= least).select(*keys, _slope_p("n", F.col("r") * F.col("r")).alias("p_value"))
+    return g.where(F.col("n") >= least).select(*keys, slope_p(F.col("n"), F.col("r") * F.col("r")).alias("p_value"))
 
 
 def average_rank(by: list[str], x: str) -> Column:
@@ -228,3 +276,29 @@ def latest_percentile(changes: DataFrame) -> DataFrame:
 def heat_limit(*columns: str, least: float = 0.1) -> Column:
     """An aggregate: the end of a diverging scale, the greatest absolute value of all ``columns`` or ``least``."""
     return F.greatest(*[F.max(F.abs(c)) for c in columns], F.lit(least))
+
+
+def pivoted(d: DataFrame, rows: list[str], column: str, value: str, minus: float = 0.0, most: int = 10_000) -> DataFrame:
+    """``rows`` and a column for each value of ``column`` that has any ``value`` at all: the mean there, less ``minus``. The
+    columns follow from the data: a first aggregate finds them, in order of name, and a second makes them. More than
+    ``most`` are an error, not a cut. Rows without any value stay."""
+    named = d.where(F.col(value).isNotNull() & F.col(column).isNotNull()).select(column).distinct()
+    found = sorted(r[0] for r in named.limit(most + 1).collect())
+    if len(found) > most:
+        raise ValueError(f"{column} has more than {most} values")
+    if not found:
+        return d.select(*rows).distinct()
+    return d.groupBy(*rows).agg(*[(F.avg(F.when(F.col(column) == c, F.col(value))) - minus).alias(str(c)) for c in found])
+
+
+def unpivoted(d: DataFrame, rows: list[str], column: str, value: str) -> DataFrame:
+    """The long form of ``pivoted``: a row for each column that isn't null."""
+    rest = [c for c in d.columns if c not in rows]
+    if not rest:
+        return d.select(*rows, F.lit(None).cast("string").alias(column), F.lit(None).cast("double").alias(value)).limit(0)
+    return d.unpivot(rows, rest, column, value).where(F.col(value).isNotNull())
+
+
+def decade(year: Column) -> Column:
+    """A year's decade, as 1990s."""
+    return F.concat((F.floor(year / 10) * 10).cast("int").cast("string"), F.lit("s"))

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from ..functions import labels
 from ..operators import balance, dims, quality, report, stats, store, versions, vintage
 from ..schemas import OBSERVATION_KEY
-from ..sources import pages, text_reports, xml_report
+from ..sources import catalog, pages, sections, text_reports, xml_report
 from ..sources import tpch_vintage as source
+from ..sources.catalog_source import CatalogSource
 from ..streaming import reports, scans, update
 from ..streaming.ingest import daily_counts, shared
 
@@ -219,9 +220,28 @@ def bias_by_horizon(spark, d):
     return _rounded(_rounded(stats.bias_summary(errors, "bucket", p_value=False), *STATS), "t_stat", places=6)
 
 
-@query()
+def _erfc(x: str) -> str:
+    """The complementary error function in SQL, by its alternating-free series."""
+    series = f"list_reduce([{{'t': {x}, 's': {x}}}] || list_transform(range(1, 151), lambda k: {{'t': CAST(k AS DOUBLE), 's': 0.0::DOUBLE}}), lambda a, e: {{'t': a.t * 2 * {x} * {x} / (2 * e.t + 1), 's': a.s + a.t * 2 * {x} * {x} / (2 * e.t + 1)}}).s"
+    return f"CASE WHEN {x} < 6 THEN 1 - 2 / sqrt(pi()) * exp(-{x} * {x}) * {series} WHEN {x} >= 6 THEN 0 END"
+
+
+WILCOXON = f"""SELECT {K}, calendar_month, n, round(wilcoxon_p, 8) AS wilcoxon_p FROM (WITH RECURSIVE ways AS (
+    SELECT 0 AS k, list_transform(range(638), lambda s: CASE WHEN s = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS l
+    UNION ALL SELECT k + 1, list_transform(range(638), lambda s: l[s + 1] + CASE WHEN s > k THEN l[s - k] ELSE 0 END) FROM ways WHERE k < 50
+), r AS (SELECT *, rank() OVER (PARTITION BY {K}, calendar_month ORDER BY abs(pct_error)) + (count(*) OVER t - 1) / 2.0 AS r, count(*) OVER t AS t FROM done WHERE pct_error <> 0 WINDOW t AS (PARTITION BY {K}, calendar_month, abs(pct_error))
+), s AS (
+    SELECT {K}, calendar_month, count(*) AS m, CAST(least(coalesce(sum(r) FILTER (pct_error > 0), 0), coalesce(sum(r) FILTER (pct_error < 0), 0)) AS DOUBLE) AS w, sum(t * t - 1) AS ties FROM r GROUP BY ALL
+), z AS (SELECT *, abs(w - m * (m + 1) / 4.0::DOUBLE) / nullif(sqrt(m * (m + 1) * (2 * m + 1) / 24.0::DOUBLE - ties / 48.0::DOUBLE), 0) / sqrt(2) AS z FROM s
+), p AS (
+    SELECT z.* , CASE WHEN m < 5 THEN NULL WHEN m <= 50 AND ties = 0 THEN least(1, 2 * list_sum(l[1:CAST(floor(w) AS BIGINT) + 1]) / 2.0::DOUBLE ** m) ELSE {_erfc('z')} END AS wilcoxon_p FROM z LEFT JOIN ways ON k = m
+) SELECT {K}, calendar_month, n, wilcoxon_p FROM (SELECT {K}, calendar_month, count(pct_error) AS n FROM done GROUP BY ALL) LEFT JOIN p USING ({K}, calendar_month))"""
+
+
+@query(WILCOXON)
 def wilcoxon_bias(spark, d):
-    return stats.bias_summary(vintage.finalized(_errors(spark, d)), "calendar_month").select(*K_COLS, "calendar_month", "n", "wilcoxon_p")
+    s = stats.bias_summary(vintage.finalized(_errors(spark, d)), "calendar_month").select(*K_COLS, "calendar_month", "n", "wilcoxon_p")
+    return _rounded(s, "wilcoxon_p")
 
 
 @query(
@@ -314,9 +334,100 @@ def momentum_ols(spark, d):
     return _rounded(_rounded(stats.momentum_ols(stats.revision_pairs(_changes(spark, d))), "slope", "intercept", places=6), "same_sign")
 
 
-@query()
+#: The tail of t with whole degrees of freedom v, a finite sum in the cosine of its angle.
+SLOPE_P = f"""SELECT {K}, round(CASE WHEN r2 >= 1 THEN 0 WHEN r2 IS NULL THEN NULL WHEN v > 2000 THEN {_erfc('u')} ELSE greatest(0, 1 - CASE WHEN v % 2 = 1 THEN 2 / pi() * (x + CASE WHEN v > 1 THEN sin(x) * total ELSE 0 END) ELSE sin(x) * total END) END, 8) AS p_value FROM (
+    SELECT *, t * (1 - 1.0::DOUBLE / (4 * v)) / sqrt(1 + t * t / (2 * v)) / sqrt(2) AS u,
+        list_reduce([{{'t': f, 's': f}}] || list_transform(range(1, (v - CASE WHEN v % 2 = 1 THEN 3 ELSE 2 END) // 2 + 1), lambda k: {{'t': CASE WHEN v % 2 = 1 THEN 2.0::DOUBLE * k / (2 * k + 1) ELSE (2.0::DOUBLE * k - 1) / (2 * k) END * c2, 's': 0.0::DOUBLE}}),
+            lambda a, e: {{'t': a.t * e.t, 's': a.s + a.t * e.t}}).s AS total FROM (
+        SELECT *, atan2(t, sqrt(v)) AS x, cos(atan2(t, sqrt(v))) ** 2 AS c2, CASE WHEN v % 2 = 1 THEN cos(atan2(t, sqrt(v))) ELSE 1.0::DOUBLE END AS f FROM (
+            SELECT *, n - 2 AS v, sqrt(CASE WHEN r2 < 1 THEN r2 * (n - 2) / (1 - r2) END) AS t FROM (
+                SELECT {K}, count(*) AS n, corr(pct, pct_next) ** 2 AS r2 FROM pairs WHERE abs(pct) >= 0.1 GROUP BY ALL HAVING count(*) >= 10))))"""
+
+
+@query(SLOPE_P)
 def momentum_p_value(spark, d):
-    return stats.momentum_p(stats.revision_pairs(_changes(spark, d)))
+    return _rounded(stats.momentum_p(stats.revision_pairs(_changes(spark, d))), "p_value")
+
+
+#: Pairs of neighbouring report months by attribute: the share of revisions that keep their sign, less a half.
+PAIR_GRID = f"""SELECT attribute, pair, round(avg(CASE WHEN sign(pct) = sign(pct_next) THEN 1.0::DOUBLE ELSE 0 END) - 0.5, 8) AS lean FROM (
+    SELECT attribute, month_name || '-' || month_next AS pair, pct, pct_next FROM pairs WHERE abs(pct) >= 0.1 AND pct_next <> 0) GROUP BY ALL"""
+
+
+@query(PAIR_GRID)
+def pair_grid(spark, d):
+    """Attributes by pairs of months, as a wide table whose columns follow from the data, and back."""
+    p = stats.revision_pairs(_changes(spark, d)).where("abs(pct) >= 0.1")
+    p = p.withColumn("pair", F.concat_ws("-", "month_name", "month_next")).withColumn("same", F.when(F.col("pct_next") != 0, (F.signum("pct") == F.signum("pct_next")).cast("double")))
+    return _rounded(stats.unpivoted(stats.pivoted(p, ["attribute"], "pair", "same", 0.5), ["attribute"], "pair", "lean"), "lean")
+
+
+@query(f"SELECT {K}, CAST(year(report_month) // 10 * 10 AS VARCHAR) || 's' AS decade, count(*) AS n FROM obs GROUP BY ALL")
+def rows_by_decade(spark, d):
+    return _obs(spark, d).withColumn("decade", stats.decade(F.year("report_month"))).groupBy(*K_COLS, "decade").agg(F.count("*").alias("n"))
+
+
+#: Documents of sections: whole ones, with a null and a short row, and broken ones.
+SECTIONED = """SELECT 's' || s_suppkey AS release_id, u.section, u.heading, u.row, u.label, u.place, CASE WHEN u.k IS NOT NULL THEN CAST(s_suppkey + u.k AS DOUBLE) END AS value, u.my AS marketing_year, NULL AS kind
+FROM supplier, unnest([{'section': 0, 'heading': 'CORN', 'row': 0, 'label': 'Exports', 'place': 0, 'k': 1, 'my': '1983/84'}, {'section': 0, 'heading': 'CORN', 'row': 0, 'label': 'Exports', 'place': 1, 'k': NULL, 'my': '1984/85'},
+    {'section': 0, 'heading': 'CORN', 'row': 0, 'label': 'Exports', 'place': 2, 'k': 3, 'my': '1985/86'}, {'section': 1, 'heading': NULL, 'row': 1, 'label': 'Seed "a"', 'place': 0, 'k': 4, 'my': '1983/84'}]) AS x(u)
+WHERE s_suppkey % 3 > 0
+UNION ALL SELECT 's' || s_suppkey, NULL, NULL, NULL, 'not a document of sections', NULL, NULL, NULL, 'structure' FROM supplier WHERE s_suppkey % 3 = 0"""
+
+
+@query(SECTIONED)
+def section_cells(spark, d):
+    """A transcribed page a supplier, some of them cut off, of another form or missing."""
+    k = F.col("s_suppkey").cast("int")
+    whole = F.format_string('{"sections": [{"commodity_heading": "CORN", "rows": [{"label": "Exports", "values": [%d, null, %d, 9, 9]}]}, {"commodity_heading": null, "other": 1, "rows": [{"label": "none", "values": []}, {"label": "Seed \\"a\\"", "values": [%d.0]}]}]}', k + 1, k + 3, k + 4)
+    text = F.when(k % 3 > 0, whole).when(k % 9 == 0, F.left(whole, F.lit(60))).when(k % 9 == 3, F.lit('{"pages": []}'))
+    docs = spark.read.parquet(f"{d}/supplier.parquet").select(F.concat(F.lit("s"), "s_suppkey").alias("release_id"), F.lit("1985-05-01").cast("date").alias("report_month"), text.alias("document"))
+    cells = sections.cells(docs).drop("year_status", "forecast_month")
+    bad = sections.malformed(docs).select("release_id", F.col("raw_label").alias("label"), "kind")
+    return cells.withColumn("kind", F.lit(None).cast("string")).unionByName(bad, allowMissingColumns=True)
+
+
+@query("""SELECT 'report-' || CAST(DATE '2001-01-01' + CAST(s_suppkey AS INTEGER) AS VARCHAR) || CASE WHEN s_suppkey % 7 = 0 THEN '-v2' ELSE '' END AS release_id, CAST(s_suppkey AS VARCHAR) AS catalog_id,
+    CASE WHEN s_suppkey % 2 = 0 THEN 'xml' ELSE 'txt' END AS format_era FROM supplier""")
+def catalog_pages(spark, d):
+    """A catalog of an entry a supplier in pages of 50, read by the data source: a stream that first sees some of the pages and
+    then all, each entry once."""
+    k = F.col("s_suppkey").cast("int")
+    ext = F.when(k % 2 == 0, "xml").otherwise("txt")
+    entry = F.struct(
+        k.cast("string").alias("id"), F.lit("T").alias("title"), F.date_format(F.date_add(F.lit("2001-01-01").cast("date"), k), "yyyy-MM-dd'T'12:00:00+0000").alias("release_datetime"),
+        F.array(F.concat(F.lit("https://host/rep"), F.when(k % 7 == 0, "v2").otherwise(""), F.lit("."), ext)).alias("files"),
+    )
+    s = spark.read.parquet(f"{d}/supplier.parquet").select("s_suppkey", entry.alias("e"))
+    base = shared(spark)
+
+    def land(rows: DataFrame) -> None:
+        """Pages with the latest entries first."""
+        n = rows.count()
+        at = F.lit(n) - F.col("s_suppkey").cast("int")
+        pages_ = rows.withColumn("page", F.floor(at / 50).cast("int")).groupBy("page").agg(F.sort_array(F.collect_list(F.struct(at.alias("at"), "e"))).alias("l"))
+        pager = F.struct(F.col("page").alias("current_page"), F.lit(50).alias("items_per_page"), F.lit(-(-n // 50)).alias("total_pages"), F.lit(n).alias("total_results"))
+        doc = F.to_json(F.struct(pager.alias("pager"), F.transform("l", lambda x: x["e"]).alias("results")))
+        pages_.select(F.concat(F.lit("page-"), "page").alias("page"), doc.alias("value")).repartition("page").write.mode("overwrite").partitionBy("page").text(f"{base}/pages")
+        for r in pages_.select("page").collect():  # a page's folder holds one file
+            _one_file(spark, f"{base}/pages/page=page-{r.page}", f"{base}/landed/{r.page}.json")
+
+    spark.dataSource.register(CatalogSource)
+    for part in (s.where("s_suppkey <= 60"), s):
+        land(part)
+        stream = spark.readStream.format("release_catalog").option("path", f"{base}/landed/{{page}}.json").load()
+        stream.writeStream.format("parquet").option("path", f"{base}/entries").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return catalog.entry_releases(spark.read.parquet(f"{base}/entries")).select("release_id", "catalog_id", "format_era")
+
+
+def _one_file(spark: SparkSession, folder: str, to: str) -> None:
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(path(f"{folder}/part-*"))[0].getPath()
+    fs.mkdirs(path(to).getParent())
+    fs.delete(path(to), False)
+    fs.rename(found, path(to))
 
 
 @query(f"""SELECT {K}, count(*) AS n, round(corr(a, b), 6) AS rho FROM (

@@ -22,9 +22,14 @@ def extension(url):
 def releases(pages: DataFrame, prefix: str = "report") -> DataFrame:
     """One row a release; where pages overlap the entry of the earlier page counts. The printed local time is kept as
     it is, without its zone."""
-    d = pages.select(F.col("pager.current_page").alias("_page"), F.posexplode("results").alias("_pos", "r"))
-    first = Window.partitionBy("r.id").orderBy("_page", "_pos")
-    d = d.withColumn("_n", F.row_number().over(first)).where("_n = 1").select("r.*")
+    d = pages.select(F.col("pager.current_page").alias("page"), F.posexplode("results").alias("pos", "r"))
+    return entry_releases(d.select("page", "pos", "r.*"), prefix)
+
+
+def entry_releases(entries: DataFrame, prefix: str = "report") -> DataFrame:
+    """``releases`` of entries (page, pos, id, title, release_datetime, files), such as the data source gives."""
+    first = Window.partitionBy("id").orderBy("page", "pos")
+    d = entries.withColumn("_n", F.row_number().over(first)).where("_n = 1")
     versions = F.transform("files", lambda f: F.nullif(F.regexp_extract(f, r"(?i)v([0-9]+)\.[a-z]+$", 1), F.lit("")).cast("int"))
     d = d.select(
         F.col("id").alias("catalog_id"), "title", F.try_to_timestamp(F.left("release_datetime", F.lit(19)), F.lit("yyyy-MM-dd'T'HH:mm:ss")).alias("release_datetime"),

@@ -1,7 +1,7 @@
 """XML reports: a small walk per file lists cells with the attributes around them; everything else is columns.
 
 ``tables`` is a short list (slug, pattern, place, region, commodity) with these optional columns: ``skip``;
-``default_unit`` and ``price_unit``; ``matrices``, what is known of a table's matrices by position (MATRIX). A commodity
+``hint``, a report's number; ``default_unit`` and ``price_unit``; ``matrices``, what is known of a table's matrices by position (MATRIX). A commodity
 that follows from a matrix's position must be proven by the matrix itself: see ``structure_errors``.
 """
 
@@ -23,7 +23,7 @@ RAW = (
 #: A matrix's own commodity and unit; what its quantity unit and its attributes must or must not contain; the units that
 #: count where an attribute proves the matrix although its printed units don't.
 MATRIX = "struct<commodity:string,unit:string,unit_has:string,has:string,has_not:string,area:string,yield:string,quantity:string>"
-OPTIONAL = {"skip": "boolean", "default_unit": "string", "price_unit": "string", "matrices": f"array<{MATRIX}>"}
+OPTIONAL = {"hint": "string", "skip": "boolean", "default_unit": "string", "price_unit": "string", "matrices": f"array<{MATRIX}>"}
 YEAR = re.compile(r"\s*[0-9]{4}/[0-9]{2}\s*\(?\s*((Est|Proj)\.?)?\s*\)?\s*")
 KEPT = {"attribute", "commodity", "region", "market_year", "forecast_month", "cell_value"}
 #: Units by what a label says, first match first.
@@ -103,18 +103,20 @@ def raw_cells(files: DataFrame) -> DataFrame:
 
 
 def _of_table(raw: DataFrame, tables: DataFrame) -> DataFrame:
-    """Raw cells with ``t``, the first table whose pattern matches their title, ``m``, what is known of their matrix,
+    """Raw cells with ``t``, the table whose pattern matches their title and whose hint is their report, else the first, ``m``, what is known of their matrix,
     and ``u``, the matrix's units by role: three printed rows are area, yield and quantity, one is quantity."""
     tables = tables.withColumns({c: F.lit(None).cast(k) for c, k in OPTIONAL.items() if c not in tables.columns})
-    hit = raw.select("title").distinct().join(F.broadcast(tables), F.expr("regexp_like(title, pattern)"))
-    hit = hit.groupBy("title").agg(F.min_by(F.struct("slug", "region", "commodity", *OPTIONAL), "place").alias("t"))
+    hit = raw.select("title", "report").distinct().join(F.broadcast(tables), F.expr("regexp_like(title, pattern)"))
+    # of several tables the one with the report's own number, then the first in order
+    rank = F.struct((~F.coalesce(F.col("hint") == F.col("report"), F.lit(False))).alias("other"), "place")
+    hit = hit.groupBy("title", "report").agg(F.min_by(F.struct("slug", "region", "commodity", *OPTIONAL), rank).alias("t"))
     keys = F.array_sort(F.transform(F.map_keys("units"), lambda k: k.cast("int")))
     unit = lambda k: F.try_element_at("units", F.get(keys, F.lit(k)).cast("string"))
     three = F.size("units") == 3
     u = F.struct(
         F.when(three, unit(0)).alias("area"), F.when(three, unit(1)).alias("yield"), F.when(three, unit(2)).when(F.size("units") == 1, unit(0)).alias("quantity")
     )
-    d = raw.join(hit, "title").withColumns({"m": F.get("t.matrices", F.col("matrix")), "u": u})
+    d = raw.join(hit, ["title", "report"]).withColumns({"m": F.get("t.matrices", F.col("matrix")), "u": u})
     has = lambda c: F.coalesce(F.exists("names", lambda a: F.contains(F.lower(a), F.lower(F.col(c)))), F.lit(False))
     printed = F.coalesce(F.contains(normalize_label(F.coalesce("u.quantity", F.lit(""))), normalize_label(F.col("m.unit_has"))), F.lit(True))
     backup = has("m.has") & F.coalesce("m.area", "m.yield", "m.quantity").isNotNull()

@@ -92,8 +92,10 @@ def parsed(files: DataFrame, registry: Registry) -> tuple[DataFrame, DataFrame]:
     return obs, conform(unmapped.distinct(), UNMAPPED)
 
 
-def top_unmapped(unmapped: DataFrame, k: int = 25) -> DataFrame:
-    """The ``k`` labels that most releases miss."""
+def top_unmapped(unmapped: DataFrame, k: int = 25, releases: DataFrame | None = None, era: str | None = None) -> DataFrame:
+    """The ``k`` labels that most releases miss; with ``era``, of the ``releases`` of that era."""
+    if era is not None:
+        unmapped = unmapped.join(releases.where(F.col("format_era") == era).select("release_id"), "release_id", "left_semi")
     return unmapped.groupBy("kind", "raw_label").agg(F.countDistinct("release_id").alias("n")).orderBy(F.desc("n"), "kind", "raw_label").limit(k)
 
 
