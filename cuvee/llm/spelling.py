@@ -9,9 +9,10 @@ words that hold the gram, then by itself) is in it, and for both words of a pair
 Words post these grams under (shorter length, gram, position in the shorter word): as the shorter or equal word at its own
 length and position, and as the longer at a length less and this or the last position. All near pairs meet under one key.
 
-**Within a key** the words' own inverted index (all their grams, by role and position) is made, and for each shorter word
-the postings of its grams, under the limits of length and position, are merged by a heap; partners that come up as often as
-the bound are compared code point by code point.
+**Within a key** the words' own inverted index (all their grams, by role and position) is made. For each shorter word the
+postings of its grams, under the limits of length and position, are counted: the shorter lists are merged by a heap, the
+longest ones, as many as the bound less one, only searched for what these give. Partners that come up as often as the bound
+are compared code point by code point.
 
 **Frequent keys** (more than ``HOT`` words) are split before any pairing: a pair's edit lies within one of the shorter
 word's ``PARTS`` stretches, so the words outside it are equal; they are posted once a stretch under all that is outside.
@@ -26,8 +27,14 @@ each time; ties in n go to the word that comes first by code points. Other colum
 
 from __future__ import annotations
 
+import re
 import string
+import zlib
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
+from heapq import merge
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -35,7 +42,7 @@ from pyspark.sql import functions as F
 
 from .common import discard, written
 
-APART = "[^A-Za-zÀ-ÿ]+"
+LETTERS = "A-Za-zÀ-ÿ"
 LEAST_LENGTH = 5
 LEAST_COUNT = 3
 #: Code points of a gram, and the mark at a word's ends.
@@ -45,30 +52,52 @@ MARK = "\0"
 HOT = 1000
 PARTS = 8
 MAX_BROADCAST = 100_000
+#: Words that a task counts before it hands them on.
+KEPT_WORDS = 500_000
+#: Postings whose words a task pairs.
+TASK_POSTINGS = 100_000
 #: A word's form has at least so many times its occurrences.
 RATIO = 2
 
 
-def runs(docs: DataFrame, column: str = "text") -> DataFrame:
-    """(doc_id, run): every run of letters, A-Z lower-cased, a row each."""
-    text = F.translate(F.col(column), string.ascii_uppercase, string.ascii_lowercase)
-    return docs.select("doc_id", F.explode(F.split(text, APART)).alias("run")).where("run <> ''")
+def counted_runs(docs: DataFrame, column: str = "text", every: int = 97) -> DataFrame:
+    """(word, n): every run of letters, A-Z lower-cased; runs whose crc32 with the document's id ``every`` divides lose the
+    code point that it points at. Tasks count before the shuffle, at most ``KEPT_WORDS`` words at a time."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = re.compile(f"[{LETTERS}]+").findall
+        lower = {ord(a): ord(b) for a, b in zip(string.ascii_uppercase, string.ascii_lowercase, strict=True)}
+        total: Counter[str] = Counter()
+
+        def told() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.string()), pa.array(total.values(), pa.int64())], names=["word", "n"])
 
-def thinned(found: DataFrame, every: int = 97) -> DataFrame:
-    """(word): runs as they are, but for those whose crc32 with the document's id ``every`` divides, which lose the code
-    point that it points at."""
-    named = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run"))
-    d = found.select("run", F.crc32(named.cast("binary")).alias("h"))
-    at = (F.col("h") % F.char_length("run")).cast("int")
-    cut = F.concat(F.substring(F.col("run"), F.lit(1), at), F.substring(F.col("run"), at + 2, F.char_length("run")))
-    return d.select(F.when(F.col("h") % every == 0, cut).otherwise(F.col("run")).alias("word"))
+        for batch in batches:
+            for doc, text in zip(batch.column(0), batch.column(1), strict=True):
+                own: dict[str, int] = {}
+                for w, n in Counter(found(text.as_py())).items():
+                    low = w.lower() if w.isascii() else w.translate(lower)
+                    own[low] = own.get(low, 0) + n
+                name = f"{doc.as_py()}:".encode()
+                first = zlib.crc32(name)
+                for w, n in own.items():
+                    h = zlib.crc32(w.encode(), first)
+                    if h % every == 0:
+                        w = w[: h % len(w)] + w[h % len(w) + 1 :]
+                    total[w] += n
+                if len(total) > KEPT_WORDS:
+                    yield told()
+                    total.clear()
+        yield told()
+
+    named = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.col(column), F.lit("")))
+    return named.mapInArrow(run, "word string, n long")
 
 
 def vocabulary(words: DataFrame, least_length: int = LEAST_LENGTH, least_count: int = LEAST_COUNT) -> DataFrame:
-    """(word, n) of the words that are long and frequent enough."""
+    """(word, n) of ``words`` (word, n in parts) that are long and frequent enough."""
     long = words.where(F.char_length("word") >= least_length)
-    return long.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= least_count)
+    return long.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least_count)
 
 
 def _rarest(words: DataFrame, max_broadcast: int) -> DataFrame:
@@ -116,34 +145,63 @@ def one_edit(a: str, b: str) -> bool:
     return a[k + 1 :] == b[k + 1 :] if n == len(b) else a[k:] == b[k + 1 :]
 
 
+def _often(lists: list[list[int]], bound: int) -> Iterator[int]:
+    """Numbers that are in at least ``bound`` of the sorted lists. One that is in so many is in one of the shorter lists,
+    all but the longest ``bound`` - 1; those are merged by a heap, and the longest are searched for what they give."""
+    lists.sort(key=len)
+    cut = len(lists) - bound + 1
+    for x, hits in groupby(merge(*lists[:cut]) if cut > 1 else lists[0]):
+        n = sum(1 for _ in hits)
+        for k in range(cut, len(lists)):
+            if n >= bound or n + len(lists) - k < bound:
+                break
+            long = lists[k]
+            at = bisect_left(long, x)
+            n += at < len(long) and long[at] == x
+        if n >= bound:
+            yield x
+
+
 def merged_pairs(shorter: list[str], longer: list[str]) -> Iterator[tuple[str, str]]:
     """Near pairs among the words of one key: ``shorter`` ones of one length, and ``longer`` ones of one code point more."""
-    from heapq import merge
-    from itertools import groupby
+    ends = MARK * (Q - 1)
 
-    postings: dict[tuple[bool, str, int], list[int]] = {}
-    grams = []
-    for role, words in ((False, shorter), (True, longer)):
+    def indexed(words: list[str]) -> tuple[list[list], dict]:
+        own, postings = [], {}
         for k, w in enumerate(words):
-            marked = MARK * (Q - 1) + w + MARK * (Q - 1)
-            own = [marked[i : i + Q] for i in range(len(w) + Q - 1)]
-            for i, g in enumerate(own):
-                postings.setdefault((role, g, i), []).append(k)
-            if not role:
-                grams.append(own)
-    none: list[int] = []
-    for k, (w, own) in enumerate(zip(shorter, grams, strict=True)):
-        for role, words, bound in ((False, shorter, len(w) - 1), (True, longer, len(w))):
-            lists = [postings.get((role, g, i + move), none) for i, g in enumerate(own) for move in ((0, 1) if role else (0,))]
-            lists = [x for x in lists if x and (role or x[-1] > k)]
-            if len(lists) >= bound:
-                for other, hits in groupby(merge(*lists)):
-                    if (role or other > k) and sum(1 for _ in hits) >= bound and one_edit(w, words[other]):
-                        yield w, words[other]
-
-
-def _paired(groups: DataFrame) -> DataFrame:
-    """(a, b): near pairs of groups (shorter, longer: arrays of words)."""
+            marked = ends + w + ends
+            grams = [(marked[i : i + Q], i) for i in range(len(w) + Q - 1)]
+            for g in grams:
+                postings.setdefault(g, []).append(k)
+            own.append(grams)
+        return own, postings
+
+    own, same = indexed(shorter)
+    more = indexed(longer)[1] if longer else {}
+    for k, (w, grams) in enumerate(zip(shorter, own, strict=True)):
+        # an edit in place moves nothing; only words behind this one, so that a pair comes once
+        lists = [x for g in grams if (x := same[g])[-1] > k]
+        if len(lists) >= len(w) - 1:
+            for other in _often(lists, len(w) - 1):
+                if other > k and one_edit(w, shorter[other]):
+                    yield w, shorter[other]
+        if more:
+            # what follows an insertion moves by one
+            lists = []
+            for g, i in grams:
+                here, next_ = more.get((g, i)), more.get((g, i + 1))
+                if here or next_:
+                    lists.append(sorted({*here, *next_}) if here and next_ else here or next_)
+            if len(lists) >= len(w):
+                for other in _often(lists, len(w)):
+                    if one_edit(w, longer[other]):
+                        yield w, longer[other]
+
+
+def _paired(groups: DataFrame, n: int) -> DataFrame:
+    """(a, b): near pairs of groups (shorter, longer: arrays of words) of ``n`` postings. Their bytes say little of the work
+    in them, so they are spread by number."""
+    groups = groups.repartition(max(2 * groups.sparkSession.sparkContext.defaultParallelism, n // TASK_POSTINGS + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -168,18 +226,19 @@ def near_pairs(words: DataFrame, hot: int = HOT, max_broadcast: int = MAX_BROADC
     """(a, b): all pairs of distinct ``words`` (column word) at one edit, each once; of unequal lengths a is the shorter."""
     key = ["len", "gram", "at"]
     posted = written(_posted(_rarest(words, max_broadcast)), "postings")
+    total = posted.count()
     sizes = posted.groupBy(key).agg(F.count("*").alias("_size"))
     frequent = written(sizes.where(F.col("_size") > hot).select(key), "frequent")
     n = frequent.count()
     if not n:
-        return _paired(_gathered(posted, key)).distinct()
+        return _paired(_gathered(posted, key), total).distinct()
     beside = F.broadcast(frequent) if n <= max_broadcast else frequent
     calm = posted.join(beside, key, "left_anti")
     split = posted.join(beside, key, "left_semi").withColumn("_o", F.explode(_outside())).select(*key, "_o.*", "longer", "word")
     # a posting under several keys would meet the same words again; the outside alone decides
     split = split.select("len", "part", "rest", "longer", "word").distinct()
     both = _gathered(calm, key).unionByName(_gathered(split, ["len", "part", "rest"]))
-    return _paired(both).distinct()
+    return _paired(both, total).distinct()
 
 
 def variants(words: DataFrame, hot: int = HOT) -> DataFrame:
@@ -217,4 +276,4 @@ def roots(forms: DataFrame) -> DataFrame:
 
 def spelling_variants(docs: DataFrame, every: int = 97) -> DataFrame:
     """``variants`` of the words of ``docs`` (doc_id, text)."""
-    return variants(vocabulary(thinned(runs(docs), every)))
+    return variants(vocabulary(counted_runs(docs, every=every)))
