@@ -26,8 +26,11 @@ n_bytes, n_tokens and prefix_counts, in any case, are replaced; all others are k
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
+from itertools import pairwise
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -37,9 +40,29 @@ from pyspark.sql import types as T
 KEPT_PIECES = 700_000
 KEPT_CHARS = 14_000_000
 KEPT_PAIRS = 1_000_000
+#: Bytes of text whose pieces are learned together, and of a piece that the next one may share.
+CHUNK_BYTES = 2_000_000
+KEPT_PREFIX = 1000
 ADDED = ("n_bytes", "n_tokens", "prefix_counts")
 
 
+#: Fixed value: the cutting pattern of the vocabulary's library; contractions, words, numbers, other signs, white space.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Code points below which classes of characters are settled.
+EARLY = 0x500
+
+
+def _early_pattern() -> re.Pattern:
+    """``PATTERN`` with its classes written out for characters below ``EARLY``."""
+
+    def those(test) -> str:
+        return "".join(re.escape(chr(c)) for c in range(EARLY) if test(unicodedata.category(chr(c))))
+
+    letters, digits = those(lambda k: k[0] == "L"), those(lambda k: k[0] == "N")
+    blanks = "".join(re.escape(c) for c in "\t\n\v\f\r \x85\xa0")
+    return re.compile(f"'(?:[stmd]|re|ve|ll)| ?[{letters}]+| ?[{digits}]+| ?[^{blanks}{letters}{digits}]+|[{blanks}]+(?![^{blanks}])|[{blanks}]+")
+
+
 def read_vocabulary(path: str) -> dict:
     """A tokenizer file's token numbers by their bytes, its merges as (left, right) in order of rank, and its special
     tokens. Settings that this module doesn't know are an error."""
@@ -67,6 +90,7 @@ class PrefixCounter:
         import regex
 
         self.cut = regex.compile(pattern).findall
+        self.quick, self.other = (_early_pattern().findall, re.compile(f"[^\0-{chr(EARLY - 1)}]")) if pattern == PATTERN else (self.cut, re.compile(""))
         self.ids: dict[bytes, int] = vocabulary["ids"]
         self.path: str = vocabulary["path"]
         self.own = None
@@ -87,11 +111,12 @@ class PrefixCounter:
         for t, (a, b) in self.parts.items():
             if a in self.live and b in self.live and self._meet(a, b, self.made[t]):
                 self.live.add(t)
-        #: Lengths of live tokens by their last two bytes, longest first.
+        #: Live tokens by their bytes, and lengths of those of three bytes and more by their last three, longest first.
+        self.tokens = {b: t for b, t in self.ids.items() if t in self.live}
         ends: dict[bytes, set[int]] = {}
-        for b, t in self.ids.items():
-            if len(b) > 1 and t in self.live:
-                ends.setdefault(b[-2:], set()).add(len(b))
+        for b in self.tokens:
+            if len(b) > 2:
+                ends.setdefault(b[-3:], set()).add(len(b))
         self.ends = {e: sorted(ls, reverse=True) for e, ls in ends.items()}
         self.forget()
 
@@ -100,6 +125,7 @@ class PrefixCounter:
         self.wide: dict[str, list[int]] = {}
         self.chars = 0
         self.pairs: dict[tuple[int, int], bool] = {}
+        self.lately: tuple[bytes, list[int], list[int]] = (b"", [0], [-1])
 
     def _meet(self, left: int, right: int, before: int) -> bool:
         """Whether no merge across the boundary of two neighbours comes before the merge ``before``, nor before those
@@ -132,18 +158,33 @@ class PrefixCounter:
         return out
 
     def byte_counts(self, piece: bytes) -> list[int]:
-        """The count at each of 0 to len(piece) bytes of a piece that isn't cut."""
-        n, last, ids, ends, live = [0], [-1], self.ids, self.ends, self.live
-        for i in range(1, len(piece) + 1):
-            for size in ends.get(piece[i - 2 : i], ()) if i > 1 else ():
+        """The count at each of 0 to len(piece) bytes of a piece that isn't cut. What the piece before, in the order of
+        learning, had in common with it is kept."""
+        before, n, last = self.lately
+        same = 0
+        for a, b in zip(piece, before, strict=False):
+            if a != b:
+                break
+            same += 1
+        n, last = n[: same + 1], last[: same + 1]
+        token, ends, pairs = self.tokens.get, self.ends.get, self.pairs
+        for i in range(same + 1, len(piece) + 1):
+            # the longest first; of two bytes and of one there is one length each
+            for size in (*ends(piece[i - 3 : i], ()), 2) if i > 2 else (2,) if i > 1 else ():
                 if size <= i:
-                    t = ids.get(piece[i - size : i])
-                    if t is not None and t in live and (size == i or self.neighbours(last[i - size], t)):
-                        break
+                    t = token(piece[i - size : i])
+                    if t is not None:
+                        if size == i:
+                            break
+                        before = last[i - size]
+                        fits = pairs.get((before, t))
+                        if fits or (fits is None and self.neighbours(before, t)):
+                            break
             else:
-                size, t = 1, ids[piece[i - 1 : i]]
+                size, t = 1, token(piece[i - 1 : i])
             last.append(t)
             n.append(n[i - size] + 1)
+        self.lately = (piece, n, last) if len(piece) <= KEPT_PREFIX else (b"", [0], [-1])
         return n
 
     def counts(self, piece: str) -> list[int]:
@@ -155,16 +196,22 @@ class PrefixCounter:
         n = self.byte_counts(raw)
         return n if len(raw) == len(piece) else [0, *(n[i] for i in range(1, len(raw) + 1) if i == len(raw) or raw[i] & 0xC0 != 0x80)]
 
-    def learn(self, piece: str) -> bytes | None:
-        n = self.counts(piece)
-        d = [b - a for a, b in zip(n, n[1:], strict=False)]
-        fits = not d or (min(d) >= -100 and max(d) <= 100)
-        out = bytes(x & 0xFF for x in d) if fits else None
-        self.steps[piece] = out
-        if not fits:
-            self.wide[piece] = d
-        self.chars += len(piece)
-        return out
+    def learn(self, pieces: Iterable[str]) -> None:
+        for p in sorted(pieces):
+            n = self.counts(p)
+            d = [b - a for a, b in pairwise(n)]
+            try:
+                self.steps[p] = array("b", d).tobytes()
+            except OverflowError:
+                self.steps[p] = None
+                self.wide[p] = d
+            self.chars += len(p)
+
+    def learn_texts(self, texts: list[str]) -> None:
+        """Learns the pieces of ``texts`` together, in order, so that they share what their beginnings have in common."""
+        if len(self.steps) > KEPT_PIECES or self.chars > KEPT_CHARS:
+            self.forget()
+        self.learn(set().union(*map(self.pieces, texts)).difference(self.steps))
 
     def total(self, piece: str) -> int:
         return int(self.plain_steps([piece]).sum(dtype="int64"))
@@ -174,15 +221,19 @@ class PrefixCounter:
         import numpy as np
 
         known = self.steps
-        found = [known[p] if p in known else self.learn(p) for p in pieces]
-        if None not in found:
+        self.learn(set(pieces).difference(known))
+        found = list(map(known.__getitem__, pieces))
+        if not self.wide or None not in found:
             return np.frombuffer(b"".join(found), np.int8)  # type: ignore[arg-type]
         return np.concatenate([np.array(self.wide[p], np.int32) if s is None else np.frombuffer(s, np.int8).astype(np.int32) for p, s in zip(pieces, found, strict=True)])
 
     def pieces(self, text: str) -> list[str]:
-        """The library's cuts. Characters newer than this Python's tables may be letters to one of the two libraries
-        alone; texts that hold one are cut by the library itself."""
-        if text and max(text) > "Ԁ" and any(unicodedata.category(c) == "Cn" for c in set(text)):
+        """The library's cuts. Texts of characters below ``EARLY`` alone, whose classes no longer change, are cut by a
+        simpler form of the pattern. Characters newer than this Python's tables may be letters to one library alone; texts
+        that hold one are cut by the library itself."""
+        if self.other.search(text) is None:
+            return self.quick(text)
+        if any(unicodedata.category(c) == "Cn" for c in set(text)):
             if self.own is None:
                 from tokenizers import pre_tokenizers
 
@@ -239,6 +290,15 @@ def unpacked(value: bytes):
     return np.concatenate([np.zeros(1, np.int64), np.cumsum(steps, dtype=np.int64)])
 
 
+def _chunks(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about CHUNK_BYTES of text."""
+    import numpy as np
+
+    ends = np.cumsum(np.array([len(t.as_buffer()) for t in texts], np.int64))
+    cuts = [0, *(np.flatnonzero(np.diff(ends // CHUNK_BYTES)) + 1).tolist(), len(texts)]
+    yield from pairwise(cuts)
+
+
 #: The worker process's counter, kept for its next task.
 _COUNTERS: dict = {}
 
@@ -265,10 +325,14 @@ def prefix_table(docs: DataFrame, path: str, pattern: str, column: str = "text")
         for batch in batches:
             counter = counter or _task_counter(*told.value)
             n, stored = [], []
-            for t in batch.column(batch.num_columns - 1):
-                steps = counter.text_steps(t.as_py())
-                n.append(int(steps.sum(dtype="int64")))
-                stored.append(packed(steps))
+            texts = batch.column(batch.num_columns - 1)
+            for a, b in _chunks(texts):
+                some = texts[a:b].to_pylist()
+                counter.learn_texts(some)
+                for t in some:
+                    steps = counter.text_steps(t)
+                    n.append(int(steps.sum(dtype="int64")))
+                    stored.append(packed(steps))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(n, pa.int64()), pa.array(stored, pa.binary())], names=schema.names)
 
     return d.mapInArrow(run, schema)
