@@ -131,6 +131,11 @@ def _rounded(d: DataFrame, *cols: str, places: int = 8) -> DataFrame:
     return d.withColumns({c: F.round(c, places) for c in cols})
 
 
+def _unsigned(d: DataFrame, *cols: str) -> DataFrame:
+    """Zeros without a sign: sums in another order and medians of equal zeros may give either."""
+    return d.withColumns({c: F.col(c) + F.lit(0.0) for c in cols})
+
+
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The largest revisions: headline, companion, lag, and a top-k."""
     d = _changes(spark, sf_dir).where("pct_change IS NOT NULL")
@@ -198,16 +203,16 @@ def trusted_slice(spark, d):
     return vintage.trusted_only(_obs(spark, d)).select(*KMR_COLS, "forecast_month", "value")
 
 
-BIAS = """SELECT {k}, {by}, count(pct_error) AS n, round(avg(pct_error), 8) AS mean_pct_error, round(median(pct_error), 8) AS median_pct_error,
+BIAS = """SELECT {k}, {by}, count(pct_error) AS n, round(avg(pct_error), 8) + 0.0::DOUBLE AS mean_pct_error, round(median(pct_error), 8) + 0.0::DOUBLE AS median_pct_error,
        round(avg(abs(pct_error)), 8) AS mae_pct, round(avg(CASE WHEN pct_error IS NOT NULL THEN CAST(pct_error > 0 AS DOUBLE) END), 8) AS hit_rate_over,
-       round(avg(pct_error) / nullif(stddev_samp(pct_error) / sqrt(nullif(count(pct_error), 0)), 0), 6) AS t_stat FROM done GROUP BY ALL"""
+       round(avg(pct_error) / nullif(stddev_samp(pct_error) / sqrt(nullif(count(pct_error), 0)), 0), 6) + 0.0::DOUBLE AS t_stat FROM done GROUP BY ALL"""
 STATS = ("mean_pct_error", "median_pct_error", "mae_pct", "hit_rate_over")
 
 
 @query(BIAS.format(k=K, by="calendar_month"))
 def bias_by_month(spark, d):
     s = stats.bias_summary(vintage.finalized(_errors(spark, d)), "calendar_month", p_value=False)
-    return _rounded(_rounded(s, *STATS), "t_stat", places=6)
+    return _unsigned(_rounded(_rounded(s, *STATS), "t_stat", places=6), "mean_pct_error", "median_pct_error", "t_stat")
 
 
 BUCKET = """CASE WHEN horizon_months <= 3 THEN '1-3' WHEN horizon_months <= 6 THEN '4-6' WHEN horizon_months <= 9 THEN '7-9'
@@ -217,7 +222,7 @@ BUCKET = """CASE WHEN horizon_months <= 3 THEN '1-3' WHEN horizon_months <= 6 TH
 @query(BIAS.format(k=K, by=f"{BUCKET} AS bucket"))
 def bias_by_horizon(spark, d):
     errors = vintage.finalized(_errors(spark, d)).withColumn("bucket", stats.horizon_bucket(F.col("horizon_months")))
-    return _rounded(_rounded(stats.bias_summary(errors, "bucket", p_value=False), *STATS), "t_stat", places=6)
+    return _unsigned(_rounded(_rounded(stats.bias_summary(errors, "bucket", p_value=False), *STATS), "t_stat", places=6), "mean_pct_error", "median_pct_error", "t_stat")
 
 
 def _erfc(x: str) -> str:
@@ -289,7 +294,7 @@ def matrix_hot_cell(spark, d):
 
 
 @query(
-    f"""SELECT {K}, months_in, round(quantile_cont(ratio, 0.25), 8) AS q25, round(quantile_cont(ratio, 0.75), 8) AS q75, count(DISTINCT marketing_year) AS n_years FROM (
+    f"""SELECT {K}, months_in, round(quantile_cont(ratio, 0.25), 8) + 0.0::DOUBLE AS q25, round(quantile_cont(ratio, 0.75), 8) + 0.0::DOUBLE AS q75, count(DISTINCT marketing_year) AS n_years FROM (
     SELECT r.*, value / final_value * 100 AS ratio,
            CAST((year(report_month) - year(first)) * 12 + month(report_month) - month(first) AS INTEGER) AS months_in
     FROM (SELECT r.*, f.final_value, min(report_month) OVER (PARTITION BY {KM}) AS first FROM rev r JOIN fin f USING ({KM})
@@ -297,7 +302,7 @@ def matrix_hot_cell(spark, d):
 )
 def quantile_cone(spark, d):
     obs = _obs(spark, d)
-    return _rounded(stats.quantile_cone(vintage.mom_changes(obs), vintage.final_values(obs)), "q25", "q75")
+    return _unsigned(_rounded(stats.quantile_cone(vintage.mom_changes(obs), vintage.final_values(obs)), "q25", "q75"), "q25", "q75")
 
 
 OVERLAY = f"CAST((year(report_month) - year(min(report_month) OVER w)) * 12 + month(report_month) - month(min(report_month) OVER w) AS INTEGER) AS months_in"

@@ -8,6 +8,8 @@ from pyspark.sql import Window
 
 from ..operators.vintage import month_name
 
+#: Suppliers of a region's part.
+SUPPLIERS = 20
 CELL = ["table_slug", "commodity", "region", "marketing_year", "attribute"]
 ATTRIBUTES = ("beginning_stocks", "production", "imports", "domestic_total", "exports", "supply_total", "use_total", "ending_stocks", "farm_price")
 
@@ -25,9 +27,11 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(_read(spark, sf_dir, "nation", "n_nationkey", "n_regionkey"), F.col("s_nationkey") == F.col("n_nationkey"))
         .join(_read(spark, sf_dir, "region", "r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
+    # suppliers by number share a region's part, so that series grow with the tables; the first part has the bare name
+    part = F.floor(F.col("s_suppkey") / SUPPLIERS).cast("long")
     d = d.select(
         F.trunc("o_orderdate", "month").alias("report_month"),
-        F.lower("r_name").alias("region"),
+        F.concat(F.lower("r_name"), F.when(part > 0, F.concat(F.lit("_"), part)).otherwise("")).alias("region"),
         F.when(F.col("l_partkey") % 2 == 0, "corn").otherwise("wheat").alias("commodity"),
         (F.year("l_shipdate") - (F.month("l_shipdate") < 5).cast("int")).alias("start"),
         "l_linenumber",
@@ -94,7 +98,7 @@ def releases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL = """
 base AS (
-    SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS report_month, lower(r_name) AS region,
+    SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS report_month, lower(r_name) || CASE WHEN s_suppkey // 20 > 0 THEN '_' || s_suppkey // 20 ELSE '' END AS region,
            CASE WHEN l_partkey % 2 = 0 THEN 'corn' ELSE 'wheat' END AS commodity,
            year(l_shipdate) - CASE WHEN month(l_shipdate) < 5 THEN 1 ELSE 0 END AS start, l_linenumber AS n, l_quantity AS q
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN supplier ON l_suppkey = s_suppkey
