@@ -107,7 +107,7 @@ def part_of(value: Column) -> Column:
     return F.coalesce(F.translate(coded, "%", "@"), F.lit("@null"))
 
 
-def _parts(rows: DataFrame, column: str) -> list[str]:
+def parts_of(rows: DataFrame, column: str) -> list[str]:
     return sorted(r.p for r in rows.select(part_of(F.col(column)).alias("p")).distinct().collect())
 
 
@@ -135,13 +135,14 @@ class Change:
         """The table as this change leaves it so far."""
         return read(self.spark, self.folder, self.next, name, empty, parts)
 
-    def replace(self, name: str, rows: DataFrame, by: str | None = None, touched: DataFrame | None = None) -> DataFrame:
-        """Partitions of the column ``by`` that ``rows`` or ``touched`` (with that column) have now hold ``rows`` alone;
-        without ``by`` the whole table does. What was written, to be read on."""
+    def replace(self, name: str, rows: DataFrame, by: str | None = None, touched: DataFrame | list[str] | None = None) -> DataFrame:
+        """Partitions of the column ``by`` that ``rows`` or ``touched`` (with that column, or the partitions' names) have now
+        hold ``rows`` alone; without ``by`` the whole table does. What was written, to be read on."""
         self.on_step(f"write {name}")
         table = self.next.tables.setdefault(name, {"parts": {}})
         table["schema"] = rows.schema.json()
-        gone = list(table["parts"]) if by is None else _parts(touched, by) if touched is not None else []
+        names = touched if touched is None or isinstance(touched, list) else parts_of(touched, by)
+        gone = list(table["parts"]) if by is None else names or []
         place = f"data/{name}/{self.id}-{len(gone)}-{uuid.uuid4().hex[:8]}"
         part = F.lit(WHOLE) if by is None else part_of(F.col(by))
         d = rows.withColumn(PART, part).hint("rebalance", PART)
@@ -155,8 +156,8 @@ class Change:
 
     def merge(self, name: str, rows: DataFrame, by: str, how: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
         """Partitions that ``rows`` have become ``how(their old rows, rows)``; no other is read or written."""
-        touched = _parts(rows, by)
-        return self.replace(name, how(self.read(name, rows.schema, touched), rows), by, rows.select(by))
+        touched = parts_of(rows, by)
+        return self.replace(name, how(self.read(name, rows.schema, touched), rows), by, touched)
 
     def alias(self, name: str, of: str) -> None:
         """``name`` is what ``of`` is, without a copy."""

@@ -83,7 +83,7 @@ def load_pages(
     mine = releases.where(F.col("format_era") == ERA).join(texts.select("release_id"), "release_id", "left_semi")
     if missing_only:
         mine = without_rows(mine, store.current(spark, f"{folder}/observations", OBSERVATION))
-    names = versions._parts(mine, "release_id")
+    names = versions.parts_of(mine, "release_id")
     kept = versions.read(spark, folder, versions.version(spark, folder), table, PAGE, names)
     here = shared(spark)
     obs, unmapped = read(kept, mine, registry, first_reader)

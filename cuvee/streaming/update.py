@@ -40,29 +40,30 @@ def load(
 
     def work(change: versions.Change) -> None:
         touched = known.select("release_id").union(new.select("release_id")).distinct()
+        mine = versions.parts_of(touched, "release_id")
         rows = store.last_by_key(new.withColumn("_order", F.struct("_at", content)), list(OBSERVATION_KEY), "_order").select(OBSERVATION.names)
-        change.replace("observations", rows, "release_id", touched)
+        change.replace("observations", rows, "release_id", mine)
         old = change.read("releases", RELEASE)
         all_ = store.upsert(old, known, ["release_id"], "_order")
         before = old.join(touched, "release_id", "left_semi").select("report_month")
         month = before.union(known.select("report_month")).distinct().withColumnRenamed("report_month", "_month")
         here = F.col("report_month").eqNullSafe(F.col("_month"))
         rivals = all_.join(F.broadcast(month), here, "left_semi")
-        parts = versions._parts(rivals, "release_id")
+        parts = versions.parts_of(rivals, "release_id")
         winners = store.latest_winner(rivals, change.read("observations", OBSERVATION, parts))
         change.replace("releases", all_.join(F.broadcast(month), here, "left_anti").unionByName(winners))
         if unmapped is not None:
-            change.replace("unmapped", conform(unmapped, UNMAPPED).join(failed, "release_id", "left_anti"), "release_id", touched)
+            change.replace("unmapped", conform(unmapped, UNMAPPED).join(failed, "release_id", "left_anti"), "release_id", mine)
         for name, d in (beside or {}).items():
-            change.replace(name, d.join(failed, "release_id", "left_anti"), "release_id", touched)
-        change.replace("failures", failed.distinct(), "release_id", touched.union(failed.select("release_id")))
+            change.replace(name, d.join(failed, "release_id", "left_anti"), "release_id", mine)
+        change.replace("failures", failed.distinct(), "release_id", sorted({*mine, *versions.parts_of(failed, "release_id")}))
         found = None
         if check is not None:
             change.on_step("check")
             found = change.replace("qa_exceptions", report.exceptions(check(change.read("observations"), change.read("releases"))))
             if refuse and (bad := found.where("severity = 'fail'").first()):
                 raise versions.Unchecked(f"{bad['check_name']} of {bad['release_id']}: {bad['detail']}")
-        _export(change, rivals.select("release_id"), parts)
+        _export(change, parts)
 
     return versions.transact(spark, folder, work, applied, on_step=on_step)
 
@@ -72,12 +73,12 @@ def _conformed(d: DataFrame) -> list:
     return [F.coalesce(F.when(~F.isnan(c), c), F.lit(None)) if f.dataType.simpleString() == "double" else c for c, f in ((F.col(f.name).cast(f.dataType) if f.name in d.columns else F.lit(None).cast(f.dataType), f) for f in OBSERVATION)]
 
 
-def _export(change: versions.Change, touched: DataFrame, parts: list[str]) -> None:
-    """The named exports as tables of the same version: those that are tables as they are, the others by release, where a
-    release of a touched month may have become or ceased to be its month's winner."""
+def _export(change: versions.Change, parts: list[str]) -> None:
+    """The named exports as tables of the same version: those that are tables as they are, the others by release (``parts``),
+    where a release of a touched month may have become or ceased to be its month's winner."""
     frames = report.exports(change.read("observations", OBSERVATION, parts), change.read("releases", RELEASE), change.read("qa_exceptions", EXCEPTION))
     for name in ("observations", *report.BALANCES):
-        change.replace(f"exports/{name}", frames[name].select(OBSERVATION.names), "release_id", touched)
+        change.replace(f"exports/{name}", frames[name].select(OBSERVATION.names), "release_id", parts)
     for name, of in (("observations_all_versions", "observations"), ("releases", "releases"), ("qa_exceptions", "qa_exceptions")):
         change.alias(f"exports/{name}", of)
 
