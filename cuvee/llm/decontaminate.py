@@ -8,7 +8,10 @@ words around the meeting point are compared, so that the longest equal run of at
 Plan: one pass counts the benchmark's words over the corpus; a second finds the rare words inside each row, explodes
 only those, with the 12 words on either side, joins them with the anchors and gathers hits by document. No text is
 shuffled. Up to ``MAX_LITERALS`` distinct anchor words are compiled into the plan and ``MAX_BROADCAST`` anchors are
-broadcast; beyond either bound the same steps run as shuffled joins, with null keys spread.
+broadcast. Beyond, words are counted before they meet the vocabulary, so that only counts are shuffled; a Bloom filter of
+the anchor words, of at most ``MAX_FILTER_BITS`` bits, tells the possible ones inside each row; and these are joined by a
+shuffle, with null keys spread. What the filter lets through wrongly meets no anchor. Past an eighth of its bits in
+anchor words it lets more through; results stay.
 
 Defined results: null and empty texts, items without words and null ids are allowed (a document without words has no
 hits; a null item_id counts as an item whose name is empty). Rows equal in doc_id and text count as one. Other columns
@@ -29,6 +32,8 @@ WINDOW = 13
 APART = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 MAX_LITERALS = 50_000
 MAX_BROADCAST = 50_000
+#: Bits of the filter for each anchor word, and at most in all (4 MB).
+FILTER_BITS, MAX_FILTER_BITS = 16, 1 << 25
 
 
 def ascii_lower(c: Column) -> Column:
@@ -50,7 +55,10 @@ def corpus_counts(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """(word, corpus_n) of the vocabulary's words, over all words of all documents; words are lower-cased."""
     small = vocabulary.count() <= MAX_LITERALS
     words = docs.select(F.explode(_parts(F.col("text"))).alias("_w")).select(F.lower("_w").alias("word"))
-    return words.join(F.broadcast(vocabulary) if small else vocabulary, "word", "left_semi").groupBy("word").agg(F.count("*").alias("corpus_n"))
+    if small:
+        words = words.join(F.broadcast(vocabulary), "word", "left_semi")
+    counts = words.groupBy("word").agg(F.count("*").alias("corpus_n"))
+    return counts if small else counts.join(vocabulary, "word", "left_semi")
 
 
 def anchors(benchmark: DataFrame, docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -98,6 +106,32 @@ def _equal_run(step: int, window: int) -> Column:
     return F.array_position(F.transform(F.sequence(F.lit(1), F.lit(window)), same), F.lit(False)).cast("int") - 1
 
 
+def _probes(word: Column, bits: int) -> list[Column]:
+    """Two places of a word in a filter of so many bits, a power of two."""
+    h = F.xxhash64(word)
+    return [h.bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(bits - 1))]
+
+
+def word_filter(names: DataFrame) -> tuple[Column, int]:
+    """(filter, bits): a Bloom filter of the words as one array of 64-bit numbers, a constant of the plan. The driver sees
+    its numbers, ``MAX_FILTER_BITS`` / 64 at most, whatever the number of words."""
+    bits = 1 << max(FILTER_BITS * names.count() - 1, 1 << 10).bit_length()
+    bits = min(bits, MAX_FILTER_BITS)
+    at = names.select(F.explode(F.array(*_probes(F.col("word"), bits))).alias("at"))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at").bitwiseAND(F.lit(63)).cast("int"))
+    slots = at.groupBy(F.shiftright("at", 6).alias("slot")).agg(F.bit_or(one).alias("n"))
+    full = [0] * (bits // 64)
+    for r in slots.collect():
+        full[r.slot] = r.n
+    return F.split(F.lit(",".join(map(str, full))), ",").cast("array<long>"), bits
+
+
+def _possible(word: Column, known: Column, bits: int) -> Column:
+    """Whether the filter may hold the word; false for none of its words."""
+    first, second = (F.getbit(F.get(known, F.shiftright(p, 6).cast("int")), p.bitwiseAND(F.lit(63)).cast("int")) == 1 for p in _probes(word, bits))
+    return first & second
+
+
 def _candidates(docs: DataFrame, found: DataFrame, window: int) -> DataFrame:
     """(doc_id, _text_key, n_words, _p): a row for each place of an anchor word, or one with a null place."""
     parts = docs.select("doc_id", F.xxhash64("text").alias("_key"), _parts(F.col("text")).alias("_w"))
@@ -107,21 +141,17 @@ def _candidates(docs: DataFrame, found: DataFrame, window: int) -> DataFrame:
         F.least(i, F.lit(window - 1)).alias("c"),
         F.slice("_w", F.greatest(i - (window - 1), F.lit(0)) + 1, window + F.least(i, F.lit(window - 1))).alias("ctx"),
     )
-    if (listed := names.limit(MAX_LITERALS + 1).collect()) and len(listed) <= MAX_LITERALS:
-        listed = [r.word for r in listed]
-        at = F.filter(F.sequence(F.lit(0), F.size("_w") - 1), lambda i: F.lower(F.get("_w", i)).isin(listed))
-        d = parts.withColumn("_at", at)
-    elif listed:
-        hits = (
-            parts.select("doc_id", "_key", F.posexplode("_w").alias("i", "word"))
-            .withColumn("word", F.lower("word"))
-            .join(names, "word", "left_semi")
-            .groupBy("doc_id", "_key")
-            .agg(F.collect_list("i").alias("_at"))
-        )
-        d = parts.join(hits.withColumnsRenamed({"doc_id": "_d", "_key": "_k"}), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_k")), "left")
+    listed = [r.word for r in names.limit(MAX_LITERALS + 1).collect()]
+    if not listed:
+        at = F.array().cast("array<int>")
     else:
-        d = parts.withColumn("_at", F.array().cast("array<int>"))
+        if len(listed) <= MAX_LITERALS:
+            named = lambda w: w.isin(listed)
+        else:
+            known, bits = word_filter(names)
+            named = lambda w: _possible(w, known, bits)
+        at = F.filter(F.sequence(F.lit(0), F.size("_w") - 1), lambda i: named(F.lower(F.get("_w", i))))
+    d = parts.withColumn("_at", at)
     d = d.select("doc_id", "_key", _n_words("_w").alias("n_words"), F.transform("_at", context).alias("_ps"))
     return d.select("doc_id", "_key", "n_words", F.explode_outer("_ps").alias("_p"))
 

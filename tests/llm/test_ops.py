@@ -335,8 +335,8 @@ def test_decontamination(spark, documents, corpus, empty, large, monkeypatch):
     source = words(dict(corpus)[41])
     items = [(1, " ".join(source[30:75]).upper()), (2, "Wabc, the... of!"), (3, None), (10, " ".join(source[50:62])), (None, "the of and"), (7, "--"), (8, " ".join(source[30:75]))]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    docs = [(i, t) for i, t in corpus if len(t or "") < 5000] + [(700, "The of, AND x"), (701, "...the OF and...the of and")]
-    d = documents.select("doc_id", "text", F.lit("clash").alias("word")).where("char_length(coalesce(text, '')) < 5000")
+    docs = [*corpus, (700, "The of, AND x"), (701, "...the OF and...the of and")]
+    d = documents.select("doc_id", "text", F.lit("clash").alias("word"))
     d = d.unionByName(spark.createDataFrame([(*x, "c") for x in docs[-2:]], "doc_id long, text string, word string"))
     got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r["items"], r.contaminated) for r in dc.contamination(d, bench).collect()}
     want = contamination_truth(docs, items)
@@ -346,6 +346,46 @@ def test_decontamination(spark, documents, corpus, empty, large, monkeypatch):
     assert all(r.n_hit == 0 for r in dc.contamination(d, bench.limit(0)).collect())
 
 
+def test_decontamination_of_a_large_benchmark(spark):
+    """60,000 anchor words: neither counting nor searching shuffles the words of the documents."""
+    from cuvee.llm import decontaminate as dc
+
+    n = 60_000
+    assert n > dc.MAX_LITERALS
+    bench = spark.range(n).select(F.col("id").alias("item_id"), F.format_string("a%dx b%dx c%dx", "id", "id", "id").alias("text"))
+    phrase = lambda k, w="abc": " ".join(f"{c}{k}x" for c in w)
+    texts = {k: f"Some {phrase(k)}, words {phrase(n - 1 - k).upper()} and {phrase(k + 1000, 'ab')} of none {phrase(k)}" for k in range(50)}
+    texts |= {100: None, 101: "", 102: phrase(5, "acb"), 103: " ".join(phrase(k) for k in range(3000))}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items, r["items"]) for r in dc.contamination(docs, bench).collect()}
+    want = {k: (16, 9, 2, sorted([str(k), str(n - 1 - k)])) for k in range(50)}
+    want |= {100: (0, 0, 0, []), 101: (0, 0, 0, []), 102: (3, 0, 0, []), 103: (9000, 9000, 3000, sorted(map(str, range(3000))))}
+    assert got == want
+
+    plan = lambda d: d._jdf.queryExecution().executedPlan().toString().splitlines()
+    source = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    names = bench.select(F.explode(F.split("text", " ")).alias("word"))
+    found = dc.written(names.where("word LIKE 'a%'"), "names")
+    assert not any("Exchange" in x for x in plan(dc._candidates(source, found, 13)))
+    lines = plan(dc.corpus_counts(source, dc.written(names, "names")))
+    at = next(k for k, x in enumerate(lines) if "Generate explode" in x)
+    above = [x for x in lines[:at] if "Exchange" in x or "partial_count" in x]
+    assert "partial_count" in above[-1] and "Exchange" in above[-2]
+
+
+def test_word_filter_holds_every_word(spark, monkeypatch):
+    """No word is lost, also where the filter is too small for its words; few others pass where it isn't."""
+    from cuvee.llm import decontaminate as dc
+
+    names = spark.range(3000).select(F.concat(F.lit("w"), "id").alias("word"))
+    other = spark.range(3000).select(F.concat(F.lit("x"), "id").alias("word"))
+    for most, passed in ((1 << 25, 0.05), (1 << 10, 1.0)):
+        monkeypatch.setattr(dc, "MAX_FILTER_BITS", most)
+        known, bits = dc.word_filter(names)
+        held = lambda d, known=known, bits=bits: d.where(dc._possible(F.col("word"), known, bits)).count()
+        assert bits <= most and held(names) == 3000 and held(other) <= passed * 3000
+
+
 # ---------------------------------------------------------------- 10
 def pii_truth(t):
     from cuvee.llm.pii import luhn
@@ -422,8 +462,8 @@ def test_pipeline(spark, documents, corpus, tmp_path):
     docs = [(i, t) for i, t in corpus if i in kept]
     near = near_truth(docs, 80)
     docs = [(i, t) for i, t in docs if near[i][2]]
-    bad = contamination_truth([d for d in docs if len(d[1]) < 5000], items)
-    docs = [(i, t) for i, t in docs if not (i in bad and bad[i][4])]
+    bad = contamination_truth(docs, items)
+    docs = [(i, t) for i, t in docs if not bad[i][4]]
     model = pii.train()
     enc = tiktoken.Encoding("own", pat_str=p.PATTERN, mergeable_ranks=dict(bpe.read_ranks(p.path("byte_bpe_50k.tiktoken"))), special_tokens={})
     want = {}
