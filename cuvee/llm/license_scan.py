@@ -12,7 +12,12 @@ found each by itself.
 
 In templates of up to ``SHORT`` words the coverage alone would mix names. With ``named``, as op1 has it, all words of
 such a template that are ``MARKS`` or numbers must be aligned, each next to its neighbours in the template that are
-aligned, and no other mark may stand inside the find.
+aligned, and no other mark may stand inside the find. Nor may a negation stand inside it, or before it in the same clause:
+what is "not licensed under the MIT license" isn't found.
+
+After ``SPDX-License-Identifier:`` stands an expression, whose first identifier is found like any template. Those that
+follow it by AND or OR are found too with ``expressions``, as op1 has it, each as a whole; the suffixes "only" and "or later" and known exceptions are passed
+over, and the first word that continues no expression ends it.
 
 Each text is handled whole and by itself in Arrow batches, without a shuffle. Defined results: null and empty texts
 have no words and no license; overlapping finds keep the one with most aligned words (then the greater coverage, then
@@ -46,6 +51,7 @@ TEMPLATES = {
     "Apache-2.0/line": "Licensed under the Apache License, Version 2.0",
     "GPL-3.0/line": "This work is licensed under the GNU General Public License, version 3",
     "GPL-2.0/line": "This work is licensed under the GNU General Public License, version 2",
+    "CC-BY-4.0/short": "Licensed under CC BY 4.0",
     "CC-BY-NC-4.0/line": "Licensed under CC BY-NC 4.0",
     "CC-BY-SA-4.0/line": "Licensed under CC BY-SA 4.0",
     "CC-BY-4.0/line": "This work is licensed under a Creative Commons Attribution 4.0 International License",
@@ -144,6 +150,13 @@ TEMPLATES = {
 #: Words too common to look a license up by.
 COMMON = frozenset("the of and to in is a or for be any this that with by on at an as it all are if can you your from not but was which".split())
 
+#: Words that deny what follows them in a clause ("isn't" gives the words isn and t).
+DENIALS = frozenset("not never nor isn aren wasn weren cannot".split())
+#: Denials are looked for among so many words before a find.
+REACH = 4
+#: SPDX exceptions that may follow WITH.
+EXCEPTIONS = "Classpath-exception-2.0 GCC-exception-3.1 LLVM-exception Autoconf-exception-3.0 Bison-exception-2.2 Bootloader-exception Font-exception-2.0 Linux-syscall-note".split()
+
 #: Templates of up to so many words are told apart by their marks.
 SHORT = 20
 #: Words that tell licenses apart.
@@ -246,11 +259,11 @@ class Template:
         return []
 
     def is_named(self, pairs: list[tuple[int, int]], words: list[str]) -> bool:
-        """Whether all marks of the template are aligned, next to their aligned neighbours, and no other mark stands among
-        the words spanned."""
+        """Whether all marks of the template are aligned, next to their aligned neighbours, and no other mark or denial
+        stands among the words spanned."""
         aligned, own = dict(pairs), {p for _, p in pairs}
-        foreign = (words[p] for p in range(pairs[0][1], pairs[-1][1]) if p not in own)
-        if not aligned.keys() >= set(self.marks) or not MARKS.isdisjoint(foreign):
+        foreign = {words[p] for p in range(pairs[0][1], pairs[-1][1]) if p not in own}
+        if not aligned.keys() >= set(self.marks) or not MARKS.isdisjoint(foreign) or not DENIALS.isdisjoint(foreign):
             return False
         return all(aligned[k + d] == aligned[k] + d for k in self.marks for d in (-1, 1) if k + d in aligned)
 
@@ -268,8 +281,51 @@ class Template:
                     yield find
 
 
+_HEAD = words_of("SPDX-License-Identifier")
+#: Words of the parts of an expression, longest first, so that the longest that fits is taken.
+_IDENTIFIERS, _PASSED = (
+    sorted(((words_of(x), x) for x in known), key=lambda x: (-len(x[0]), x[1]))
+    for known in (IDENTIFIERS, ["only", "or later", *(f"with {x}" for x in EXCEPTIONS)])
+)
+
+
+def _next(parts: list[tuple[list[str], str]], words: list[str], at: int) -> tuple[list[str], str] | None:
+    return next((x for x in parts if words[at : at + len(x[0])] == x[0]), None)
+
+
+def further_identifiers(words: list[str], heads: list[int]) -> Iterator[tuple[str, int, int]]:
+    """(identifier, begin, end) of the second and later identifiers of each SPDX expression; ``heads`` are the places of the
+    word that begins its mark."""
+    for p in heads:
+        if words[p : p + len(_HEAD)] != _HEAD:
+            continue
+        p, first = p + len(_HEAD), True
+        while found := _next(_IDENTIFIERS, words, p):
+            if not first:
+                yield found[1], p, p + len(found[0])
+            p, first = p + len(found[0]), False
+            while passed := _next(_PASSED, words, p):
+                p += len(passed[0])
+            if words[p : p + 1] not in (["and"], ["or"]):
+                break
+            p += 1
+
+
+def denied(lowered: str, spans: list[tuple[int, int]], begin: int, passed: set[str]) -> bool:
+    """Whether a denial stands among the ``REACH`` words before the word position ``begin``, with only blanks and words of
+    ``passed`` between. The end of a line or a clause separates."""
+    for k in range(begin - 1, max(begin - 1 - REACH, -1), -1):
+        (a, b), word = (spans[k][1], spans[k + 1][0]), lowered[slice(*spans[k])]
+        if lowered[a:b].strip(" \t'\u2019"):
+            return False
+        if word in DENIALS or word not in passed:
+            return word in DENIALS
+    return False
+
+
 class Scanner:
-    def __init__(self, templates: dict[str, str] | None = None, coverage: float = COVERAGE, named: bool = False):
+    def __init__(self, templates: dict[str, str] | None = None, coverage: float = COVERAGE, named: bool = False, expressions: bool = False):
+        self.expressions = expressions
         self.templates = [Template(k, v, coverage, named) for k, v in sorted((templates or TEMPLATES).items())]
         self.probes = frozenset(w for t in self.templates for w in t.probes)
         self.words = frozenset(w for t in self.templates for w in t.words)
@@ -283,7 +339,15 @@ class Scanner:
         for i, w in enumerate(words):
             if w in self.words:
                 at.setdefault(w, []).append(i)
-        found = sorted(((-n, -c, t.name, e - b, b, e) for t in self.templates for b, e, n, c in t.finds(words, at)))
+        finds = [(t, b, e, n, c) for t in self.templates for b, e, n, c in t.finds(words, at)]
+        if any(t.named and not DENIALS.isdisjoint(words[max(b - REACH, 0) : b]) for t, b, *_ in finds):
+            lowered = text.lower()
+            spans = [m.span() for m in _WORD.finditer(lowered)]
+            finds = [f for f in finds if not (f[0].named and denied(lowered, spans, f[1], {*f[0].words, "t", "yet"}))]
+        found = [(-n, -c, t.name, e - b, b, e) for t, b, e, n, c in finds]
+        if self.expressions:
+            found += [(b - e, -1.0, f"{x}/identifier", e - b, b, e) for x, b, e in further_identifiers(words, at.get(_HEAD[0], []))]
+        found.sort()
         taken: list[tuple[str, int, int, float]] = []
         free = bytearray(len(words))
         for _, c, name, _, b, e in found:
@@ -305,7 +369,7 @@ FOUND = T.ArrayType(
 )
 
 
-def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE, named: bool = False) -> DataFrame:
+def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE, named: bool = False, expressions: bool = False) -> DataFrame:
     """``docs`` with n_words and licenses (array of struct license, begin, end, coverage; words, end exclusive)."""
     kept = [c for c in docs.columns if c.lower() not in ("n_words", "licenses")]
     d = docs.select(*kept, F.coalesce("text", F.lit("")).alias("_license_text"))
@@ -313,7 +377,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
     kind = pa.list_(pa.struct([("license", pa.string()), ("begin", pa.int32()), ("end", pa.int32()), ("coverage", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(templates, coverage, named)
+        scanner = Scanner(templates, coverage, named, expressions)
         for batch in batches:
             rows = [scanner.scan(t.as_py()) for t in batch.column(batch.num_columns - 1)]
             found = [[dict(zip(("license", "begin", "end", "coverage"), f, strict=True)) for f in r[1]] for r in rows]

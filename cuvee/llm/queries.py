@@ -13,7 +13,7 @@ from .oracle import OP2, OP4, OP6, OP8, OP9, OP11, OP13
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), named=True)
+    found = license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), named=True, expressions=True)
     named = F.transform("licenses", lambda x: F.concat_ws(":", x["license"], x["begin"], x["end"], F.format_string("%.4f", x["coverage"])))
     return found.select("doc_id", "n_words", F.size("licenses").cast("long").alias("n_licenses"), F.array_join(named, ",").alias("licenses"))
 

@@ -115,3 +115,32 @@ def test_license_names(spark):
     for text in ("Released under the GNU License", "This work is licensed under the GNU Lesser General Public License, version 3", "Licensed under CC BY-NC-SA 4.0", "This work is licensed under the GNU General Public License, version 1"):
         assert s.scan(text)[1] == [], text
     assert [f[0] for f in s.scan("Released by us under the MIT License")[1]] == ["MIT/line"]
+
+
+def test_license_expressions_and_denials(spark):
+    from cuvee.llm.license_scan import IDENTIFIERS, Scanner, scan
+
+    s = Scanner(named=True, expressions=True)
+    names = lambda t: [f[0].removesuffix("/identifier") for f in s.scan(t)[1]]
+    head = "SPDX-License-Identifier: "
+    assert s.scan(f"{head}MIT OR Apache-2.0")[1] == [("MIT/identifier", 0, 4, 1.0), ("Apache-2.0/identifier", 5, 8, 1.0)]
+    for a in IDENTIFIERS:
+        for b in IDENTIFIERS:
+            if a != b:
+                assert names(f"x\n// {head}({a} AND {b}) y") == [a, b], (a, b)
+    assert names(f"{head}(GPL-2.0-only WITH Linux-syscall-note OR BSD-3-Clause) AND MIT\n") == ["GPL-2.0", "BSD-3-Clause", "MIT"]
+    assert names(f"{head}LGPL-2.1-or-later OR MIT\n{head}ISC or other, MIT") == ["LGPL-2.1", "MIT", "ISC"]
+    assert names(f"{head}MIT, Apache-2.0") == ["MIT"] and names(f"{head}CC-BY-NC-SA-4.0 OR MIT") == []
+    assert names("Licensed under CC BY 4.0") == ["CC-BY-4.0/short"] and names("Licensed under CC BY-NC 4.0") == ["CC-BY-NC-4.0/line"]
+    for text in (
+        "This project is not licensed under the terms of the MIT license",
+        "not licensed under the Apache License, Version 2.0",
+        "It isn't yet released under the MIT License",
+        "It isn\u2019t released under the MIT License",
+    ):
+        assert names(text) == [], text
+    for text in ("We did not\nReleased under the MIT License", "Why not? Released under the MIT License", "not here: it is released under the MIT License"):
+        assert names(text) == ["MIT/line"], text
+    rows = [(1, f"{head}MIT OR ISC", "clash"), (1, f"{head}MIT OR ISC", "clash"), (None, None, "clash"), (3, "", "clash")]
+    got = scan(spark.createDataFrame(rows, "doc_id long, text string, licenses string"), named=True, expressions=True).collect()
+    assert sorted(len(r.licenses) for r in got) == [0, 0, 2, 2]
