@@ -13,3 +13,14 @@ def test_p_value_of_a_constant_side(spark):
     pairs = spark.createDataFrame(rows, "attribute string, pct double, pct_next double")
     got = {r.attribute: r.p_value for r in stats.momentum_p(pairs).collect()}
     assert got["a"] == 0.0 and 0 < got["b"] < 1
+
+
+def test_layouts_of_keys_that_make_numbers_of_noughts_and_fives(spark, tmp_path):
+    """1500 + 3499 + 1 = 5000: a token keeps a digit, so the reader sees four numbers in every row."""
+    from cuvee.plans import registry
+
+    d = f"file://{tmp_path}"
+    spark.createDataFrame([(k,) for k in (1, 3497, 3499, 3505, 3999, 4005)], "s_suppkey long").write.parquet(f"{d}/supplier.parquet")
+    got = {(r.release_id, r.marketing_year, r.forecast_month): r.value for r in registry.scanned_layouts(spark, d).where("raw_attribute = 'exports'").collect()}
+    columns = [("1983/84", ""), ("1984/85", ""), ("1985/86", "May"), ("1985/86", "Jun")]
+    assert got == {(f"s{k}", *c): 1500.0 + k + j for k in (1, 3497, 3499, 3505, 3999, 4005) for j, c in enumerate(columns)}
