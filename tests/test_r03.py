@@ -24,3 +24,22 @@ def test_layouts_of_keys_that_make_numbers_of_noughts_and_fives(spark, tmp_path)
     got = {(r.release_id, r.marketing_year, r.forecast_month): r.value for r in registry.scanned_layouts(spark, d).where("raw_attribute = 'exports'").collect()}
     columns = [("1983/84", ""), ("1984/85", ""), ("1985/86", "May"), ("1985/86", "Jun")]
     assert got == {(f"s{k}", *c): 1500.0 + k + j for k in (1, 3497, 3499, 3505, 3999, 4005) for j, c in enumerate(columns)}
+
+
+def test_stored_observations_lie_by_place(spark):
+    """Queries by cell, chain or series read buckets and don't deal the observations anew."""
+    from cuvee.plans import registry
+
+    d = "/root/testdata/sf0.001"
+    for name in ("headline_values", "revisions", "forecast_errors", "revision_pairs", "bias_by_month", "momentum_spearman", "identity_repair"):
+        plan = registry.QUERIES[name](spark, d)._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning" not in plan, name
+
+
+def test_errors_in_one_pass(spark):
+    from cuvee.operators import vintage
+
+    rows = [("s", "2025/26", dt.date(2026, m, 1), v, st) for m, v, st in ((1, 10.0, "projection"), (2, 0.0, "estimate"), (3, 8.0, "actual"))] + [("t", "2025/26", dt.date(2026, 1, 1), 1.0, "actual")]
+    cur = spark.createDataFrame(rows, "attribute string, marketing_year string, report_month date, value double, year_status string")
+    want = vintage.attach_errors(cur, vintage.finals_of(cur))
+    assert sorted(map(tuple, vintage.with_errors(cur).select(want.columns).collect())) == sorted(map(tuple, want.collect()))
