@@ -43,3 +43,19 @@ def test_errors_in_one_pass(spark):
     cur = spark.createDataFrame(rows, "attribute string, marketing_year string, report_month date, value double, year_status string")
     want = vintage.attach_errors(cur, vintage.finals_of(cur))
     assert sorted(map(tuple, vintage.with_errors(cur).select(want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_a_release_of_many_rows_is_not_one_task(spark):
+    """Neither the replaced releases nor the winners deal observations by release."""
+    from cuvee.operators import store
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        obs = spark.range(50).select(F.lit("r1").alias("release_id"), F.col("id").cast("double").alias("value"), F.lit(1).alias("seq"))
+        rel = spark.createDataFrame([("r1", True), ("r2", False)], "release_id string, is_latest boolean")
+        new = store.replace_release(obs.drop("seq"), obs.limit(1), ["release_id", "value"], "seq")
+        assert new.count() == 1 and store.observations_latest(obs, rel).count() == 50
+        for d in (new, store.observations_latest(obs, rel)):
+            assert "SortMergeJoin" not in d._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
