@@ -17,6 +17,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
+import zlib
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -29,6 +30,11 @@ from pyspark.sql.types import StructType
 PART = "store_part"
 #: The partition of tables that have one only.
 WHOLE = "all"
+#: From so many partitions on a table keeps them in PACKS parts, dealt by their names, so that many small releases are
+#: not as many files; a change then writes the parts of its releases, with the rows of others that lie there.
+PACKED = 400
+PACKS = 64
+PACK = "~pack-"
 
 
 class Conflict(Exception):
@@ -111,6 +117,19 @@ def parts_of(rows: DataFrame, column: str) -> list[str]:
     return sorted(r.p for r in rows.select(part_of(F.col(column)).alias("p")).distinct().collect())
 
 
+def pack_of(part: Column) -> Column:
+    return F.concat(F.lit(PACK), F.crc32(part) % PACKS)
+
+
+def pack(part: str) -> str:
+    """``pack_of`` of a name."""
+    return f"{PACK}{zlib.crc32(part.encode()) % PACKS}"
+
+
+def _named(spark: SparkSession, names: list[str]) -> DataFrame:
+    return F.broadcast(spark.createDataFrame([(n,) for n in names], "_part string"))
+
+
 def read(spark: SparkSession, folder: str, v: Version, name: str, empty: StructType | None = None, parts: list[str] | None = None) -> DataFrame:
     """A version's table, or those of its partitions that are named; without rows where it has none."""
     told = v.tables.get(name)
@@ -118,6 +137,11 @@ def read(spark: SparkSession, folder: str, v: Version, name: str, empty: StructT
         raise FileNotFoundError(f"{folder} has no table {name}")
     schema = StructType.fromJson(json.loads(told["schema"])) if told else empty
     lie = told["parts"] if told else {}
+    if parts is not None and told and told.get("packed"):
+        paths = [f"{folder}/{lie[p]}" for p in sorted({pack(n) for n in parts}) if p in lie]
+        if not paths:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(*paths).join(_named(spark, parts), part_of(F.col(told["packed"])) == F.col("_part"), "left_semi")
     paths = [f"{folder}/{lie[p]}" for p in (sorted(lie) if parts is None else parts) if p in lie]
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
@@ -142,9 +166,13 @@ class Change:
         table = self.next.tables.setdefault(name, {"parts": {}})
         table["schema"] = rows.schema.json()
         names = touched if touched is None or isinstance(touched, list) else parts_of(touched, by)
+        part = F.lit(WHOLE) if by is None else part_of(F.col(by))
+        if by is None:
+            table.pop("packed", None)
+        elif table.get("packed") or len({*table["parts"], *(names or [])}) > PACKED:
+            rows, names, part = self._packed(name, table, rows, by, names or [])
         gone = list(table["parts"]) if by is None else names or []
         place = f"data/{name}/{self.id}-{len(gone)}-{uuid.uuid4().hex[:8]}"
-        part = F.lit(WHOLE) if by is None else part_of(F.col(by))
         d = rows.withColumn(PART, part).hint("rebalance", PART)
         d.write.partitionBy(PART).parquet(f"{self.folder}/{place}")
         _, p, fs = _hadoop(self.spark, f"{self.folder}/{place}")
@@ -154,6 +182,20 @@ class Change:
         table["parts"].update(made)
         return read(self.spark, self.folder, Version(0, {name: {"schema": table["schema"], "parts": made}}), name)
 
+    def _packed(self, name: str, table: dict, rows: DataFrame, by: str, names: list[str]) -> tuple[DataFrame, list[str], Column]:
+        """What packed parts hold after partitions are replaced: ``rows``, the other rows of the parts that are written (all,
+        where the table wasn't packed yet), these parts and their column."""
+        if table["parts"]:
+            names = sorted({*names, *parts_of(rows, by)})
+            packs = sorted({pack(n) for n in names}) if table.get("packed") else list(table["parts"])
+            lie = Version(0, {name: {"schema": table["schema"], "parts": {p: f for p, f in table["parts"].items() if p in set(packs)}}})
+            old = read(self.spark, self.folder, lie, name)
+            rows = rows.unionByName(old.join(_named(self.spark, names), part_of(F.col(by)) == F.col("_part"), "left_anti").select(rows.columns))
+        else:
+            packs = []
+        table["packed"] = by
+        return rows, packs, pack_of(part_of(F.col(by)))
+
     def merge(self, name: str, rows: DataFrame, by: str, how: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
         """Partitions that ``rows`` have become ``how(their old rows, rows)``; no other is read or written."""
         touched = parts_of(rows, by)
@@ -164,6 +206,17 @@ class Change:
         if of in self.next.tables:
             self.next.tables[name] = {**self.next.tables[of], "parts": dict(self.next.tables[of]["parts"])}
 
+    def lend(self, name: str, of: str, parts: list[str], touched: list[str]) -> bool:
+        """Of the partitions ``touched``, ``name`` has now ``parts``, as they lie in ``of``, without a copy. False, and nothing
+        is done, where partitions don't lie by themselves."""
+        source, table = self.next.tables.get(of), self.next.tables.get(name, {"parts": {}})
+        if source is None or source.get("packed") or table.get("packed"):
+            return False
+        self.on_step(f"write {name}")
+        kept = {p: f for p, f in table["parts"].items() if p not in set(touched)}
+        self.next.tables[name] = {"schema": source["schema"], "parts": kept | {p: source["parts"][p] for p in parts if p in source["parts"]}}
+        return True
+
     def commit(self) -> int:
         self.on_step("publish")
         _claim(self.spark, self.folder, self.next)

@@ -77,7 +77,10 @@ def _export(change: versions.Change, parts: list[str]) -> None:
     """The named exports as tables of the same version: those that are tables as they are, the others by release (``parts``),
     where a release of a touched month may have become or ceased to be its month's winner."""
     frames = report.exports(change.read("observations", OBSERVATION, parts), change.read("releases", RELEASE), change.read("qa_exceptions", EXCEPTION))
-    for name in ("observations", *report.BALANCES):
+    won = versions.parts_of(change.read("releases", RELEASE).where("is_latest AND release_id IS NOT NULL"), "release_id")
+    # an observation's row is exported as it lies, with its whole release
+    lent = change.lend("exports/observations", "observations", sorted({*won} & {*parts}), parts)
+    for name in report.BALANCES if lent else ("observations", *report.BALANCES):
         change.replace(f"exports/{name}", frames[name].select(OBSERVATION.names), "release_id", parts)
     for name, of in (("observations_all_versions", "observations"), ("releases", "releases"), ("qa_exceptions", "qa_exceptions")):
         change.alias(f"exports/{name}", of)

@@ -59,3 +59,43 @@ def test_a_release_of_many_rows_is_not_one_task(spark):
             assert "SortMergeJoin" not in d._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_many_small_releases_share_files(spark, tmp_path, monkeypatch):
+    """Beyond PACKED partitions a table has PACKS parts, in which releases are still replaced, merged and read by name."""
+    from cuvee.operators import versions
+
+    monkeypatch.setattr(versions, "PACKED", 5)
+    monkeypatch.setattr(versions, "PACKS", 2)
+    folder = f"file://{tmp_path}/s"
+    rows = lambda **r: spark.createDataFrame(list(r.items()), "release_id string, v int")
+    table = lambda parts=None: {r.release_id: r.v for r in versions.read(spark, folder, versions.version(spark, folder), "t", parts=parts).collect()}
+    change = lambda f: versions.transact(spark, folder, lambda c: f(c) and None)
+    change(lambda c: c.replace("t", rows(a=1, b=2, c=3), "release_id", ["a", "b", "c"]))
+    assert len(list((tmp_path / "s" / "data" / "t").glob("*/store_part=*"))) == 3
+    change(lambda c: c.replace("t", rows(b=5, d=4, e=6, f=7), "release_id", ["a", "b", "d", "e", "f"]))  # now packed; a goes
+    want = {"b": 5, "c": 3, "d": 4, "e": 6, "f": 7}
+    assert table() == want and set(versions.version(spark, folder).tables["t"]["parts"]) <= {"~pack-0", "~pack-1"}
+    assert table(["c", "f", "none"]) == {"c": 3, "f": 7}
+    change(lambda c: c.merge("t", rows(c=10, g=1), "release_id", lambda old, new: old.unionByName(new).groupBy("release_id").agg(F.max("v").cast("int").alias("v"))))
+    want |= {"c": 10, "g": 1}
+    assert table() == want
+    change(lambda c: c.replace("t", rows(d=9), "release_id", ["e"]))  # rows count as named
+    want["d"] = 9
+    del want["e"]
+    assert table() == want
+    assert versions.vacuum(spark, folder, keep=1, older_than=-10) > 0 and table() == want
+
+
+def test_exported_observations_are_not_written_again(spark, tmp_path):
+    from cuvee.operators import store
+    from cuvee.streaming.update import load
+
+    folder, month = f"file://{tmp_path}/s", dt.date(2026, 5, 1)
+    obs = lambda *r: spark.createDataFrame([(i, month, "us_corn", v) for i, v in r], "release_id string, report_month date, table_slug string, value double")
+    rel = lambda *r: spark.createDataFrame([(i, month, n) for i, n in r], "release_id string, report_month date, version int")
+    seen = lambda: {(r.release_id, r.value) for r in store.current(spark, f"{folder}/exports/observations").collect()}
+    load(spark, folder, obs(("a", 1.0)), rel(("a", 1)))
+    assert seen() == {("a", 1.0)}
+    load(spark, folder, obs(("b", 2.0)), rel(("b", 2)))
+    assert seen() == {("b", 2.0)} and not (tmp_path / "s" / "data" / "exports" / "observations").exists()
