@@ -99,3 +99,56 @@ def test_exported_observations_are_not_written_again(spark, tmp_path):
     assert seen() == {("a", 1.0)}
     load(spark, folder, obs(("b", 2.0)), rel(("b", 2)))
     assert seen() == {("b", 2.0)} and not (tmp_path / "s" / "data" / "exports" / "observations").exists()
+
+
+def test_the_sweeps_are_methods_that_the_jvm_compiles(spark):
+    """HotSpot compiles no method of more than 8000 bytes; all turns in one stage are one of 52 thousand."""
+    import re
+
+    from cuvee.operators import balance
+
+    rows = spark.createDataFrame([("r", "corn", "imports", 1.0)], "release_id string, commodity string, attribute string, value double")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = spark._jvm.PythonSQLUtils.explainString(balance.repaired(balance.column_groups(rows, ["release_id", "commodity"]))._jdf.queryExecution(), "codegen")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert sizes and max(sizes) < 8000
+
+
+def test_groups_of_repeated_attributes(spark):
+    """The greatest value counts, a null only where there is no other, and a hole stays an entry."""
+    from cuvee.operators import balance
+
+    rows = [("a", "x", 1.0, 2), ("a", "x", 3.0, 1), ("a", "x", None, 3), ("a", "y", None, 1), ("b", "x", float("nan"), 1), ("b", "x", 5.0, 2)]
+    d = spark.createDataFrame(rows, "id string, attribute string, value double, seq int")
+    got = {r.id: r.vals for r in balance.column_groups(d, ["id"]).collect()}
+    assert got["a"] == {"x": 3.0, "y": None} and list(got["b"]) == ["x"] and got["b"]["x"] != got["b"]["x"]
+    assert {r.id: r.vals for r in balance.column_groups(d, ["id"], "seq").collect()} == {"a": {"x": None, "y": None}, "b": {"x": 5.0}}
+
+
+def test_repair_equals_its_sql_on_odd_values(spark):
+    """Holes, signed zeros, NaN, infinities, unknown commodities and attributes outside identities."""
+    import random
+
+    import duckdb
+
+    from cuvee.operators import balance
+    from cuvee.plans import balance_sql
+
+    rng, rows = random.Random(5), []
+    numbers = [0.0, -0.0, 1.0, 2.0, 5.0, 7.0, 10.0, 40.0, -3.0, None, float("nan"), float("inf")]
+    for k in range(1500):
+        most = 9 if k % 3 else 12
+        for a in (*balance.MEMBERS, "farm_price"):
+            if rng.random() < 0.85:
+                rows.append((k, rng.choice(["corn", "soybeans", None]) if k % 50 == 0 else ("corn", "soybeans")[k % 2], a, numbers[rng.randrange(most)]))
+    d = spark.createDataFrame(rows, "id int, commodity string, attribute string, value double")
+    got = balance.repaired(balance.column_groups(d, ["id", "commodity"])).select("id", "commodity", F.explode("cells").alias("c")).select("id", "commodity", "c.*")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE d (id INTEGER, commodity VARCHAR, attribute VARCHAR, value DOUBLE)")
+    con.executemany("INSERT INTO d VALUES (?, ?, ?, ?)", rows)
+    want = con.execute(balance_sql.repair("FROM d", ["id", "commodity"])).fetchall()
+    plain = lambda rs: sorted(repr((*r[:3], r[3] + 0.0 if r[3] is not None else None, r[4])) for r in rs)
+    assert plain(map(tuple, got.collect())) == plain(want)
