@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import MY
+from .store import observations_latest
 from .vintage import month_name
 
 GROUP = ("release_id", "table_slug", "commodity", "region", MY, "forecast_month")
@@ -61,13 +62,18 @@ def check_identities(obs: DataFrame) -> DataFrame:
 
 
 def check_continuity(obs: DataFrame, releases: DataFrame) -> DataFrame:
-    """A report's column for the previous calendar month against that month's own report; one printed unit may differ."""
-    cur = obs.join(releases.where("is_latest").select("release_id"), "release_id").where("year_status = 'projection'")
-    keys = ["table_slug", "commodity", "region", MY, "attribute"]
-    own = month_name("report_month")
-    before = cur.where(F.col("forecast_month") == own).select(*keys, F.col("report_month").alias("_month"), F.col("forecast_month").alias("_label"), F.col("value").alias("expected"))
-    prior = cur.where(F.col("forecast_month") != own).withColumns({"_month": F.add_months("report_month", -1), "_label": F.col("forecast_month")})
-    d = prior.join(before, [*keys, "_month", "_label"]).where(~F.col("value").eqNullSafe(F.col("expected")))
+    """A report's column for the previous calendar month against that month's own report; one printed unit may differ.
+
+    Both rows have the same series, year, month and label, so they meet in one window: observations stored by place are
+    neither dealt anew nor sorted by more than a bucket at once, which a join by all these columns would do."""
+    cur = observations_latest(obs, releases).where("year_status = 'projection'")
+    keys = ["table_slug", "commodity", "region", MY, "attribute", "_month", "forecast_month"]
+    own = F.col("forecast_month") == month_name("report_month")
+    cur = cur.select("release_id", "report_month", *[k for k in keys if k != "_month"], "value", own.alias("_own"))
+    cur = cur.withColumn("_month", F.when(F.col("_own"), F.col("report_month")).otherwise(F.add_months("report_month", -1))).dropna(subset=keys)
+    before = F.collect_list(F.when(F.col("_own"), F.struct(F.col("value").alias("expected")))).over(Window.partitionBy(keys))
+    d = cur.withColumn("_before", before).where(~F.col("_own")).select("release_id", *keys, "value", F.explode("_before").alias("_b")).select("*", "_b.expected")
+    d = d.where(~F.col("value").eqNullSafe(F.col("expected")))
     unit = F.pow(F.lit(10.0), -F.least(decimals(F.col("value"), 6), decimals(F.col("expected"), 6)))
     d = d.where((F.abs(F.col("value") - F.col("expected")) > unit * 1.01) | F.col("value").isNull() | F.col("expected").isNull())
     text = F.concat(F.concat_ws("/", "commodity", "region"), F.lit(" "), F.col(MY), F.lit(" "), F.col("attribute"), F.lit(" prior-col("), F.col("forecast_month"), F.lit(")"))
@@ -81,8 +87,10 @@ def _plain(d: DataFrame, name: str, severity: Column, detail: Column, slug: Colu
 
 def check_coverage(obs: DataFrame, releases: DataFrame, priority: list[str]) -> DataFrame:
     """Releases without observations, and releases without observations of priority tables."""
-    empty = releases.where(F.col("format_era").isin("xml", "txt")).join(obs.select("release_id"), "release_id", "left_anti")
-    known = obs.groupBy("release_id").agg(F.bool_or(F.col("table_slug").isin(priority)).alias("_any")).where("NOT _any")
+    # counted before the join, since releases are few and one's rows would all meet in a task
+    known = obs.groupBy("release_id").agg(F.bool_or(F.col("table_slug").isin(priority)).alias("_any"))
+    empty = releases.where(F.col("format_era").isin("xml", "txt")).join(known.select("release_id"), "release_id", "left_anti")
+    known = known.where("NOT _any")
     return _plain(empty, "coverage", F.lit("fail"), F.concat("format_era", F.lit(" release has no observations"))).unionByName(
         _plain(known, "coverage", F.lit("fail"), F.lit("no priority-table observations"))
     )
@@ -94,9 +102,12 @@ def check_unmapped(misses: DataFrame, priority: list[str]) -> DataFrame:
 
 
 def latest_actuals(obs: DataFrame) -> DataFrame:
+    """The last actual value of a commodity's attribute and year; first that of each chain, which lies in one bucket, since
+    such cells are few however many observations they have."""
     cell = ["commodity", "attribute", MY]
-    last = Window.partitionBy(cell).orderBy(F.col("report_month").desc(), "release_id", "table_slug", "region", "forecast_month")
-    d = obs.where("year_status = 'actual' AND value IS NOT NULL")
+    order = [F.col("report_month").desc(), *map(F.col, ("release_id", "table_slug", "region", "forecast_month"))]
+    last, of_chain = (Window.partitionBy(by).orderBy(*order) for by in (cell, ["table_slug", "region", *cell]))
+    d = obs.where("year_status = 'actual' AND value IS NOT NULL").withColumn("_n", F.row_number().over(of_chain)).where("_n = 1")
     return d.withColumn("_n", F.row_number().over(last)).where("_n = 1").select(*cell, "value")
 
 

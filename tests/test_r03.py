@@ -152,3 +152,55 @@ def test_repair_equals_its_sql_on_odd_values(spark):
     want = con.execute(balance_sql.repair("FROM d", ["id", "commodity"])).fetchall()
     plain = lambda rs: sorted(repr((*r[:3], r[3] + 0.0 if r[3] is not None else None, r[4])) for r in rs)
     assert plain(map(tuple, got.collect())) == plain(want)
+
+
+def test_checks_stay_with_the_stored_places(spark):
+    """The continuity of reprints needs no shuffle of stored observations, and rows of a release don't meet in one task."""
+    from cuvee.operators import quality
+    from cuvee.plans import registry
+
+    d = "/root/testdata/sf0.001"
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "hashpartitioning" not in plan(registry.qa_continuity(spark, d))
+        obs, releases = registry._all(spark, d)
+        assert plan(quality.check_coverage(obs, releases, ["us_corn"])).count("HashAggregate") == 4
+        # the latest actuals: sorted by chain within buckets, and only chains' last rows beyond
+        lines = [line for line in plan(quality.latest_actuals(obs)).splitlines() if "Exchange" in line or "Window [" in line]
+        assert [("Exchange" in line) for line in lines] == [False, True, False]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_checks_equal_plain_joins(spark):
+    """Repeated rows, nulls in keys and values, several places of a commodity, and releases without rows."""
+    import random
+
+    from pyspark.sql import Window
+
+    from cuvee.operators import quality
+
+    rng, rows = random.Random(7), []
+    months = [dt.date(2026, m, 1) for m in (1, 2, 3)]
+    for _ in range(2500):
+        m, label = rng.randrange(3), rng.choice(["Jan", "Feb", "Mar", "", None])
+        place = (f"us_{rng.choice('ab')}", rng.choice(["x", "y", None]), "corn")
+        rows.append((f"r{m}", months[m], *place, rng.choice(["p", "q"]), "2025/26", rng.choice(["projection", "actual"]), label, rng.choice([None, 1.0, 1.1, 2.0, 3.5])))
+    obs = spark.createDataFrame(rows, "release_id string, report_month date, table_slug string, region string, commodity string, attribute string, marketing_year string, year_status string, forecast_month string, value double")
+    rel = spark.createDataFrame([("r0", True, "txt"), ("r1", True, "xml"), ("r2", False, "xml"), ("r9", True, "xml")], "release_id string, is_latest boolean, format_era string")
+    cur = obs.join(rel.where("is_latest").select("release_id"), "release_id").where("year_status = 'projection'").withColumn("own", F.date_format("report_month", "MMM") == F.col("forecast_month"))
+    keys = ["table_slug", "region", "commodity", "attribute", "marketing_year", "forecast_month"]
+    prior = cur.where("NOT own").withColumn("month", F.add_months("report_month", -1))
+    joined = prior.join(cur.where("own").select(*keys, F.col("report_month").alias("month"), F.col("value").alias("expected")), [*keys, "month"])
+    off = "value IS DISTINCT FROM expected AND (value IS NULL OR expected IS NULL OR abs(value - expected) > pow(10, -least(d, e)) * 1.01)"
+    joined = joined.withColumns({"d": quality.decimals(F.col("value"), 6), "e": quality.decimals(F.col("expected"), 6)}).where(off)
+    got = quality.check_continuity(obs, rel)
+    texts = lambda df, *c: sorted(map(repr, map(tuple, df.select(*c).collect())))
+    assert got.count() > 20 and texts(got, "release_id", "table_slug", "observed", "expected") == texts(joined, "release_id", "table_slug", "value", "expected")
+    w = Window.partitionBy("commodity", "attribute", "marketing_year").orderBy(F.col("report_month").desc(), "release_id", "table_slug", "region", "forecast_month", "value")
+    last = obs.where("year_status = 'actual' AND value IS NOT NULL").dropDuplicates(["report_month", "release_id", "table_slug", "region", "attribute", "forecast_month"])
+    want = last.withColumn("n", F.row_number().over(w)).where("n = 1").select("commodity", "attribute", "marketing_year", "value")
+    assert texts(quality.latest_actuals(last), "commodity", "attribute", "value") == texts(want, "commodity", "attribute", "value")
+    found = {(r.release_id, r.detail) for r in quality.check_coverage(obs.where("release_id <> 'r1'"), rel, ["us_a"]).collect()}
+    assert found == {("r1", "xml release has no observations"), ("r9", "xml release has no observations")}
